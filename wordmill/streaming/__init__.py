@@ -1,0 +1 @@
+"""wordmill.streaming."""
