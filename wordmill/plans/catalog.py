@@ -50,3 +50,129 @@ def k1_top_terms_per_doc(spark, sf_dir):
     _, w = terms.tfidf(documents(spark, sf_dir))
     top = terms.top_terms_per_doc(w, 20)
     return top.select("doc_id", "rank", "term", r6("weight").alias("weight"))
+
+
+# ---------------------------------------------------------------- text: T1-T12, T14-T16
+
+from wordmill.functions import fixed  # noqa: E402
+from wordmill.functions import text as T  # noqa: E402
+from wordmill.operators import tokens as TK  # noqa: E402
+
+
+def _positions(df: DataFrame, id_cols: list[str], arr: Column, name: str = "token") -> DataFrame:
+    return df.select(*id_cols, F.posexplode(arr).alias("pos", name))
+
+
+@query("t1_lower")
+def t1_lower(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", T.lower("text").alias("text_lower"))
+
+
+@query("t2_word_split")
+def t2_word_split(spark, sf_dir):
+    return _positions(documents(spark, sf_dir), ["doc_id"], T.word_split("text"))
+
+
+@query("t3_whitespace_tokens")
+def t3_whitespace_tokens(spark, sf_dir):
+    return _positions(documents(spark, sf_dir), ["doc_id"], T.whitespace_tokens("text"))
+
+
+@query("t4_abbr_or_lower")
+def t4_abbr_or_lower(spark, sf_dir):
+    toks = _positions(documents(spark, sf_dir), ["doc_id"], T.word_split("text"))
+    return toks.select("doc_id", "pos", T.abbr_or_lower("token").alias("word"))
+
+
+@query("t5_strip_non_word")
+def t5_strip_non_word(spark, sf_dir):
+    ws = F.filter(F.split(F.col("text"), T.WS_RUN), lambda t: t != "")
+    toks = _positions(documents(spark, sf_dir), ["doc_id"], ws)
+    return toks.select("doc_id", "pos", T.strip_non_word("token").alias("word"))
+
+
+@query("t6_ascii_letter_tokens")
+def t6_ascii_letter_tokens(spark, sf_dir):
+    arr = T.keep_ascii_letter_tokens(T.word_split(T.lower("text")))
+    return _positions(documents(spark, sf_dir), ["doc_id"], arr)
+
+
+@query("t7_alpha_tokens")
+def t7_alpha_tokens(spark, sf_dir):
+    arr = T.keep_alpha_tokens(T.word_split(T.lower("text")))
+    return _positions(documents(spark, sf_dir), ["doc_id"], arr)
+
+
+@query("t8_remove_stopwords")
+def t8_remove_stopwords(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", T.word_split(T.lower("text")).alias("w"))
+    d = TK.remove_stopwords(d, "w", "kept")
+    return _positions(d, ["doc_id"], F.col("kept"))
+
+
+def _doc_word_tokens(spark, sf_dir) -> DataFrame:
+    """(doc_id, pos, token): lowercased word tokens, every position."""
+    d = documents(spark, sf_dir).select("doc_id", "text").repartition("doc_id")
+    return _positions(d, ["doc_id"], T.word_split(T.lower("text")))
+
+
+@query("t9_lexicon_join")
+def t9_lexicon_join(spark, sf_dir):
+    toks = _doc_word_tokens(spark, sf_dir)
+    lex = TK.plural_lexicon(toks)
+    return TK.apply_lexicon(toks, lex).select("doc_id", "pos", "token")
+
+
+@query("t10_preprocess")
+def t10_preprocess(spark, sf_dir):
+    return TK.preprocess(documents(spark, sf_dir), mode=0, join=True)
+
+
+@query("t10_preprocess_lemma")
+def t10_preprocess_lemma(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    lex = TK.plural_lexicon(_doc_word_tokens(spark, sf_dir))
+    return TK.preprocess(docs, mode=2, lexicon=lex, join=True)
+
+
+@query("t11_clean_generated")
+def t11_clean_generated(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    return conv.select("conv_id", "turn", T.clean_generated("text").alias("text_clean"))
+
+
+@query("t12_parse_reply")
+def t12_parse_reply(spark, sf_dir):
+    """Every whitespace piece of every conversation turn parsed as a reply."""
+    conv = table(spark, sf_dir, "conversations")
+    pieces = F.filter(F.split(F.col("text"), T.WS_RUN), lambda t: t != "")
+    p = _positions(conv, ["conv_id", "turn"], pieces, "reply")
+    return p.select("conv_id", "turn", "pos", T.parse_int_reply("reply").alias("prediction"))
+
+
+def _bench_classes(spark, sf_dir) -> DataFrame:
+    bench = table(spark, sf_dir, "benchmark")
+    return bench.select("item_id", "text", F.explode(F.array(*[F.lit(e) for e in fixed.EMOTIONS]))
+                        .alias("emotion"))
+
+
+@query("t14_json_prompt")
+def t14_json_prompt(spark, sf_dir):
+    return _bench_classes(spark, sf_dir).select(
+        "item_id", "emotion", T.json_generation_prompt("emotion").alias("prompt"))
+
+
+@query("t15_plain_prompt")
+def t15_plain_prompt(spark, sf_dir):
+    return _bench_classes(spark, sf_dir).select(
+        "item_id", "emotion", T.plain_generation_prompt("emotion").alias("prompt"))
+
+
+@query("t16_encode_ids")
+def t16_encode_ids(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", T.word_split(T.lower("text")).alias("tokens"))
+    vocab = TK.sorted_vocab_ids(docs.select(F.explode("tokens").alias("token")))
+    enc = TK.encode_ids(docs, vocab)
+    return enc.select("doc_id", F.posexplode(F.arrays_zip("input_ids", "attention_mask")).alias("pos", "z")) \
+        .select("doc_id", "pos", F.col("z.input_ids").alias("input_id"),
+                F.col("z.attention_mask").alias("attention_mask"))

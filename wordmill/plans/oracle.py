@@ -33,3 +33,134 @@ ranked AS (SELECT doc_id, term, weight,
            FROM weights)
 SELECT doc_id, rank, term, round(weight, 6) AS weight FROM ranked WHERE rank <= 20
 """
+
+
+# ---------------------------------------------------------------- text: T1-T16
+
+from wordmill.functions import fixed  # noqa: E402
+
+
+def sql_list(words) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+NONWORD = r"[^\p{L}\p{N}_]+"
+WS = (r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
+      r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")
+STOP = sql_list(fixed.ENGLISH_STOPWORDS)
+
+
+def positions(src: str, ids: str, list_expr: str, name: str = "token") -> str:
+    return (f"SELECT {ids}, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS {name} "
+            f"FROM (SELECT {ids}, {list_expr} AS l FROM {src})")
+
+
+WORDS_LOWER = f"list_filter(string_split_regex(lower(text), '{NONWORD}'), lambda x: x <> '')"
+
+ORACLE["t1_lower"] = "SELECT doc_id, lower(text) AS text_lower FROM documents"
+
+ORACLE["t2_word_split"] = positions(
+    "documents", "doc_id", f"list_filter(string_split_regex(text, '{NONWORD}'), lambda x: x <> '')")
+
+ORACLE["t3_whitespace_tokens"] = positions(
+    "documents", "doc_id", f"list_filter(string_split_regex(lower(text), '{WS}'), lambda x: x <> '')")
+
+ORACLE["t4_abbr_or_lower"] = f"""
+SELECT doc_id, pos, CASE WHEN regexp_matches(token, '^([A-Z]+[a-z]*){{2,}}') THEN token
+                         ELSE lower(token) END AS word
+FROM ({positions("documents", "doc_id",
+                 f"list_filter(string_split_regex(text, '{NONWORD}'), lambda x: x <> '')")})
+"""
+
+ORACLE["t5_strip_non_word"] = f"""
+SELECT doc_id, pos, regexp_replace(token, '{NONWORD}', '', 'g') AS word
+FROM ({positions("documents", "doc_id",
+                 f"list_filter(string_split_regex(text, '{WS}'), lambda x: x <> '')")})
+"""
+
+ORACLE["t6_ascii_letter_tokens"] = positions(
+    "documents", "doc_id", f"list_filter({WORDS_LOWER}, lambda x: regexp_matches(x, '[a-zA-Z]'))")
+
+ORACLE["t7_alpha_tokens"] = positions(
+    "documents", "doc_id", f"list_filter({WORDS_LOWER}, lambda x: regexp_matches(x, '^\\p{{L}}+$'))")
+
+ORACLE["t8_remove_stopwords"] = positions(
+    "documents", "doc_id", f"list_filter({WORDS_LOWER}, lambda x: NOT list_contains({STOP}, x))")
+
+DOC_TOKENS = positions("documents", "doc_id", WORDS_LOWER)
+PLURAL_LEX = f"""
+vocab AS (SELECT DISTINCT token FROM toks),
+lex AS (SELECT v.token, substr(v.token, 1, length(v.token) - 1) AS base FROM vocab v
+        WHERE regexp_matches(v.token, '[^s]s$') AND length(v.token) > 2
+          AND substr(v.token, 1, length(v.token) - 1) IN (SELECT token FROM vocab))
+"""
+
+ORACLE["t9_lexicon_join"] = f"""
+WITH toks AS ({DOC_TOKENS}), {PLURAL_LEX}
+SELECT t.doc_id, t.pos, coalesce(lex.base, t.token) AS token
+FROM toks t LEFT JOIN lex ON t.token = lex.token
+"""
+
+ORACLE["t10_preprocess"] = f"""
+SELECT doc_id, array_to_string(list_filter(string_split_regex(lower(text), '{NONWORD}'),
+    lambda x: regexp_matches(x, '[a-zA-Z]') AND regexp_matches(x, '^\\p{{L}}+$')
+              AND NOT list_contains({STOP}, x)), ' ') AS tokens
+FROM documents
+"""
+
+ORACLE["t10_preprocess_lemma"] = f"""
+WITH toks AS ({DOC_TOKENS}), {PLURAL_LEX},
+mapped AS (
+  SELECT t.doc_id, t.pos, coalesce(lex.base, t.token) AS token0 FROM toks t LEFT JOIN lex ON t.token = lex.token),
+cleaned AS (
+  SELECT doc_id, pos, CASE WHEN regexp_matches(s, '^([A-Z]+[a-z]*){{2,}}') THEN s ELSE lower(s) END AS token
+  FROM (SELECT doc_id, pos, regexp_replace(token0, '{NONWORD}', '', 'g') AS s FROM mapped)),
+kept AS (SELECT * FROM cleaned WHERE NOT list_contains({STOP}, token) AND regexp_matches(token, '^\\p{{L}}+$'))
+SELECT d.doc_id, coalesce(k.tokens, '') AS tokens
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS tokens FROM kept GROUP BY doc_id) k
+ON d.doc_id = k.doc_id
+"""
+
+def strip_ws(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}|{WS}$', '', 'g')"
+
+ORACLE["t11_clean_generated"] = f"""
+SELECT conv_id, turn,
+       replace(replace(lower({strip_ws('text')}), chr(10), ' '), chr(13), '') AS text_clean
+FROM conversations
+"""
+
+ORACLE["t12_parse_reply"] = f"""
+SELECT conv_id, turn, pos,
+       CASE WHEN regexp_matches(r, '^[+-]?[0-9]+$') THEN TRY_CAST(r AS INTEGER) END AS prediction
+FROM (SELECT conv_id, turn, pos, lower({strip_ws('reply')}) AS r
+      FROM ({positions("conversations", "conv_id, turn",
+                       f"list_filter(string_split_regex(text, '{WS}'), lambda x: x <> '')", "reply")}))
+"""
+
+BENCH_CLASSES = (f"SELECT item_id, text, unnest({sql_list(fixed.EMOTIONS)}) AS emotion "
+                 f"FROM benchmark")
+
+ORACLE["t14_json_prompt"] = f"""
+SELECT item_id, emotion,
+       '{{"instruction": "{fixed.GENERATION_INSTRUCTION}", "emotion": ' || to_json(emotion)::VARCHAR
+       || ', "notice": "{fixed.GENERATION_NOTICE}"}}' AS prompt
+FROM ({BENCH_CLASSES})
+"""
+
+ORACLE["t15_plain_prompt"] = f"""
+SELECT item_id, emotion, printf('{fixed.PLAIN_GENERATION_FORMAT}', emotion) AS prompt
+FROM ({BENCH_CLASSES})
+"""
+
+ORACLE["t16_encode_ids"] = f"""
+WITH toks AS ({DOC_TOKENS}),
+vocab AS (SELECT token, row_number() OVER (ORDER BY token) AS id
+          FROM (SELECT DISTINCT token FROM toks)),
+ids AS (SELECT t.doc_id, t.pos, v.id FROM toks t JOIN vocab v USING (token) WHERE t.pos < {fixed.MAX_SEQ_LEN}),
+grid AS (SELECT doc_id, unnest(generate_series(0, {fixed.MAX_SEQ_LEN - 1})) AS pos FROM documents)
+SELECT g.doc_id, g.pos, coalesce(i.id, 0)::BIGINT AS input_id,
+       CASE WHEN i.id IS NULL THEN 0 ELSE 1 END AS attention_mask
+FROM grid g LEFT JOIN ids i ON g.doc_id = i.doc_id AND g.pos = i.pos
+"""
