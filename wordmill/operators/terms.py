@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +39,15 @@ def tokens_table(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_
                  tokenizer: Tokenizer = default_tokenizer, positions: bool = False) -> DataFrame:
     """``(id, [pos,] term)``: one row per token, documents partitioned by id first."""
     d = docs.select(id_col, text_col).repartition(id_col)
+    if isinstance(tokenizer, NgramTokenizer):
+        # two projections: the token array is computed once, then expanded
+        d = d.select(id_col, tokenizer._base(F.col(text_col)).alias("_raw"))
+        if tokenizer.stopwords:
+            d = StopWordsRemover(inputCol="_raw", outputCol="_toks", stopWords=tokenizer.stopwords,
+                                 caseSensitive=True).transform(d).select(id_col, "_toks")
+        else:
+            d = d.withColumnRenamed("_raw", "_toks")
+        tokenizer, text_col = tokenizer.expand, "_toks"
     if positions:
         return d.select(id_col, F.posexplode(tokenizer(F.col(text_col))).alias("pos", "term"))
     return d.select(id_col, F.explode(tokenizer(F.col(text_col))).alias("term"))
@@ -50,30 +60,41 @@ def term_counts(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_i
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def ngram_tokenizer(stopwords: Sequence[str] | None, ngram_range: tuple[int, int] = (1, 1),
-                    base: Tokenizer = default_tokenizer) -> Tokenizer:
-    """Stopwords are removed before n-grams are formed; n-grams join tokens by a space."""
-    lo, hi = ngram_range
-
-    def tok(c: Column) -> Column:
-        arr = base(c)
-        if stopwords:
-            arr = T.remove_words(arr, stopwords)
+class NgramTokenizer:
+    """Base tokens with stopwords removed *before* n-grams are formed; n-grams join
+    tokens by a space. The token array is materialised once (``base``) and n-grams
+    are built from shifted slices of that column (``expand``), so the regex runs once
+    per document, not once per position."""
+
+    def __init__(self, stopwords: Sequence[str] | None, ngram_range: tuple[int, int] = (1, 1),
+                 base: Tokenizer = default_tokenizer):
+        self.stopwords = list(stopwords) if stopwords else None
+        self.lo, self.hi = ngram_range
+        self._base = base
+
+    def base(self, c: Column) -> Column:
+        arr = self._base(c)
+        return T.remove_words(arr, self.stopwords) if self.stopwords else arr
+
+    def expand(self, arr: Column) -> Column:
         parts = []
-        for n in range(lo, hi + 1):
+        for n in range(self.lo, self.hi + 1):
             if n == 1:
                 parts.append(arr)
                 continue
-            # n-gram starting at each position i (0-based) where i + n <= size
-            size = F.size(arr)
-            idx = F.sequence(F.lit(0), F.greatest(size - n, F.lit(-1)))
-            grams = F.transform(
-                F.filter(idx, lambda i: i >= 0),
-                lambda i: F.array_join(F.slice(arr, i + 1, n), " "))
-            parts.append(grams)
+            shifted = [F.slice(arr, k + 1, F.greatest(F.size(arr) - k, F.lit(1))) for k in range(n)]
+            zipped = F.arrays_zip(*[s.alias(f"g{k}") for k, s in enumerate(shifted)])
+            full = F.filter(zipped, lambda z: z[f"g{n - 1}"].isNotNull())
+            parts.append(F.transform(full, lambda z: F.concat_ws(" ", *[z[f"g{k}"] for k in range(n)])))
         return parts[0] if len(parts) == 1 else F.concat(*parts)
 
-    return tok
+    def __call__(self, c: Column) -> Column:
+        return self.expand(self.base(c))
+
+
+def ngram_tokenizer(stopwords: Sequence[str] | None, ngram_range: tuple[int, int] = (1, 1),
+                    base: Tokenizer = default_tokenizer) -> NgramTokenizer:
+    return NgramTokenizer(stopwords, ngram_range, base)
 
 
 @dataclass
@@ -107,6 +128,8 @@ def fit_idf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
         tf = term_counts(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     if vocabulary is not None:
+        if len(set(vocabulary)) != len(vocabulary):
+            raise ValueError("duplicate term in vocabulary")
         vocab = docs.sparkSession.createDataFrame(
             [(i, t) for i, t in enumerate(vocabulary)], "idx int, term string")
         stats = (F.broadcast(vocab).join(stats, "term", "left")

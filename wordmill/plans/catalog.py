@@ -176,3 +176,213 @@ def t16_encode_ids(spark, sf_dir):
     return enc.select("doc_id", F.posexplode(F.arrays_zip("input_ids", "attention_mask")).alias("pos", "z")) \
         .select("doc_id", "pos", F.col("z.input_ids").alias("input_id"),
                 F.col("z.attention_mask").alias("attention_mask"))
+
+
+# ---------------------------------------------------------------- sampling: M1-M9
+
+from wordmill.operators import sampling as M  # noqa: E402
+
+SPLIT_SEED = f"{fixed.BASELINE_SEED}/split"
+
+
+def embeddings(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "embeddings")
+
+
+@query("m1_sample_fraction")
+def m1_sample_fraction(spark, sf_dir):
+    return M.sample_fraction(documents(spark, sf_dir).select("doc_id", "lang"), 0.45,
+                             seed=fixed.BASELINE_SEED, id_cols="doc_id")
+
+
+@query("m2_train_valid_split")
+def m2_train_valid_split(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", F.col("lang").alias("label"))
+    return M.split(d, fixed.BASELINE_VALID_SHARE, seed=SPLIT_SEED, id_cols="doc_id")
+
+
+@query("m3_split_composite_id")
+def m3_split_composite_id(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("label"))
+    return M.split(c, fixed.PROMPT_VALID_SHARE, seed=7, id_cols=["conv_id", "turn"])
+
+
+@query("m4_stratified_fraction")
+def m4_stratified_fraction(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", F.col("lang").alias("label"))
+    return M.stratified_fraction(d, fixed.STRATIFIED_TEST_SHARE, label_col="label",
+                                 seed=fixed.BASELINE_SEED, id_cols="doc_id")
+
+
+@query("m5_per_class")
+def m5_per_class(spark, sf_dir):
+    e = embeddings(spark, sf_dir).select("vec_id", "label")
+    return M.per_class(e, 32, label_col="label", seed=fixed.BASELINE_SEED, id_cols="vec_id")
+
+
+@query("m6_first_n")
+def m6_first_n(spark, sf_dir):
+    e = embeddings(spark, sf_dir).select("vec_id", "label")
+    return M.first_n(e, 50, seed=fixed.BASELINE_SEED, id_cols="vec_id")
+
+
+@query("m7_nested_ladder")
+def m7_nested_ladder(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id")
+    return M.nested_samples(d, fixed.fraction_ladder(), seed=fixed.BASELINE_SEED, id_cols="doc_id")
+
+
+@query("m8_seeded_split")
+def m8_seeded_split(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", F.col("lang").alias("label"))
+    return M.split(d, fixed.GENERATED_TEST_SHARE, seed=fixed.GENERATED_SPLIT_SEED, id_cols="doc_id",
+                   part_col="split", names=("train", "test"))
+
+
+@query("m9_realised_rate")
+def m9_realised_rate(spark, sf_dir):
+    e = embeddings(spark, sf_dir).select("vec_id", "label")
+    few = M.per_class(e, 32, label_col="label", seed=fixed.BASELINE_SEED, id_cols="vec_id")
+    n_few = few.select(F.count(F.lit(1))).scalar()
+    return e.agg(r6(F.lit(32.0) / F.count(F.lit(1))).alias("percentage"),
+                 r6(n_few / F.count(F.lit(1))).alias("labelled_share"))
+
+
+# ---------------------------------------------------------------- terms: V1-V15, A6, K2
+
+def _t10_tokens(spark, sf_dir) -> DataFrame:
+    return TK.preprocess(documents(spark, sf_dir), mode=0, join=False)
+
+
+def _top_words(tok: DataFrame, k: int) -> list[str]:
+    """The k most frequent tokens (count desc, token asc): a bounded top-k report."""
+    rows = (tok.select(F.explode("tokens").alias("t")).groupBy("t").count()
+            .orderBy(F.col("count").desc(), F.col("t").asc()).limit(k).collect())
+    return [r["t"] for r in rows]
+
+
+def v1_vocabulary(tok: DataFrame) -> list[str]:
+    return fixed.CUSTOM_VOCAB + _top_words(tok, 10)
+
+
+@query("v1_bag_of_words")
+def v1_bag_of_words(spark, sf_dir):
+    tok = _t10_tokens(spark, sf_dir)
+    vocab = v1_vocabulary(tok)
+    counts = tok.select("doc_id", terms.bag_of_words(F.col("tokens"), vocab).alias("v"))
+    vocab_col = F.array(*[F.lit(v) for v in vocab])
+    return counts.select("doc_id", F.posexplode(F.arrays_zip(vocab_col.alias("term"), F.col("v").alias("n")))
+                         .alias("pos", "z")).select("doc_id", "pos", "z.term", F.col("z.n").cast("long").alias("n"))
+
+
+@query("v2_word_frequency")
+def v2_word_frequency(spark, sf_dir):
+    return terms.word_frequencies(documents(spark, sf_dir))
+
+
+@query("v3_frequent_stopwords")
+def v3_frequent_stopwords(spark, sf_dir):
+    return terms.frequent_stopwords(documents(spark, sf_dir))
+
+
+@query("v4_extend_stopwords")
+def v4_extend_stopwords(spark, sf_dir):
+    base = terms.frequent_stopwords(documents(spark, sf_dir))
+    extra = (table(spark, sf_dir, "benchmark")
+             .select(F.explode(T.whitespace_tokens("text")).alias("word")))
+    return terms.extend_stopwords(base, extra)
+
+
+@query("v6_class_top_words")
+def v6_class_top_words(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("label"))
+    stop = terms.frequent_stopwords(docs)
+    top = terms.class_top_words(docs, stop, k=100)
+    return top.select("label", "word", "n", "rank", r6("weight").alias("weight"))
+
+
+@query("v8_transform_unseen")
+def v8_transform_unseen(spark, sf_dir):
+    d = M.split(documents(spark, sf_dir).select("doc_id", "text"), fixed.GENERATED_TEST_SHARE,
+                seed=fixed.GENERATED_SPLIT_SEED, id_cols="doc_id", part_col="split",
+                names=("train", "test"))
+    model = terms.fit_idf(d.filter(F.col("split") == "train"))
+    w = terms.transform(d.filter(F.col("split") == "test"), model)
+    return w.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+def _v9(spark, sf_dir):
+    tok = terms.ngram_tokenizer(fixed.ENGLISH_STOPWORDS, (1, 2))
+    docs = documents(spark, sf_dir)
+    model, w = terms.tfidf(docs, tokenizer=tok, max_features=10)
+    return docs, model, w
+
+
+@query("v9_ngram_top_features")
+def v9_ngram_top_features(spark, sf_dir):
+    _, _, w = _v9(spark, sf_dir)
+    return w.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+def _v10(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    vocab = v1_vocabulary(_t10_tokens(spark, sf_dir))
+    model, w = terms.tfidf(docs, vocabulary=vocab)
+    return model, w
+
+
+@query("v10_fixed_vocab_idf")
+def v10_fixed_vocab_idf(spark, sf_dir):
+    model, _ = _v10(spark, sf_dir)
+    return model.table.select("idx", "term", "df", r6("idf").alias("idf"))
+
+
+@query("v10_fixed_vocab_weights")
+def v10_fixed_vocab_weights(spark, sf_dir):
+    _, w = _v10(spark, sf_dir)
+    return w.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+@query("v11_pruned_sublinear")
+def v11_pruned_sublinear(spark, sf_dir):
+    _, w = terms.tfidf(documents(spark, sf_dir), min_df=2, max_df=0.8, sublinear_tf=True)
+    return w.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+@query("v12_matrix_shape")
+def v12_matrix_shape(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = terms.fit_idf(docs)
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    return model.table.select(n_docs.alias("n_docs"), F.count(F.lit(1)).alias("n_terms"))
+
+
+@query("v13_sorted_vocabulary")
+def v13_sorted_vocabulary(spark, sf_dir):
+    return terms.sorted_vocabulary(terms.fit_idf(documents(spark, sf_dir)))
+
+
+@query("v14_dense_matrix")
+def v14_dense_matrix(spark, sf_dir):
+    docs, model, w = _v9(spark, sf_dir)
+    wide = terms.dense_matrix(docs.select("doc_id"), w.withColumn("weight", r6("weight")), model)
+    return wide
+
+
+@query("v15_melted_matrix")
+def v15_melted_matrix(spark, sf_dir):
+    docs, model, w = _v9(spark, sf_dir)
+    m = terms.melted_matrix(docs.select("doc_id"), w, model)
+    return m.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+@query("a6_term_totals")
+def a6_term_totals(spark, sf_dir):
+    _, w = terms.tfidf(documents(spark, sf_dir))
+    return terms.term_totals(w).select("term", r6("total_weight").alias("total_weight"))
+
+
+@query("k2_top_terms_overall")
+def k2_top_terms_overall(spark, sf_dir):
+    _, w = terms.tfidf(documents(spark, sf_dir))
+    return terms.top_terms_overall(w, 20).select("term", r6("total_weight").alias("total_weight"))

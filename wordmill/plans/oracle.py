@@ -164,3 +164,246 @@ SELECT g.doc_id, g.pos, coalesce(i.id, 0)::BIGINT AS input_id,
        CASE WHEN i.id IS NULL THEN 0 ELSE 1 END AS attention_mask
 FROM grid g LEFT JOIN ids i ON g.doc_id = i.doc_id AND g.pos = i.pos
 """
+
+
+# ---------------------------------------------------------------- sampling: M1-M9
+
+SEED = fixed.BASELINE_SEED
+SPLIT_SEED = f"{SEED}/split"
+
+
+def h(seed, id_expr: str) -> str:
+    return f"md5('{seed}:' || {id_expr})"
+
+
+ORACLE["m1_sample_fraction"] = f"""
+WITH r AS (SELECT doc_id, lang, row_number() OVER (ORDER BY {h(SEED, 'doc_id::VARCHAR')}, doc_id) AS rn
+           FROM documents)
+SELECT doc_id, lang FROM r WHERE rn <= (SELECT round_even(0.45::DOUBLE * count(*), 0) FROM documents)
+"""
+
+
+def split_sql(src: str, cols: str, id_expr: str, share: float, seed, part_col: str = "part",
+              names=("train", "valid")) -> str:
+    return f"""
+WITH r AS (SELECT {cols}, row_number() OVER (ORDER BY {h(seed, id_expr)}) AS rn FROM {src})
+SELECT {cols}, CASE WHEN rn <= (SELECT ceil({share}::DOUBLE * count(*)) FROM {src})
+                    THEN '{names[1]}' ELSE '{names[0]}' END AS {part_col}
+FROM r
+"""
+
+
+ORACLE["m2_train_valid_split"] = split_sql(
+    "(SELECT doc_id, lang AS label FROM documents)", "doc_id, label", "doc_id::VARCHAR",
+    fixed.BASELINE_VALID_SHARE, SPLIT_SEED)
+
+ORACLE["m3_split_composite_id"] = split_sql(
+    "(SELECT conv_id, turn, role AS label FROM conversations)", "conv_id, turn, label",
+    "conv_id::VARCHAR || ':' || turn::VARCHAR", fixed.PROMPT_VALID_SHARE, 7)
+
+
+def stratified_sql(src: str, cols: str, label: str, id_expr: str, p: float, seed) -> str:
+    return f"""
+WITH c AS (SELECT {label} AS lab, count(*) AS k FROM {src} GROUP BY {label}),
+t AS (SELECT lab, k, sum(k) OVER () AS n FROM c),
+m AS (SELECT lab, k, n, n - ceil((1.0::DOUBLE - {p}::DOUBLE) * n) AS m FROM t),
+e AS (SELECT lab, m, k * m / n AS ex, floor(k * m / n) AS f FROM m),
+l AS (SELECT lab, f, ex - f AS r, m - sum(f) OVER () AS lft FROM e),
+q AS (SELECT lab, f + CASE WHEN row_number() OVER (ORDER BY r DESC, lab ASC) <= lft THEN 1 ELSE 0 END AS q FROM l),
+r AS (SELECT {cols}, row_number() OVER (PARTITION BY {label} ORDER BY {h(seed, id_expr)}) AS rn FROM {src})
+SELECT {cols} FROM r JOIN q ON r.{label} = q.lab WHERE rn <= q.q
+"""
+
+
+ORACLE["m4_stratified_fraction"] = stratified_sql(
+    "(SELECT doc_id, lang AS label FROM documents)", "doc_id, label", "label", "doc_id::VARCHAR",
+    fixed.STRATIFIED_TEST_SHARE, SEED)
+
+ORACLE["m5_per_class"] = f"""
+SELECT vec_id, label FROM (
+  SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY {h(SEED, 'vec_id::VARCHAR')}) AS rn
+  FROM embeddings) WHERE rn <= 32
+"""
+
+ORACLE["m6_first_n"] = f"""
+SELECT vec_id, label FROM embeddings ORDER BY {h(SEED, 'vec_id::VARCHAR')} LIMIT 50
+"""
+
+LADDER = ", ".join(f"{f}::DOUBLE" for f in fixed.fraction_ladder())
+ORACLE["m7_nested_ladder"] = f"""
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {h(SEED, 'doc_id::VARCHAR')}) AS rn FROM documents),
+f AS (SELECT unnest([{LADDER}]) AS percentage)
+SELECT r.doc_id, f.percentage FROM r, f
+WHERE rn <= (SELECT round_even(f.percentage * count(*), 0) FROM documents)
+"""
+
+ORACLE["m8_seeded_split"] = split_sql(
+    "(SELECT doc_id, lang AS label FROM documents)", "doc_id, label", "doc_id::VARCHAR",
+    fixed.GENERATED_TEST_SHARE, fixed.GENERATED_SPLIT_SEED, "split", ("train", "test"))
+
+ORACLE["m9_realised_rate"] = f"""
+WITH few AS (SELECT count(*) AS k FROM ({ORACLE["m5_per_class"]}))
+SELECT round(32.0::DOUBLE / count(*), 6) AS percentage, round(any_value(few.k) / count(*), 6) AS labelled_share
+FROM embeddings, few
+"""
+
+
+# ---------------------------------------------------------------- terms: V1-V15, A6, K2
+
+T10_LIST = (f"list_filter(string_split_regex(lower(text), '{NONWORD}'), lambda x: regexp_matches(x, '[a-zA-Z]')"
+            f" AND regexp_matches(x, '^\\p{{L}}+$') AND NOT list_contains({STOP}, x))")
+CUSTOM = sql_list(fixed.CUSTOM_VOCAB)
+VOCAB16 = f"""
+t10 AS (SELECT doc_id, {T10_LIST} AS l FROM documents),
+top10 AS (SELECT t, count(*) AS c FROM (SELECT unnest(l) AS t FROM t10) GROUP BY t ORDER BY c DESC, t ASC LIMIT 10),
+vocab AS (SELECT unnest({CUSTOM}) AS term, unnest(range(0, {len(fixed.CUSTOM_VOCAB)})) AS idx
+          UNION ALL
+          SELECT t AS term, {len(fixed.CUSTOM_VOCAB) - 1} + row_number() OVER (ORDER BY c DESC, t ASC) AS idx FROM top10)
+"""
+
+ORACLE["v1_bag_of_words"] = f"""
+WITH {VOCAB16}
+SELECT doc_id, idx AS pos, term, len(list_filter(l, lambda x: x = term))::BIGINT AS n FROM t10, vocab
+"""
+
+WS_WORDS = f"""
+w AS (SELECT unnest(list_filter(string_split_regex(lower(text), '{WS}'), lambda x: x <> '')) AS word FROM documents),
+wc AS (SELECT word, count(*) AS n FROM w GROUP BY word),
+wt AS (SELECT sum(n)::BIGINT AS total FROM wc)
+"""
+
+ORACLE["v2_word_frequency"] = f"""
+WITH {WS_WORDS}
+SELECT word, n, total FROM wc, wt
+"""
+
+V3_SQL = f"""
+SELECT unnest({sql_list(fixed.ENGLISH_STOPWORDS + fixed.CONTRACTIONS)}) AS word
+UNION
+SELECT word FROM wc, wt WHERE n / total > {fixed.FREQUENCY_THRESHOLD}::DOUBLE
+"""
+
+ORACLE["v3_frequent_stopwords"] = f"WITH {WS_WORDS} {V3_SQL}"
+
+ORACLE["v4_extend_stopwords"] = f"""
+WITH {WS_WORDS}
+{V3_SQL}
+UNION
+SELECT unnest(list_filter(string_split_regex(lower(text), '{WS}'), lambda x: x <> '')) AS word FROM benchmark
+"""
+
+APOS = r"[\p{L}\p{N}_][\p{L}\p{N}_']*"
+ORACLE["v6_class_top_words"] = f"""
+WITH {WS_WORDS},
+stop AS ({V3_SQL}),
+words AS (SELECT lang AS label, unnest(list_filter(
+             list_transform(regexp_extract_all(lower(text), '{APOS.replace("'", "''")}'), lambda t: regexp_replace(t, '''s$', '')),
+             lambda t: NOT regexp_matches(t, '^\\p{{Nd}}+$'))) AS word FROM documents),
+counts AS (SELECT label, word, count(*) AS n FROM words WHERE word NOT IN (SELECT word FROM stop) GROUP BY label, word),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, word ASC) AS rank FROM counts)
+SELECT label, word, n, rank, round(n / max(n) OVER (PARTITION BY label), 6) AS weight FROM ranked WHERE rank <= 100
+"""
+
+
+def weights_sql(tf_src: str, idf_src: str, sublinear: bool = False) -> str:
+    tfv = "(1 + ln(tf))" if sublinear else "tf"
+    return f"""
+wt AS (SELECT tf.doc_id, tf.term, {tfv} * idf.idf AS w FROM ({tf_src}) tf JOIN ({idf_src}) idf USING (term)),
+weights AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM wt)
+"""
+
+
+M8_SPLIT = split_sql("(SELECT doc_id, text FROM documents)", "doc_id, text", "doc_id::VARCHAR",
+                     fixed.GENERATED_TEST_SHARE, fixed.GENERATED_SPLIT_SEED, "split", ("train", "test"))
+ORACLE["v8_transform_unseen"] = f"""
+WITH s AS ({M8_SPLIT}),
+toks AS (SELECT doc_id, split, unnest(regexp_extract_all(lower(text), '{WORD2}')) AS term FROM s),
+tf_all AS (SELECT doc_id, split, term, count(*) AS tf FROM toks GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM s WHERE split = 'train'),
+idf AS (SELECT term, ln((n + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf FROM tf_all, n
+        WHERE split = 'train' GROUP BY term, n),
+{weights_sql("SELECT doc_id, term, tf FROM tf_all WHERE split = 'test'", "SELECT * FROM idf")}
+SELECT doc_id, term, round(weight, 6) AS weight FROM weights
+"""
+
+V9_CTE = f"""
+tl AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '{WORD2}'),
+                                  lambda x: NOT list_contains({STOP}, x)) AS l FROM documents),
+grams AS (SELECT doc_id, unnest(list_concat(l, list_transform(generate_series(1, len(l) - 1),
+                                                             lambda i: l[i] || ' ' || l[i + 1]))) AS term FROM tl),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term),
+cf AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
+top AS (SELECT term, df FROM cf ORDER BY cf DESC, term ASC LIMIT 10),
+ndoc AS (SELECT count(*) AS n FROM documents),
+idf AS (SELECT term, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf FROM top, ndoc),
+{weights_sql("SELECT * FROM tf", "SELECT * FROM idf")}
+"""
+
+ORACLE["v9_ngram_top_features"] = f"""
+WITH {V9_CTE}
+SELECT doc_id, term, round(weight, 6) AS weight FROM weights
+"""
+
+V15_SQL = f"""
+WITH {V9_CTE},
+grid AS (SELECT d.doc_id, t.term FROM documents d, top t)
+SELECT g.doc_id, g.term, round(coalesce(w.weight, 0.0), 6) AS weight
+FROM grid g LEFT JOIN weights w ON g.doc_id = w.doc_id AND g.term = w.term
+"""
+ORACLE["v15_melted_matrix"] = V15_SQL
+
+ORACLE["v14_dense_matrix"] = f"""
+PIVOT ({V15_SQL}) ON term USING first(weight) GROUP BY doc_id
+"""
+
+V10_CTE = f"""
+{VOCAB16},
+toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD2}')) AS term FROM documents),
+tf0 AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
+ndoc AS (SELECT count(*) AS n FROM documents),
+dfs AS (SELECT v.idx, v.term, count(tf0.doc_id) AS df FROM vocab v LEFT JOIN tf0 USING (term) GROUP BY v.idx, v.term),
+idf AS (SELECT idx, term, df, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf FROM dfs, ndoc),
+{weights_sql("SELECT * FROM tf0", "SELECT term, idf FROM idf")}
+"""
+
+ORACLE["v10_fixed_vocab_idf"] = f"""
+WITH {V10_CTE}
+SELECT idx::INTEGER AS idx, term, df::BIGINT AS df, round(idf, 6) AS idf FROM idf
+"""
+
+ORACLE["v10_fixed_vocab_weights"] = f"""
+WITH {V10_CTE}
+SELECT doc_id, term, round(weight, 6) AS weight FROM weights
+"""
+
+ORACLE["v11_pruned_sublinear"] = f"""
+WITH toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD2}')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
+ndoc AS (SELECT count(*) AS n FROM documents),
+dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+idf AS (SELECT term, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf FROM dfs, ndoc
+        WHERE df >= 2 AND df <= 0.8::DOUBLE * n),
+{weights_sql("SELECT * FROM tf", "SELECT * FROM idf", sublinear=True)}
+SELECT doc_id, term, round(weight, 6) AS weight FROM weights
+"""
+
+ORACLE["v12_matrix_shape"] = f"""
+WITH {TFIDF_CTE}
+SELECT (SELECT count(*) FROM documents) AS n_docs, count(*) AS n_terms FROM idf
+"""
+
+ORACLE["v13_sorted_vocabulary"] = f"""
+WITH {TFIDF_CTE}
+SELECT (row_number() OVER (ORDER BY term) - 1)::BIGINT AS idx, term FROM idf
+"""
+
+ORACLE["a6_term_totals"] = f"""
+WITH {TFIDF_CTE}
+SELECT term, round(sum(weight), 6) AS total_weight FROM weights GROUP BY term
+"""
+
+ORACLE["k2_top_terms_overall"] = f"""
+WITH {TFIDF_CTE}
+SELECT term, round(sum(weight), 6) AS total_weight FROM weights GROUP BY term
+ORDER BY sum(weight) DESC, term ASC LIMIT 20
+"""
