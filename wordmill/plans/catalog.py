@@ -386,3 +386,168 @@ def a6_term_totals(spark, sf_dir):
 def k2_top_terms_overall(spark, sf_dir):
     _, w = terms.tfidf(documents(spark, sf_dir))
     return terms.top_terms_overall(w, 20).select("term", r6("total_weight").alias("total_weight"))
+
+
+# ---------------------------------------------------------------- metrics: A1-A5, A7, A8, R1-R5, K3, F1-F7
+
+from wordmill.operators import metrics as MT  # noqa: E402
+
+CURVE_METHODS = ["baseline", "bert"]
+POINT_METHODS = ["setfit", "zeroshot"]
+
+
+def _standin(spark, sf_dir, seed="standin") -> DataFrame:
+    e = embeddings(spark, sf_dir).select("vec_id", "label")
+    return e.withColumn("prediction", MT.standin_prediction(seed, "vec_id"))
+
+
+def _curve_predictions(spark, sf_dir) -> DataFrame:
+    """Stand-in learning-curve runs: every ladder share of the embeddings, two methods,
+    plus two single-point methods scored at the realised few-shot share."""
+    e = embeddings(spark, sf_dir).select("vec_id", "label")
+    rows = M.nested_samples(e, fixed.fraction_ladder(), seed=fixed.BASELINE_SEED, id_cols="vec_id")
+    rows = rows.withColumn("method", F.explode(F.array(*[F.lit(m) for m in CURVE_METHODS])))
+    pred = F.when(F.col("method") == CURVE_METHODS[0], MT.standin_prediction(CURVE_METHODS[0], "vec_id"))
+    for m in CURVE_METHODS[1:]:
+        pred = pred.when(F.col("method") == m, MT.standin_prediction(m, "vec_id"))
+    curve = rows.withColumn("prediction", pred)
+    share = F.lit(32.0) / e.select(F.count(F.lit(1))).scalar()
+    pts = e.withColumn("method", F.explode(F.array(*[F.lit(m) for m in POINT_METHODS])))
+    ppred = F.when(F.col("method") == POINT_METHODS[0], MT.standin_prediction(POINT_METHODS[0], "vec_id"))
+    for m in POINT_METHODS[1:]:
+        ppred = ppred.when(F.col("method") == m, MT.standin_prediction(m, "vec_id"))
+    points = pts.withColumn("percentage", share).withColumn("prediction", ppred)
+    cols = ["vec_id", "label", "method", "percentage", "prediction"]
+    return curve.select(*cols).unionByName(points.select(*cols))
+
+
+def _results_wide(spark, sf_dir) -> DataFrame:
+    return MT.weighted(_curve_predictions(spark, sf_dir), by=["method", "percentage"])
+
+
+def _results_long(spark, sf_dir) -> DataFrame:
+    return MT.to_long(_results_wide(spark, sf_dir), ["method", "percentage"])
+
+
+def _r6_long(df: DataFrame) -> DataFrame:
+    return df.select("method", r6("percentage").alias("percentage"), "metric", r6("value").alias("value"))
+
+
+@query("a1_label_distribution")
+def a1_label_distribution(spark, sf_dir):
+    return MT.label_distribution(documents(spark, sf_dir), "lang")
+
+
+@query("a2_distinct_labels")
+def a2_distinct_labels(spark, sf_dir):
+    s = m8_seeded_split(spark, sf_dir)
+    return MT.distinct_labels(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"))
+
+
+@query("a3_confusion")
+def a3_confusion(spark, sf_dir):
+    return MT.confusion(_standin(spark, sf_dir))
+
+
+def _metric_cols(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*keys, *[r6(m).alias(m) for m in MT.METRICS], "n_invalid")
+
+
+@query("a4_weighted_metrics")
+def a4_weighted_metrics(spark, sf_dir):
+    return _metric_cols(MT.weighted(_standin(spark, sf_dir)), [])
+
+
+@query("a5_metrics_by_method")
+def a5_metrics_by_method(spark, sf_dir):
+    w = _results_wide(spark, sf_dir)
+    return _metric_cols(w.withColumn("percentage", r6("percentage")), ["method", "percentage"])
+
+
+@query("r1_to_long")
+def r1_to_long(spark, sf_dir):
+    return _r6_long(_results_long(spark, sf_dir))
+
+
+@query("r2_percent_scale")
+def r2_percent_scale(spark, sf_dir):
+    return _r6_long(MT.percent_scale(_results_long(spark, sf_dir)))
+
+
+@query("r3_stack_methods")
+def r3_stack_methods(spark, sf_dir):
+    long = _results_long(spark, sf_dir)
+    parts = {m: long.filter(F.col("method") == m).drop("method") for m in CURVE_METHODS + POINT_METHODS}
+    return _r6_long(MT.stack(parts))
+
+
+@query("r4_extend_single_points")
+def r4_extend_single_points(spark, sf_dir):
+    scaled = MT.percent_scale(_results_long(spark, sf_dir))
+    return _r6_long(MT.extend_single_points(scaled))
+
+
+@query("r5_union_stopwords")
+def r5_union_stopwords(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    conv = table(spark, sf_dir, "conversations")
+    return terms.extend_stopwords(terms.frequent_stopwords(docs), terms.frequent_stopwords(conv))
+
+
+@query("a7_max_percentage")
+def a7_max_percentage(spark, sf_dir):
+    m = MT.max_percentage(_results_long(spark, sf_dir))
+    return m.select("method", r6("max_percentage").alias("max_percentage"))
+
+
+@query("a8_metric_names")
+def a8_metric_names(spark, sf_dir):
+    return MT.metric_names(_results_long(spark, sf_dir))
+
+
+@query("f6_filter_metric")
+def f6_filter_metric(spark, sf_dir):
+    return _r6_long(MT.filter_metric(_results_long(spark, sf_dir), "f1"))
+
+
+@query("k3_sort_results")
+def k3_sort_results(spark, sf_dir):
+    return _r6_long(MT.sort_results(MT.percent_scale(_results_long(spark, sf_dir))))
+
+
+@query("f7_invalid_predictions")
+def f7_invalid_predictions(spark, sf_dir):
+    return MT.invalid_counts(_standin(spark, sf_dir))
+
+
+@query("f1_rows_of_class")
+def f1_rows_of_class(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", F.col("lang").alias("label"))
+    return MT.rows_of_class(d, "de")
+
+
+@query("f2_declared_classes")
+def f2_declared_classes(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", F.col("lang").alias("label"))
+    return MT.declared_classes(d, ["en", "de", "es"])
+
+
+@query("f3_project_text_label")
+def f3_project_text_label(spark, sf_dir):
+    return MT.project_text_label(documents(spark, sf_dir), label_col="lang", id_col="doc_id")
+
+
+def _label_codes(spark, sf_dir) -> DataFrame:
+    lab = table(spark, sf_dir, "labels")
+    return lab.select("doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("code"))
+
+
+@query("f4_code_to_name")
+def f4_code_to_name(spark, sf_dir):
+    return _label_codes(spark, sf_dir).withColumn("name", MT.code_to_name("code"))
+
+
+@query("f5_name_to_code")
+def f5_name_to_code(spark, sf_dir):
+    named = _label_codes(spark, sf_dir).select("doc_id", F.lower(MT.code_to_name("code")).alias("name"))
+    return named.withColumn("code", MT.name_to_code("name"))

@@ -407,3 +407,139 @@ WITH {TFIDF_CTE}
 SELECT term, round(sum(weight), 6) AS total_weight FROM weights GROUP BY term
 ORDER BY sum(weight) DESC, term ASC LIMIT 20
 """
+
+
+# ---------------------------------------------------------------- metrics: A*, R*, K3, F*
+
+def standin(seed, id_expr: str = "vec_id", label: str = "label") -> str:
+    hx = f"('0x' || substr(md5('{seed}:' || {id_expr}::VARCHAR), 1, 8))::BIGINT"
+    return (f"CASE WHEN {hx} % 13 = 0 THEN NULL WHEN {hx} % 10 < 6 THEN {label}::INTEGER "
+            f"ELSE ({hx} % 10)::INTEGER END")
+
+
+def weighted_sql(pred_src: str, by: list[str]) -> str:
+    """(by..., f1, precision, recall, accuracy, n_invalid) from (by..., label, prediction)."""
+    b = ", ".join(by)
+    bc = (b + ", ") if by else ""
+    on = " AND ".join([f"s.{k} IS NOT DISTINCT FROM x.{k}" for k in by] + ["s.label = x.label"])
+    inv_on = " AND ".join(f"a.{k} IS NOT DISTINCT FROM i.{k}" for k in by) or "TRUE"
+    return f"""
+WITH p AS ({pred_src}),
+conf AS (SELECT {bc}label, prediction, count(*) AS c FROM p GROUP BY ALL),
+sup AS (SELECT {bc}label, sum(c) AS sup FROM conf GROUP BY ALL),
+tp AS (SELECT {bc}label, sum(c) AS tp FROM conf WHERE label = prediction GROUP BY ALL),
+prd AS (SELECT {bc}prediction AS label, sum(c) AS prd FROM conf WHERE prediction IS NOT NULL GROUP BY ALL),
+pc AS (SELECT s.*, coalesce(x.tp, 0) AS tp, coalesce(y.prd, 0) AS prd FROM sup s
+       LEFT JOIN tp x ON {on}
+       LEFT JOIN prd y ON {on.replace('x.', 'y.')}),
+agg AS (SELECT {bc}sum(sup * 2.0 * tp / (sup + prd)) / sum(sup) AS f1,
+               sum(sup * CASE WHEN prd = 0 THEN 0.0 ELSE tp / prd END) / sum(sup) AS precision,
+               sum(sup * (tp / sup)) / sum(sup) AS recall,
+               sum(tp) / sum(sup) AS accuracy
+        FROM pc GROUP BY ALL),
+inv AS (SELECT {bc}sum(c) AS n_invalid FROM conf WHERE prediction IS NULL GROUP BY ALL)
+SELECT {', '.join('a.' + k for k in by) + ', ' if by else ''}
+       round(a.f1, 6) AS f1, round(a.precision, 6) AS precision, round(a.recall, 6) AS recall,
+       round(a.accuracy, 6) AS accuracy, coalesce(i.n_invalid, 0)::BIGINT AS n_invalid
+FROM agg a LEFT JOIN inv i ON {inv_on}
+"""
+
+
+STANDIN = f"SELECT vec_id, label, {standin('standin')} AS prediction FROM embeddings"
+
+ORACLE["a1_label_distribution"] = "SELECT lang, count(*) AS n FROM documents GROUP BY lang"
+
+ORACLE["a2_distinct_labels"] = f"SELECT DISTINCT label FROM ({ORACLE['m8_seeded_split']})"
+
+ORACLE["a3_confusion"] = f"SELECT label, prediction, count(*) AS n FROM ({STANDIN}) GROUP BY ALL"
+
+ORACLE["a4_weighted_metrics"] = weighted_sql(STANDIN, [])
+
+CURVE_METHODS = ["baseline", "bert"]
+POINT_METHODS = ["setfit", "zeroshot"]
+
+
+def _case(methods) -> str:
+    return "CASE " + " ".join(f"WHEN method = '{m}' THEN {standin(m)}" for m in methods) + " END"
+
+
+CURVE_PREDS = f"""
+SELECT vec_id, label, method, percentage, {_case(CURVE_METHODS)} AS prediction FROM (
+  SELECT r.vec_id, r.label, f.percentage, unnest({sql_list(CURVE_METHODS)}) AS method
+  FROM (SELECT vec_id, label, row_number() OVER (ORDER BY {h(SEED, 'vec_id::VARCHAR')}) AS rn FROM embeddings) r,
+       (SELECT unnest([{LADDER}]) AS percentage) f
+  WHERE rn <= (SELECT round_even(f.percentage * count(*), 0) FROM embeddings))
+UNION ALL
+SELECT vec_id, label, method, percentage, {_case(POINT_METHODS)} AS prediction FROM (
+  SELECT vec_id, label, 32.0::DOUBLE / (SELECT count(*) FROM embeddings) AS percentage,
+         unnest({sql_list(POINT_METHODS)}) AS method FROM embeddings)
+"""
+
+RESULTS_WIDE = weighted_sql(CURVE_PREDS, ["method", "percentage"])
+ORACLE["a5_metrics_by_method"] = f"""
+SELECT method, round(percentage, 6) AS percentage, f1, precision, recall, accuracy, n_invalid
+FROM ({RESULTS_WIDE})
+"""
+
+RESULTS_LONG = f"""
+SELECT method, percentage, metric, value FROM ({RESULTS_WIDE})
+UNPIVOT (value FOR metric IN (f1, precision, recall, accuracy))
+"""
+
+
+def r6_long(src: str) -> str:
+    return f"SELECT method, round(percentage, 6) AS percentage, metric, round(value, 6) AS value FROM ({src})"
+
+
+ORACLE["r1_to_long"] = r6_long(RESULTS_LONG)
+ORACLE["r3_stack_methods"] = r6_long(RESULTS_LONG)
+
+SCALED = f"""
+SELECT method, CASE WHEN max(percentage) OVER (PARTITION BY method) <= 1 THEN percentage * 100.0
+                    ELSE percentage END AS percentage, metric, value
+FROM ({RESULTS_LONG})
+"""
+ORACLE["r2_percent_scale"] = r6_long(SCALED)
+ORACLE["k3_sort_results"] = r6_long(SCALED)
+
+GRID = ", ".join(f"{float(g)}::DOUBLE" for g in range(0, 101, 10))
+ORACLE["r4_extend_single_points"] = r6_long(f"""
+WITH s AS (SELECT *, count(*) OVER (PARTITION BY method, metric) AS pts FROM ({SCALED}))
+SELECT method, percentage, metric, value FROM s WHERE pts > 1
+UNION ALL
+SELECT method, unnest([{GRID}]) AS percentage, metric, value FROM s WHERE pts = 1
+""")
+
+CONV_WS = WS_WORDS.replace("FROM documents", "FROM conversations")
+ORACLE["r5_union_stopwords"] = f"""
+WITH {WS_WORDS} {V3_SQL}
+UNION
+SELECT * FROM (WITH {CONV_WS} {V3_SQL})
+"""
+
+ORACLE["a7_max_percentage"] = f"""
+SELECT method, round(max(percentage), 6) AS max_percentage FROM ({RESULTS_LONG}) GROUP BY method
+"""
+
+ORACLE["a8_metric_names"] = f"SELECT DISTINCT metric FROM ({RESULTS_LONG})"
+
+ORACLE["f6_filter_metric"] = r6_long(f"SELECT * FROM ({RESULTS_LONG}) WHERE metric = 'f1'")
+
+ORACLE["f7_invalid_predictions"] = f"""
+SELECT label, sum(CASE WHEN prediction IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_invalid, count(*) AS n
+FROM ({STANDIN}) GROUP BY label
+"""
+
+ORACLE["f1_rows_of_class"] = "SELECT doc_id, lang AS label FROM documents WHERE lang = 'de'"
+ORACLE["f2_declared_classes"] = "SELECT doc_id, lang AS label FROM documents WHERE lang IN ('en', 'de', 'es')"
+ORACLE["f3_project_text_label"] = "SELECT doc_id, text, lang AS label FROM documents"
+
+NAMES_MAP = "MAP {" + ", ".join(f"{k}: '{v}'" for k, v in fixed.LABEL_NAMES.items()) + "}"
+CODES_MAP = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in fixed.EMOTION_CODES.items()) + "}"
+ORACLE["f4_code_to_name"] = f"""
+SELECT doc_id, quality * 2 + toxic AS code, {NAMES_MAP}[quality * 2 + toxic] AS name FROM labels
+"""
+ORACLE["f5_name_to_code"] = f"""
+SELECT doc_id, name, {CODES_MAP}[name] AS code
+FROM (SELECT doc_id, lower({NAMES_MAP}[quality * 2 + toxic]) AS name FROM labels)
+"""
