@@ -551,3 +551,63 @@ def f4_code_to_name(spark, sf_dir):
 def f5_name_to_code(spark, sf_dir):
     named = _label_codes(spark, sf_dir).select("doc_id", F.lower(MT.code_to_name("code")).alias("name"))
     return named.withColumn("code", MT.name_to_code("name"))
+
+
+# ---------------------------------------------------------------- sources: S1, S2, S4-S8
+
+from wordmill.session import scratch_path  # noqa: E402
+from wordmill.sources import datasets as DS  # noqa: E402
+from wordmill.sources import store as ST  # noqa: E402
+
+
+@query("s1_read_split")
+def s1_read_split(spark, sf_dir):
+    data = DS.labelled(m8_split_docs(spark, sf_dir), id_cols="doc_id", label_col="lang", split_col="split")
+    path = scratch_path(spark, "labelled")
+    ST.write_table(data, path, fmt="parquet", partition_by=["split"])
+    return DS.read_split(path, "test", spark=spark).select("doc_id", "label", "split")
+
+
+def m8_split_docs(spark, sf_dir) -> DataFrame:
+    return M.split(documents(spark, sf_dir).select("doc_id", "text", "lang"), fixed.GENERATED_TEST_SHARE,
+                   seed=fixed.GENERATED_SPLIT_SEED, id_cols="doc_id", part_col="split",
+                   names=("train", "test"))
+
+
+@query("s2_injected_dataset")
+def s2_injected_dataset(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    data = DS.labelled(conv, id_cols=["conv_id", "turn"], label_col="role")
+    data = M.split(data, fixed.PROMPT_VALID_SHARE, seed=7, id_cols=["conv_id", "turn"],
+                   part_col="split", names=("train", "test"))
+    return DS.read_split(data, "train").select("conv_id", "turn", "label", "split")
+
+
+@query("s4_s5_csv_roundtrip")
+def s4_s5_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "results-csv")
+    ST.write_table(_r6_long(_results_long(spark, sf_dir)), path, fmt="csv")
+    return ST.read_table(spark, path, ST.RESULT_SCHEMA)
+
+
+@query("s6_materialize")
+def s6_materialize(spark, sf_dir):
+    path = scratch_path(spark, "label-dist")
+    first = ST.materialize(spark, lambda: a1_label_distribution(spark, sf_dir), path)
+    # a second call reuses the stored table instead of recomputing it
+    return ST.materialize(spark, lambda: first.limit(0), path)
+
+
+@query("s7_keyed_output")
+def s7_keyed_output(spark, sf_dir):
+    root = scratch_path(spark, "keyed")
+    path = ST.keyed_path(root, "zeroshot", num_samples=32, temperature=0.2)
+    ST.write_table(_r6_long(_results_long(spark, sf_dir)), path, fmt="parquet", partition_by=["method"])
+    back = spark.read.parquet(path).filter(F.col("method") == "bert")
+    return back.select("method", "percentage", "metric", "value")
+
+
+@query("s8_preview")
+def s8_preview(spark, sf_dir):
+    train = m8_split_docs(spark, sf_dir).filter(F.col("split") == "train")
+    return DS.preview(train.select("doc_id", F.col("lang").alias("label")), 5)

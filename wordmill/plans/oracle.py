@@ -543,3 +543,22 @@ ORACLE["f5_name_to_code"] = f"""
 SELECT doc_id, name, {CODES_MAP}[name] AS code
 FROM (SELECT doc_id, lower({NAMES_MAP}[quality * 2 + toxic]) AS name FROM labels)
 """
+
+
+# ---------------------------------------------------------------- sources: S1, S2, S4-S8
+
+ORACLE["s1_read_split"] = f"SELECT doc_id, label, split FROM ({ORACLE['m8_seeded_split']}) WHERE split = 'test'"
+
+ORACLE["s2_injected_dataset"] = f"""
+SELECT conv_id, turn, label, split FROM ({split_sql(
+    "(SELECT conv_id, turn, role AS label FROM conversations)", "conv_id, turn, label",
+    "conv_id::VARCHAR || ':' || turn::VARCHAR", fixed.PROMPT_VALID_SHARE, 7, "split", ("train", "test"))})
+WHERE split = 'train'
+"""
+
+ORACLE["s4_s5_csv_roundtrip"] = ORACLE["r1_to_long"]
+ORACLE["s6_materialize"] = ORACLE["a1_label_distribution"]
+ORACLE["s7_keyed_output"] = f"SELECT * FROM ({ORACLE['r1_to_long']}) WHERE method = 'bert'"
+ORACLE["s8_preview"] = f"""
+SELECT doc_id, label FROM ({ORACLE['m8_seeded_split']}) WHERE split = 'train' ORDER BY doc_id LIMIT 5
+"""
