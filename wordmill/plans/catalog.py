@@ -611,3 +611,149 @@ def s7_keyed_output(spark, sf_dir):
 def s8_preview(spark, sf_dir):
     train = m8_split_docs(spark, sf_dir).filter(F.col("split") == "train")
     return DS.preview(train.select("doc_id", F.col("lang").alias("label")), 5)
+
+
+# ---------------------------------------------------------------- learning and jobs: L1-L12, T13
+
+import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402
+
+from wordmill.operators import jobs as JB  # noqa: E402
+from wordmill.operators import learn as LN  # noqa: E402
+
+# Language codes used as an int label for prompt classification (alphabetical).
+LANG_CODES = {"de": 0, "en": 1, "es": 2, "fr": 3}
+
+
+def _labelled_docs(spark, sf_dir, label: str = "lang") -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    if label == "lang":
+        return docs.select("doc_id", "text", F.col("lang").alias("label"))
+    lab = table(spark, sf_dir, "labels")
+    return docs.join(lab, "doc_id").select("doc_id", "text", F.col(label).cast("string").alias("label"))
+
+
+@query("l1_fit_predict")
+def l1_fit_predict(spark, sf_dir):
+    d = M.split(_labelled_docs(spark, sf_dir), fixed.BASELINE_VALID_SHARE, seed=SPLIT_SEED, id_cols="doc_id")
+    train = d.filter(F.col("part") == "train")
+    model = LN.tfidf_lr(train.count()).fit(train)
+    return LN.predict(model, d.filter(F.col("part") == "valid")).select("doc_id", "label", "predicted")
+
+
+@query("l2_learning_curve")
+def l2_learning_curve(spark, sf_dir):
+    return LN.learning_curve(_labelled_docs(spark, sf_dir, "quality"))
+
+
+@query("l3_curve_conversations")
+def l3_curve_conversations(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.col("role").alias("label"))
+    return LN.learning_curve(conv, id_cols=["conv_id", "turn"])
+
+
+@query("l4_cross_dataset")
+def l4_cross_dataset(spark, sf_dir):
+    """Fit on the documents of one half of the sources, evaluate on the other half."""
+    d = documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("label"), "source")
+    side = F.substring(F.md5(F.col("source")), 1, 1) < "8"
+    a, b = d.filter(side), d.filter(~side)
+    model = LN.tfidf_lr(a.count()).fit(a)
+    return LN.cross_evaluate(model, b)
+
+
+@query("l5_few_shot_head")
+def l5_few_shot_head(spark, sf_dir):
+    wide, _ = LN.few_shot_head(embeddings(spark, sf_dir), 32)
+    return wide
+
+
+@query("l8_stratified_curve")
+def l8_stratified_curve(spark, sf_dir):
+    d = M.split(_labelled_docs(spark, sf_dir), fixed.GENERATED_TEST_SHARE, seed=fixed.GENERATED_SPLIT_SEED,
+                id_cols="doc_id", part_col="split", names=("train", "test"))
+    test = M.stratified_fraction(d.filter(F.col("split") == "test"), fixed.STRATIFIED_TEST_SHARE,
+                                 label_col="label", seed=fixed.BASELINE_SEED, id_cols="doc_id")
+    return LN.learning_curve(d.filter(F.col("split") == "train"), sampling="stratified", holdout=test)
+
+
+@query("l9_cumulative_curve")
+def l9_cumulative_curve(spark, sf_dir):
+    return LN.learning_curve(_labelled_docs(spark, sf_dir), cumulative=True)
+
+
+@query("l12_top_coefficients")
+def l12_top_coefficients(spark, sf_dir):
+    d = _labelled_docs(spark, sf_dir)
+    model = LN.tfidf_lr(d.count()).fit(d)
+    return LN.top_coefficients(model, 10)
+
+
+@query("l12_disagreement")
+def l12_disagreement(spark, sf_dir):
+    e = embeddings(spark, sf_dir).select("vec_id", "label")
+    a = e.withColumn("prediction", MT.standin_prediction("baseline", "vec_id"))
+    b = e.withColumn("prediction", MT.standin_prediction("bert", "vec_id"))
+    return LN.disagreement(a, b, id_cols="vec_id")
+
+
+@query("l6_contrastive_pairs")
+def l6_contrastive_pairs(spark, sf_dir):
+    e = embeddings(spark, sf_dir).select("vec_id", "label")
+    few = M.per_class(e, 32, label_col="label", seed=fixed.BASELINE_SEED, id_cols="vec_id")
+    return JB.contrastive_pairs(few, fixed.CONTRASTIVE_ITERATIONS)
+
+
+def first_dims_scorer(pdf: pd.DataFrame) -> pd.Series:
+    """Stand-in model: the scores are the first ten embedding components."""
+    return pd.Series([np.asarray(v[:10], dtype=np.float64).tolist() for v in pdf["embedding"]])
+
+
+@query("l7_score_batches")
+def l7_score_batches(spark, sf_dir):
+    e = embeddings(spark, sf_dir).select("vec_id", "label", "embedding")
+    return JB.score_batches(e, first_dims_scorer, keep=["vec_id", "label"]).select("vec_id", "label", "prediction")
+
+
+def length_responder(pdf: pd.DataFrame) -> pd.Series:
+    """Deterministic stand-in for a remote model: replies from the prompt length."""
+    n = pdf["prompt"].str.len()
+    return pd.Series(np.where(n % 9 == 0, "joy", " " + (n % 7).astype(str) + " "), index=pdf.index)
+
+
+def echo_responder(pdf: pd.DataFrame) -> pd.Series:
+    """Deterministic stand-in generator: echoes the context text and the class."""
+    return " " + pdf["text"] + "\r\n" + pdf["emotion"] + " "
+
+
+def _prompt_items(spark, sf_dir):
+    codes = MT._map_lit(LANG_CODES)
+    d = documents(spark, sf_dir).select("doc_id", "text", F.element_at(codes, F.col("lang")).alias("label"))
+    s = M.split(d, fixed.PROMPT_VALID_SHARE, seed=7, id_cols="doc_id")
+    few = M.first_n(s.filter(F.col("part") == "train"), 32, seed=fixed.BASELINE_SEED, id_cols="doc_id")
+    return s.filter(F.col("part") == "valid"), few
+
+
+@query("t13_classification_prompt")
+def t13_classification_prompt(spark, sf_dir):
+    items, few = _prompt_items(spark, sf_dir)
+    block = JB.few_shot_block(few)
+    return items.select("doc_id", T.classification_prompt("text", block).alias("prompt"))
+
+
+@query("l10_prompt_classify")
+def l10_prompt_classify(spark, sf_dir):
+    items, few = _prompt_items(spark, sf_dir)
+    return JB.prompt_classify(items, few, length_responder)
+
+
+@query("l10_prompt_metrics")
+def l10_prompt_metrics(spark, sf_dir):
+    items, few = _prompt_items(spark, sf_dir)
+    m = JB.prompt_metrics(JB.prompt_classify(items, few, length_responder))
+    return _metric_cols(m, [])
+
+
+@query("l11_generate")
+def l11_generate(spark, sf_dir):
+    return JB.generate(table(spark, sf_dir, "benchmark"), echo_responder)

@@ -562,3 +562,72 @@ ORACLE["s7_keyed_output"] = f"SELECT * FROM ({ORACLE['r1_to_long']}) WHERE metho
 ORACLE["s8_preview"] = f"""
 SELECT doc_id, label FROM ({ORACLE['m8_seeded_split']}) WHERE split = 'train' ORDER BY doc_id LIMIT 5
 """
+
+
+# ---------------------------------------------------------------- learning and jobs: L6, L7, L10-L12, T13
+
+ORACLE["l12_disagreement"] = f"""
+SELECT {standin('baseline')} AS pred_a, {standin('bert')} AS pred_b, count(*) AS n FROM embeddings GROUP BY ALL
+"""
+
+ORACLE["l6_contrastive_pairs"] = f"""
+WITH few AS ({ORACLE['m5_per_class']}),
+x AS (SELECT vec_id AS id, label AS lab,
+             row_number() OVER (PARTITION BY label ORDER BY {h(SEED, 'vec_id::VARCHAR')}) - 1 AS r FROM few),
+sz AS (SELECT lab, count(*) AS m FROM x GROUP BY lab),
+offs AS (SELECT lab, m, (sum(m) OVER (ORDER BY lab ROWS UNBOUNDED PRECEDING) - m)::BIGINT AS o,
+             (sum(m) OVER ())::BIGINT AS n FROM sz),
+xx AS (SELECT x.*, m, o, n, o + r AS g FROM x JOIN offs USING (lab)),
+pa AS (SELECT *, unnest(generate_series(1, least({fixed.CONTRASTIVE_ITERATIONS}, m - 1))) AS j FROM xx WHERE m > 1),
+na AS (SELECT *, unnest(generate_series(0, least({fixed.CONTRASTIVE_ITERATIONS}, n - m) - 1)) AS j FROM xx WHERE n > m)
+SELECT pa.id AS a_id, b.id AS b_id, true AS similar FROM pa JOIN xx b ON b.lab = pa.lab AND b.r = (pa.r + pa.j) % pa.m
+UNION ALL
+SELECT na.id AS a_id, b.id AS b_id, false AS similar FROM na JOIN xx b
+  ON b.g = (na.o + na.m + (na.r + na.j) % (na.n - na.m)) % na.n
+"""
+
+ORACLE["l7_score_batches"] = """
+SELECT vec_id, label, (list_position(s, list_max(s)) - 1)::INTEGER AS prediction
+FROM (SELECT vec_id, label, list_transform(embedding[1:10], lambda v: v::DOUBLE) AS s FROM embeddings)
+"""
+
+
+def sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+HEADER = "\n\n".join(f"{k}: {v}" for k, v in fixed.PROMPT_BLOCKS)
+LANG_CASE = "CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 WHEN 'fr' THEN 3 END"
+PROMPTS = f"""
+WITH s AS ({split_sql(f"(SELECT doc_id, text, {LANG_CASE} AS label FROM documents)", "doc_id, text, label",
+                      "doc_id::VARCHAR", fixed.PROMPT_VALID_SHARE, 7)}),
+few AS (SELECT * FROM s WHERE part = 'train' ORDER BY {h(SEED, 'doc_id::VARCHAR')} LIMIT 32),
+block AS (SELECT coalesce(string_agg('Text: ' || text || chr(10) || 'Emotion: ' || label::VARCHAR || chr(10) || chr(10),
+                                     '' ORDER BY {h(SEED, 'doc_id::VARCHAR')}), '') AS b FROM few),
+prompts AS (SELECT doc_id, label,
+                   {sql_str(HEADER)} || CASE WHEN b <> '' THEN {sql_str(fixed.PROMPT_EXAMPLES_HEADER)} || b ELSE '' END
+                   || {sql_str(fixed.PROMPT_ITEM_FORMAT[0])} || text || {sql_str(fixed.PROMPT_ITEM_FORMAT[1])} AS prompt
+            FROM s, block WHERE part = 'valid')
+"""
+
+ORACLE["t13_classification_prompt"] = f"{PROMPTS} SELECT doc_id, prompt FROM prompts"
+
+CLASSIFIED = f"""
+{PROMPTS},
+replies AS (SELECT doc_id, label, CASE WHEN length(prompt) % 9 = 0 THEN 'joy'
+                                       ELSE ' ' || (length(prompt) % 7)::VARCHAR || ' ' END AS reply FROM prompts)
+SELECT doc_id, label, reply,
+       CASE WHEN regexp_matches(lower({strip_ws('reply')}), '^[+-]?[0-9]+$')
+            THEN TRY_CAST(lower({strip_ws('reply')}) AS INTEGER) END AS prediction
+FROM replies
+"""
+ORACLE["l10_prompt_classify"] = CLASSIFIED
+ORACLE["l10_prompt_metrics"] = weighted_sql(f"SELECT label, prediction FROM ({CLASSIFIED})", [])
+
+ORACLE["l11_generate"] = f"""
+SELECT item_id, emotion,
+       replace(replace(lower({strip_ws("' ' || text || chr(13) || chr(10) || emotion || ' '")}), chr(10), ' '),
+               chr(13), '') AS text,
+       {CODES_MAP}[emotion] AS label
+FROM ({BENCH_CLASSES})
+"""
