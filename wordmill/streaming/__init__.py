@@ -1 +1,7 @@
-"""wordmill.streaming."""
+"""wordmill.streaming.
+
+The reference has no streaming concept (no watermarks, windows over time or state),
+so nothing is built here. The column pipelines in ``wordmill.functions`` and the
+stateless operators (T1-T16, prompt rendering, reply parsing) apply unchanged to a
+streaming DataFrame.
+"""
