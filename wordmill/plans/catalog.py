@@ -625,9 +625,11 @@ from wordmill.operators import learn as LN  # noqa: E402
 LANG_CODES = {"de": 0, "en": 1, "es": 2, "fr": 3}
 
 
-def _labelled_docs(spark, sf_dir, label: str = "lang") -> DataFrame:
+def _labelled_docs(spark, sf_dir, label: str = "lang", joined: bool = False) -> DataFrame:
+    """Documents as a labelled dataset; ``joined`` (or a label from ``labels``) keeps
+    only the documents that have a row in ``labels``."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    if label == "lang":
+    if label == "lang" and not joined:
         return docs.select("doc_id", "text", F.col("lang").alias("label"))
     lab = table(spark, sf_dir, "labels")
     return docs.join(lab, "doc_id").select("doc_id", "text", F.col(label).cast("string").alias("label"))
@@ -635,7 +637,8 @@ def _labelled_docs(spark, sf_dir, label: str = "lang") -> DataFrame:
 
 @query("l1_fit_predict")
 def l1_fit_predict(spark, sf_dir):
-    d = M.split(_labelled_docs(spark, sf_dir), fixed.BASELINE_VALID_SHARE, seed=SPLIT_SEED, id_cols="doc_id")
+    d = M.split(_labelled_docs(spark, sf_dir, joined=True), fixed.BASELINE_VALID_SHARE, seed=SPLIT_SEED,
+                id_cols="doc_id")
     train = d.filter(F.col("part") == "train")
     model = LN.tfidf_lr(train.count()).fit(train)
     return LN.predict(model, d.filter(F.col("part") == "valid")).select("doc_id", "label", "predicted")
