@@ -23,6 +23,7 @@ from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, IndexT
                                 RegexTokenizer, StringIndexer)
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import DenseVector
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +31,16 @@ from wordmill.functions import fixed
 from wordmill.functions import text as T
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
+from wordmill.session import spread
 
 EstimatorFn = Callable[[int], Estimator]
 
 # Convergence tolerance of the reference's solver default (its iteration cap is 100).
 LR_TOL = 1e-4
 
+# Training rows per partition seen by the iterative solver.
+SOLVER_ROWS_PER_PARTITION = 50_000
+
 
 class SmoothIdf(Estimator):
     """Fits Spark's IDF and applies ``idf + 1`` (the smooth-idf convention)."""
@@ -60,6 +65,45 @@ class _ScaleModel(Model):
         return self.product.transform(dataset)
 
 
+def _solver_partitions(df: DataFrame, n_rows: int, rows_per_partition: int = SOLVER_ROWS_PER_PARTITION) -> DataFrame:
+    """Merge (without a shuffle) into about one partition per ``rows_per_partition``
+    rows. Every L-BFGS step is one ``treeAggregate`` of a classes x vocabulary
+    gradient per partition, so tiny partitions cost more in per-task overhead and
+    gradient traffic than they save; large inputs keep thousands of partitions."""
+    target = max(1, -(-n_rows // rows_per_partition))
+    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+
+
+class _TokenCachingPipeline(Pipeline):
+    """The TF-IDF + LR pipeline, fitted with the token arrays persisted once.
+
+    A plain ``Pipeline.fit`` re-runs the regex tokenizer for every later estimator
+    (vocabulary, idf, the solver's first pass). Here the fit keeps only the label
+    index, the tokens and the weight after the tokenizer, persists them (memory and
+    disk; lost blocks are recomputed from the lineage) for the following estimators,
+    and unpersists them when the model is built. The fitted model is an ordinary
+    ``PipelineModel``."""
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        stages = self.getStages()
+        fitted, held = [], None
+        head, last = stages[0], stages[-1]
+        keep = [head.getOutputCol()]
+        if last.isSet(last.weightCol):
+            keep.append(last.getWeightCol())
+        for i, stage in enumerate(stages):
+            model = stage.fit(dataset) if isinstance(stage, Estimator) else stage
+            fitted.append(model)
+            if i < len(stages) - 1:
+                dataset = model.transform(dataset)
+                if isinstance(stage, RegexTokenizer):
+                    held = dataset.select(*keep, stage.getOutputCol()).persist(StorageLevel.MEMORY_AND_DISK)
+                    dataset = _solver_partitions(held, held.count())
+        if held is not None:
+            held.unpersist()
+        return PipelineModel(fitted)
+
+
 def tfidf_lr(n_train: int, *, text_col: str = "text", label_col: str = "label",
              max_iter: int = fixed.LR_MAX_ITER, vocab_size: int = 1 << 18,
              weight_col: str | None = None) -> Pipeline:
@@ -71,7 +115,7 @@ def tfidf_lr(n_train: int, *, text_col: str = "text", label_col: str = "label",
                             elasticNetParam=0.0, tol=LR_TOL)
     if weight_col:
         lr.setWeightCol(weight_col)
-    return Pipeline(stages=[
+    return _TokenCachingPipeline(stages=[
         indexer,
         RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=T.WORD2_TOKEN, gaps=False,
                        toLowercase=True),
@@ -115,7 +159,7 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
     shares carry a weight equal to the number of steps that included them."""
     fr = M.ladder(fractions)
     est = estimator_fn or (lambda n, **kw: tfidf_lr(n, text_col=text_col, label_col=label_col, **kw))
-    base = df.select(*([id_cols] if isinstance(id_cols, str) else id_cols), text_col, label_col)
+    base = spread(df.select(*([id_cols] if isinstance(id_cols, str) else id_cols), text_col, label_col))
     preds = []
     if cumulative:
         steps = M.nested_samples(base, fr, seed=seed, id_cols=id_cols, frac_col="_share")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
-from wordmill.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small, cut_lineage
+from wordmill.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small, cut_lineage, spread
 
 Tokenizer = Callable[[Column], Column]
 
@@ -184,11 +184,17 @@ def bag_of_words(tokens: Column, vocabulary: Sequence[str]) -> Column:
 
 # V2
 def word_frequencies(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``(word, n, total)`` over lowercased whitespace tokens."""
-    counts = (docs.select(F.explode(T.whitespace_tokens(F.col(text_col))).alias("word"))
-              .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    total = counts.select(F.sum("n")).scalar()
-    return counts.withColumn("total", total)
+    """``(word, n, total)`` over lowercased whitespace tokens.
+
+    The count table is fitted once (partial aggregate, then written to the shared
+    checkpoint folder); the total and every later use read that table instead of
+    tokenising the corpus again."""
+    counts = cut_lineage(
+        spread(docs.select(text_col))
+        .select(F.explode(T.whitespace_tokens(F.col(text_col))).alias("word"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n").alias("total"))
+    return counts.crossJoin(F.broadcast(total))
 
 
 # V3
@@ -229,7 +235,8 @@ def class_top_words(docs: DataFrame, stopwords: DataFrame, *, text_col: str = "t
     """``(label, word, n, weight, rank)``: top ``k`` words per class by
     ``(n desc, word asc)``, weight = n / the class's top count.
     ``stopwords`` must be small (V3 output is bounded by ``1/threshold``)."""
-    words = (docs.select(label_col, F.explode(cloud_tokens(F.col(text_col))).alias("word"))
+    words = (spread(docs.select(label_col, text_col))
+             .select(label_col, F.explode(cloud_tokens(F.col(text_col))).alias("word"))
              .join(F.broadcast(stopwords.select("word")), "word", "left_anti")
              .groupBy(label_col, "word").agg(F.count(F.lit(1)).alias("n")))
     w = Window.partitionBy(label_col).orderBy(F.col("n").desc(), F.col("word").asc())

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.operators import terms
+from wordmill.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -628,7 +629,7 @@ LANG_CODES = {"de": 0, "en": 1, "es": 2, "fr": 3}
 def _labelled_docs(spark, sf_dir, label: str = "lang", joined: bool = False) -> DataFrame:
     """Documents as a labelled dataset; ``joined`` (or a label from ``labels``) keeps
     only the documents that have a row in ``labels``."""
-    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = spread(documents(spark, sf_dir).select("doc_id", "text", "lang"))
     if label == "lang" and not joined:
         return docs.select("doc_id", "text", F.col("lang").alias("label"))
     lab = table(spark, sf_dir, "labels")
@@ -658,7 +659,7 @@ def l3_curve_conversations(spark, sf_dir):
 @query("l4_cross_dataset")
 def l4_cross_dataset(spark, sf_dir):
     """Fit on the documents of one half of the sources, evaluate on the other half."""
-    d = documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("label"), "source")
+    d = spread(documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("label"), "source"))
     side = F.substring(F.md5(F.col("source")), 1, 1) < "8"
     a, b = d.filter(side), d.filter(~side)
     model = LN.tfidf_lr(a.count()).fit(a)

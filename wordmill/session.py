@@ -65,6 +65,14 @@ def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROAD
     return F.broadcast(df) if n_rows <= max_rows else df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the input has fewer
+    partitions than that (a small table stored as a few row groups). A large input
+    already has more file splits than cores, so this adds no shuffle there."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
