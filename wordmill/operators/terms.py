@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -169,10 +170,17 @@ def transform(docs: DataFrame, model: IdfModel, *, text_col: str = "text", id_co
 def tfidf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
           tokenizer: Tokenizer = default_tokenizer, sublinear_tf: bool = False,
           **fit_kw) -> tuple[IdfModel, DataFrame]:
-    """Fit and transform the same documents."""
-    model = fit_idf(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, **fit_kw)
+    """Fit and transform the same documents.
+
+    The ``(id, term, tf)`` table is built once and persisted (memory and disk; lost
+    blocks are recomputed from the lineage): the fit reads it for the document
+    frequencies and the transform for the weights, so the corpus is tokenised and
+    shuffled once. It stays id-partitioned, so the norm window adds no shuffle."""
+    tf = term_counts(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    model = fit_idf(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, tf=tf, **fit_kw)
     return model, transform(docs, model, text_col=text_col, id_col=id_col,
-                            tokenizer=tokenizer, sublinear_tf=sublinear_tf)
+                            tokenizer=tokenizer, sublinear_tf=sublinear_tf, tf=tf)
 
 
 # V1
