@@ -74,3 +74,18 @@ def test_ladder_rejects_above_one():
     assert M.ladder() == [0.05, 0.25, 0.45, 0.65, 0.85]
     with pytest.raises(ValueError):
         M.ladder([0.5, 1.2])
+
+
+def test_ladder_splits_equal_sample_then_split(spark):
+    """One-pass thresholds for a whole learning curve give, per share, exactly the
+    rows and parts of M1 followed by M2 (composite ids, a full share included)."""
+    conv = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").select("conv_id", "turn")
+    keys = ["conv_id", "turn"]
+    shares = [0.05, 0.45, 1.0]
+    lp = M.ladder_splits(conv.repartition(5), shares, 0.2, seed=7, split_seed="7/split", id_cols=keys)
+    for i, f in enumerate(shares):
+        want = M.split(M.sample_fraction(conv, f, seed=7, id_cols=keys), 0.2, seed="7/split", id_cols=keys)
+        a = sorted(tuple(r) for r in want.select(*keys, "part").collect())
+        b = sorted(tuple(r) for r in lp.filter(F.col("_wm_parts")[i].isNotNull())
+                   .select(*keys, F.col("_wm_parts")[i]).collect())
+        assert a == b and len(a) == round(f * conv.count())

@@ -163,16 +163,26 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
     preds = []
     if cumulative:
         steps = M.nested_samples(base, fr, seed=seed, id_cols=id_cols, frac_col="_share")
+    ladder_parts = None
+    if sampling != "stratified" and holdout is None:
+        # all shares' samples and splits from one pass over the ids
+        ladder_parts = M.ladder_splits(base, fr, valid_share, seed=seed, split_seed=f"{seed}/split",
+                                       id_cols=id_cols)
     for i, frac in enumerate(fr):
-        if sampling == "stratified":
-            sample = M.stratified_fraction(base, frac, label_col=label_col, seed=seed, id_cols=id_cols)
+        if ladder_parts is not None:
+            part = F.col("_wm_parts")[i]
+            train = ladder_parts.filter(part == "train").drop("_wm_parts")
+            valid = ladder_parts.filter(part == "valid").drop("_wm_parts")
         else:
-            sample = M.sample_fraction(base, frac, seed=seed, id_cols=id_cols)
-        if holdout is None:
-            parts = M.split(sample, valid_share, seed=f"{seed}/split", id_cols=id_cols)
-            train, valid = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "valid")
-        else:
-            train, valid = sample, holdout
+            if sampling == "stratified":
+                sample = M.stratified_fraction(base, frac, label_col=label_col, seed=seed, id_cols=id_cols)
+            else:
+                sample = M.sample_fraction(base, frac, seed=seed, id_cols=id_cols)
+            if holdout is None:
+                parts = M.split(sample, valid_share, seed=f"{seed}/split", id_cols=id_cols)
+                train, valid = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "valid")
+            else:
+                train, valid = sample, holdout
         n_train = train.count()
         if cumulative:
             keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)

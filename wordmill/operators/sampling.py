@@ -185,6 +185,53 @@ def nested_samples(df: DataFrame, fractions: Sequence[float], *, seed, id_cols,
             .filter("_in").drop("_in"))
 
 
+def _flag(mode: str | None, tk, key: Column) -> Column:
+    if mode == "all":
+        return F.lit(True)
+    if mode == "thr":
+        return key <= F.struct(F.lit(tk[0]).alias(_H), F.lit(tk[1]).alias(_ID))
+    return F.lit(False)
+
+
+def ladder_splits(df: DataFrame, fractions: Sequence[float], valid_share: float, *, seed, split_seed,
+                  id_cols, out_col: str = "_wm_parts") -> DataFrame:
+    """Every (sample, split) pair of a learning curve from one pass over the ids.
+
+    Share ``i`` is M1 at ``fractions[i]`` (first ``round(f n)`` rows in ``seed`` order)
+    split by M2 (first ``ceil(valid_share q_i)`` rows of that sample in ``split_seed``
+    order are 'valid'). The thresholds of all shares come from two aggregates over
+    ``(id, share)`` rows that carry no other column; they are one row per share, so
+    they become literals and each share is a narrow filter on ``out_col[i]``
+    ('train', 'valid' or NULL). Equal to ``split(sample_fraction(df, f), ...)`` per share."""
+    fr = ladder(fractions)
+    if not 0 < valid_share < 1:
+        raise ValueError("valid_share must be within (0, 1)")
+    keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    spark = df.sparkSession
+    n = df.count()
+    q = [round(f * n) for f in fr]
+    qv = [math.ceil(valid_share * k) for k in q]
+    shares = F.explode(F.array(*[F.lit(i) for i in range(len(fr))])).alias("_share")
+    x = _keyed(df.select(*keys), seed, id_cols).select(*keys, _H, _ID, shares)
+    q1 = spark.createDataFrame(list(enumerate(q)), "_share int, _q long")
+    thr1 = _thresholds(x, q1, ["_share"])
+    inside = F.when(F.col("_mode") == "all", True).when(F.col("_mode") == "thr", _key() <= F.col("_tk"))
+    sampled = (x.join(F.broadcast(thr1), "_share", "left").filter(inside)
+               .select(*keys, "_share"))
+    q2 = spark.createDataFrame(list(enumerate(qv)), "_share int, _q long")
+    thr2 = _thresholds(_keyed(sampled, split_seed, id_cols), q2, ["_share"])
+    # one row per share on each side: bounded by the length of the ladder
+    t1 = {r["_share"]: (r["_mode"], r["_tk"]) for r in thr1.collect()}
+    t2 = {r["_share"]: (r["_mode"], r["_tk"]) for r in thr2.collect()}
+    k1, k2 = _key(), F.struct(seeded_hash(split_seed, id_cols).alias(_H), F.col(_ID))
+    parts = []
+    for i in range(len(fr)):
+        in_sample = _flag(*t1.get(i, (None, None)), k1)
+        valid = _flag(*t2.get(i, (None, None)), k2)
+        parts.append(F.when(in_sample & valid, "valid").when(in_sample, "train"))
+    return _keyed(df, seed, id_cols).withColumn(out_col, F.array(*parts)).drop(_H, _ID)
+
+
 # M9
 def realised_rate(sample: DataFrame, population: DataFrame, nominal: float | None = None) -> DataFrame:
     """``(percentage, labelled_share)``: the nominal share as the reference reports it
