@@ -89,3 +89,13 @@ def test_ladder_splits_equal_sample_then_split(spark):
         b = sorted(tuple(r) for r in lp.filter(F.col("_wm_parts")[i].isNotNull())
                    .select(*keys, F.col("_wm_parts")[i]).collect())
         assert a == b and len(a) == round(f * conv.count())
+
+
+def test_stratified_ladder_equals_stratified_fraction(spark):
+    d = spark.read.parquet(DOCS).select("doc_id", F.col("lang").alias("label"))
+    shares = [0.05, 0.45, 0.85, 1.0]
+    outs = M.stratified_ladder(d.repartition(3), shares, label_col="label", seed=11, id_cols="doc_id")
+    for f, got in zip(shares, outs):
+        want = M.stratified_fraction(d, f, label_col="label", seed=11, id_cols="doc_id")
+        assert (sorted(tuple(r) for r in want.select("doc_id", "label").collect())
+                == sorted(tuple(r) for r in got.select("doc_id", "label").collect()))

@@ -163,8 +163,10 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
     preds = []
     if cumulative:
         steps = M.nested_samples(base, fr, seed=seed, id_cols=id_cols, frac_col="_share")
-    ladder_parts = None
-    if sampling != "stratified" and holdout is None:
+    ladder_parts = strata = None
+    if sampling == "stratified":
+        strata = M.stratified_ladder(base, fr, label_col=label_col, seed=seed, id_cols=id_cols)
+    elif holdout is None:
         # all shares' samples and splits from one pass over the ids
         ladder_parts = M.ladder_splits(base, fr, valid_share, seed=seed, split_seed=f"{seed}/split",
                                        id_cols=id_cols)
@@ -174,8 +176,8 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
             train = ladder_parts.filter(part == "train").drop("_wm_parts")
             valid = ladder_parts.filter(part == "valid").drop("_wm_parts")
         else:
-            if sampling == "stratified":
-                sample = M.stratified_fraction(base, frac, label_col=label_col, seed=seed, id_cols=id_cols)
+            if strata is not None:
+                sample = strata[i]
             else:
                 sample = M.sample_fraction(base, frac, seed=seed, id_cols=id_cols)
             if holdout is None:

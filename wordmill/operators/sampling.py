@@ -120,23 +120,62 @@ def split(df: DataFrame, valid_share: float, *, seed, id_cols, part_col: str = "
     return marked.withColumn(part_col, F.when(F.col("_in"), names[1]).otherwise(names[0])).drop("_in")
 
 
-def stratified_quotas(df: DataFrame, p: float, *, label_col: str) -> DataFrame:
-    """``(label, _q)``: kept rows ``m = n - ceil((1-p) n)`` spread over classes by the
-    largest remainder of ``k m / n``, ties to the smaller label."""
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_k"))
-    n = F.sum("_k").over(Window.partitionBy())
-    m = n - F.ceil((F.lit(1.0) - F.lit(float(p))) * n)
+def _largest_remainder(counts: DataFrame, p: Column, label_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Quotas over a small table of class counts ``(by..., label, _k)``, per ``by`` group."""
+    g = Window.partitionBy(*by)
+    n = F.sum("_k").over(g)
+    m = n - F.ceil((F.lit(1.0) - p) * n)
     c = (counts.withColumn("_n", n).withColumn("_m", m)
          .withColumn("_exact", F.col("_k") * F.col("_m") / F.col("_n"))
          .withColumn("_f", F.floor("_exact"))
          .withColumn("_r", F.col("_exact") - F.col("_f")))
-    c = c.withColumn("_left", F.col("_m") - F.sum("_f").over(Window.partitionBy()))
-    order = Window.orderBy(F.col("_r").desc(), F.col(label_col).asc())
+    c = c.withColumn("_left", F.col("_m") - F.sum("_f").over(g))
+    order = Window.partitionBy(*by).orderBy(F.col("_r").desc(), F.col(label_col).asc())
     c = c.withColumn("_pos", F.row_number().over(order))
-    return c.select(label_col, (F.col("_f") + F.when(F.col("_pos") <= F.col("_left"), 1).otherwise(0))
+    return c.select(*by, label_col, (F.col("_f") + F.when(F.col("_pos") <= F.col("_left"), 1).otherwise(0))
                     .cast("long").alias("_q"))
 
 
+def stratified_quotas(df: DataFrame, p: float, *, label_col: str) -> DataFrame:
+    """``(label, _q)``: kept rows ``m = n - ceil((1-p) n)`` spread over classes by the
+    largest remainder of ``k m / n``, ties to the smaller label."""
+    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_k"))
+    return _largest_remainder(counts, F.lit(float(p)), label_col)
+
+
+def stratified_ladder(df: DataFrame, fractions: Sequence[float], *, label_col: str, seed,
+                      id_cols) -> list[DataFrame]:
+    """M4 at every share of a ladder, thresholds from one pass.
+
+    Class counts are one small aggregate; the quotas of all (share, class) pairs are
+    windows over that table; the thresholds come from one aggregate over
+    ``(id, label, share)`` rows. Each returned sample is a narrow filter of ``df``
+    against the counted thresholds of its share. A share ``>= 1`` keeps every row,
+    as in ``stratified_fraction``."""
+    fr = ladder(fractions)
+    spark = df.sparkSession
+    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_k"))
+    shares = spark.createDataFrame([(i, float(f)) for i, f in enumerate(fr)], "_share int, _p double")
+    quotas = cut_lineage(_largest_remainder(counts.crossJoin(F.broadcast(shares)), F.col("_p"), label_col,
+                                            by=["_share"]))
+    s = ["_share", label_col]
+    explode = F.explode(F.array(*[F.lit(i) for i in range(len(fr))])).alias("_share")
+    x = _keyed(df.select(*([id_cols] if isinstance(id_cols, str) else id_cols), label_col),
+               seed, id_cols).select("*", explode)
+    thr = _thresholds(x, quotas, s)
+    n_thr = thr.count()
+    keyed = _keyed(df, seed, id_cols)
+    flag = F.when(F.col("_mode") == "all", True).when(F.col("_mode") == "thr", _key() <= F.col("_tk"))
+    out = []
+    for i, f in enumerate(fr):
+        if f >= 1.0:
+            out.append(df)
+            continue
+        t = broadcast_if_small(thr.filter(F.col("_share") == i).drop("_share"), n_thr)
+        out.append(keyed.join(t, label_col, "inner").filter(flag).select(*df.columns))
+    return out
+
+
 # M4
 def stratified_fraction(df: DataFrame, p: float, *, label_col: str, seed, id_cols) -> DataFrame:
     """Keep ``n - ceil((1-p) n)`` rows with per-class quotas; no-op when ``p >= 1``."""
