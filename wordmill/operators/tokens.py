@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
-from wordmill.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from wordmill.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small, spread
 
 
 def remove_stopwords(df: DataFrame, in_col: str, out_col: str,
@@ -80,7 +80,7 @@ def preprocess(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
         raise ValueError("mode must be 0 (plain), 1 (stem) or 2 (lemma)")
     raw = F.split(F.lower(F.col(text_col)), T.NON_WORD_RUN)
     if mode == 0:
-        d = df.select(id_col, T.keep_ascii_letter_tokens(raw).alias("_t0"))
+        d = spread(df.select(id_col, text_col)).select(id_col, T.keep_ascii_letter_tokens(raw).alias("_t0"))
         d = remove_stopwords(d, "_t0", "_t1", stopwords)
         d = d.select(id_col, T.keep_alpha_tokens(F.col("_t1")).alias("_t2"))
         d = remove_stopwords(d, "_t2", out_col, stopwords)
