@@ -31,7 +31,7 @@ from wordmill.functions import fixed
 from wordmill.functions import text as T
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
-from wordmill.session import spread
+from wordmill.session import num_partitions, spread
 
 EstimatorFn = Callable[[int], Estimator]
 
@@ -71,7 +71,8 @@ def _solver_partitions(df: DataFrame, n_rows: int, rows_per_partition: int = SOL
     gradient per partition, so tiny partitions cost more in per-task overhead and
     gradient traffic than they save; large inputs keep thousands of partitions."""
     target = max(1, -(-n_rows // rows_per_partition))
-    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+    n = num_partitions(df)
+    return df.coalesce(target) if n is not None and n > target else df
 
 
 class _TokenCachingPipeline(Pipeline):

@@ -69,8 +69,20 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster's cores when the input has fewer
     partitions than that (a small table stored as a few row groups). A large input
     already has more file splits than cores, so this adds no shuffle there."""
+    n = num_partitions(df)
+    if n is None:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(target) if n < target else df
+
+
+def num_partitions(df: DataFrame) -> int | None:
+    """Partitions of the planned DataFrame, or None where the RDD view is not
+    available (Spark Connect): callers then leave the plan as it is."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - any failure means "unknown"
+        return None
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
