@@ -92,16 +92,18 @@ class _TokenCachingPipeline(Pipeline):
         keep = [head.getOutputCol()]
         if last.isSet(last.weightCol):
             keep.append(last.getWeightCol())
-        for i, stage in enumerate(stages):
-            model = stage.fit(dataset) if isinstance(stage, Estimator) else stage
-            fitted.append(model)
-            if i < len(stages) - 1:
-                dataset = model.transform(dataset)
-                if isinstance(stage, RegexTokenizer):
-                    held = dataset.select(*keep, stage.getOutputCol()).persist(StorageLevel.MEMORY_AND_DISK)
-                    dataset = _solver_partitions(held, held.count())
-        if held is not None:
-            held.unpersist()
+        try:
+            for i, stage in enumerate(stages):
+                model = stage.fit(dataset) if isinstance(stage, Estimator) else stage
+                fitted.append(model)
+                if i < len(stages) - 1:
+                    dataset = model.transform(dataset)
+                    if isinstance(stage, RegexTokenizer):
+                        held = dataset.select(*keep, stage.getOutputCol()).persist(StorageLevel.MEMORY_AND_DISK)
+                        dataset = _solver_partitions(held, held.count())
+        finally:
+            if held is not None:
+                held.unpersist()
         return PipelineModel(fitted)
 
 
