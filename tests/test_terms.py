@@ -63,3 +63,14 @@ def test_sorted_vocabulary_index(spark):
     v = terms.sorted_vocabulary(model).orderBy("idx").collect()
     assert [r["idx"] for r in v] == list(range(len(v)))
     assert [r["term"] for r in v] == sorted(r["term"] for r in v)
+
+
+def test_tfidf_plan_shuffles_the_text_once(spark):
+    """Fit and transform share the persisted (doc, term, tf) table: the only exchange
+    is the one id repartition of the text; the idf table is broadcast and the norm
+    window reuses the id partitioning (no ENSURE_REQUIREMENTS exchange)."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    _, w = terms.tfidf(docs)
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "BroadcastHashJoin" in plan
+    assert "ENSURE_REQUIREMENTS" not in plan
