@@ -74,3 +74,14 @@ def test_tfidf_plan_shuffles_the_text_once(spark):
     plan = w._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_COL" in plan and "BroadcastHashJoin" in plan
     assert "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_tfidf_release_drops_the_cached_counts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model, w = terms.tfidf(docs)
+    n = w.count()
+    assert model.tf_cache is not None and model.tf_cache.storageLevel.useMemory
+    cached = model.tf_cache
+    model.release()
+    assert model.tf_cache is None and not cached.storageLevel.useMemory
+    assert w.count() == n  # recomputed from the lineage

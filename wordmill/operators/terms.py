@@ -105,10 +105,17 @@ class IdfModel:
     table: DataFrame
     n_terms: int
     n_docs: int
+    tf_cache: DataFrame | None = None
 
     def hinted(self, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
         return broadcast_if_small(self.table, self.n_terms, max_rows)
 
+    def release(self) -> None:
+        """Drop the persisted term counts of ``tfidf`` once its weights are written."""
+        if self.tf_cache is not None:
+            self.tf_cache.unpersist()
+            self.tf_cache = None
+
 
 def _doc_count(docs: DataFrame) -> int:
     return docs.count()
@@ -179,6 +186,7 @@ def tfidf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     tf = term_counts(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer).persist(
         StorageLevel.MEMORY_AND_DISK)
     model = fit_idf(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, tf=tf, **fit_kw)
+    model.tf_cache = tf
     return model, transform(docs, model, text_col=text_col, id_col=id_col,
                             tokenizer=tokenizer, sublinear_tf=sublinear_tf, tf=tf)
 
