@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from wordmill.llm import quality_rules
+from wordmill.llm import license_scan, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_license_scan": license_scan.op2_license_scan,
 }
 
 ORACLE = {
