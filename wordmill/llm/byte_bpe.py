@@ -4,8 +4,8 @@ Encoding equals splitting the whole text by the pattern and merging each match b
 ranks. Long texts are cut into overlapping chunks that are pre-tokenised on their own,
 anywhere in the cluster. A match depends on nothing before its start, so once a chunk
 and the one before it share a boundary inside their overlap, both agree from there on:
-that boundary becomes the cut. Chunks without such a boundary are joined to the one
-before. The pieces between cuts are encoded, and the ids follow each other in order.
+that boundary becomes the cut. From the first chunk without such a boundary on, the rest
+of its text stays in one piece. The pieces between cuts are encoded, and the ids follow each other in order.
 Decoding concatenates the bytes of the ids.
 
 Null texts are empty: no ids. Repeated rows give repeated results; extra columns are
@@ -123,6 +123,9 @@ def pieces(long_docs: DataFrame, pattern: str, chunk: int = CHUNK_CHARS, overlap
     in_order = Window.partitionBy("key").orderBy("chunk")
     shared = F.array_min(F.array_intersect("head", F.lag("tail").over(in_order)))
     cuts = edged.withColumn("cut", F.when(F.col("chunk") == 0, F.lit(0)).otherwise(shared))
+    # a chunk's boundaries are those of the whole text only from its own cut on
+    so_far = F.min(F.col("cut").isNotNull()).over(in_order)
+    cuts = cuts.withColumn("cut", F.when(so_far, F.col("cut")))
     # the start of what this chunk adds, and where the next chunk takes over
     own = (cuts.withColumn("stop", F.when(F.col("last"), F.length("text"))
                            .otherwise(F.lit(chunk) + F.coalesce(F.lead("cut").over(in_order), F.lit(0))))
@@ -150,7 +153,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     encoded = pieces(long_docs, pattern, chunk, overlap).mapInArrow(run, "key long, doc_id long, piece long, ids binary")
     in_order = F.sort_array(F.collect_list(F.struct("piece", "ids")))
     joined = (encoded.groupBy("key", "doc_id").agg(in_order.alias("p"))
-              .select("doc_id", F.aggregate(F.col("p.ids"), F.lit(b"").cast("binary"), F.concat).alias("ids")))
+              .select("doc_id", F.unhex(F.array_join(F.transform("p.ids", lambda x: F.hex(x)), "")).alias("ids")))
     return short.unionByName(joined)
 
 
