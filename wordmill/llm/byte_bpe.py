@@ -102,7 +102,10 @@ def _boundary_batches(pattern: str, chunk: int, overlap: int, guard: int):
             heads, tails = [], []
             for c, last, text in zip(*(batch.column(i).to_pylist() for i in range(2, 5))):
                 edges = np.fromiter((m.start() for m in compiled.finditer(text)), np.int64)
-                heads.append(edges[(edges > 0) & (edges < overlap)].tolist() if c else [])
+                head = edges[(edges > 0) & (edges < overlap)].tolist() if c else []
+                # at its end a piece must look as it does in the text: the pattern looks
+                # ahead from white space only
+                heads.append([p for p in head if not text[p - 1].isspace()])
                 tail = edges[(edges > chunk) & (edges < chunk + overlap) & (edges + guard <= len(text))] - chunk
                 tails.append([] if last else tail.tolist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(heads, ints), pa.array(tails, ints)],
