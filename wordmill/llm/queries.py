@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wordmill.llm import byte_bpe, license_scan, quality_rules
+from wordmill.llm import byte_bpe, license_scan, packing, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_license_scan": license_scan.op2_license_scan,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
 }
 
 ORACLE = {
