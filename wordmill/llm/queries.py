@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from wordmill.llm import byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules
+from wordmill.llm import byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules, url_filters
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_license_scan": license_scan.op2_license_scan,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_near_duplicates": near_dups.op4_near_duplicates,
+    "op5_url_filters": url_filters.op5_url_filters,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op8_language_id": language_id.op8_language_id,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
