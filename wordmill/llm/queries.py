@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordmill.llm import byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules, url_filters
+from wordmill.llm import byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules, syncmers, url_filters
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op8_language_id": language_id.op8_language_id,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
+    "op10_syncmer_fingerprints": syncmers.op10_syncmer_fingerprints,
 }
 
 ORACLE = {
