@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordmill.llm import byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules, syncmers, url_filters
+from wordmill.llm import byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules, syncmers, token_output, url_filters
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_near_duplicates": near_dups.op4_near_duplicates,
     "op5_url_filters": url_filters.op5_url_filters,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_token_output": token_output.op7_token_output,
     "op8_language_id": language_id.op8_language_id,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_syncmer_fingerprints": syncmers.op10_syncmer_fingerprints,
