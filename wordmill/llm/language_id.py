@@ -134,7 +134,7 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _score_batches(model: Model | None):
+def _score_batches(model: Model | None, names: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in B.blocks(batch.columns[-1], 1 << 20):
@@ -151,7 +151,7 @@ def _score_batches(model: Model | None):
                     score[known] = np.clip((f.max(axis=1) + 1.0) / 2.0, 0.0, 1.0)[known]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(lang.tolist(), pa.string()), pa.array(score)],
-                    [*part.schema.names, "lang_pred", "score"])
+                    [*part.schema.names, *names])
     return run
 
 
@@ -175,11 +175,14 @@ def fit(docs: DataFrame, usable: Column | None = None, per_lang: int = PER_LANG)
     return fit_texts([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
-def predict(docs: DataFrame, model: Model | None, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, the text, ``lang_pred`` and ``score`` of every document."""
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
+def predict(docs: DataFrame, model: Model | None, keep: Sequence[str] = ("doc_id",), pred_name: str = "lang_pred",
+            score_name: str = "score") -> DataFrame:
+    """``keep`` columns, the text, the predicted language and its score of every
+    document, in columns with names that are none of them."""
+    rows = docs.select(*[f"`{c}`" for c in keep], F.col("text").cast("string").alias("text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(_score_batches(model), f"{fields}, lang_pred string, score double")
+    return rows.mapInArrow(_score_batches(model, (pred_name, score_name)),
+                           f"{fields}, {pred_name} string, {score_name} double")
 
 
 def op8_language_id(spark, sf_dir: str) -> DataFrame:

@@ -138,7 +138,7 @@ def score_texts(model: Model, sizes: Sizes | None, texts: Sequence[bytes]) -> np
     return score
 
 
-def _score_batches(model: Model):
+def _score_batches(model: Model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(model.good, model.bad) if model.usable else None
         for batch in batches:
@@ -147,7 +147,7 @@ def _score_batches(model: Model):
                 texts = [(v.as_buffer() or b"") if v.is_valid else b"" for v in part.column(part.num_columns - 1).cast(pa.binary())]
                 texts = [t.to_pybytes() if t else b"" for t in texts]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score_texts(model, sizes, texts))],
-                                                 [*part.schema.names, "score"])
+                                                 [*part.schema.names, name])
     return run
 
 
@@ -170,11 +170,12 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_cl
     return fit_texts([(r["text"] or "").encode() for r in texts], [r["quality"] for r in texts])
 
 
-def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, the text and ``score`` of every document: one narrow pass."""
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), name: str = "score") -> DataFrame:
+    """``keep`` columns, the text and the score of every document, in a column ``name``
+    that is none of them: one narrow pass."""
+    rows = docs.select(*[f"`{c}`" for c in keep], F.col("text").cast("string").alias("text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(_score_batches(model), f"{fields}, score double")
+    return rows.mapInArrow(_score_batches(model, name), f"{fields}, {name} double")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
