@@ -2,7 +2,7 @@
 
 Runs each query of ``HEADLINE`` at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` (default 8), executing the whole plan into Spark's ``noop``
-sink (no collection to the driver), and prints one JSON line:
+sink (no collection to the driver), and prints one JSON line (cached tables are dropped before each query):
 ``{"metric": "headline_total", "value": <sum of seconds>, "unit": "sec", "queries": {...}, "sf": ...}``.
 """
 
@@ -48,6 +48,7 @@ def main() -> None:
         QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
+        spark.catalog.clearCache()  # no query reads what another one left
         t0 = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)

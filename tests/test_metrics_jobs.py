@@ -77,9 +77,51 @@ def test_prompt_classify_with_fixed_responder(spark):
 
 
 def test_generate_contract(spark):
-    """Ported contract: n x classes rows, text and label present, label within the classes."""
-    ctx = spark.createDataFrame([(i, f"Some TEXT {i}\nmore") for i in range(5)], "item_id long, text string")
-    out = JB.generate(ctx, lambda pdf: "  " + pdf["text"] + "\r\n").collect()
-    assert len(out) == 5 * len(fixed.EMOTIONS)
-    assert all(r["text"] is not None and r["label"] in fixed.EMOTION_CODES.values() for r in out)
-    assert out[0]["text"] == out[0]["text"].lower() and "\n" not in out[0]["text"]
+    """Ported contract: n rows per class, text and label present, label is the class name."""
+    ctx = spark.createDataFrame([(0, "Some TEXT\nmore")], "item_id long, text string")
+    out = JB.generate(ctx, lambda pdf: "  " + pdf["text"] + "\r\n", n_per_class=5, names=True).collect()
+    assert len(out) == 5 * 6
+    assert {r["label"] for r in out} == set(fixed.EMOTIONS)
+    assert all(r["text"] == r["text"].lower() and "\n" not in r["text"] and r["error"] is None for r in out)
+    coded = JB.generate(ctx, lambda pdf: pdf["text"]).collect()
+    assert sorted(r["label"] for r in coded) == sorted(fixed.EMOTION_CODES.values())
+
+
+def test_each_row_is_answered_once_and_failures_stay_rows(spark):
+    calls = spark.sparkContext.accumulator(0)
+    items = spark.createDataFrame([(i, f"text {i}", i % 2) for i in range(40)], "doc_id long, text string, label int")
+
+    def responder(pdf):
+        calls.add(len(pdf))
+        return pd.Series(["1"] * len(pdf), index=pdf.index)
+
+    m = JB.prompt_metrics(JB.prompt_classify(items, None, responder)).first()
+    assert calls.value == 40 and m["accuracy"] == 0.5
+
+    def fails_on_seven(pdf):
+        if pdf["prompt"].str.contains("text 7\n").any():
+            raise ValueError("no answer")
+        return pd.Series(["1"] * len(pdf), index=pdf.index)
+
+    out = {r["doc_id"]: r for r in JB.prompt_classify(items, None, fails_on_seven).collect()}
+    assert len(out) == 40 and out[7]["reply"] is None and "no answer" in out[7]["error"]
+    assert all(r["reply"] == "1" and r["error"] is None for i, r in out.items() if i != 7)
+
+
+def test_negatives_reach_every_class(spark):
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "label")
+    few = M.per_class(e, 32, label_col="label", seed=1, id_cols="vec_id")
+    label = {r["vec_id"]: r["label"] for r in few.collect()}
+    classes: dict = {}
+    for r in JB.contrastive_pairs(few, 20).filter("NOT similar").collect():
+        classes.setdefault(r["a_id"], set()).add(label[r["b_id"]])
+    assert len(classes) == len(label)
+    assert all(len(c) == 9 and label[a] not in c for a, c in classes.items())
+    with pytest.raises(ValueError):
+        JB.contrastive_pairs(few, 20, max_rows=10)
+
+
+def test_one_scan_of_the_predictions(spark):
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "label")
+    plan = MT.weighted(e.withColumn("prediction", MT.standin_prediction("t", "vec_id")))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("FileScan") == 1

@@ -99,3 +99,25 @@ def test_stratified_ladder_equals_stratified_fraction(spark):
         want = M.stratified_fraction(d, f, label_col="label", seed=11, id_cols="doc_id")
         assert (sorted(tuple(r) for r in want.select("doc_id", "label").collect())
                 == sorted(tuple(r) for r in got.select("doc_id", "label").collect()))
+
+
+def test_null_strata_and_groups_are_kept(spark):
+    d = spark.range(100).withColumn("label", F.when(F.col("id") % 4 > 0, F.col("id") % 4))
+    half = M.stratified_fraction(d, 0.5, label_col="label", seed=1, id_cols="id")
+    got = {r["label"]: r["count"] for r in half.groupBy("label").count().collect()}
+    assert sum(got.values()) == 50 and got[None] in (12, 13)
+    s = M.split(d, 0.3, seed=1, id_cols="id", group_key="label").collect()
+    assert len(s) == 100 and len({r["part"] for r in s if r["label"] is None}) == 1
+
+
+def test_sample_reads_its_input_three_times(spark):
+    """Counts, boundary buckets, marks: the plan of the result scans the input twice (the
+    counts are written before)."""
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang")
+    plan = M.sample_fraction(d, 0.3, seed=1, id_cols="doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 1
+
+
+def test_realised_rate(spark):
+    r = M.realised_rate(spark.range(10), spark.range(40), nominal_rows=8).first()
+    assert (r["percentage"], r["labelled_share"]) == (0.2, 0.25)

@@ -85,3 +85,18 @@ def test_tfidf_release_drops_the_cached_counts(spark):
     model.release()
     assert model.tf_cache is None and not cached.storageLevel.useMemory
     assert w.count() == n  # recomputed from the lineage
+
+
+def test_only_vocabulary_tokens_are_shuffled(spark):
+    """The top-feature path filters tokens by the vocabulary where the texts were read."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    words = terms.top_vocabulary(docs, 5)
+    model, w = terms.tfidf(docs, vocabulary=words)
+    assert {r["term"] for r in w.select("term").distinct().collect()} <= set(words)
+    assert "FileScan" not in w._jdf.queryExecution().executedPlan().toString()  # it reads the written counts
+
+
+def test_bag_of_words_with_a_repeated_term(spark):
+    d = spark.createDataFrame([(1, ["a", "b", "a"]), (2, [])], "doc_id long, tokens array<string>")
+    got = {(r["doc_id"], r["pos"]): (r["term"], r["n"]) for r in terms.bag_of_words(d, ["a", "c", "a"]).collect()}
+    assert got == {(1, 0): ("a", 2), (1, 1): ("c", 0), (1, 2): ("a", 2), (2, 0): ("a", 0), (2, 1): ("c", 0), (2, 2): ("a", 0)}

@@ -102,3 +102,25 @@ def test_encode_ids_pads_and_truncates(spark):
 def test_stopword_list_is_fixed():
     assert len(fixed.ENGLISH_STOPWORDS) == 179
     assert len(set(fixed.ENGLISH_STOPWORDS)) == 179
+
+
+def test_lexicon_with_repeated_tokens_keeps_the_rows(spark):
+    toks = spark.createDataFrame([(1, 0, "cats"), (1, 1, "dog")], "doc_id long, pos int, token string")
+    lex = spark.createDataFrame([("cats", "cat"), ("cats", "cata")], "token string, base string")
+    out = [(r["pos"], r["token"]) for r in TK.apply_lexicon(toks, lex).orderBy("pos").collect()]
+    assert out == [(0, "cat"), (1, "dog")]
+
+
+def test_unknown_tokens_keep_their_place(spark):
+    d = spark.createDataFrame([(1, ["a", "zz", "b", "a"]), (2, [])], "doc_id long, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 1), ("b", 2)], "token string, id long")
+    got = {r["doc_id"]: (list(r["input_ids"]), list(r["attention_mask"])) for r in
+           TK.encode_ids(d, vocab, max_len=3, unknown_id=9).collect()}
+    assert got == {1: ([1, 9, 2], [1, 1, 1]), 2: ([0, 0, 0], [0, 0, 0])}
+
+
+def test_modes_above_two_are_lemma(spark):
+    d = spark.createDataFrame([(1, "Cats sat")], "doc_id long, text string")
+    lex = spark.createDataFrame([("cats", "cat")], "token string, base string")
+    a, b = (TK.preprocess(d, mode=m, lexicon=lex).first()["tokens"] for m in (2, 5))
+    assert a == b == "cat sat"

@@ -89,7 +89,3 @@ EXAMPLE_DOCUMENTS = [
     "Art is a diverse range of human activities involving creative imagination to express technical proficiency, beauty, emotional power, or conceptual ideas. It encompasses various forms including painting, sculpture, literature, music, dance, and photography. Throughout history, art has been a powerful medium for cultural expression, social commentary, and personal exploration. It often reflects the social, political, and technological contexts of its time. The interpretation and appreciation of art can be highly subjective, leading to ongoing debates about its nature, purpose, and value in society.",
 ]
 
-
-def fraction_ladder(num_percentiles: int = NUM_PERCENTILES) -> list[float]:
-    """The learning-curve shares: i / num_percentiles for i in 1, 5, 9, 13, 17."""
-    return [i / num_percentiles for i in range(*LADDER_RANGE)]

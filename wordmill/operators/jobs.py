@@ -17,45 +17,54 @@ from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
-from wordmill.functions.hashing import id_string, seeded_hash
+from wordmill.functions.hashing import hash_int, id_string, seeded_hash
 from wordmill.operators import metrics as MT
-from wordmill.session import broadcast_if_small
+from wordmill.session import broadcast_if_small, cut_lineage, scratch_path
+from wordmill.sources import store as ST
 
 ScoreFn = Callable[[pd.DataFrame], pd.Series]
 Responder = Callable[[pd.DataFrame], pd.Series]
 
 
+# Rows of a few-shot table: pairs are made from drawn examples, not from a corpus.
+MAX_FEW_SHOT_ROWS = 1_000_000
+
+
 # L6
 def contrastive_pairs(few: DataFrame, k: int = fixed.CONTRASTIVE_ITERATIONS, *, id_col: str = "vec_id",
-                      label_col: str = "label", seed=fixed.BASELINE_SEED) -> DataFrame:
+                      label_col: str = "label", seed=fixed.BASELINE_SEED,
+                      max_rows: int = MAX_FEW_SHOT_ROWS) -> DataFrame:
     """``(a_id, b_id, similar)``: for every anchor, ``min(k, m-1)`` positives from its own
     class and ``min(k, N-m)`` negatives from the other classes (m = class size, N = all).
 
     No pair enumeration: rows are ranked by hash inside their class and laid out class
-    after class; the j-th positive of the anchor at rank r is rank ``(r+j) mod m`` of
-    its class, the j-th negative is the ``(r+j) mod (N-m)``-th row after its class
-    block (wrapping around). Each partner is found by an equi-join on position, so the
-    output is exactly anchors x 2k rows at most."""
-    x = few.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_lab"),
-                   seeded_hash(seed, id_col).alias("_h"))
+    after class. The j-th positive of the anchor at rank r is rank ``(r+j) mod m`` of its
+    class. Negatives stride over all other rows: from a start hashed from the anchor, by
+    ``floor((N-m)/k)``, so they are distinct and reach every class a stride does not jump
+    over. Each partner is found by an equi-join on position. Input above ``max_rows``
+    (a class is ranked by one task) is refused."""
+    x = cut_lineage(few.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_lab"),
+                               seeded_hash(seed, id_col).alias("_h")))
+    if x.count() > max_rows:
+        raise ValueError(f"contrastive pairs need a few-shot table of at most {max_rows} rows")
     x = x.withColumn("_r", F.row_number().over(Window.partitionBy("_lab").orderBy("_h", "_id")) - 1)
     sizes = x.groupBy("_lab").agg(F.count(F.lit(1)).alias("_m"))
     w = Window.orderBy("_lab").rowsBetween(Window.unboundedPreceding, 0)
-    offs = (sizes.withColumn("_o", F.sum("_m").over(w) - F.col("_m"))
-            .withColumn("_n", F.sum("_m").over(Window.partitionBy())))
-    n_classes = sizes.count()
-    x = x.join(broadcast_if_small(offs, n_classes), "_lab").withColumn("_g", F.col("_o") + F.col("_r"))
-    anchors = x.select("_id", "_lab", "_r", "_m", "_o", "_n")
-    pos = anchors.filter(F.col("_m") > 1).withColumn(
+    offs = cut_lineage(sizes.withColumn("_o", F.sum("_m").over(w) - F.col("_m"))
+                       .withColumn("_n", F.sum("_m").over(Window.partitionBy())))
+    x = cut_lineage(x.join(broadcast_if_small(offs), "_lab").withColumn("_g", F.col("_o") + F.col("_r")))
+    pos = x.filter(F.col("_m") > 1).withColumn(
         "_j", F.explode(F.sequence(F.lit(1), F.least(F.lit(k), F.col("_m") - 1))))
     pos = pos.select(F.col("_id").alias("a_id"), "_lab",
                      ((F.col("_r") + F.col("_j")) % F.col("_m")).alias("_r"))
     pos = pos.join(x.select("_lab", "_r", F.col("_id").alias("b_id")), ["_lab", "_r"]) \
         .select("a_id", "b_id", F.lit(True).alias("similar"))
-    neg = anchors.filter(F.col("_n") > F.col("_m")).withColumn(
-        "_j", F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("_n") - F.col("_m")) - 1)))
+    others = F.col("_n") - F.col("_m")
+    step = F.greatest(F.floor(others / k), F.lit(1))
+    neg = x.filter(others > 0).withColumn(
+        "_j", F.explode(F.sequence(F.lit(0), F.least(F.lit(k), others) - 1)))
     neg = neg.select(F.col("_id").alias("a_id"),
-                     ((F.col("_o") + F.col("_m") + (F.col("_r") + F.col("_j")) % (F.col("_n") - F.col("_m")))
+                     ((F.col("_o") + F.col("_m") + (hash_int(F.col("_h")) + F.col("_j") * step) % others)
                       % F.col("_n")).alias("_g"))
     neg = neg.join(x.select("_g", F.col("_id").alias("b_id")), "_g") \
         .select("a_id", "b_id", F.lit(False).alias("similar"))
@@ -82,9 +91,11 @@ def score_batches(df: DataFrame, score_fn: ScoreFn, *, keep: Sequence[str],
 
 # T13 (few-shot block)
 def few_shot_block(few: DataFrame, *, text_col: str = "text", label_col: str = "label",
-                   id_cols="doc_id", seed=fixed.BASELINE_SEED) -> Column:
-    """The examples of a (bounded) few-shot table joined into one string in hash
-    order, as a scalar subquery: no join with the item table and nothing on the driver."""
+                   id_cols="doc_id", seed=fixed.BASELINE_SEED, max_rows: int = 1_000) -> Column:
+    """The examples of a few-shot table joined into one string in hash order, as a scalar
+    subquery: no join with the item table and nothing on the driver. The first
+    ``max_rows`` examples in that order are used (a prompt has a bounded length)."""
+    few = few.orderBy(seeded_hash(seed, id_cols), id_string(id_cols)).limit(max_rows)
     line = T.few_shot_line(text_col, label_col)
     parts = F.array_sort(F.collect_list(F.struct(seeded_hash(seed, id_cols).alias("h"),
                                                  id_string(id_cols).alias("i"), line.alias("s"))))
@@ -92,31 +103,51 @@ def few_shot_block(few: DataFrame, *, text_col: str = "text", label_col: str = "
 
 
 def _respond(df: DataFrame, responder: Responder, keep: Sequence[str], reply_col: str) -> DataFrame:
+    """``(keep..., reply, error)``. A batch whose call fails is tried again row by row;
+    a row that fails alone gets a NULL reply and the error's text, and the job goes on."""
     keep = list(keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep)
-    schema += f", {reply_col} string"
+    schema += f", {reply_col} string, error string"
+
+    def one(row: pd.DataFrame) -> tuple[str | None, str | None]:
+        try:
+            return list(responder(row))[0], None
+        except Exception as e:  # noqa: BLE001 - the caller's function may raise anything
+            return None, f"{type(e).__name__}: {e}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = pdf[keep].copy()
-            out[reply_col] = list(responder(pdf))
+            try:
+                replies = [(r, None) for r in responder(pdf)]
+            except Exception:  # noqa: BLE001
+                replies = [one(pdf.iloc[i:i + 1]) for i in range(len(pdf))]
+            out[reply_col] = [r for r, _ in replies]
+            out["error"] = pd.Series([e for _, e in replies], index=out.index, dtype=object)
             yield out
 
     return df.mapInPandas(run, schema)
 
 
+def _stored(df: DataFrame, path: str | None) -> DataFrame:
+    """Replies written once: whatever reads them later repeats no call."""
+    spark = df.sparkSession
+    return ST.materialize(spark, lambda: df, path or scratch_path(spark, "replies"))
+
+
 # L10
 def prompt_classify(items: DataFrame, few: DataFrame | None, responder: Responder, *,
                     id_cols: Sequence[str] = ("doc_id",), text_col: str = "text",
-                    label_col: str = "label", seed=fixed.BASELINE_SEED) -> DataFrame:
-    """``(ids..., label, reply, prediction)``: render the prompt per item (few-shot block
-    included when ``few`` has rows), call ``responder`` on batches of prompts, parse the
-    reply to an int label (NULL when unparsable)."""
+                    label_col: str = "label", seed=fixed.BASELINE_SEED, path: str | None = None) -> DataFrame:
+    """``(ids..., label, reply, error, prediction)``: render the prompt per item (few-shot
+    block included when ``few`` has rows), call ``responder`` once per batch of prompts,
+    store the replies (at ``path``, reused if it exists), parse each to an int label (NULL
+    when unparsable)."""
     ids = list(id_cols)
     block = few_shot_block(few, text_col=text_col, label_col=label_col, id_cols=ids, seed=seed) \
         if few is not None else None
     prompts = items.select(*ids, label_col, T.classification_prompt(text_col, block).alias("prompt"))
-    replies = _respond(prompts, responder, ids + [label_col], "reply")
+    replies = _stored(_respond(prompts, responder, ids + [label_col], "reply"), path)
     return replies.withColumn("prediction", T.parse_int_reply("reply"))
 
 
@@ -126,12 +157,15 @@ def prompt_metrics(classified: DataFrame, *, label_col: str = "label") -> DataFr
 
 # L11
 def generate(contexts: DataFrame, responder: Responder, *, id_col: str = "item_id",
-             classes: Sequence[str] = fixed.EMOTIONS, json_prompt: bool = True) -> DataFrame:
-    """``(id, emotion, text, label)``: one prompt per (context row, class), the
-    responder's reply cleaned (strip, lower, newlines) and the class coded."""
-    rows = contexts.withColumn("emotion", F.explode(F.array(*[F.lit(c) for c in classes])))
+             classes: Sequence[str] = fixed.EMOTIONS, n_per_class: int = 1, json_prompt: bool = True,
+             names: bool = False, path: str | None = None) -> DataFrame:
+    """``(id, emotion, sample, text, label, error)``: ``n_per_class`` prompts per (context
+    row, class), the responder's reply cleaned (strip, lower, newlines) and the class as its
+    code, or its name with ``names``."""
+    rows = (contexts.withColumn("emotion", F.explode(F.array(*[F.lit(c) for c in classes])))
+            .withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n_per_class - 1)))))
     prompt = T.json_generation_prompt("emotion") if json_prompt else T.plain_generation_prompt("emotion")
-    rows = rows.withColumn("prompt", prompt)
-    replies = _respond(rows, responder, [id_col, "emotion"], "reply")
-    return replies.select(id_col, "emotion", T.clean_generated("reply").alias("text"),
-                          MT.name_to_code("emotion").alias("label"))
+    replies = _stored(_respond(rows.withColumn("prompt", prompt), responder, [id_col, "emotion", "sample"], "reply"), path)
+    label = F.col("emotion") if names else MT.name_to_code("emotion")
+    return replies.select(id_col, "emotion", "sample", T.clean_generated("reply").alias("text"),
+                          label.alias("label"), "error")

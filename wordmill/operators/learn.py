@@ -3,13 +3,17 @@
 The TF-IDF features equal the relational ones in ``terms``: lowercased runs of two or
 more word characters, smooth idf ``ln((1+n)/(1+df)) + 1`` and L2 rows. Spark's ``IDF``
 omits the ``+ 1``, so the fitted idf vector is shifted and applied with
-``ElementwiseProduct``. Logistic regression is multinomial with
-``regParam = 1 / n_train`` and no standardisation, which is the same objective as an
-L2 penalty with C = 1 on the summed loss.
+``ElementwiseProduct``. Logistic regression is multinomial with ``regParam`` one over the
+sum of the row weights and no standardisation of the penalty, which is the objective of
+an L2 penalty with C = 1 on the summed loss.
 
-A learning curve fits one pipeline per share (the driver loop is over a handful of
-shares, never over rows); all predictions are unioned and scored by one grouped
-metrics job.
+The vocabulary is not cut: the driver holds one coefficient per class and term, so its
+memory bounds the number of distinct terms; ``max_fit_rows`` bounds the training rows
+(the first in hash order) where that matters. It is unlimited by default.
+
+A learning curve fits one model per share (the driver loop is over a handful of
+shares, never over rows) on texts tokenised once; all predictions are unioned and
+scored by one grouped metrics job.
 """
 
 from __future__ import annotations
@@ -17,29 +21,33 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, IndexToString, Normalizer,
-                                RegexTokenizer, StringIndexer)
+from pyspark import StorageLevel
+from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, IndexToString,
+                                Normalizer, RegexTokenizer, StringIndexer)
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import DenseVector
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
-from wordmill.session import num_partitions, spread
+from wordmill.session import cut_lineage, spread
 
-EstimatorFn = Callable[[int], Estimator]
+EstimatorFn = Callable[..., Estimator]
 
 # Convergence tolerance of the reference's solver default (its iteration cap is 100).
 LR_TOL = 1e-4
 
-# Training rows per partition seen by the iterative solver.
-SOLVER_ROWS_PER_PARTITION = 50_000
+# Bytes of cached tokens per partition seen by the iterative solver, and bytes of a token.
+SOLVER_PARTITION_BYTES = 128 << 20
+TOKEN_BYTES = 24
+
+# CountVectorizer has no "all terms"; this is the largest value its parameter takes.
+ALL_TERMS = (1 << 31) - 1
 
 
 class SmoothIdf(Estimator):
@@ -65,163 +73,188 @@ class _ScaleModel(Model):
         return self.product.transform(dataset)
 
 
-def _solver_partitions(df: DataFrame, n_rows: int, rows_per_partition: int = SOLVER_ROWS_PER_PARTITION) -> DataFrame:
-    """Merge (without a shuffle) into about one partition per ``rows_per_partition``
-    rows. Every L-BFGS step is one ``treeAggregate`` of a classes x vocabulary
-    gradient per partition, so tiny partitions cost more in per-task overhead and
-    gradient traffic than they save; large inputs keep thousands of partitions."""
-    target = max(1, -(-n_rows // rows_per_partition))
-    n = num_partitions(df)
-    return df.coalesce(target) if n is not None and n > target else df
+def _tokenizer(text_col: str, tokens_col: str) -> RegexTokenizer:
+    return RegexTokenizer(inputCol=text_col, outputCol=tokens_col, pattern=T.WORD2_TOKEN, gaps=False, toLowercase=True)
+
 
+class TextClassifier(Estimator):
+    """L1: TF-IDF + multinomial logistic regression.
 
-class _TokenCachingPipeline(Pipeline):
-    """The TF-IDF + LR pipeline, fitted with the token arrays persisted once.
+    ``fit`` drops rows without a label, tokenises once (or takes ``tokens_col``), persists
+    label, tokens and weight for the vocabulary, idf and solver passes (memory and disk;
+    lost blocks are recomputed) and merges them, without a shuffle, into partitions sized
+    by the bytes of the tokens, one per core at least. The model is a ``PipelineModel``
+    from text (or tokens) to ``predicted``, the label itself; it never sees labels, so
+    rows with a label unknown to it are scored like any other."""
 
-    A plain ``Pipeline.fit`` re-runs the regex tokenizer for every later estimator
-    (vocabulary, idf, the solver's first pass). Here the fit keeps only the label
-    index, the tokens and the weight after the tokenizer, persists them (memory and
-    disk; lost blocks are recomputed from the lineage) for the following estimators,
-    and unpersists them when the model is built. The fitted model is an ordinary
-    ``PipelineModel``."""
+    def __init__(self, *, text_col: str = "text", label_col: str = "label", max_iter: int = fixed.LR_MAX_ITER,
+                 weight_col: str | None = None, tokens_col: str | None = None, max_fit_rows: int | None = None):
+        super().__init__()
+        self.text_col, self.label_col, self.max_iter = text_col, label_col, max_iter
+        self.weight_col, self.tokens_col, self.max_fit_rows = weight_col, tokens_col, max_fit_rows
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        stages = self.getStages()
-        fitted, held = [], None
-        head, last = stages[0], stages[-1]
-        keep = [head.getOutputCol()]
-        if last.isSet(last.weightCol):
-            keep.append(last.getWeightCol())
+        spark = dataset.sparkSession
+        rows = dataset.filter(F.col(self.label_col).isNotNull())
+        if self.max_fit_rows is not None:
+            rows = rows.orderBy(F.md5(F.col(self.tokens_col).cast("string") if self.tokens_col else F.col(self.text_col))
+                                ).limit(self.max_fit_rows)
+        tokens, stages = self.tokens_col or "_tok", []
+        if not self.tokens_col:
+            stages.append(_tokenizer(self.text_col, tokens))
+            rows = stages[0].transform(rows)
+        weight = F.col(self.weight_col).cast("double") if self.weight_col else F.lit(1.0)
+        held = rows.select(F.col(self.label_col).alias("_label"), F.col(tokens), weight.alias("_weight")).persist(
+            StorageLevel.MEMORY_AND_DISK)
         try:
-            for i, stage in enumerate(stages):
-                model = stage.fit(dataset) if isinstance(stage, Estimator) else stage
-                fitted.append(model)
-                if i < len(stages) - 1:
-                    dataset = model.transform(dataset)
-                    if isinstance(stage, RegexTokenizer):
-                        held = dataset.select(*keep, stage.getOutputCol()).persist(StorageLevel.MEMORY_AND_DISK)
-                        dataset = _solver_partitions(held, held.count())
+            size = held.agg(F.sum("_weight").alias("w"), F.sum(F.size(tokens)).alias("t")).first()
+            parts = max(-(-(size["t"] or 0) * TOKEN_BYTES // SOLVER_PARTITION_BYTES), spark.sparkContext.defaultParallelism)
+            data = held.coalesce(int(parts))
+            indexer = StringIndexer(inputCol="_label", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
+            data = indexer.transform(data)
+            for stage in (CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=ALL_TERMS),
+                          SmoothIdf(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="_x", p=2.0),
+                          LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_weight", predictionCol="_p",
+                                             family="multinomial", maxIter=self.max_iter, elasticNetParam=0.0,
+                                             regParam=1.0 / max(size["w"] or 0.0, 1.0), standardization=False, tol=LR_TOL)):
+                model = stage.fit(data) if isinstance(stage, Estimator) else stage
+                stages.append(model)
+                if not isinstance(model, LogisticRegressionModel):
+                    data = model.transform(data)
         finally:
-            if held is not None:
-                held.unpersist()
-        return PipelineModel(fitted)
-
-
-def tfidf_lr(n_train: int, *, text_col: str = "text", label_col: str = "label",
-             max_iter: int = fixed.LR_MAX_ITER, vocab_size: int = 1 << 18,
-             weight_col: str | None = None) -> Pipeline:
-    """L1: TF-IDF + multinomial logistic regression; ``predicted`` holds the label."""
-    indexer = StringIndexer(inputCol=label_col, outputCol="_y", stringOrderType="alphabetAsc",
-                            handleInvalid="keep")
-    lr = LogisticRegression(featuresCol="_x", labelCol="_y", predictionCol="_p", family="multinomial",
-                            maxIter=max_iter, regParam=1.0 / max(n_train, 1), standardization=False,
-                            elasticNetParam=0.0, tol=LR_TOL)
-    if weight_col:
-        lr.setWeightCol(weight_col)
-    return _TokenCachingPipeline(stages=[
-        indexer,
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=T.WORD2_TOKEN, gaps=False,
-                       toLowercase=True),
-        CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=vocab_size),
-        SmoothIdf(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="_x", p=2.0),
-        lr,
-    ])
-
-
-def _indexer_labels(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].labels)
-
-
-def predict(model: PipelineModel, df: DataFrame, *, label_col: str = "label") -> DataFrame:
-    """Scored rows with ``predicted`` as the original label type (string here)."""
+            held.unpersist()
+        return PipelineModel([*stages, IndexToString(inputCol="_p", outputCol="predicted", labels=list(indexer.labels))])
+
+
+def text_classifier(**kw) -> TextClassifier:
+    return TextClassifier(**kw)
+
+
+def features(model: PipelineModel, df: DataFrame, id_cols: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``(ids..., term, weight)``: the rows the solver sees, as a long table."""
+    out = df
+    for stage in model.stages[:-2]:
+        out = stage.transform(out)
+    vocab = next(s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel))
+    terms = df.sparkSession.createDataFrame(list(enumerate(vocab)), "_i int, term string")
+    x = F.unwrap_udt("_x")
+    cells = out.select(*id_cols, x.alias("v")).select(*id_cols, F.explode(F.arrays_zip(
+        F.col("v.indices").alias("i"), F.col("v.values").alias("w"))).alias("c"))
+    return (cells.filter(F.col("c.w") != 0).select(*id_cols, F.col("c.i").alias("_i"), F.col("c.w").alias("weight"))
+            .join(terms, "_i").select(*id_cols, "term", "weight"))
+
+
+def predict(model: Model, df: DataFrame) -> DataFrame:
+    """Scored rows with ``predicted`` by any fitted model: its column ``predicted`` is
+    taken as it is, else its ``prediction``."""
     out = model.transform(df)
-    back = IndexToString(inputCol="_p", outputCol="predicted", labels=_indexer_labels(model))
-    return back.transform(out)
+    return out if "predicted" in out.columns else out.withColumnRenamed("prediction", "predicted")
 
 
 # L1 / L4
-def cross_evaluate(model: PipelineModel, df: DataFrame, *, label_col: str = "label",
+def cross_evaluate(model: Model, df: DataFrame, *, label_col: str = "label",
                    by: Sequence[str] = ()) -> DataFrame:
-    """Score ``df`` with a fitted pipeline and compute weighted metrics."""
-    pred = predict(model, df, label_col=label_col).select(*by, label_col, "predicted")
+    """Score ``df`` with a fitted model and compute weighted metrics."""
+    pred = predict(model, df).select(*by, label_col, "predicted")
     return MT.weighted(pred, label_col=label_col, pred_col="predicted", by=by)
 
 
+def curve_parts(df: DataFrame, fractions: Sequence[float] | None = None, *, seed=fixed.BASELINE_SEED, id_cols="doc_id",
+                valid_share: float = fixed.BASELINE_VALID_SHARE, out_col: str = "_wm_parts") -> DataFrame:
+    """``df`` with an array of its part ('train', 'valid' or NULL) at every share."""
+    return M.ladder_splits(df, M.ladder(fractions), valid_share, seed=seed, split_seed=f"{seed}/split",
+                           id_cols=id_cols, out_col=out_col)
+
+
+def steps_so_far(parts_col: str, i: int):
+    """How many of the first ``i + 1`` shares hold a row: its weight when models are
+    trained step after step."""
+    return F.size(F.filter(F.slice(parts_col, 1, i + 1), lambda p: p.isNotNull())).cast("double")
+
+
 # L2 / L3 / L8 / L9
 def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, seed=fixed.BASELINE_SEED,
                    id_cols="doc_id", label_col: str = "label", text_col: str = "text",
-                   estimator_fn: Callable[..., Estimator] | None = None,
+                   estimator_fn: EstimatorFn | None = None,
                    valid_share: float = fixed.BASELINE_VALID_SHARE, sampling: str = "simple",
                    holdout: DataFrame | None = None, cumulative: bool = False) -> DataFrame:
     """Long results ``(percentage, metric, value)``.
 
     Per share: sample (simple M1 or stratified M4), split train/valid (M2) unless a
-    fixed ``holdout`` is given, fit on train, predict. ``cumulative=True`` reuses the
-    earlier steps the way a model trained step after step would: rows of earlier
-    shares carry a weight equal to the number of steps that included them."""
+    fixed ``holdout`` is given, fit on train, predict. ``estimator_fn(**kw)`` makes any
+    estimator; it is given ``weight_col`` in a cumulative curve. ``cumulative=True``
+    trains the way a model trained step after step would: a row weighs as many times as
+    earlier shares included it. Without ``estimator_fn`` texts are tokenised once."""
     fr = M.ladder(fractions)
-    est = estimator_fn or (lambda n, **kw: tfidf_lr(n, text_col=text_col, label_col=label_col, **kw))
-    base = spread(df.select(*([id_cols] if isinstance(id_cols, str) else id_cols), text_col, label_col))
-    preds = []
-    if cumulative:
-        steps = M.nested_samples(base, fr, seed=seed, id_cols=id_cols, frac_col="_share")
-    ladder_parts = strata = None
-    if sampling == "stratified":
-        strata = M.stratified_ladder(base, fr, label_col=label_col, seed=seed, id_cols=id_cols)
-    elif holdout is None:
-        # all shares' samples and splits from one pass over the ids
-        ladder_parts = M.ladder_splits(base, fr, valid_share, seed=seed, split_seed=f"{seed}/split",
-                                       id_cols=id_cols)
-    for i, frac in enumerate(fr):
-        if ladder_parts is not None:
-            part = F.col("_wm_parts")[i]
-            train = ladder_parts.filter(part == "train").drop("_wm_parts")
-            valid = ladder_parts.filter(part == "valid").drop("_wm_parts")
-        else:
-            if strata is not None:
-                sample = strata[i]
-            else:
-                sample = M.sample_fraction(base, frac, seed=seed, id_cols=id_cols)
-            if holdout is None:
-                parts = M.split(sample, valid_share, seed=f"{seed}/split", id_cols=id_cols)
-                train, valid = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "valid")
+    keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    base, held = spread(df.select(*keys, text_col, label_col)), []
+
+    def prepared(d: DataFrame) -> DataFrame:
+        if estimator_fn is not None:
+            return d
+        out = _tokenizer(text_col, "_wm_tok").transform(d).drop(text_col).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(out)
+        return out
+
+    def make(**kw) -> Estimator:
+        return estimator_fn(**kw) if estimator_fn is not None else TextClassifier(label_col=label_col, tokens_col="_wm_tok", **kw)
+
+    try:
+        if sampling != "stratified" and holdout is None:
+            base = curve_parts(base, fr, seed=seed, id_cols=keys, valid_share=valid_share)
+        base = prepared(base)
+        fixed_valid = prepared(spread(holdout.select(*keys, text_col, label_col))) if holdout is not None else None
+        strata = M.stratified_ladder(base, fr, label_col=label_col, seed=seed, id_cols=keys) if sampling == "stratified" else None
+        preds = []
+        for i, frac in enumerate(fr):
+            kw = {}
+            if "_wm_parts" in base.columns:
+                part = F.col("_wm_parts")[i]
+                train, valid = base.filter(part == "train"), base.filter(part == "valid")
+                if cumulative:
+                    train, kw = train.withColumn("_w", steps_so_far("_wm_parts", i)), {"weight_col": "_w"}
             else:
-                train, valid = sample, holdout
-        n_train = train.count()
-        if cumulative:
-            keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-            w = (steps.filter(F.col("_share") <= F.lit(float(frac))).groupBy(*keys)
-                 .agg(F.count(F.lit(1)).cast("double").alias("_w")))
-            train = train.join(w, keys, "left").fillna(1.0, subset=["_w"])
-            model = est(n_train, weight_col="_w").fit(train)
-        else:
-            model = est(n_train).fit(train)
-        preds.append(predict(model, valid).select(label_col, "predicted")
-                     .withColumn("percentage", F.lit(float(frac))))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    wide = MT.weighted(allp, label_col=label_col, pred_col="predicted", by=["percentage"])
+                train = strata[i] if strata is not None else M.sample_fraction(base, frac, seed=seed, id_cols=keys)
+                valid = fixed_valid
+                if valid is None:
+                    parts = M.split(train, valid_share, seed=f"{seed}/split", id_cols=keys)
+                    train, valid = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "valid")
+            model = make(**kw).fit(train)
+            preds.append(predict(model, valid).select(label_col, "predicted").withColumn("percentage", F.lit(float(frac))))
+        allp = preds[0]
+        for p in preds[1:]:
+            allp = allp.unionByName(p)
+        # one row per share and pair of classes: written while the tokens are held
+        conf = cut_lineage(MT.confusion(allp, label_col=label_col, pred_col="predicted", by=["percentage"]))
+    finally:
+        for h in held:
+            h.unpersist()
+    wide = MT.weighted_of(conf, label_col=label_col, pred_col="predicted", by=["percentage"])
     return MT.to_long(wide, ["percentage"])
 
 
 # L5
+def few_shot_parts(df: DataFrame, n: int, *, id_col: str = "vec_id", label_col: str = "label", seed=fixed.BASELINE_SEED,
+                   valid_share: float = fixed.FEW_SHOT_VALID_SHARE) -> tuple[DataFrame, DataFrame]:
+    """``n`` rows per class of the train half, and the whole other half."""
+    parts = M.split(df, valid_share, seed=f"{seed}/split", id_cols=id_col)
+    return (M.per_class(parts.filter(F.col("part") == "train"), n, label_col=label_col, seed=seed, id_cols=id_col),
+            parts.filter(F.col("part") == "valid"))
+
+
 def few_shot_head(emb: DataFrame, n: int, *, id_col: str = "vec_id", label_col: str = "label",
                   vec_col: str = "embedding", seed=fixed.BASELINE_SEED,
                   valid_share: float = fixed.FEW_SHOT_VALID_SHARE) -> tuple[DataFrame, DataFrame]:
     """Split the embeddings in halves, draw ``n`` rows per class from the train half,
     fit a linear head, score the other half. Returns (wide metrics, predictions)."""
     x = emb.withColumn("_x", array_to_vector(F.col(vec_col)))
-    parts = M.split(x, valid_share, seed=f"{seed}/split", id_cols=id_col)
-    train = M.per_class(parts.filter(F.col("part") == "train"), n, label_col=label_col, seed=seed,
-                        id_cols=id_col)
+    train, valid = few_shot_parts(x, n, id_col=id_col, label_col=label_col, seed=seed, valid_share=valid_share)
+    train = cut_lineage(train)
     n_train = train.count()
     lr = LogisticRegression(featuresCol="_x", labelCol=label_col, predictionCol="_p", family="multinomial",
                             maxIter=fixed.LR_MAX_ITER, regParam=1.0 / max(n_train, 1), standardization=False,
                             tol=LR_TOL)
     model = lr.fit(train.withColumn(label_col, F.col(label_col).cast("double")))
-    valid = parts.filter(F.col("part") == "valid")
     pred = model.transform(valid.withColumn(label_col, F.col(label_col).cast("double")))
     pred = pred.select(id_col, F.col(label_col).cast("int").alias(label_col),
                        F.col("_p").cast("int").alias("prediction"))
@@ -233,14 +266,13 @@ def top_coefficients(model: PipelineModel, k: int = 10) -> DataFrame:
     """``(label, term, coefficient, rank)``: the k largest coefficients per class by
     ``(coefficient desc, term asc)``. The coefficient matrix is already a driver-side
     model artifact (classes x vocabulary); only k rows per class leave it."""
-    labels = _indexer_labels(model)
-    vocab = np.asarray(model.stages[2].vocabulary)
-    coef = model.stages[5].coefficientMatrix.toArray()
+    labels = model.stages[-1].getLabels()
+    vocab = np.asarray(next(s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel)))
+    coef = next(s for s in model.stages if isinstance(s, LogisticRegressionModel)).coefficientMatrix.toArray()
     rows = []
     for c in range(coef.shape[0]):
         order = np.lexsort((vocab, -coef[c]))[:k]
-        name = labels[c] if c < len(labels) else None
-        rows += [(name, str(vocab[j]), float(coef[c, j]), r + 1) for r, j in enumerate(order)]
+        rows += [(labels[c], str(vocab[j]), float(coef[c, j]), r + 1) for r, j in enumerate(order)]
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame(rows, "label string, term string, coefficient double, rank int")
 

@@ -45,31 +45,36 @@ def weighted(pred: DataFrame, *, label_col: str = "label", pred_col: str = "pred
              by: Sequence[str] = ()) -> DataFrame:
     """``(by..., f1, precision, recall, accuracy, n_invalid)``, support-weighted over the
     true classes; precision of a class never predicted is 0."""
+    return weighted_of(confusion(pred, label_col=label_col, pred_col=pred_col, by=by),
+                       label_col=label_col, pred_col=pred_col, by=by)
+
+
+def weighted_of(conf: DataFrame, *, label_col: str = "label", pred_col: str = "prediction",
+                by: Sequence[str] = ()) -> DataFrame:
+    """``weighted`` from a table of confusion counts ``(by..., label, prediction, n)``."""
     by = list(by)
-    conf = confusion(pred, label_col=label_col, pred_col=pred_col, by=by)
-    sup = conf.groupBy(*by, label_col).agg(F.sum("n").alias("sup"))
-    tp = (conf.filter(F.col(label_col) == F.col(pred_col))
-          .groupBy(*by, label_col).agg(F.sum("n").alias("tp")))
-    prd = (conf.filter(F.col(pred_col).isNotNull())
-           .groupBy(*by, F.col(pred_col).alias(label_col)).agg(F.sum("n").alias("prd")))
-    inv = (conf.filter(F.col(pred_col).isNull())
-           .groupBy(*by).agg(F.sum("n").alias("n_invalid")))
-    keys = by + [label_col]
-    pc = (sup.join(tp, keys, "left").join(prd, keys, "left")
-          .fillna(0, subset=["tp", "prd"]))
-    prec = F.when(F.col("prd") == 0, F.lit(0.0)).otherwise(F.col("tp") / F.col("prd"))
-    rec = F.col("tp") / F.col("sup")
-    f1 = 2.0 * F.col("tp") / (F.col("sup") + F.col("prd"))
-    agg = pc.groupBy(*by).agg(
-        (F.sum(F.col("sup") * f1) / F.sum("sup")).alias("f1"),
-        (F.sum(F.col("sup") * prec) / F.sum("sup")).alias("precision"),
-        (F.sum(F.col("sup") * rec) / F.sum("sup")).alias("recall"),
-        (F.sum("tp") / F.sum("sup")).alias("accuracy"))
-    if by:
-        agg = agg.join(inv, by, "left")
-    else:
-        agg = agg.crossJoin(inv.agg(F.sum("n_invalid").alias("n_invalid")))
-    return agg.withColumn("n_invalid", F.coalesce(F.col("n_invalid"), F.lit(0)).cast("long"))
+    # every confusion row counts once for its true class and once for its predicted one:
+    # all that follows is one aggregation of that small table, so predictions are made once
+    kind = conf.schema[label_col].dataType
+    label, guess, n = F.col(label_col), F.col(pred_col).cast(kind), F.col("n")
+    none = F.lit(0).cast("long")
+
+    def role(cls, sup, tp, prd, inv):
+        return F.struct(cls.alias("_c"), sup.alias("_sup"), tp.alias("_tp"), prd.alias("_prd"), inv.alias("_inv"))
+
+    true = role(label, n, F.when(label == guess, n).otherwise(none), none, F.when(guess.isNull(), n).otherwise(none))
+    said = F.when(guess.isNotNull(), role(guess, none, none, n, none))
+    pc = (conf.select(*by, F.explode(F.array_compact(F.array(true, said))).alias("_r")).select(*by, "_r.*")
+          .groupBy(*by, "_c").agg(*[F.sum(c).alias(c) for c in ("_sup", "_tp", "_prd", "_inv")]))
+    sup, tp, prd = F.col("_sup"), F.col("_tp"), F.col("_prd")
+    prec = F.when(prd == 0, F.lit(0.0)).otherwise(F.try_divide(tp, prd))
+    f1 = F.try_divide(2.0 * tp, sup + prd)
+    # a NULL label has support but cannot be predicted
+    total = F.sum("_sup")
+    return pc.groupBy(*by).agg(
+        F.try_divide(F.sum(sup * f1), total).alias("f1"), F.try_divide(F.sum(sup * prec), total).alias("precision"),
+        F.try_divide(F.sum(tp), total).alias("recall"), F.try_divide(F.sum(tp), total).alias("accuracy"),
+        F.coalesce(F.sum("_inv"), none).alias("n_invalid"))
 
 
 # R1

@@ -41,62 +41,83 @@ def _key() -> Column:
     return F.struct(F.col(_H), F.col(_ID))
 
 
-def _thresholds(x: DataFrame, quotas: DataFrame, strata: Sequence[str]) -> DataFrame:
-    """``(strata..., _mode, _tk)``: per stratum 'all', 'none' or the key of the last
-    row inside the quota. ``quotas`` has columns ``(strata..., _q)``; one row per stratum."""
-    s = list(strata)
-    counts = x.groupBy(*s, hash_bucket(F.col(_H)).alias(_B)).agg(F.count(F.lit(1)).alias("_c"))
+def _join(a: DataFrame, b: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which a NULL stratum matches a NULL stratum; keeps ``a``'s columns."""
+    named = b.select(*[F.col(c).alias(f"_wm_k{i}") for i, c in enumerate(cols)],
+                     *[c for c in b.columns if c not in cols])
+    on = F.lit(True)
+    for i, c in enumerate(cols):
+        on = on & a[c].eqNullSafe(named[f"_wm_k{i}"])
+    return a.join(named, on, how).drop(*[f"_wm_k{i}" for i in range(len(cols))])
+
+
+def _bucket_counts(x: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """``(strata..., _wm_b, _c)``, written once: sizes, quotas and boundaries come from it."""
+    return cut_lineage(x.groupBy(*strata, hash_bucket(F.col(_H)).alias(_B)).agg(F.count(F.lit(1)).alias("_c")))
+
+
+def _thresholds(x: DataFrame, counts: DataFrame, quotas: DataFrame, strata: Sequence[str],
+                tags: Sequence[str] = ()) -> DataFrame:
+    """``(strata..., tags..., _mode, _tk)``: per stratum 'all', 'none' or the key of the
+    last row inside the quota. ``quotas`` has columns ``(strata..., tags..., _q)``; ``tags``
+    tell several quotas of one stratum apart (the shares of a ladder)."""
+    s, t = list(strata), list(tags)
     w = Window.partitionBy(*s).orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("_cum", F.sum("_c").over(w)).join(quotas, s, "inner")
+    cum = _join(counts.withColumn("_cum", F.sum("_c").over(w)), quotas, s, "inner")
     part = (cum.filter((F.col("_cum") - F.col("_c") < F.col("_q")) & (F.col("_cum") >= F.col("_q")))
-            .select(*s, _B, (F.col("_q") - (F.col("_cum") - F.col("_c"))).alias("_need")))
-    part = cut_lineage(part)
-    n_part = part.count()
-    xb = x.withColumn(_B, hash_bucket(F.col(_H)))
-    boundary = xb.join(broadcast_if_small(part, n_part), s + [_B], "inner")
-    rw = Window.partitionBy(*s, _B).orderBy(F.col(_H), F.col(_ID))
+            .select(*s, _B, *t, (F.col("_q") - (F.col("_cum") - F.col("_c"))).alias("_need")))
+    part = broadcast_if_small(cut_lineage(part))
+    boundary = _join(x.withColumn(_B, hash_bucket(F.col(_H))), part, s + [_B], "inner")
+    rw = Window.partitionBy(*s, *t, _B).orderBy(F.col(_H), F.col(_ID))
     thr = (boundary.withColumn("_rn", F.row_number().over(rw))
            .filter(F.col("_rn") == F.col("_need"))
-           .select(*s, _key().alias("_tk")))
-    totals = counts.groupBy(*s).agg(F.sum("_c").alias("_n")).join(quotas, s, "inner")
-    modes = totals.select(*s, F.when(F.col("_q") >= F.col("_n"), "all")
+           .select(*s, *t, _key().alias("_tk")))
+    totals = _join(counts.groupBy(*s).agg(F.sum("_c").alias("_n")), quotas, s, "inner")
+    modes = totals.select(*s, *t, F.when(F.col("_q") >= F.col("_n"), "all")
                           .when(F.col("_q") <= 0, "none").otherwise("thr").alias("_mode"))
-    return cut_lineage(modes.join(thr, s, "left"))
+    return cut_lineage(_join(modes, thr, s + t, "left"))
 
 
-def mark_prefix(df: DataFrame, quota: int | DataFrame, *, seed, id_cols, strata: Sequence[str] = (),
+def _total(counts: DataFrame) -> int:
+    return counts.agg(F.sum("_c")).first()[0] or 0
+
+
+def _flagged(x: DataFrame, thr: DataFrame, strata: Sequence[str], out_col: str) -> DataFrame:
+    j = _join(x, broadcast_if_small(thr), list(strata), "left")
+    flag = (F.when(F.col("_mode") == "all", True).when(F.col("_mode") == "thr", _key() <= F.col("_tk"))
+            .otherwise(False))
+    return j.withColumn(out_col, flag).drop(_H, _ID, "_mode", "_tk")
+
+
+def mark_prefix(df: DataFrame, quota, *, seed, id_cols, strata: Sequence[str] = (),
                 out_col: str = "_in") -> DataFrame:
     """Add boolean ``out_col``: row is among the first ``quota`` rows of its stratum in
-    hash order. ``quota`` is an int (same for every stratum) or ``(strata..., _q)``.
-    Strata without a quota row get ``False``."""
+    hash order. ``quota`` is an int (same for every stratum), a table ``(strata..., _q)``,
+    or a function: of the number of rows without strata, of the table of stratum sizes
+    ``(strata..., _k)`` with strata. Strata without a quota row get ``False``; NULL is a
+    stratum like any other. Three passes over the keys: counts, boundary buckets, marks."""
     s = list(strata) or ["_wm_s"]
     x = _keyed(df, seed, id_cols)
     if not strata:
         x = x.withColumn("_wm_s", F.lit(0))
-    if isinstance(quota, int):
-        quotas = x.select(*s).distinct().withColumn("_q", F.lit(quota).cast("long"))
-    else:
-        quotas = quota.select(*s, F.col("_q").cast("long"))
-        if not strata:
-            quotas = quotas.withColumn("_wm_s", F.lit(0))
-    thr = _thresholds(x, quotas, s)
-    n_thr = thr.count()
-    j = x.join(broadcast_if_small(thr, n_thr), s, "left")
-    flag = (F.when(F.col("_mode") == "all", True).when(F.col("_mode") == "thr", _key() <= F.col("_tk"))
-            .otherwise(False))
-    drop = [_H, _ID, "_mode", "_tk"] + ([] if strata else ["_wm_s"])
-    return j.withColumn(out_col, flag).drop(*drop)
+    counts = _bucket_counts(x, s)
+    sizes = counts.groupBy(*s).agg(F.sum("_c").alias("_k"))
+    if callable(quota):
+        quota = quota(sizes) if strata else quota(_total(counts))
+    quotas = sizes.select(*s, F.lit(quota).cast("long").alias("_q")) if isinstance(quota, int) \
+        else quota.select(*s, F.col("_q").cast("long"))
+    out = _flagged(x, _thresholds(x, counts, cut_lineage(quotas), s), s, out_col)
+    return out if strata else out.drop("_wm_s")
 
 
 # M1
 def sample_fraction(df: DataFrame, frac: float, *, seed, id_cols) -> DataFrame:
     """Exact ``round(frac * n)`` rows (half to even), without replacement; samples with
-    the same seed are nested."""
+    the same seed are nested. ``id_cols`` must be unique: rows that share an id share
+    its key and are kept or dropped together."""
     if not 0 <= frac <= 1:
         raise ValueError("frac must be within [0, 1]")
-    n = df.count()
-    q = round(frac * n)
-    return mark_prefix(df, q, seed=seed, id_cols=id_cols).filter("_in").drop("_in")
+    return mark_prefix(df, lambda n: round(frac * n), seed=seed, id_cols=id_cols).filter("_in").drop("_in")
 
 
 # M2 / M3 / M8
@@ -104,19 +125,20 @@ def split(df: DataFrame, valid_share: float, *, seed, id_cols, part_col: str = "
           names: tuple[str, str] = ("train", "valid"), group_key: str | Column | None = None) -> DataFrame:
     """Add ``part_col``: ``ceil(valid_share * n)`` rows in hash order are ``names[1]``.
     ``group_key`` (e.g. a hash of the normalised text) keeps copies on one side; the
-    share then applies to distinct groups."""
+    share then applies to distinct groups, and rows without a key are one group."""
     if not 0 < valid_share < 1:
         raise ValueError("valid_share must be within (0, 1)")
+    def quota(n):
+        return math.ceil(valid_share * n)
     if group_key is not None:
         gk = F.col(group_key) if isinstance(group_key, str) else group_key
-        groups = df.select(gk.alias("_wm_g")).distinct()
-        n = groups.count()
-        marked = mark_prefix(groups, math.ceil(valid_share * n), seed=seed, id_cols=["_wm_g"])
-        j = df.withColumn("_wm_g", gk).join(marked, "_wm_g")
+        keyed = df.withColumn("_wm_g", gk)
+        groups = keyed.select("_wm_g").distinct().withColumn("_wm_gid", F.coalesce(F.col("_wm_g").cast("string"), F.lit("")))
+        marked = mark_prefix(groups, quota, seed=seed, id_cols=["_wm_gid"]).drop("_wm_gid")
+        j = _join(keyed, marked, ["_wm_g"], "inner")
         return (j.withColumn(part_col, F.when(F.col("_in"), names[1]).otherwise(names[0]))
                 .drop("_in", "_wm_g"))
-    n = df.count()
-    marked = mark_prefix(df, math.ceil(valid_share * n), seed=seed, id_cols=id_cols)
+    marked = mark_prefix(df, quota, seed=seed, id_cols=id_cols)
     return marked.withColumn(part_col, F.when(F.col("_in"), names[1]).otherwise(names[0])).drop("_in")
 
 
@@ -147,43 +169,34 @@ def stratified_ladder(df: DataFrame, fractions: Sequence[float], *, label_col: s
                       id_cols) -> list[DataFrame]:
     """M4 at every share of a ladder, thresholds from one pass.
 
-    Class counts are one small aggregate; the quotas of all (share, class) pairs are
-    windows over that table; the thresholds come from one aggregate over
-    ``(id, label, share)`` rows. Each returned sample is a narrow filter of ``df``
-    against the counted thresholds of its share. A share ``>= 1`` keeps every row,
-    as in ``stratified_fraction``."""
+    The bucket counts of all classes are written once; class sizes, the quotas of all
+    (share, class) pairs and their boundary buckets come from that table. Each returned
+    sample is a narrow filter of ``df`` against the thresholds of its share. A share
+    ``>= 1`` keeps every row, as in ``stratified_fraction``."""
     fr = ladder(fractions)
     spark = df.sparkSession
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_k"))
-    shares = spark.createDataFrame([(i, float(f)) for i, f in enumerate(fr)], "_share int, _p double")
-    quotas = cut_lineage(_largest_remainder(counts.crossJoin(F.broadcast(shares)), F.col("_p"), label_col,
-                                            by=["_share"]))
-    s = ["_share", label_col]
-    explode = F.explode(F.array(*[F.lit(i) for i in range(len(fr))])).alias("_share")
-    x = _keyed(df.select(*([id_cols] if isinstance(id_cols, str) else id_cols), label_col),
-               seed, id_cols).select("*", explode)
-    thr = _thresholds(x, quotas, s)
-    n_thr = thr.count()
+    x = _keyed(df.select(*([id_cols] if isinstance(id_cols, str) else id_cols), label_col), seed, id_cols)
+    counts = _bucket_counts(x, [label_col])
+    sizes = counts.groupBy(label_col).agg(F.sum("_c").alias("_k"))
+    shares = F.explode(F.array(*[F.struct(F.lit(i).alias("_share"), F.lit(float(f)).alias("_p"))
+                                 for i, f in enumerate(fr)])).alias("_sp")
+    quotas = cut_lineage(_largest_remainder(sizes.select("*", shares).select(label_col, "_k", "_sp.*"), F.col("_p"),
+                                            label_col, by=["_share"]))
+    thr = _thresholds(x, counts, quotas, [label_col], ["_share"])
     keyed = _keyed(df, seed, id_cols)
-    flag = F.when(F.col("_mode") == "all", True).when(F.col("_mode") == "thr", _key() <= F.col("_tk"))
-    out = []
-    for i, f in enumerate(fr):
-        if f >= 1.0:
-            out.append(df)
-            continue
-        t = broadcast_if_small(thr.filter(F.col("_share") == i).drop("_share"), n_thr)
-        out.append(keyed.join(t, label_col, "inner").filter(flag).select(*df.columns))
-    return out
+    return [df if f >= 1.0 else
+            _flagged(keyed, thr.filter(F.col("_share") == i).drop("_share"), [label_col], "_in")
+            .filter("_in").select(*df.columns) for i, f in enumerate(fr)]
 
 
 # M4
 def stratified_fraction(df: DataFrame, p: float, *, label_col: str, seed, id_cols) -> DataFrame:
-    """Keep ``n - ceil((1-p) n)`` rows with per-class quotas; no-op when ``p >= 1``."""
+    """Keep ``n - ceil((1-p) n)`` rows spread over the classes (NULL is one of them) by
+    the largest remainder of ``k m / n``, ties to the smaller label; no-op when ``p >= 1``."""
     if p >= 1.0:
         return df
-    quotas = cut_lineage(stratified_quotas(df, p, label_col=label_col))
-    return (mark_prefix(df, quotas, seed=seed, id_cols=id_cols, strata=[label_col])
-            .filter("_in").drop("_in"))
+    return (mark_prefix(df, lambda sizes: _largest_remainder(sizes, F.lit(float(p)), label_col), seed=seed,
+                        id_cols=id_cols, strata=[label_col]).filter("_in").drop("_in"))
 
 
 # M5
@@ -202,9 +215,14 @@ def first_n(df: DataFrame, n: int, *, seed, id_cols) -> DataFrame:
 
 
 # M7
+def fraction_ladder(num_percentiles: int = fixed.NUM_PERCENTILES) -> list[float]:
+    """The learning-curve shares: i / num_percentiles for i in ``LADDER_RANGE``."""
+    return [i / num_percentiles for i in range(*fixed.LADDER_RANGE)]
+
+
 def ladder(fractions: Sequence[float] | None = None) -> list[float]:
     """The learning-curve shares; any list is accepted, values above 1 are rejected."""
-    fr = list(fractions) if fractions is not None else fixed.fraction_ladder()
+    fr = list(fractions) if fractions is not None else fraction_ladder()
     bad = [f for f in fr if not 0 < f <= 1]
     if bad:
         raise ValueError(f"shares must lie in (0, 1]: {bad}")
@@ -216,12 +234,16 @@ def nested_samples(df: DataFrame, fractions: Sequence[float], *, seed, id_cols,
     """All ladder samples in one pass: every row, tagged with each share whose sample
     holds it. Nesting means a row is in every share at or above its own threshold."""
     fr = ladder(fractions)
-    n = df.count()
-    spark = df.sparkSession
-    quotas = spark.createDataFrame([(float(f), round(f * n)) for f in fr], f"{frac_col} double, _q long")
-    rows = df.withColumn(frac_col, F.explode(F.array(*[F.lit(float(f)) for f in fr])))
-    return (mark_prefix(rows, quotas, seed=seed, id_cols=id_cols, strata=[frac_col])
-            .filter("_in").drop("_in"))
+    keyed = _keyed(df, seed, id_cols).withColumn("_wm_s", F.lit(0))
+    counts = _bucket_counts(keyed.select(_H, "_wm_s"), ["_wm_s"])
+    n = _total(counts)
+    quotas = df.sparkSession.createDataFrame([(0, i, round(f * n)) for i, f in enumerate(fr)],
+                                             "_wm_s int, _share int, _q long")
+    thr = _thresholds(keyed.select(_H, _ID, "_wm_s"), counts, quotas, ["_wm_s"], ["_share"])
+    # one row per share: they become literals, and only a row's own shares are expanded
+    t = {r["_share"]: (r["_mode"], r["_tk"]) for r in thr.collect()}
+    inside = F.array(*[F.when(_flag(*t.get(i, (None, None)), _key()), F.lit(float(f))) for i, f in enumerate(fr)])
+    return (keyed.withColumn(frac_col, F.explode(F.array_compact(inside))).drop(_H, _ID, "_wm_s"))
 
 
 def _flag(mode: str | None, tk, key: Column) -> Column:
@@ -247,20 +269,18 @@ def ladder_splits(df: DataFrame, fractions: Sequence[float], valid_share: float,
         raise ValueError("valid_share must be within (0, 1)")
     keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     spark = df.sparkSession
-    n = df.count()
+    x = _keyed(df.select(*keys), seed, id_cols).withColumn("_wm_s", F.lit(0))
+    counts = _bucket_counts(x, ["_wm_s"])
+    n = _total(counts)
     q = [round(f * n) for f in fr]
     qv = [math.ceil(valid_share * k) for k in q]
-    shares = F.explode(F.array(*[F.lit(i) for i in range(len(fr))])).alias("_share")
-    x = _keyed(df.select(*keys), seed, id_cols).select(*keys, _H, _ID, shares)
-    q1 = spark.createDataFrame(list(enumerate(q)), "_share int, _q long")
-    thr1 = _thresholds(x, q1, ["_share"])
-    inside = F.when(F.col("_mode") == "all", True).when(F.col("_mode") == "thr", _key() <= F.col("_tk"))
-    sampled = (x.join(F.broadcast(thr1), "_share", "left").filter(inside)
-               .select(*keys, "_share"))
-    q2 = spark.createDataFrame(list(enumerate(qv)), "_share int, _q long")
-    thr2 = _thresholds(_keyed(sampled, split_seed, id_cols), q2, ["_share"])
+    q1 = spark.createDataFrame([(0, i, k) for i, k in enumerate(q)], "_wm_s int, _share int, _q long")
     # one row per share on each side: bounded by the length of the ladder
-    t1 = {r["_share"]: (r["_mode"], r["_tk"]) for r in thr1.collect()}
+    t1 = {r["_share"]: (r["_mode"], r["_tk"]) for r in _thresholds(x, counts, q1, ["_wm_s"], ["_share"]).collect()}
+    held = F.array(*[F.when(_flag(*t1.get(i, (None, None)), _key()), F.lit(i)) for i in range(len(fr))])
+    sampled = _keyed(x.select(*keys, F.explode(F.array_compact(held)).alias("_share")), split_seed, id_cols)
+    q2 = spark.createDataFrame(list(enumerate(qv)), "_share int, _q long")
+    thr2 = _thresholds(sampled, _bucket_counts(sampled, ["_share"]), q2, ["_share"])
     t2 = {r["_share"]: (r["_mode"], r["_tk"]) for r in thr2.collect()}
     k1, k2 = _key(), F.struct(seeded_hash(split_seed, id_cols).alias(_H), F.col(_ID))
     parts = []
@@ -272,12 +292,10 @@ def ladder_splits(df: DataFrame, fractions: Sequence[float], valid_share: float,
 
 
 # M9
-def realised_rate(sample: DataFrame, population: DataFrame, nominal: float | None = None) -> DataFrame:
-    """``(percentage, labelled_share)``: the nominal share as the reference reports it
-    and the true share of the population that was drawn."""
-    share = sample.select(F.count(F.lit(1))).scalar() / population.select(F.count(F.lit(1))).scalar()
-    spark = sample.sparkSession
-    base = spark.range(1).select(F.lit(nominal).cast("double").alias("percentage") if nominal is not None
-                                 else share.alias("percentage"),
-                                 share.alias("labelled_share"))
-    return base
+def realised_rate(sample: DataFrame, population: DataFrame, nominal_rows: float | None = None) -> DataFrame:
+    """``(percentage, labelled_share)``: the nominal rows per population row as the
+    reference reports it, and the true share of the population that was drawn."""
+    n = F.count(F.lit(1))
+    drawn = sample.select(n).scalar()
+    return population.agg(F.try_divide(F.lit(float(nominal_rows)) if nominal_rows is not None else drawn, n).alias("percentage"),
+                          F.try_divide(drawn, n).alias("labelled_share"))

@@ -23,11 +23,12 @@ from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
-from wordmill.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small, cut_lineage, spread
+from wordmill.operators.tokens import number_sorted
+from wordmill.session import MAX_BROADCAST_BYTES, broadcast_if_small, cut_lineage, spread
 
 Tokenizer = Callable[[Column], Column]
 
-# Widest dense document x term table we build.
+# Widest dense document x term table we build (V14): a column per term.
 MAX_DENSE_TERMS = 2_000
 
 
@@ -37,9 +38,12 @@ def default_tokenizer(c: Column) -> Column:
 
 
 def tokens_table(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
-                 tokenizer: Tokenizer = default_tokenizer, positions: bool = False) -> DataFrame:
-    """``(id, [pos,] term)``: one row per token, documents partitioned by id first."""
-    d = docs.select(id_col, text_col).repartition(id_col)
+                 tokenizer: Tokenizer = default_tokenizer, positions: bool = False,
+                 by_id: bool = True) -> DataFrame:
+    """``(id, [pos,] term)``: one row per token, documents partitioned by id first unless
+    ``by_id`` is off (then the texts stay where they were read)."""
+    d = docs.select(id_col, text_col)
+    d = d.repartition(id_col) if by_id else spread(d)
     if isinstance(tokenizer, NgramTokenizer):
         # two projections: the token array is computed once, then expanded
         d = d.select(id_col, tokenizer._base(F.col(text_col)).alias("_raw"))
@@ -107,8 +111,8 @@ class IdfModel:
     n_docs: int
     tf_cache: DataFrame | None = None
 
-    def hinted(self, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-        return broadcast_if_small(self.table, self.n_terms, max_rows)
+    def hinted(self, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+        return broadcast_if_small(self.table, max_bytes)
 
     def release(self) -> None:
         """Drop the persisted term counts of ``tfidf`` once its weights are written."""
@@ -174,6 +178,29 @@ def transform(docs: DataFrame, model: IdfModel, *, text_col: str = "text", id_co
     return w.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
+def top_vocabulary(docs: DataFrame, k: int, *, text_col: str = "text", id_col: str = "doc_id",
+                   tokenizer: Tokenizer = default_tokenizer) -> list[str]:
+    """The ``k`` terms with the highest corpus count ``(count desc, term asc)``: a partial
+    aggregate per term, then a top-k; no text and no (document, term) pair is shuffled."""
+    counts = (tokens_table(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, by_id=False)
+              .groupBy("term").agg(F.count(F.lit(1)).alias("cf")))
+    return [r["term"] for r in counts.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(k).collect()]
+
+
+def _tfidf_of_few(docs: DataFrame, vocabulary: Sequence[str], *, text_col: str, id_col: str, tokenizer: Tokenizer,
+                  sublinear_tf: bool, keep_absent: bool, smooth_idf: bool = True) -> tuple[IdfModel, DataFrame]:
+    """TF-IDF over a small fixed vocabulary: tokens are filtered by it where the texts
+    were read, so only its own (document, term) counts are shuffled and held."""
+    words = docs.sparkSession.createDataFrame([(t,) for t in dict.fromkeys(vocabulary)], "term string")
+    tf = (tokens_table(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, by_id=False)
+          .join(broadcast_if_small(words), "term").groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    tf = cut_lineage(tf)
+    model = fit_idf(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, tf=tf, smooth_idf=smooth_idf,
+                    vocabulary=vocabulary if keep_absent else None)
+    return model, transform(docs, model, text_col=text_col, id_col=id_col, tokenizer=tokenizer,
+                            sublinear_tf=sublinear_tf, tf=tf)
+
+
 def tfidf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
           tokenizer: Tokenizer = default_tokenizer, sublinear_tf: bool = False,
           **fit_kw) -> tuple[IdfModel, DataFrame]:
@@ -182,7 +209,16 @@ def tfidf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     The ``(id, term, tf)`` table is built once and persisted (memory and disk; lost
     blocks are recomputed from the lineage): the fit reads it for the document
     frequencies and the transform for the weights, so the corpus is tokenised and
-    shuffled once. It stays id-partitioned, so the norm window adds no shuffle."""
+    shuffled once. It stays id-partitioned, so the norm window adds no shuffle.
+    ``IdfModel.release()`` drops it. With a fixed ``vocabulary``, or ``max_features`` and
+    no df limits, the terms are known first and only their counts are built."""
+    few = {"text_col": text_col, "id_col": id_col, "tokenizer": tokenizer, "sublinear_tf": sublinear_tf}
+    if set(fit_kw) <= {"vocabulary", "smooth_idf"} and fit_kw.get("vocabulary") is not None:
+        return _tfidf_of_few(docs, keep_absent=True, **few, **fit_kw)
+    if set(fit_kw) <= {"max_features", "smooth_idf"} and fit_kw.get("max_features") is not None:
+        k = fit_kw.pop("max_features")
+        vocabulary = top_vocabulary(docs, k, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
+        return _tfidf_of_few(docs, vocabulary, keep_absent=False, **few, **fit_kw)
     tf = term_counts(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer).persist(
         StorageLevel.MEMORY_AND_DISK)
     model = fit_idf(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, tf=tf, **fit_kw)
@@ -192,10 +228,20 @@ def tfidf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
 
 
 # V1
-def bag_of_words(tokens: Column, vocabulary: Sequence[str]) -> Column:
-    """Counts aligned to an ordered vocabulary (duplicates give duplicate slots)."""
-    vocab = F.array(*[F.lit(v) for v in vocabulary])
-    return F.transform(vocab, lambda v: F.size(F.filter(tokens, lambda t: t == v)))
+def bag_of_words(docs: DataFrame, vocabulary: Sequence[str], *, id_col: str = "doc_id",
+                 tokens_col: str = "tokens") -> DataFrame:
+    """``(id, pos, term, n)``: counts aligned to an ordered vocabulary (a duplicate term
+    has a slot of its own with the same count). Tokens are filtered by the vocabulary
+    before they are counted; slots without an occurrence are 0."""
+    spark = docs.sparkSession
+    slots = spark.createDataFrame(list(enumerate(vocabulary)), "pos int, term string")
+    hits = (docs.select(id_col, F.explode(tokens_col).alias("term"))
+            .join(broadcast_if_small(slots.select("term").distinct()), "term", "left_semi")
+            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
+    grid = docs.select(id_col, F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(t).alias("term"))
+                                                   for i, t in enumerate(vocabulary)])).alias("s"))
+    return (grid.select(id_col, "s.*").join(hits, [id_col, "term"], "left")
+            .select(id_col, "pos", "term", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
 # V2
@@ -250,10 +296,10 @@ def class_top_words(docs: DataFrame, stopwords: DataFrame, *, text_col: str = "t
                     label_col: str = "label", k: int = 100) -> DataFrame:
     """``(label, word, n, weight, rank)``: top ``k`` words per class by
     ``(n desc, word asc)``, weight = n / the class's top count.
-    ``stopwords`` must be small (V3 output is bounded by ``1/threshold``)."""
+    ``stopwords`` is written and broadcast if its size allows."""
     words = (spread(docs.select(label_col, text_col))
              .select(label_col, F.explode(cloud_tokens(F.col(text_col))).alias("word"))
-             .join(F.broadcast(stopwords.select("word")), "word", "left_anti")
+             .join(broadcast_if_small(cut_lineage(stopwords.select("word"))), "word", "left_anti")
              .groupBy(label_col, "word").agg(F.count(F.lit(1)).alias("n")))
     w = Window.partitionBy(label_col).orderBy(F.col("n").desc(), F.col("word").asc())
     ranked = words.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -268,27 +314,15 @@ def matrix_shape(model: IdfModel) -> tuple[int, int]:
 
 # V13
 def sorted_vocabulary(model: IdfModel) -> DataFrame:
-    """``(idx, term)`` in term order; the index is assigned per sorted partition
-    (zipWithIndex), never by pulling the vocabulary into one task."""
-    spark = model.table.sparkSession
-    ordered = model.table.select("term").orderBy("term")
-    rdd = ordered.rdd.zipWithIndex().map(lambda r: (r[1], r[0][0]))
-    return spark.createDataFrame(rdd, "idx long, term string")
-
-
-def _dense_terms(model: IdfModel, max_terms: int) -> list[str]:
-    if model.n_terms > max_terms:
-        raise ValueError(f"vocabulary of {model.n_terms} terms is too wide for a dense table "
-                         f"(limit {max_terms}); use the long form")
-    return [r["term"] for r in model.table.select("term").orderBy("term").collect()]
+    """``(idx, term)`` in term order, numbered per sorted partition."""
+    return number_sorted(model.table, "term", id_col="idx").select("idx", "term")
 
 
 # V15
-def melted_matrix(docs_ids: DataFrame, weights: DataFrame, model: IdfModel, *,
-                  id_col: str = "doc_id", max_terms: int = MAX_DENSE_TERMS) -> DataFrame:
-    """Every (document, term) pair of a bounded vocabulary, zeros filled."""
-    terms = _dense_terms(model, max_terms)
-    grid = docs_ids.select(id_col, F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
+def melted_matrix(docs_ids: DataFrame, weights: DataFrame, model: IdfModel, *, id_col: str = "doc_id") -> DataFrame:
+    """Every (document, term) pair, zeros filled: by definition as many rows as documents
+    times terms. The ids meet the fitted term table, whatever its size."""
+    grid = docs_ids.select(id_col).crossJoin(model.hinted().select("term"))
     return (grid.join(weights, [id_col, "term"], "left")
             .select(id_col, "term", F.coalesce("weight", F.lit(0.0)).alias("weight")))
 
@@ -296,10 +330,17 @@ def melted_matrix(docs_ids: DataFrame, weights: DataFrame, model: IdfModel, *,
 # V14
 def dense_matrix(docs_ids: DataFrame, weights: DataFrame, model: IdfModel, *,
                  id_col: str = "doc_id", max_terms: int = MAX_DENSE_TERMS) -> DataFrame:
-    """One column per term (explicit value list), zeros filled, every document kept."""
-    terms = _dense_terms(model, max_terms)
-    wide = weights.groupBy(id_col).pivot("term", terms).agg(F.first("weight"))
-    return docs_ids.select(id_col).join(wide, id_col, "left").fillna(0.0, subset=terms)
+    """One column per term, ``t01``, ``t02``, ... in term order (``sorted_vocabulary``
+    names them), zeros filled, every document kept. ``max_terms`` bounds the columns."""
+    if model.n_terms > max_terms:
+        raise ValueError(f"vocabulary of {model.n_terms} terms is too wide for a dense table "
+                         f"(limit {max_terms}); use the long form")
+    terms = [r["term"] for r in model.table.select("term").orderBy("term").collect()]
+    width = max(2, len(str(len(terms))))
+    cells = [F.coalesce(F.max(F.when(F.col("term") == t, F.col("weight"))), F.lit(0.0)).alias(f"t{i:0{width}d}")
+             for i, t in enumerate(terms, 1)]
+    wide = docs_ids.select(id_col).join(weights, id_col, "left").groupBy(id_col)
+    return wide.agg(*cells) if cells else docs_ids.select(id_col)
 
 
 # A6

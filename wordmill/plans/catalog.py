@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.operators import terms
-from wordmill.session import spread
+from wordmill.session import size_shuffles, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,7 +27,7 @@ def query(name: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return size_shuffles(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def r6(c: str | Column) -> Column:
@@ -129,6 +129,13 @@ def t10_preprocess(spark, sf_dir):
     return TK.preprocess(documents(spark, sf_dir), mode=0, join=True)
 
 
+@query("t10_preprocess_stem")
+def t10_preprocess_stem(spark, sf_dir):
+    """The default mode; the plurals of the corpus stand in for a stem lexicon."""
+    docs = documents(spark, sf_dir)
+    return TK.preprocess(docs, lexicon=TK.plural_lexicon(_doc_word_tokens(spark, sf_dir)), join=True)
+
+
 @query("t10_preprocess_lemma")
 def t10_preprocess_lemma(spark, sf_dir):
     docs = documents(spark, sf_dir)
@@ -151,21 +158,21 @@ def t12_parse_reply(spark, sf_dir):
     return p.select("conv_id", "turn", "pos", T.parse_int_reply("reply").alias("prediction"))
 
 
-def _bench_classes(spark, sf_dir) -> DataFrame:
-    bench = table(spark, sf_dir, "benchmark")
-    return bench.select("item_id", "text", F.explode(F.array(*[F.lit(e) for e in fixed.EMOTIONS]))
-                        .alias("emotion"))
+def _first_word(spark, sf_dir) -> DataFrame:
+    """Every benchmark item with its first word as the class to write about."""
+    return table(spark, sf_dir, "benchmark").select(
+        "item_id", F.lower(F.regexp_extract("text", r"[\p{L}\p{N}_]+", 0)).alias("emotion"))
 
 
 @query("t14_json_prompt")
 def t14_json_prompt(spark, sf_dir):
-    return _bench_classes(spark, sf_dir).select(
+    return _first_word(spark, sf_dir).select(
         "item_id", "emotion", T.json_generation_prompt("emotion").alias("prompt"))
 
 
 @query("t15_plain_prompt")
 def t15_plain_prompt(spark, sf_dir):
-    return _bench_classes(spark, sf_dir).select(
+    return _first_word(spark, sf_dir).select(
         "item_id", "emotion", T.plain_generation_prompt("emotion").alias("prompt"))
 
 
@@ -230,7 +237,7 @@ def m6_first_n(spark, sf_dir):
 @query("m7_nested_ladder")
 def m7_nested_ladder(spark, sf_dir):
     d = documents(spark, sf_dir).select("doc_id")
-    return M.nested_samples(d, fixed.fraction_ladder(), seed=fixed.BASELINE_SEED, id_cols="doc_id")
+    return M.nested_samples(d, M.fraction_ladder(), seed=fixed.BASELINE_SEED, id_cols="doc_id")
 
 
 @query("m8_seeded_split")
@@ -244,9 +251,8 @@ def m8_seeded_split(spark, sf_dir):
 def m9_realised_rate(spark, sf_dir):
     e = embeddings(spark, sf_dir).select("vec_id", "label")
     few = M.per_class(e, 32, label_col="label", seed=fixed.BASELINE_SEED, id_cols="vec_id")
-    n_few = few.select(F.count(F.lit(1))).scalar()
-    return e.agg(r6(F.lit(32.0) / F.count(F.lit(1))).alias("percentage"),
-                 r6(n_few / F.count(F.lit(1))).alias("labelled_share"))
+    rate = M.realised_rate(few, e, nominal_rows=32)
+    return rate.select(r6("percentage").alias("percentage"), r6("labelled_share").alias("labelled_share"))
 
 
 # ---------------------------------------------------------------- terms: V1-V15, A6, K2
@@ -270,10 +276,7 @@ def v1_vocabulary(tok: DataFrame) -> list[str]:
 def v1_bag_of_words(spark, sf_dir):
     tok = _t10_tokens(spark, sf_dir)
     vocab = v1_vocabulary(tok)
-    counts = tok.select("doc_id", terms.bag_of_words(F.col("tokens"), vocab).alias("v"))
-    vocab_col = F.array(*[F.lit(v) for v in vocab])
-    return counts.select("doc_id", F.posexplode(F.arrays_zip(vocab_col.alias("term"), F.col("v").alias("n")))
-                         .alias("pos", "z")).select("doc_id", "pos", "z.term", F.col("z.n").cast("long").alias("n"))
+    return terms.bag_of_words(tok, vocab)
 
 
 @query("v2_word_frequency")
@@ -406,7 +409,7 @@ def _curve_predictions(spark, sf_dir) -> DataFrame:
     """Stand-in learning-curve runs: every ladder share of the embeddings, two methods,
     plus two single-point methods scored at the realised few-shot share."""
     e = embeddings(spark, sf_dir).select("vec_id", "label")
-    rows = M.nested_samples(e, fixed.fraction_ladder(), seed=fixed.BASELINE_SEED, id_cols="vec_id")
+    rows = M.nested_samples(e, M.fraction_ladder(), seed=fixed.BASELINE_SEED, id_cols="vec_id")
     rows = rows.withColumn("method", F.explode(F.array(*[F.lit(m) for m in CURVE_METHODS])))
     pred = F.when(F.col("method") == CURVE_METHODS[0], MT.standin_prediction(CURVE_METHODS[0], "vec_id"))
     for m in CURVE_METHODS[1:]:
@@ -626,44 +629,95 @@ from wordmill.operators import learn as LN  # noqa: E402
 LANG_CODES = {"de": 0, "en": 1, "es": 2, "fr": 3}
 
 
-def _labelled_docs(spark, sf_dir, label: str = "lang", joined: bool = False) -> DataFrame:
-    """Documents as a labelled dataset; ``joined`` (or a label from ``labels``) keeps
-    only the documents that have a row in ``labels``."""
+def _labelled_docs(spark, sf_dir, label: str = "lang") -> DataFrame:
+    """Documents as a labelled dataset; a label from ``labels`` keeps the documents that
+    have one."""
     docs = spread(documents(spark, sf_dir).select("doc_id", "text", "lang"))
-    if label == "lang" and not joined:
+    if label == "lang":
         return docs.select("doc_id", "text", F.col("lang").alias("label"))
     lab = table(spark, sf_dir, "labels")
     return docs.join(lab, "doc_id").select("doc_id", "text", F.col(label).cast("string").alias("label"))
 
 
+def _train_valid(spark, sf_dir) -> DataFrame:
+    return M.split(_labelled_docs(spark, sf_dir), fixed.BASELINE_VALID_SHARE, seed=SPLIT_SEED, id_cols="doc_id")
+
+
 @query("l1_fit_predict")
 def l1_fit_predict(spark, sf_dir):
-    d = M.split(_labelled_docs(spark, sf_dir, joined=True), fixed.BASELINE_VALID_SHARE, seed=SPLIT_SEED,
-                id_cols="doc_id")
-    train = d.filter(F.col("part") == "train")
-    model = LN.tfidf_lr(train.count()).fit(train)
+    d = _train_valid(spark, sf_dir)
+    model = LN.text_classifier().fit(d.filter(F.col("part") == "train"))
     return LN.predict(model, d.filter(F.col("part") == "valid")).select("doc_id", "label", "predicted")
 
 
+@query("l1_features")
+def l1_features(spark, sf_dir):
+    """What the solver of ``l1_fit_predict`` is given: one model fitted with a single
+    step, for its vocabulary and idf."""
+    train = _train_valid(spark, sf_dir).filter(F.col("part") == "train")
+    model = LN.text_classifier(max_iter=1).fit(train)
+    return LN.features(model, train.select("doc_id", "text")).select("doc_id", "term", r6("weight").alias("weight"))
+
+
+def _parts_long(df: DataFrame, ids: list[str], weights: bool = False) -> DataFrame:
+    """Every row's part at every share of the ladder."""
+    fr = M.ladder()
+    at = F.explode(F.array(*[F.struct(F.lit(float(f)).alias("percentage"), F.col("_wm_parts")[i].alias("part"),
+                                      LN.steps_so_far("_wm_parts", i).alias("weight")) for i, f in enumerate(fr)]))
+    out = df.select(*ids, at.alias("p")).select(*ids, "p.*").filter("part IS NOT NULL")
+    return out if weights else out.drop("weight")
+
+
+@query("l2_curve_parts")
+def l2_curve_parts(spark, sf_dir):
+    """The training and validation rows of ``l2_learning_curve``."""
+    return _parts_long(LN.curve_parts(_labelled_docs(spark, sf_dir, "quality").select("doc_id")), ["doc_id"])
+
+
 @query("l2_learning_curve")
 def l2_learning_curve(spark, sf_dir):
     return LN.learning_curve(_labelled_docs(spark, sf_dir, "quality"))
 
 
+def _conversations(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.col("role").alias("label"))
+
+
+@query("l3_curve_parts")
+def l3_curve_parts(spark, sf_dir):
+    ids = ["conv_id", "turn"]
+    return _parts_long(LN.curve_parts(_conversations(spark, sf_dir).select(*ids), id_cols=ids), ids)
+
+
 @query("l3_curve_conversations")
 def l3_curve_conversations(spark, sf_dir):
-    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.col("role").alias("label"))
-    return LN.learning_curve(conv, id_cols=["conv_id", "turn"])
+    return LN.learning_curve(_conversations(spark, sf_dir), id_cols=["conv_id", "turn"])
+
+
+def _two_sides(spark, sf_dir) -> DataFrame:
+    """Documents of one half of the sources, and of the other half."""
+    d = spread(documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("label"), "source"))
+    return d.withColumn("fitted", F.substring(F.md5(F.col("source")), 1, 1) < "8").drop("source")
+
+
+@query("l4_sides")
+def l4_sides(spark, sf_dir):
+    return _two_sides(spark, sf_dir).groupBy("fitted", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("l4_cross_dataset")
 def l4_cross_dataset(spark, sf_dir):
     """Fit on the documents of one half of the sources, evaluate on the other half."""
-    d = spread(documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("label"), "source"))
-    side = F.substring(F.md5(F.col("source")), 1, 1) < "8"
-    a, b = d.filter(side), d.filter(~side)
-    model = LN.tfidf_lr(a.count()).fit(a)
-    return LN.cross_evaluate(model, b)
+    d = _two_sides(spark, sf_dir)
+    model = LN.text_classifier().fit(d.filter("fitted"))
+    return LN.cross_evaluate(model, d.filter("NOT fitted"))
+
+
+@query("l5_few_shot_parts")
+def l5_few_shot_parts(spark, sf_dir):
+    train, valid = LN.few_shot_parts(embeddings(spark, sf_dir).select("vec_id", "label"), 32)
+    return (train.select("vec_id", "label", F.lit("train").alias("part"))
+            .unionByName(valid.select("vec_id", "label", F.lit("valid").alias("part"))))
 
 
 @query("l5_few_shot_head")
@@ -672,15 +726,37 @@ def l5_few_shot_head(spark, sf_dir):
     return wide
 
 
+def _train_test(spark, sf_dir) -> DataFrame:
+    return M.split(_labelled_docs(spark, sf_dir), fixed.GENERATED_TEST_SHARE, seed=fixed.GENERATED_SPLIT_SEED,
+                   id_cols="doc_id", part_col="split", names=("train", "test"))
+
+
+@query("l8_stratified_parts")
+def l8_stratified_parts(spark, sf_dir):
+    train = _train_test(spark, sf_dir).filter(F.col("split") == "train").select("doc_id", "label")
+    fr = M.ladder()
+    samples = M.stratified_ladder(train, fr, label_col="label", seed=fixed.BASELINE_SEED, id_cols="doc_id")
+    out = None
+    for f, d in zip(fr, samples):
+        d = d.select("doc_id", "label", F.lit(float(f)).alias("percentage"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 @query("l8_stratified_curve")
 def l8_stratified_curve(spark, sf_dir):
-    d = M.split(_labelled_docs(spark, sf_dir), fixed.GENERATED_TEST_SHARE, seed=fixed.GENERATED_SPLIT_SEED,
-                id_cols="doc_id", part_col="split", names=("train", "test"))
+    d = _train_test(spark, sf_dir)
     test = M.stratified_fraction(d.filter(F.col("split") == "test"), fixed.STRATIFIED_TEST_SHARE,
                                  label_col="label", seed=fixed.BASELINE_SEED, id_cols="doc_id")
     return LN.learning_curve(d.filter(F.col("split") == "train"), sampling="stratified", holdout=test)
 
 
+@query("l9_cumulative_weights")
+def l9_cumulative_weights(spark, sf_dir):
+    """The rows of ``l9_cumulative_curve`` and their weights at every share."""
+    return _parts_long(LN.curve_parts(documents(spark, sf_dir).select("doc_id")), ["doc_id"], weights=True)
+
+
 @query("l9_cumulative_curve")
 def l9_cumulative_curve(spark, sf_dir):
     return LN.learning_curve(_labelled_docs(spark, sf_dir), cumulative=True)
@@ -688,8 +764,7 @@ def l9_cumulative_curve(spark, sf_dir):
 
 @query("l12_top_coefficients")
 def l12_top_coefficients(spark, sf_dir):
-    d = _labelled_docs(spark, sf_dir)
-    model = LN.tfidf_lr(d.count()).fit(d)
+    model = LN.text_classifier().fit(_labelled_docs(spark, sf_dir))
     return LN.top_coefficients(model, 10)
 
 
@@ -708,15 +783,17 @@ def l6_contrastive_pairs(spark, sf_dir):
     return JB.contrastive_pairs(few, fixed.CONTRASTIVE_ITERATIONS)
 
 
-def first_dims_scorer(pdf: pd.DataFrame) -> pd.Series:
-    """Stand-in model: the scores are the first ten embedding components."""
-    return pd.Series([np.asarray(v[:10], dtype=np.float64).tolist() for v in pdf["embedding"]])
+def stride_scorer(pdf: pd.DataFrame) -> pd.Series:
+    """Stand-in model over whole vectors: the score of class c is the sum of the
+    components whose place leaves c when divided by ten."""
+    return pd.Series([[float(sum(x.tolist())) for x in (np.asarray(v, dtype=np.float64)[c::10] for c in range(10))]
+                      for v in pdf["embedding"]])
 
 
 @query("l7_score_batches")
 def l7_score_batches(spark, sf_dir):
     e = embeddings(spark, sf_dir).select("vec_id", "label", "embedding")
-    return JB.score_batches(e, first_dims_scorer, keep=["vec_id", "label"]).select("vec_id", "label", "prediction")
+    return JB.score_batches(e, stride_scorer, keep=["vec_id", "label"]).select("vec_id", "label", "prediction")
 
 
 def length_responder(pdf: pd.DataFrame) -> pd.Series:
@@ -760,4 +837,4 @@ def l10_prompt_metrics(spark, sf_dir):
 
 @query("l11_generate")
 def l11_generate(spark, sf_dir):
-    return JB.generate(table(spark, sf_dir, "benchmark"), echo_responder)
+    return JB.generate(table(spark, sf_dir, "benchmark"), echo_responder, n_per_class=2, names=True)

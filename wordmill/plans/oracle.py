@@ -38,6 +38,7 @@ SELECT doc_id, rank, term, round(weight, 6) AS weight FROM ranked WHERE rank <=
 # ---------------------------------------------------------------- text: T1-T16
 
 from wordmill.functions import fixed  # noqa: E402
+from wordmill.operators import sampling  # noqa: E402
 
 
 def sql_list(words) -> str:
@@ -108,6 +109,18 @@ SELECT doc_id, array_to_string(list_filter(string_split_regex(lower(text), '{NON
 FROM documents
 """
 
+ORACLE["t10_preprocess_stem"] = f"""
+WITH toks AS ({DOC_TOKENS}), {PLURAL_LEX},
+mapped AS (
+  SELECT t.doc_id, t.pos, coalesce(lex.base, t.token) AS token FROM toks t LEFT JOIN lex ON t.token = lex.token
+  WHERE regexp_matches(t.token, '[a-zA-Z]') AND NOT list_contains({STOP}, t.token)),
+kept AS (SELECT * FROM mapped WHERE NOT list_contains({STOP}, token) AND regexp_matches(token, '^\\p{{L}}+$'))
+SELECT d.doc_id, coalesce(k.tokens, '') AS tokens
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS tokens FROM kept GROUP BY doc_id) k
+ON d.doc_id = k.doc_id
+"""
+
 ORACLE["t10_preprocess_lemma"] = f"""
 WITH toks AS ({DOC_TOKENS}), {PLURAL_LEX},
 mapped AS (
@@ -141,17 +154,18 @@ FROM (SELECT conv_id, turn, pos, lower({strip_ws('reply')}) AS r
 
 BENCH_CLASSES = (f"SELECT item_id, text, unnest({sql_list(fixed.EMOTIONS)}) AS emotion "
                  f"FROM benchmark")
+FIRST_WORD = r"SELECT item_id, lower(regexp_extract(text, '[\p{L}\p{N}_]+', 0)) AS emotion FROM benchmark"
 
 ORACLE["t14_json_prompt"] = f"""
 SELECT item_id, emotion,
        '{{"instruction": "{fixed.GENERATION_INSTRUCTION}", "emotion": ' || to_json(emotion)::VARCHAR
        || ', "notice": "{fixed.GENERATION_NOTICE}"}}' AS prompt
-FROM ({BENCH_CLASSES})
+FROM ({FIRST_WORD})
 """
 
 ORACLE["t15_plain_prompt"] = f"""
 SELECT item_id, emotion, printf('{fixed.PLAIN_GENERATION_FORMAT}', emotion) AS prompt
-FROM ({BENCH_CLASSES})
+FROM ({FIRST_WORD})
 """
 
 ORACLE["t16_encode_ids"] = f"""
@@ -229,7 +243,7 @@ ORACLE["m6_first_n"] = f"""
 SELECT vec_id, label FROM embeddings ORDER BY {h(SEED, 'vec_id::VARCHAR')} LIMIT 50
 """
 
-LADDER = ", ".join(f"{f}::DOUBLE" for f in fixed.fraction_ladder())
+LADDER = ", ".join(f"{f}::DOUBLE" for f in sampling.fraction_ladder())
 ORACLE["m7_nested_ladder"] = f"""
 WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {h(SEED, 'doc_id::VARCHAR')}) AS rn FROM documents),
 f AS (SELECT unnest([{LADDER}]) AS percentage)
@@ -353,7 +367,10 @@ FROM grid g LEFT JOIN weights w ON g.doc_id = w.doc_id AND g.term = w.term
 ORACLE["v15_melted_matrix"] = V15_SQL
 
 ORACLE["v14_dense_matrix"] = f"""
-PIVOT ({V15_SQL}) ON term USING first(weight) GROUP BY doc_id
+WITH cells AS ({V15_SQL}),
+pos AS (SELECT term, row_number() OVER (ORDER BY term) AS i FROM (SELECT DISTINCT term FROM cells))
+SELECT doc_id, {", ".join(f"max(CASE WHEN i = {i} THEN weight END) AS t{i:02d}" for i in range(1, 11))}
+FROM cells JOIN pos USING (term) GROUP BY doc_id
 """
 
 V10_CTE = f"""
@@ -566,6 +583,50 @@ SELECT doc_id, label FROM ({ORACLE['m8_seeded_split']}) WHERE split = 'train' OR
 
 # ---------------------------------------------------------------- learning and jobs: L6, L7, L10-L12, T13
 
+ORACLE["l1_features"] = f"""
+WITH parts AS ({split_sql("(SELECT doc_id, text FROM documents)", "doc_id, text", "doc_id::VARCHAR",
+                          fixed.BASELINE_VALID_SHARE, SPLIT_SEED)}),
+tr AS (SELECT doc_id, text FROM parts WHERE part = 'train'),
+{TFIDF_CTE.replace("FROM documents", "FROM tr")}
+SELECT doc_id, term, round(weight, 6) AS weight FROM weights
+"""
+
+
+def curve_parts_sql(src: str, ids: str, id_expr: str, weights: bool = False) -> str:
+    """Rows of every share of the ladder in hash order, the first fifth of them (in the
+    order of a second hash) for validation."""
+    w = ("sum(1.0::DOUBLE) OVER (PARTITION BY " + ids + " ORDER BY percentage) AS weight, ") if weights else ""
+    return f"""
+WITH r AS (SELECT {ids}, row_number() OVER (ORDER BY {h(SEED, id_expr)}) AS rn, {h(SPLIT_SEED, id_expr)} AS h2,
+                  count(*) OVER () AS n FROM {src}),
+f AS (SELECT unnest([{LADDER}]) AS percentage),
+s AS (SELECT {ids}, percentage, row_number() OVER (PARTITION BY percentage ORDER BY h2) AS rv,
+             count(*) OVER (PARTITION BY percentage) AS q FROM r, f WHERE rn <= round_even(percentage * n, 0))
+SELECT {ids}, percentage, {w}
+       CASE WHEN rv <= ceil({fixed.BASELINE_VALID_SHARE}::DOUBLE * q) THEN 'valid' ELSE 'train' END AS part FROM s
+"""
+
+
+ORACLE["l2_curve_parts"] = curve_parts_sql("(SELECT doc_id FROM documents JOIN labels USING (doc_id))", "doc_id", "doc_id::VARCHAR")
+ORACLE["l3_curve_parts"] = curve_parts_sql("conversations", "conv_id, turn", "conv_id::VARCHAR || ':' || turn::VARCHAR")
+ORACLE["l9_cumulative_weights"] = curve_parts_sql("documents", "doc_id", "doc_id::VARCHAR", weights=True)
+
+ORACLE["l4_sides"] = """
+SELECT substr(md5(source), 1, 1) < '8' AS fitted, lang AS label, count(*) AS n FROM documents GROUP BY ALL
+"""
+
+HALVES = split_sql("embeddings", "vec_id, label", "vec_id::VARCHAR", fixed.FEW_SHOT_VALID_SHARE, SPLIT_SEED)
+ORACLE["l5_few_shot_parts"] = f"""
+WITH s AS ({HALVES}),
+t AS (SELECT *, row_number() OVER (PARTITION BY label, part ORDER BY {h(SEED, 'vec_id::VARCHAR')}) AS rn FROM s)
+SELECT vec_id, label, part FROM t WHERE part = 'valid' OR rn <= 32
+"""
+
+ORACLE["l8_stratified_parts"] = " UNION ALL ".join(
+    f"SELECT doc_id, label, {f}::DOUBLE AS percentage FROM (" + stratified_sql(
+        f"(SELECT doc_id, label FROM ({ORACLE['m8_seeded_split']}) WHERE split = 'train')", "doc_id, label", "label",
+        "doc_id::VARCHAR", f, SEED) + ")" for f in sampling.fraction_ladder())
+
 ORACLE["l12_disagreement"] = f"""
 SELECT {standin('baseline')} AS pred_a, {standin('bert')} AS pred_b, count(*) AS n FROM embeddings GROUP BY ALL
 """
@@ -579,16 +640,21 @@ offs AS (SELECT lab, m, (sum(m) OVER (ORDER BY lab ROWS UNBOUNDED PRECEDING) - m
              (sum(m) OVER ())::BIGINT AS n FROM sz),
 xx AS (SELECT x.*, m, o, n, o + r AS g FROM x JOIN offs USING (lab)),
 pa AS (SELECT *, unnest(generate_series(1, least({fixed.CONTRASTIVE_ITERATIONS}, m - 1))) AS j FROM xx WHERE m > 1),
-na AS (SELECT *, unnest(generate_series(0, least({fixed.CONTRASTIVE_ITERATIONS}, n - m) - 1)) AS j FROM xx WHERE n > m)
+-- all rows of other classes, counted on from the end of the anchor's own block
+other AS (SELECT a.id AS a_id, b.id AS b_id, a.n - a.m AS c, (b.g - a.o - a.m + a.n) % a.n AS p,
+                 ('0x' || substr({h(SEED, 'a.id::VARCHAR')}, 1, 8))::BIGINT AS start
+          FROM xx a JOIN xx b ON a.lab <> b.lab),
+hop AS (SELECT *, (p - start % c + c) % c AS d, greatest(c // {fixed.CONTRASTIVE_ITERATIONS}, 1) AS step FROM other)
 SELECT pa.id AS a_id, b.id AS b_id, true AS similar FROM pa JOIN xx b ON b.lab = pa.lab AND b.r = (pa.r + pa.j) % pa.m
 UNION ALL
-SELECT na.id AS a_id, b.id AS b_id, false AS similar FROM na JOIN xx b
-  ON b.g = (na.o + na.m + (na.r + na.j) % (na.n - na.m)) % na.n
+SELECT a_id, b_id, false AS similar FROM hop
+WHERE d % step = 0 AND d // step < least({fixed.CONTRASTIVE_ITERATIONS}, c)
 """
 
 ORACLE["l7_score_batches"] = """
 SELECT vec_id, label, (list_position(s, list_max(s)) - 1)::INTEGER AS prediction
-FROM (SELECT vec_id, label, list_transform(embedding[1:10], lambda v: v::DOUBLE) AS s FROM embeddings)
+FROM (SELECT vec_id, label, list_transform(range(0, 10), lambda c:
+  list_sum(list_transform(list_filter(range(0, len(embedding)), lambda i: i % 10 = c), lambda i: embedding[i + 1]::DOUBLE))) AS s FROM embeddings)
 """
 
 
@@ -616,7 +682,7 @@ CLASSIFIED = f"""
 {PROMPTS},
 replies AS (SELECT doc_id, label, CASE WHEN length(prompt) % 9 = 0 THEN 'joy'
                                        ELSE ' ' || (length(prompt) % 7)::VARCHAR || ' ' END AS reply FROM prompts)
-SELECT doc_id, label, reply,
+SELECT doc_id, label, reply, CAST(NULL AS VARCHAR) AS error,
        CASE WHEN regexp_matches(lower({strip_ws('reply')}), '^[+-]?[0-9]+$')
             THEN TRY_CAST(lower({strip_ws('reply')}) AS INTEGER) END AS prediction
 FROM replies
@@ -625,9 +691,9 @@ ORACLE["l10_prompt_classify"] = CLASSIFIED
 ORACLE["l10_prompt_metrics"] = weighted_sql(f"SELECT label, prediction FROM ({CLASSIFIED})", [])
 
 ORACLE["l11_generate"] = f"""
-SELECT item_id, emotion,
+SELECT item_id, emotion, sample::INTEGER AS sample,
        replace(replace(lower({strip_ws("' ' || text || chr(13) || chr(10) || emotion || ' '")}), chr(10), ' '),
                chr(13), '') AS text,
-       {CODES_MAP}[emotion] AS label
-FROM ({BENCH_CLASSES})
+       emotion AS label, CAST(NULL AS VARCHAR) AS error
+FROM ({BENCH_CLASSES}), (SELECT unnest([0, 1]) AS sample)
 """

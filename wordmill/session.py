@@ -1,21 +1,32 @@
-"""Session helpers: building a session, the shared checkpoint folder, sized broadcasts."""
+"""Session helpers: building a session, the shared checkpoint folder, shuffle sizes and
+checked broadcasts."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a dimension-like table we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Bytes of a table we are willing to ship to every executor.
+MAX_BROADCAST_BYTES = 64 << 20
+
+# Input bytes per shuffle partition before AQE merges small ones, and the bytes a token
+# table takes per byte of compressed text.
+SHUFFLE_PARTITION_BYTES = 64 << 20
+EXPANSION = 4
+
+# An input below this many bytes per core is spread over all cores.
+SPREAD_BYTES_PER_CORE = 16 << 20
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "wordmill") -> SparkSession:
     """A session with AQE on and the UI off. On a cluster, pass master=None and let
-    spark-submit decide; partition counts are then left to AQE coalescing."""
+    spark-submit decide; set ``spark.checkpoint.dir`` there."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -27,6 +38,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -41,17 +53,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder is chosen
-    here and registered, so that ``DataFrame.checkpoint()`` works everywhere."""
+    Where the setting is unset: a single-JVM ``local`` session gets a temporary folder;
+    a cluster gets one in the home folder of its default file system; a cluster whose
+    default file system is a local disk has no shared folder, which is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = os.path.join("/tmp", "wordmill-checkpoints")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _default_dir(spark)
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
+
+
+def _default_dir(spark: SparkSession) -> str:
+    sc = spark.sparkContext
+    if sc.master == "local" or sc.master.startswith("local["):
+        return os.path.join(tempfile.gettempdir(), "wordmill-checkpoints")
+    fs = sc._jvm.org.apache.hadoop.fs.FileSystem.get(sc._jsc.hadoopConfiguration())
+    if fs.getScheme() == "file":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{fs.getHomeDirectory().toString().rstrip('/')}/.wordmill-checkpoints"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -59,30 +80,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/wordmill-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a known row count; otherwise leave the join to the
-    planner (sort-merge with AQE skew splitting)."""
-    return F.broadcast(df) if n_rows <= max_rows else df
+def plan_bytes(df: DataFrame) -> int:
+    """The planner's size estimate: file bytes for a scan. Runs no job."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the input has fewer
-    partitions than that (a small table stored as a few row groups). A large input
-    already has more file splits than cores, so this adds no shuffle there."""
-    n = num_partitions(df)
-    if n is None:
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if n < target else df
+def size_shuffles(df: DataFrame) -> DataFrame:
+    """Raise the session's initial number of shuffle partitions to what the bytes of
+    this input need. AQE merges partitions that turn out small, but never splits one."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = int(conf.get(key, None) or conf.get("spark.sql.shuffle.partitions"))
+    need = -(-plan_bytes(df) * EXPANSION // SHUFFLE_PARTITION_BYTES)
+    if need > now:
+        conf.set(key, str(min(need, 1_000_000)))
+    return df
 
 
-def num_partitions(df: DataFrame) -> int | None:
-    """Partitions of the planned DataFrame, or None where the RDD view is not
-    available (Spark Connect): callers then leave the plan as it is."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - any failure means "unknown"
-        return None
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of a small, written table: string lengths plus 16 bytes per value."""
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a measured size; otherwise leave the join to the
+    planner (sort-merge with AQE skew splitting). ``df`` should be a written table: it is
+    read once to measure it."""
+    return F.broadcast(df) if table_bytes(df) <= max_bytes else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the planner's size estimate is
+    too small to give each core a file split. A large input adds no shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if plan_bytes(df) < target * SPREAD_BYTES_PER_CORE else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -41,10 +41,10 @@ def read_split(source: DataFrame | str, split: str, *, spark: SparkSession | Non
     else:
         df = source
     if split_col not in df.columns:
-        raise ValueError(f"{split.capitalize()} set not found in the dataset.")
+        raise ValueError(f"{split.capitalize()} split is empty or absent")
     out = df.filter(F.col(split_col) == split)
     if not out.take(1):
-        raise ValueError(f"{split.capitalize()} set not found in the dataset.")
+        raise ValueError(f"{split.capitalize()} split is empty or absent")
     return out
 
 
