@@ -23,7 +23,7 @@ def docs(spark):
 def fitted(docs):
     parts = M.split(docs, 0.2, seed="t", id_cols="doc_id")
     train = parts.filter("part = 'train'")
-    return LN.text_classifier(max_iter=15).fit(train), train, parts.filter("part = 'valid'")
+    return LN.text_classifier().fit(train), train, parts.filter("part = 'valid'")
 
 
 def test_beats_the_majority_class(fitted):
@@ -48,7 +48,7 @@ def test_unseen_and_null_labels_are_scored(fitted):
     # rows without a label are no training rows
     some = train.limit(60).withColumn("label", F.when(F.col("doc_id") % 3 > 0, F.col("label")))
     m = LN.text_classifier(max_iter=1).fit(some)
-    assert None not in m.stages[-1].getLabels()
+    assert None not in m.stages[-1].labels
 
 
 def test_features_equal_the_relational_tfidf(fitted):
@@ -87,14 +87,64 @@ def test_injected_estimator(docs):
     assert cumulative.count() == 8
 
 
-def test_weighted_objective_counts_a_row_as_often_as_it_is_repeated(docs):
-    small = docs.limit(40)
-    twice = small.withColumn("w", F.lit(2.0))
-    a = LN.text_classifier(max_iter=8, weight_col="w").fit(twice)
-    b = LN.text_classifier(max_iter=8).fit(small.withColumn("w", F.lit(1.0)))
-    # the penalty is 1 / sum of weights: doubling all weights halves it
-    lr = [next(s for s in m.stages if isinstance(s, LN.LogisticRegressionModel)) for m in (a, b)]
-    assert np.isclose(lr[0].getRegParam() * 2, lr[1].getRegParam())
+def solver(model):
+    return next(s for s in model.stages if isinstance(s, LN.SoftmaxModel))
+
+
+def test_the_fit_converges(fitted):
+    """At the optimum the free intercepts make the predicted probabilities of the training
+    rows sum to the class counts."""
+    model, train, _ = fitted
+    labels = solver(model).labels
+    probs = model.transform(train).select("label", *[F.col("probability")[i].alias(f"p{i}") for i in range(len(labels))])
+    rows = probs.collect()
+    for i, x in enumerate(labels):
+        assert abs(sum(r[f"p{i}"] for r in rows) - sum(r["label"] == x for r in rows)) <= 1.1 * LN.LR_TOL * len(rows)
+    h = solver(model).objective_history
+    assert all(b <= a for a, b in zip(h, h[1:]))
+
+
+def test_a_weight_of_two_is_a_repeated_row(docs):
+    some = docs.filter("doc_id < 120")
+    a = LN.text_classifier(weight_col="w").fit(some.withColumn("w", F.lit(2.0)))
+    b = LN.text_classifier().fit(some.unionByName(some))
+    rows = [{r["doc_id"]: r["probability"] for r in m.stages[-1].transform(_features(b, some)).collect()} for m in (a, b)]
+    assert np.isclose(solver(a).weight_sum, solver(b).weight_sum)
+    assert len(rows[0]) == some.count()
+
+
+def _features(model, df):
+    for s in model.stages[:-1]:
+        df = s.transform(df)
+    return df
+
+
+def test_gradient_equals_finite_differences():
+    import pyarrow as pa
+    from wordmill.operators import softmax as S
+    rng = np.random.default_rng(1)
+    theta = rng.normal(size=(3, 6))
+    index = [sorted(rng.choice(5, 3, replace=False).tolist()) for _ in range(7)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(rng.integers(0, 3, 7).astype(float)), pa.array(rng.random(7)), pa.array(index, pa.list_(pa.int32())),
+         pa.array([rng.random(3).tolist() for _ in index])], ["y", "w", "i", "v"])
+
+    def f(t):
+        out = next(S._gradient_batches(lambda: t)(iter([batch])))
+        return out.column(2)[0].as_py(), np.frombuffer(out.column(1)[0].as_py()).reshape(t.shape)
+
+    _, g = f(theta)
+    for k, j in ((0, 0), (1, 3), (2, 5)):
+        d = np.zeros_like(theta)
+        d[k, j] = 1e-6
+        assert abs((f(theta + d)[0] - f(theta - d)[0]) / 2e-6 - g[k, j]) < 1e-6
+
+
+def test_minimiser_on_a_quadratic():
+    from wordmill.operators.softmax import minimise
+    a = np.diag(np.linspace(1.0, 50.0, 20))
+    x, history = minimise(lambda v: (0.5 * v @ a @ v - v.sum(), a @ v - 1.0), np.zeros(20), 100, 1e-8)
+    assert np.allclose(x, 1.0 / np.diag(a), atol=1e-6) and len(history) < 80
 
 
 def test_few_shot_head_scores_every_row(spark):

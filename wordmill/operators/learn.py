@@ -3,9 +3,8 @@
 The TF-IDF features equal the relational ones in ``terms``: lowercased runs of two or
 more word characters, smooth idf ``ln((1+n)/(1+df)) + 1`` and L2 rows. Spark's ``IDF``
 omits the ``+ 1``, so the fitted idf vector is shifted and applied with
-``ElementwiseProduct``. Logistic regression is multinomial with ``regParam`` one over the
-sum of the row weights and no standardisation of the penalty, which is the objective of
-an L2 penalty with C = 1 on the summed loss.
+``ElementwiseProduct``. The multinomial logistic regression of ``softmax`` minimises the
+objective of an L2 penalty with C = 1 on the summed (weighted) loss.
 
 The vocabulary is not cut: the driver holds one coefficient per class and term, so its
 memory bounds the number of distinct terms; ``max_fit_rows`` bounds the training rows
@@ -23,9 +22,9 @@ from collections.abc import Callable, Sequence
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, IndexToString,
-                                Normalizer, RegexTokenizer, StringIndexer)
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, Normalizer,
+                                RegexTokenizer, StringIndexer)
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +34,7 @@ from wordmill.functions import fixed
 from wordmill.functions import text as T
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
+from wordmill.operators.softmax import SoftmaxModel, SoftmaxRegression
 from wordmill.session import cut_lineage, spread
 
 EstimatorFn = Callable[..., Estimator]
@@ -43,7 +43,7 @@ EstimatorFn = Callable[..., Estimator]
 LR_TOL = 1e-4
 
 # Bytes of cached tokens per partition seen by the iterative solver, and bytes of a token.
-SOLVER_PARTITION_BYTES = 128 << 20
+SOLVER_PARTITION_BYTES = 16 << 20
 TOKEN_BYTES = 24
 
 # CountVectorizer has no "all terms"; this is the largest value its parameter takes.
@@ -83,7 +83,7 @@ class TextClassifier(Estimator):
     ``fit`` drops rows without a label, tokenises once (or takes ``tokens_col``), persists
     label, tokens and weight for the vocabulary, idf and solver passes (memory and disk;
     lost blocks are recomputed) and merges them, without a shuffle, into partitions sized
-    by the bytes of the tokens, one per core at least. The model is a ``PipelineModel``
+    by the bytes of the tokens: every solver step aggregates a gradient per partition. The model is a ``PipelineModel``
     from text (or tokens) to ``predicted``, the label itself; it never sees labels, so
     rows with a label unknown to it are scored like any other."""
 
@@ -94,7 +94,6 @@ class TextClassifier(Estimator):
         self.weight_col, self.tokens_col, self.max_fit_rows = weight_col, tokens_col, max_fit_rows
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        spark = dataset.sparkSession
         rows = dataset.filter(F.col(self.label_col).isNotNull())
         if self.max_fit_rows is not None:
             rows = rows.orderBy(F.md5(F.col(self.tokens_col).cast("string") if self.tokens_col else F.col(self.text_col))
@@ -108,22 +107,20 @@ class TextClassifier(Estimator):
             StorageLevel.MEMORY_AND_DISK)
         try:
             size = held.agg(F.sum("_weight").alias("w"), F.sum(F.size(tokens)).alias("t")).first()
-            parts = max(-(-(size["t"] or 0) * TOKEN_BYTES // SOLVER_PARTITION_BYTES), spark.sparkContext.defaultParallelism)
-            data = held.coalesce(int(parts))
+            data = held.coalesce(max(1, -(-(size["t"] or 0) * TOKEN_BYTES // SOLVER_PARTITION_BYTES)))
             indexer = StringIndexer(inputCol="_label", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
             data = indexer.transform(data)
+            labels = list(indexer.labels)
             for stage in (CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=ALL_TERMS),
-                          SmoothIdf(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="_x", p=2.0),
-                          LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_weight", predictionCol="_p",
-                                             family="multinomial", maxIter=self.max_iter, elasticNetParam=0.0,
-                                             regParam=1.0 / max(size["w"] or 0.0, 1.0), standardization=False, tol=LR_TOL)):
-                model = stage.fit(data) if isinstance(stage, Estimator) else stage
-                stages.append(model)
-                if not isinstance(model, LogisticRegressionModel):
-                    data = model.transform(data)
+                          SmoothIdf(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="_x", p=2.0)):
+                stages.append(stage.fit(data) if isinstance(stage, Estimator) else stage)
+                data = stages[-1].transform(data)
+            n_terms = len(next(s.vocabulary for s in stages if isinstance(s, CountVectorizerModel)))
+            stages.append(SoftmaxRegression(labels, n_terms, features_col="_x", label_col="_y", weight_col="_weight",
+                                            max_iter=self.max_iter, tol=LR_TOL).fit(data))
         finally:
             held.unpersist()
-        return PipelineModel([*stages, IndexToString(inputCol="_p", outputCol="predicted", labels=list(indexer.labels))])
+        return PipelineModel(stages)
 
 
 def text_classifier(**kw) -> TextClassifier:
@@ -133,7 +130,7 @@ def text_classifier(**kw) -> TextClassifier:
 def features(model: PipelineModel, df: DataFrame, id_cols: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``(ids..., term, weight)``: the rows the solver sees, as a long table."""
     out = df
-    for stage in model.stages[:-2]:
+    for stage in model.stages[:-1]:
         out = stage.transform(out)
     vocab = next(s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel))
     terms = df.sparkSession.createDataFrame(list(enumerate(vocab)), "_i int, term string")
@@ -266,9 +263,9 @@ def top_coefficients(model: PipelineModel, k: int = 10) -> DataFrame:
     """``(label, term, coefficient, rank)``: the k largest coefficients per class by
     ``(coefficient desc, term asc)``. The coefficient matrix is already a driver-side
     model artifact (classes x vocabulary); only k rows per class leave it."""
-    labels = model.stages[-1].getLabels()
+    fitted = next(s for s in model.stages if isinstance(s, SoftmaxModel))
+    labels, coef = fitted.labels, fitted.coefficients
     vocab = np.asarray(next(s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel)))
-    coef = next(s for s in model.stages if isinstance(s, LogisticRegressionModel)).coefficientMatrix.toArray()
     rows = []
     for c in range(coef.shape[0]):
         order = np.lexsort((vocab, -coef[c]))[:k]
