@@ -17,7 +17,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return (both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .filter("u <> v").distinct())
+            .filter("u <> v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -47,3 +47,16 @@ def components(edges: DataFrame) -> DataFrame:
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stars.unionByName(roots)
+
+
+def hooked(edges: DataFrame, jumps: int = 2) -> DataFrame:
+    """``(node, component)`` in a few steps: every node takes its smallest neighbour, then
+    ``jumps`` times the label of its label. Nodes with one label are in one component, but
+    a component may still have several labels."""
+    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    label = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select(
+        F.col("u").alias("node"), F.least("u", "m").alias("component")))
+    for _ in range(jumps):
+        up = label.select(F.col("node").alias("component"), F.col("component").alias("next"))
+        label = label.join(up, "component", "left").select("node", F.coalesce("next", "component").alias("component"))
+    return cut_lineage(label)

@@ -6,19 +6,26 @@ exponential hashes))`` cut to one byte. Sketches of parts merge by taking the la
 register.
 
 1. Equal sets are one class from the start; only its smallest document goes on.
-2. Bands of registers are hashed to keys. In each bucket the smallest member is compared
-   with all others; pairs whose joint likelihood estimate is far from the threshold
-   are dropped and the rest confirmed on the full sets. Confirmed links make components.
-3. Buckets that still hold several components are paired off between components. A
-   bucket too large for that is split by further bands: two sets above the threshold
-   share many bands, so they meet again in a smaller bucket. What is still large when
-   the bands are used up is paired as it is: no bucket is cut short.
+2. Bands of registers are hashed to keys. In each bucket one member, the pivot, is
+   compared with all others: pairs whose joint likelihood estimate is far from the
+   threshold are dropped and the rest confirmed on the full sets. Linked members get one
+   label, the pivot leaves the bucket, and buckets of one label are done. The first pivot
+   is the smallest member, the second another one in every bucket: a member of a large
+   group that the first pivot missed meets many others of its group in a linear step.
+3. In the other buckets the components are compared by their roots first. Jaccard distance is a
+   metric, so members whose roots are further apart than the threshold and their own
+   distances from the roots have no link; only the others are paired off, compared and
+   confirmed. A bucket of very many components is split by further bands before that:
+   two sets above the threshold share many bands, so they meet again in a smaller bucket.
+   What is still large when the rounds are used up is compared as it is: no bucket is cut
+   short.
 
 Words are runs of characters other than ASCII white space, lower-cased A-Z only. Texts
 with fewer than five words have their whole word sequence as the only shingle; without
-words the set is empty and linked with nothing. Rows are told apart by ``doc_id``;
-repeated ids share a component (their rows are all returned); a null id is its own
-component. Extra columns are ignored."""
+words the set is empty and linked with nothing. ``doc_id`` names a document: rows that
+repeat an id with one text share everything; with different texts each row has its own
+set, and a link of any of them is a link of the id. A null id is its own component.
+Extra columns are ignored."""
 
 from __future__ import annotations
 
@@ -26,11 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.llm import textbytes as B
-from wordmill.llm.components import components
+from wordmill.llm.components import components, hooked
 from wordmill.session import cut_lineage
 
 SHINGLE = 5
@@ -43,8 +50,8 @@ BASE, RATE = 1.1, 20.0
 #: Pairs with a lower likelihood estimate are not confirmed. The estimate's standard
 #: deviation at the threshold is below 0.04, so this is five of them away.
 ESTIMATE_AT_LEAST = 0.55
-#: Members of a bucket that are paired off without further bands, and rounds of bands.
-BUCKET_MEMBERS = 256
+#: Components of a bucket that are compared without further bands, and rounds of bands.
+BUCKET_COMPONENTS = 512
 MAX_SPLITS = 3
 
 _SEEDS = B.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -159,14 +166,20 @@ def _similar_sizes(a: str, b: str) -> Column:
     return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
 
 
-def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs ``(u, v)`` whose sketches do not rule a link out."""
+def _estimates(pairs: DataFrame, classes: DataFrame, any_size: bool = False) -> DataFrame:
+    """``(u, v, estimate)`` of pairs ``(u, v)`` of class heads."""
     side = {c: classes.select(F.col("doc_id").alias(c), F.col("sketch").alias(f"s_{c}"), F.col("n_shingles").alias(f"n_{c}"))
             for c in "uv"}
-    both = (pairs.join(side["u"], "u").join(side["v"], "v").filter(_similar_sizes("n_u", "n_v"))
-            .select("u", "v", "s_u", "s_v", "n_u", "n_v"))
-    return both.mapInArrow(_estimate_batches, "u long, v long, estimate double").filter(
-        F.col("estimate") >= F.least(F.lit(ESTIMATE_AT_LEAST), F.lit(PERCENT / 100.0))).select("u", "v")
+    both = pairs.select("u", "v").join(side["u"], "u").join(side["v"], "v")
+    if not any_size:
+        both = both.filter(_similar_sizes("n_u", "n_v"))
+    return both.select("u", "v", "s_u", "s_v", "n_u", "n_v").mapInArrow(
+        _estimate_batches, "u long, v long, estimate double")
+
+
+def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs ``(u, v)`` whose sketches do not rule a link out."""
+    return _estimates(pairs, classes).filter(F.col("estimate") >= ESTIMATE_AT_LEAST).select("u", "v")
 
 
 def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,70 +215,101 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_confirm_batches, "u long, v long, linked boolean").filter("linked").select("u", "v")
 
 
-def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
-    """``(key, doc_id, c, n)`` of the buckets that hold more than one component."""
-    known = members.join(label, members["doc_id"] == label["node"], "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    several = (known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n"))
-               .filter("lo < hi").select("key", "n"))
-    return known.join(several, "key")
+def _mixed(rows: DataFrame) -> DataFrame:
+    """``(key, doc_id, c, pivot, pivot_c)`` of the buckets that hold more than one
+    component; the pivot is a member by a hash that differs from bucket to bucket."""
+    bucket = Window.partitionBy("key")
+    pivot = F.min(F.struct(F.xxhash64("doc_id", "key").alias("o"), "doc_id", "c")).over(bucket)
+    return (rows.withColumn("lo", F.min("c").over(bucket)).withColumn("hi", F.max("c").over(bucket)).withColumn("p", pivot)
+            .filter("lo < hi").select("key", "doc_id", "c", F.col("p.doc_id").alias("pivot"), F.col("p.c").alias("pivot_c")))
 
 
-def _cross_pairs(mixed: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components and of similar size."""
-    full = mixed.join(sizes, "doc_id")
-    a = full.select("key", F.col("doc_id").alias("u"), F.col("c").alias("c_u"), F.col("n_shingles").alias("n_u"))
-    b = full.select("key", F.col("doc_id").alias("v"), F.col("c").alias("c_v"), F.col("n_shingles").alias("n_v"))
-    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v"))
-                   & _similar_sizes("n_u", "n_v"))
-    return pairs.select("u", "v").distinct()
+def _relabelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    return rows.select("key", "doc_id").join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
+        "key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
 
 
-def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(node, component)`` over the set classes ``(doc_id, n_shingles, sketch)``."""
-    sizes = classes.select("doc_id", "n_shingles")
-    buckets = classes.select("doc_id", F.explode(_band_keys()).alias("key"))
-    heads = (buckets.groupBy("key").agg(F.min("doc_id").alias("u"), F.count(F.lit(1)).alias("n"))
-             .filter("n > 1").select("key", "u"))
-    members = cut_lineage(buckets.join(heads, "key").select("key", "doc_id", "u"))
-    stars = members.filter("doc_id <> u").select("u", F.col("doc_id").alias("v")).distinct()
-    tried = cut_lineage(_likely(stars, classes))
-    edges = cut_lineage(confirm(tried, texts))
-    label = cut_lineage(components(edges))
+def _component_pairs(comps: DataFrame) -> DataFrame:
+    """``(key, c_u, c_v)`` with the smaller component first."""
+    a = comps.select("key", F.col("c").alias("c_u"))
+    b = comps.select("key", F.col("c").alias("c_v"))
+    return a.join(b, "key").filter("c_u < c_v")
+
 
-    # pairs between components: large buckets are split by further bands first
-    mixed = cut_lineage(_mixed(members.select("key", "doc_id"), label))
-    found = None
+def _between_components(mixed: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
+    """Candidate pairs ``(u, v)`` of members of different components that share a bucket."""
+    levels, triples = None, None
     for split in range(MAX_SPLITS + 1):
-        large = mixed.filter(F.col("n") > BUCKET_MEMBERS)
+        comps = cut_lineage(mixed.select("key", "c").distinct())
+        large = cut_lineage(comps.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+                            .filter(F.col("n") > BUCKET_COMPONENTS).select("key"))
         last = split == MAX_SPLITS or large.isEmpty()
-        here = _cross_pairs(mixed if last else mixed.filter(F.col("n") <= BUCKET_MEMBERS), sizes)
-        found = here if found is None else found.unionByName(here).distinct()
+        here = mixed if last else mixed.join(large, "key", "left_anti")
+        found = _component_pairs(comps if last else comps.join(large, "key", "left_anti"))
+        levels = here if levels is None else levels.unionByName(here)
+        triples = found if triples is None else triples.unionByName(found)
         if last:
             break
-        again = (large.select(F.col("key").alias("old"), "doc_id").join(classes.select("doc_id", "sketch"), "doc_id")
-                 .select("old", "doc_id", F.explode(_band_keys()).alias("band"))
+        again = (mixed.join(large, "key", "left_semi").join(classes.select("doc_id", "sketch"), "doc_id")
+                 .select(F.col("key").alias("old"), "doc_id", "c", F.explode(_band_keys()).alias("band"))
                  .filter(F.col("old") != F.col("band"))
-                 .select(F.xxhash64("old", "band").alias("key"), "doc_id"))
-        mixed = cut_lineage(_mixed(again, label))
-    more = _likely(found.join(tried, ["u", "v"], "left_anti"), classes)
-    new = cut_lineage(confirm(cut_lineage(more), texts))
-    if new.isEmpty():
-        return label
-    return cut_lineage(components(edges.unionByName(new)))
+                 .select(F.xxhash64("old", "band").alias("key"), "doc_id", "c"))
+        mixed = cut_lineage(_mixed(again).select("key", "doc_id", "c"))
+    # how far every member is from the root of its component
+    spokes = label.filter("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
+    away = cut_lineage(_estimates(spokes, classes, True).select(
+        F.col("u").alias("c"), F.col("v").alias("doc_id"), (1.0 - F.col("estimate")).alias("d")))
+    radius = away.groupBy("c").agg(F.max("d").alias("r"))
+    roots = cut_lineage(triples.select(F.col("c_u").alias("u"), F.col("c_v").alias("v")).distinct())
+    near = (_estimates(roots, classes, True)
+            .join(radius.select(F.col("c").alias("u"), F.col("r").alias("r_u")), "u", "left")
+            .join(radius.select(F.col("c").alias("v"), F.col("r").alias("r_v")), "v", "left")
+            .filter(F.col("estimate") + F.coalesce("r_u", F.lit(0.0)) + F.coalesce("r_v", F.lit(0.0)) >= ESTIMATE_AT_LEAST)
+            .select(F.col("u").alias("c_u"), F.col("v").alias("c_v"), "estimate"))
+    wanted = triples.join(cut_lineage(near), ["c_u", "c_v"])
+    sized = (levels.join(classes.select("doc_id", "n_shingles"), "doc_id").join(away.drop("c"), "doc_id", "left")
+             .withColumn("d", F.coalesce("d", F.lit(0.0))))
+    a = sized.select("key", F.col("c").alias("c_u"), F.col("doc_id").alias("x"), F.col("n_shingles").alias("n_x"), F.col("d").alias("d_x"))
+    b = sized.select("key", F.col("c").alias("c_v"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("n_y"), F.col("d").alias("d_y"))
+    pairs = (wanted.join(a, ["key", "c_u"])
+             .join(b, ["key", "c_v"]).filter(_similar_sizes("n_x", "n_y")
+                                             & (F.col("estimate") + F.col("d_x") + F.col("d_y") >= ESTIMATE_AT_LEAST)))
+    return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+
+
+def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(node, component)`` over the set classes ``(doc_id, n_shingles, sketch)``."""
+    bucket = Window.partitionBy("key")
+    members = cut_lineage(classes.select("doc_id", F.explode(_band_keys()).alias("key"))
+                          .withColumn("u", F.min("doc_id").over(bucket)).withColumn("top", F.max("doc_id").over(bucket))
+                          .filter("u < top").select("key", "doc_id", "u"))
+    rest = members.filter("doc_id <> u")
+    tried = cut_lineage(_likely(rest.select("u", F.col("doc_id").alias("v")).distinct(), classes))
+    edges = cut_lineage(confirm(tried, texts))
+    mixed = cut_lineage(_mixed(_relabelled(rest, hooked(edges))))
+
+    again = mixed.filter("c <> pivot_c").select(F.least("doc_id", "pivot").alias("u"), F.greatest("doc_id", "pivot").alias("v"))
+    more = cut_lineage(_likely(again.distinct().join(tried, ["u", "v"], "left_anti"), classes))
+    tried = cut_lineage(tried.unionByName(more))
+    edges = cut_lineage(edges.unionByName(confirm(more, texts)))
+    label = hooked(edges)
+    mixed = cut_lineage(_mixed(_relabelled(mixed.filter("doc_id <> pivot"), label)))
+
+    if not mixed.isEmpty():
+        pairs = _between_components(mixed.select("key", "doc_id", "c"), label, classes).join(tried, ["u", "v"], "left_anti")
+        edges = edges.unionByName(confirm(cut_lineage(_likely(pairs, classes)), texts))
+    return cut_lineage(components(edges))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``: one row per input row."""
     sk = cut_lineage(sketches(docs, id_col, text_col))
     some = sk.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    # repeated ids are one node: their sets hang on the id
-    named = some.groupBy("set_1", "set_2", "n_shingles").agg(F.min("doc_id").alias("head"))
-    classes = cut_lineage(some.join(named, ["set_1", "set_2", "n_shingles"]).filter("doc_id = head")
-                          .groupBy("head", "set_1", "set_2", "n_shingles").agg(F.min("sketch").alias("sketch"))
-                          .select(F.col("head").alias("doc_id"), "n_shingles", "sketch"))
+    classes = cut_lineage(some.groupBy("set_1", "set_2", "n_shingles").agg(
+        F.min(F.struct("doc_id", "sketch")).alias("head")).select("set_1", "set_2", "n_shingles", "head.*"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    label = links(classes, texts)
+    label = links(classes.select("doc_id", "n_shingles", "sketch"), texts)
+    named = classes.select("set_1", "set_2", "n_shingles", F.col("doc_id").alias("head"))
     out = (sk.join(named, ["set_1", "set_2", "n_shingles"], "left")
            .withColumn("node", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("head"))
                        .otherwise(F.col("doc_id")))
