@@ -12,13 +12,14 @@ register.
    label, the pivot leaves the bucket, and buckets of one label are done. The first pivot
    is the smallest member, the second another one in every bucket: a member of a large
    group that the first pivot missed meets many others of its group in a linear step.
-3. In the other buckets the components are compared by their roots first. Jaccard distance is a
-   metric, so members whose roots are further apart than the threshold and their own
-   distances from the roots have no link; only the others are paired off, compared and
-   confirmed. A bucket of very many components is split by further bands before that:
-   two sets above the threshold share many bands, so they meet again in a smaller bucket.
-   What is still large when the rounds are used up is compared as it is: no bucket is cut
-   short.
+3. In the other buckets the components are compared by their roots. Jaccard distance is a
+   metric, so components whose roots are further apart than the threshold and both radii
+   have no link. The members of the others are compared in full, in blocks: each task gets
+   two blocks of texts, counts all their shared shingles by a matrix product, and emits
+   one link per member that has any. A bucket of very many components is split by further
+   bands before that: two sets above the threshold share many bands, so they meet again in
+   a smaller bucket. What is still large when the rounds are used up is compared as it is:
+   no bucket is cut short.
 
 Words are runs of characters other than ASCII white space, lower-cased A-Z only. Texts
 with fewer than five words have their whole word sequence as the only shingle; without
@@ -52,6 +53,8 @@ BASE, RATE = 1.1, 20.0
 ESTIMATE_AT_LEAST = 0.55
 #: Components of a bucket that are compared without further bands, and rounds of bands.
 BUCKET_COMPONENTS = 512
+#: Members of either side that one task compares in full, and shingles of one product.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 256, 8_192
 MAX_SPLITS = 3
 
 _SEEDS = B.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -236,17 +239,75 @@ def _component_pairs(comps: DataFrame) -> DataFrame:
     return a.join(b, "key").filter("c_u < c_v")
 
 
-def _between_components(mixed: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs ``(u, v)`` of members of different components that share a bucket."""
-    levels, triples = None, None
+def _block_links(parts: pa.Table) -> pa.Table:
+    """Of one block of hosts and one of partners: a link for every partner that has one."""
+    host = np.array(parts.column("host").to_pylist(), bool)
+    ids = parts.column("doc_id").to_numpy()
+    sets: list[np.ndarray] = []
+    for _, _, data, offsets in B.blocks(parts.column("text").combine_chunks()):
+        h, first = shingle_sets(data, offsets)
+        sets += [h[a:b] for a, b in zip(first, first[1:])]
+    a, b = np.flatnonzero(host), np.flatnonzero(~host)
+    none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+    if not len(a) or not len(b):
+        return none
+    size = np.array([len(x) for x in sets], float)
+    each = [np.concatenate([sets[i] for i in side]) if len(side) else np.zeros(0, np.uint64) for side in (a, b)]
+    row = [np.repeat(np.arange(len(side)), size[side].astype(int)) for side in (a, b)]
+    common = np.intersect1d(*each)
+    shared = np.zeros((len(a), len(b)), np.float32)
+    place = [np.searchsorted(common, x) for x in each]
+    known = [(p < len(common)) & (common[np.minimum(p, len(common) - 1)] == x) if len(common) else np.zeros(len(x), bool)
+             for p, x in zip(place, each)]
+    for c in range(0, len(common), BLOCK_SHINGLES):
+        m = []
+        for p, k, r, side in zip(place, known, row, (a, b)):
+            here = k & (p >= c) & (p < c + BLOCK_SHINGLES)
+            x = np.zeros((len(side), min(BLOCK_SHINGLES, len(common) - c)), np.float32)
+            x[r[here], p[here] - c] = 1.0
+            m.append(x)
+        shared += m[0] @ m[1].T
+    union = size[a][:, None] + size[b][None, :] - shared
+    linked = (100.0 * shared >= PERCENT * union) & (shared > 0) & (ids[a][:, None] != ids[b][None, :])
+    hit = np.flatnonzero(linked.any(axis=0))
+    if not len(hit):
+        return none
+    x, y = ids[a][linked[:, hit].argmax(axis=0)], ids[b][hit]
+    return pa.table({"u": np.minimum(x, y), "v": np.maximum(x, y)})
+
+
+def _compare_blocks(near: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the members ``(doc_id, c)`` of component pairs ``(c_u, c_v)``: the
+    larger component is the host, the members of all its pairs are its partners."""
+    sizes = nodes.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    n_u, n_v = (sizes.select(F.col("c").alias(c), F.col("n").alias(f"n{c[1:]}")) for c in ("c_u", "c_v"))
+    pairs = near.join(n_u, "c_u").join(n_v, "c_v").select(
+        F.when(F.col("n_u") >= F.col("n_v"), F.struct(F.col("c_u").alias("a"), F.col("c_v").alias("b"), F.col("n_u").alias("hosts")))
+        .otherwise(F.struct(F.col("c_v").alias("a"), F.col("c_u").alias("b"), F.col("n_v").alias("hosts"))).alias("p"),
+        F.least("n_u", "n_v").alias("n")).select("p.*", "n")
+    blocks = cut_lineage(pairs.groupBy("a").agg(
+        F.ceil(F.max("hosts") / BLOCK_MEMBERS).cast("int").alias("h"), F.ceil(F.sum("n") / BLOCK_MEMBERS).cast("int").alias("p")))
+
+    def side(rows: DataFrame, own: str, other: str, host: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64("doc_id"), F.col(own)).cast("int").alias(own)
+        return (rows.select("a", "doc_id", F.lit(host).alias("host"), mine, F.col(other).alias("all"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("all") - 1))).select("a", "doc_id", "host", "h", "p"))
+    hosts = side(nodes.withColumnRenamed("c", "a").join(blocks, "a"), "h", "p", True)
+    partners = side(pairs.select("a", F.col("b").alias("c")).join(nodes, "c").join(blocks, "a"), "p", "h", False)
+    cells = cut_lineage(hosts.unionByName(partners))
+    needed = texts.join(cells.select("doc_id").distinct(), "doc_id", "left_semi")
+    return cells.join(needed, "doc_id").groupBy("a", "h", "p").applyInArrow(_block_links, "u long, v long").distinct()
+
+
+def _between_components(mixed: DataFrame, label: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``(u, v)`` between members of different components that share a bucket."""
+    triples = None
     for split in range(MAX_SPLITS + 1):
         comps = cut_lineage(mixed.select("key", "c").distinct())
         large = cut_lineage(comps.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
                             .filter(F.col("n") > BUCKET_COMPONENTS).select("key"))
         last = split == MAX_SPLITS or large.isEmpty()
-        here = mixed if last else mixed.join(large, "key", "left_anti")
         found = _component_pairs(comps if last else comps.join(large, "key", "left_anti"))
-        levels = here if levels is None else levels.unionByName(here)
         triples = found if triples is None else triples.unionByName(found)
         if last:
             break
@@ -265,16 +326,10 @@ def _between_components(mixed: DataFrame, label: DataFrame, classes: DataFrame)
             .join(radius.select(F.col("c").alias("u"), F.col("r").alias("r_u")), "u", "left")
             .join(radius.select(F.col("c").alias("v"), F.col("r").alias("r_v")), "v", "left")
             .filter(F.col("estimate") + F.coalesce("r_u", F.lit(0.0)) + F.coalesce("r_v", F.lit(0.0)) >= ESTIMATE_AT_LEAST)
-            .select(F.col("u").alias("c_u"), F.col("v").alias("c_v"), "estimate"))
-    wanted = triples.join(cut_lineage(near), ["c_u", "c_v"])
-    sized = (levels.join(classes.select("doc_id", "n_shingles"), "doc_id").join(away.drop("c"), "doc_id", "left")
-             .withColumn("d", F.coalesce("d", F.lit(0.0))))
-    a = sized.select("key", F.col("c").alias("c_u"), F.col("doc_id").alias("x"), F.col("n_shingles").alias("n_x"), F.col("d").alias("d_x"))
-    b = sized.select("key", F.col("c").alias("c_v"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("n_y"), F.col("d").alias("d_y"))
-    pairs = (wanted.join(a, ["key", "c_u"])
-             .join(b, ["key", "c_v"]).filter(_similar_sizes("n_x", "n_y")
-                                             & (F.col("estimate") + F.col("d_x") + F.col("d_y") >= ESTIMATE_AT_LEAST)))
-    return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+            .select(F.col("u").alias("c_u"), F.col("v").alias("c_v")))
+    nodes = classes.select("doc_id").join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
+        "doc_id", F.coalesce("component", "doc_id").alias("c"))
+    return _compare_blocks(cut_lineage(near), nodes, texts)
 
 
 def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -290,14 +345,12 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame:
 
     again = mixed.filter("c <> pivot_c").select(F.least("doc_id", "pivot").alias("u"), F.greatest("doc_id", "pivot").alias("v"))
     more = cut_lineage(_likely(again.distinct().join(tried, ["u", "v"], "left_anti"), classes))
-    tried = cut_lineage(tried.unionByName(more))
     edges = cut_lineage(edges.unionByName(confirm(more, texts)))
     label = hooked(edges)
     mixed = cut_lineage(_mixed(_relabelled(mixed.filter("doc_id <> pivot"), label)))
 
     if not mixed.isEmpty():
-        pairs = _between_components(mixed.select("key", "doc_id", "c"), label, classes).join(tried, ["u", "v"], "left_anti")
-        edges = edges.unionByName(confirm(cut_lineage(_likely(pairs, classes)), texts))
+        edges = edges.unionByName(_between_components(mixed.select("key", "doc_id", "c"), label, classes, texts))
     return cut_lineage(components(edges))
 
 
