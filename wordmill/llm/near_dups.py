@@ -232,11 +232,38 @@ def _relabelled(rows: DataFrame, label: DataFrame) -> DataFrame:
         "key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
 
 
-def _component_pairs(comps: DataFrame) -> DataFrame:
-    """``(key, c_u, c_v)`` with the smaller component first."""
-    a = comps.select("key", F.col("c").alias("c_u"))
-    b = comps.select("key", F.col("c").alias("c_v"))
-    return a.join(b, "key").filter("c_u < c_v")
+def _near_in_cell(parts: pa.Table) -> pa.Table:
+    """Pairs of components of one cell whose roots are near enough, by their sketches."""
+    c, block = parts.column("c").to_numpy(), parts.column("block").to_numpy()
+    regs = np.frombuffer(b"".join(parts.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    n, r = parts.column("n_shingles").to_numpy().astype(float), parts.column("r").to_numpy()
+    here, there = int(parts.column("i")[0].as_py()), int(parts.column("j")[0].as_py())
+    a, b = np.flatnonzero(block == here), np.flatnonzero(block == there)
+    us, vs = [], []
+    for k in a.tolist():
+        # equal registers bound the estimate from above well enough to skip most pairs
+        same = (regs[k] == regs[b]).mean(axis=1)
+        some = b[(same + r[k] + r[b] >= ESTIMATE_AT_LEAST - 0.1) & (c[b] != c[k])]
+        if here == there:
+            some = some[c[some] > c[k]]
+        if len(some):
+            j = estimate(np.repeat(regs[k:k + 1], len(some), axis=0), regs[some], np.full(len(some), n[k]), n[some])
+            some = some[j + r[k] + r[some] >= ESTIMATE_AT_LEAST]
+            us.append(np.minimum(c[k], c[some]))
+            vs.append(np.maximum(c[k], c[some]))
+    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+    return pa.table({"c_u": pa.array(u, pa.int64()), "c_v": pa.array(v, pa.int64())})
+
+
+def _near_components(comps: DataFrame, roots: DataFrame) -> DataFrame:
+    """Component pairs ``(c_u, c_v)`` that share a bucket and whose roots are near. A
+    bucket ``(key, c, n)`` is cut into blocks; a task gets two blocks and emits only what
+    is near. ``roots`` has ``(c, sketch, n_shingles, r)``."""
+    blocks = F.ceil(F.col("n") / BUCKET_COMPONENTS).cast("int")
+    dealt = comps.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("c", "key"), F.col("blocks")).cast("int"))
+    cells = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", "c", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+    return (cells.join(roots, "c").groupBy("key", "i", "j").applyInArrow(_near_in_cell, "c_u long, c_v long").distinct())
 
 
 def _block_links(parts: pa.Table) -> pa.Table:
@@ -301,32 +328,28 @@ def _compare_blocks(near: DataFrame, nodes: DataFrame, texts: DataFrame) -> Data
 
 def _between_components(mixed: DataFrame, label: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links ``(u, v)`` between members of different components that share a bucket."""
-    triples = None
+    # how far the members of a component are from its root at most
+    spokes = label.filter("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
+    radius = _estimates(spokes, classes, True).groupBy(F.col("u").alias("c")).agg((1.0 - F.min("estimate")).alias("r"))
+    roots = cut_lineage(classes.select(F.col("doc_id").alias("c"), "sketch", "n_shingles").join(radius, "c", "left")
+                        .withColumn("r", F.coalesce("r", F.lit(0.0))))
+    near = None
     for split in range(MAX_SPLITS + 1):
-        comps = cut_lineage(mixed.select("key", "c").distinct())
-        large = cut_lineage(comps.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-                            .filter(F.col("n") > BUCKET_COMPONENTS).select("key"))
-        last = split == MAX_SPLITS or large.isEmpty()
-        found = _component_pairs(comps if last else comps.join(large, "key", "left_anti"))
-        triples = found if triples is None else triples.unionByName(found)
+        comps = mixed.select("key", "c").distinct()
+        comps = cut_lineage(comps.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))))
+        large = F.col("n") > BUCKET_COMPONENTS
+        last = split == MAX_SPLITS or comps.filter(large).isEmpty()
+        found = _near_components(comps if last else comps.filter(~large), roots)
+        near = found if near is None else near.unionByName(found)
         if last:
             break
-        again = (mixed.join(large, "key", "left_semi").join(classes.select("doc_id", "sketch"), "doc_id")
+        again = (mixed.join(comps.filter(large).select("key").distinct(), "key", "left_semi")
+                 .join(classes.select("doc_id", "sketch"), "doc_id")
                  .select(F.col("key").alias("old"), "doc_id", "c", F.explode(_band_keys()).alias("band"))
                  .filter(F.col("old") != F.col("band"))
                  .select(F.xxhash64("old", "band").alias("key"), "doc_id", "c"))
         mixed = cut_lineage(_mixed(again).select("key", "doc_id", "c"))
-    # how far every member is from the root of its component
-    spokes = label.filter("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
-    away = cut_lineage(_estimates(spokes, classes, True).select(
-        F.col("u").alias("c"), F.col("v").alias("doc_id"), (1.0 - F.col("estimate")).alias("d")))
-    radius = away.groupBy("c").agg(F.max("d").alias("r"))
-    roots = cut_lineage(triples.select(F.col("c_u").alias("u"), F.col("c_v").alias("v")).distinct())
-    near = (_estimates(roots, classes, True)
-            .join(radius.select(F.col("c").alias("u"), F.col("r").alias("r_u")), "u", "left")
-            .join(radius.select(F.col("c").alias("v"), F.col("r").alias("r_v")), "v", "left")
-            .filter(F.col("estimate") + F.coalesce("r_u", F.lit(0.0)) + F.coalesce("r_v", F.lit(0.0)) >= ESTIMATE_AT_LEAST)
-            .select(F.col("u").alias("c_u"), F.col("v").alias("c_v")))
+    near = near.distinct()
     nodes = classes.select("doc_id").join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", F.coalesce("component", "doc_id").alias("c"))
     return _compare_blocks(cut_lineage(near), nodes, texts)
