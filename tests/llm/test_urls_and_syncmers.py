@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -164,3 +165,36 @@ def test_odd_and_empty_documents(odd, empty):
     prints = S.fingerprints(odd)
     assert S.next_documents(prints, ["text", "print"]).count() == odd.count()
     assert S.next_documents(S.fingerprints(empty), ["text", "print"]).count() == 0
+
+
+def plain_compared(a, b):
+    """Likeness, anchors on the best shift and that shift, of lists of (hash, place)."""
+    first = [{h: p for h, p in reversed(x)} for x in (a, b)]
+    votes = Counter(first[1][h] - first[0][h] for h in first[0].keys() & first[1].keys())
+    union = first[0].keys() | first[1].keys()
+    shift = max(votes, key=lambda d: (votes[d], d), default=None)
+    n = 0 if shift is None else len(set(a) & {(h, p - shift) for h, p in b})
+    return (len(first[0].keys() & first[1].keys()) / len(union) if union else 1.0), n, shift
+
+
+def test_whole_anchor_arrays_equal_a_plain_comparison(spark):
+    rnd = random.Random(6)
+    texts = [" ".join(f"w{rnd.randrange(v)}" for _ in range(n)) for v, n in
+             ((5, 60), (5, 80), (40, 200), (40, 90), (900, 500), (900, 400), (2, 3), (1, 50))] + ["", "one two", "one two"]
+    texts += [texts[4][:900] + " x " + texts[2], texts[4]]
+    rows = spark.createDataFrame([(x, y) for x in texts for y in texts], "x string, y string").select(
+        S.placed_anchors(F.col("x")).alias("a"), S.placed_anchors(F.col("y")).alias("b"))
+    for r in rows.select("a", "b", S.compared(F.col("a"), F.col("b")).alias("c")).collect():
+        assert tuple(r["c"]) == plain_compared([tuple(x) for x in r["a"]], [tuple(x) for x in r["b"]])
+
+
+def test_a_short_passage_shared_by_long_documents_is_found_at_its_place(spark):
+    passage = [f"shared{i}" for i in range(100)]
+    first, second = ([f"{side}{i}" for i in range(20_000)] for side in "ab")
+    first[15_000:15_100], second[300:400] = passage, passage
+    d = spark.createDataFrame([(2, " ".join(first)), (1, " ".join(second))], "doc_id long, text string")
+    inside = d.select(F.size(S.anchors(F.lit(" ".join(passage))))).first()[0]
+    r = next(r for r in S.compared_documents(d).collect() if r["doc_id"] == 2)
+    assert r["near_next"] > 0
+    assert (r["next_n"], r["next_shift"]) == (inside, 300 - 15_000)
+    assert r["edited_shift"] == 0 and r["edited_n"] > 8_000
