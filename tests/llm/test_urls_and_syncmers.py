@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from wordmill.llm import syncmers as S
@@ -76,6 +77,40 @@ def test_trust_flows_forward_and_distrust_backward(spark):
     assert U.filter_urls(d.filter("false")).count() == 0
 
 
+def exact_rank(links, seeds):
+    """The fixed point of the propagation, by elimination."""
+    hosts = sorted({h for e in links for h in e[:2]} | set(seeds))
+    at = {h: i for i, h in enumerate(hosts)}
+    flow = np.zeros((len(hosts), len(hosts)))
+    for s, d, n in links:
+        flow[at[d], at[s]] += U.DAMPING * n / sum(m for x, _, m in links if x == s)
+    rank = np.linalg.solve(np.eye(len(hosts)) - flow, [(1 - U.DAMPING) * seeds.get(h, 0.0) for h in hosts])
+    return dict(zip(hosts, rank / rank.sum()))
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    """30 one-page hosts in a row, the last one linking to a host of many blocked pages."""
+    heavy = 10_000
+    names = [f"c{i}.net" for i in range(30)] + ["bad.com"]
+    pages = spark.createDataFrame([(i, f"http://{a}/", f"<a href='http://{b}/'>") for i, (a, b) in enumerate(zip(names, names[1:]))],
+                                  "page_id long, url string, html string")
+    blocked = spark.range(heavy).select((F.col("id") + 100).alias("page_id"), F.lit("http://bad.com/de/").alias("url"),
+                                        F.lit("").alias("html"))
+    rows = {r["host"]: r for r in U.filter_urls(pages.unionByName(blocked)).collect()}
+    want = exact_rank([(b, a, 1.0) for a, b in zip(names, names[1:])], {"bad.com": 1.0})
+    for name in names[:-1]:
+        assert abs(rows[name]["distrust"] - want[name] * heavy) < 1e-3 and rows[name]["verdict"] == "block"
+
+
+def test_page_rank_converges_on_cycles(spark):
+    links = [("a", "b", 1.0), ("b", "a", 3.0), ("b", "c", 1.0), ("c", "a", 1.0)]
+    got = U.page_rank(spark.createDataFrame(links, "src string, dst string, n double"),
+                      spark.createDataFrame([("a", 1.0)], "host string, weight double"), tolerance=1e-4)
+    want = exact_rank(links, {"a": 1.0})
+    got = {r["host"]: r["rank"] for r in got.collect()}
+    assert got.keys() == want.keys() and all(abs(got[h] - want[h]) < 2e-4 for h in want)
+
+
 def test_url_query_covers_the_table(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()
     got = {r["page_id"]: r for r in U.op5_url_filters(spark, sf).collect()}

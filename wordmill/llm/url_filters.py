@@ -4,8 +4,9 @@ Rules ``host/path`` fit a host and all its subdomains if the url's path starts w
 rule's path; the longest that fits decides. Pages without a rule are judged by their
 host: trust flows forward over host links from hosts with allowed pages, distrust flows
 backward from hosts with blocked pages (whoever links to a blocked host is distrusted),
-both as personalised PageRank. A host is blocked if its distrust per page is at least
-``MIN_DISTRUST`` and more than ``RATIO`` times its trust.
+both as personalised PageRank, iterated until the ranks of all hosts together change by
+less than ``TOLERANCE`` seed pages, however many steps that takes. A host is blocked if
+its distrust per page is at least ``MIN_DISTRUST`` and more than ``RATIO`` times its trust.
 
 Null urls and urls without ``://`` have an empty host and path; no rule and no link
 fits them, and they are allowed. An empty table gives an empty result; repeated rows
@@ -13,6 +14,7 @@ are judged alike; extra columns are ignored."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,12 +24,19 @@ from pyspark.sql import functions as F
 from wordmill.session import cut_lineage
 
 DAMPING = 0.85
-#: Steps of the propagation: what is left to flow after them is 0.85**12, one seventh.
+#: Steps of ``page_rank`` where no tolerance is given: what is left to flow after them is
+#: 0.85**12, one seventh. The filter gives a tolerance.
 STEPS = 12
 #: Steps between two written rank tables.
 WRITE_EVERY = 4
 RATIO = 2.0
 MIN_DISTRUST = 0.05
+#: Change of all ranks between two written tables, in seed pages, at which they are final.
+#: What is still to come is at most 1.1 times that (0.85**4 / (1 - 0.85**4)), and the final
+#: scaling multiplies by 1 / 0.15 at most.
+TOLERANCE = MIN_DISTRUST / 1000
+#: Least tolerance as a share of all ranks, above the rounding of their sums.
+ROUNDING = 1e-14
 
 
 @dataclass(frozen=True)
@@ -100,21 +109,32 @@ def host_links(pages: DataFrame) -> DataFrame:
     return linked.unionByName(both).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def page_rank(links: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def page_rank(links: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING,
+              tolerance: float | None = None) -> DataFrame:
     """Personalised PageRank ``(host, rank)``: seeds ``(host, weight)`` with weights that
     add up to 1, links ``(src, dst, n)``. The links are written once, weighted by their
-    share of the source. Ranks are scaled to add up to 1 at the end, which is the same as
-    letting hosts without links hand their rank back to the seeds."""
+    share of the source. With a ``tolerance`` there is no limit of steps: they end when the
+    changes of all ranks between two written tables add up to less (each step leaves at
+    most ``damping`` of the change, so they do end). Ranks are scaled to add up to 1 at the
+    end, which is the same as letting hosts without links hand their rank back to the
+    seeds."""
     total = links.groupBy("src").agg(F.sum("n").alias("total"))
     share = cut_lineage(links.join(total, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")))
     rank = seeds.select("host", F.col("weight").alias("rank"))
     base = seeds.select("host", (F.col("weight") * (1.0 - damping)).alias("rank"))
-    for step in range(1, steps + 1 if not share.isEmpty() else 1):
+    written, linked = rank, not share.isEmpty()
+    for step in (itertools.count(1) if tolerance is not None else range(1, steps + 1)) if linked else ():
         flow = (rank.join(share, rank["host"] == share["src"])
                 .select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")))
         rank = base.unionByName(flow).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if step % WRITE_EVERY == 0 and step < steps:
+        if step % WRITE_EVERY == 0 and (tolerance is not None or step < steps):
             rank = cut_lineage(rank)
+            if tolerance is not None:
+                before = written.select("host", (-F.col("rank")).alias("rank"))
+                change = rank.unionByName(before).groupBy("host").agg(F.sum("rank").alias("rank"))
+                if change.agg(F.sum(F.abs("rank"))).first()[0] <= tolerance:
+                    break
+                written = rank
     rank = cut_lineage(rank)
     scale = rank.agg(F.sum("rank")).first()[0]
     return rank.withColumn("rank", F.col("rank") / F.lit(scale)) if scale else rank
@@ -136,7 +156,7 @@ def host_scores(pages: DataFrame, judged: DataFrame) -> DataFrame:
         total = sums[side] or 0.0
         if total:
             seeds = counts.filter(F.col(side) > 0).select("host", (F.col(side) / total).alias("weight"))
-            ranked = page_rank(graph, seeds).select("host", (F.col("rank") * total).alias(name))
+            ranked = page_rank(graph, seeds, tolerance=max(TOLERANCE / total, ROUNDING)).select("host", (F.col("rank") * total).alias(name))
             out = out.join(ranked, "host", "left")
         else:
             out = out.withColumn(name, F.lit(0.0))
