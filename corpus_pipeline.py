@@ -7,7 +7,7 @@ returns a DataFrame that is written as Parquet and read again as the next one's
 ``ORACLE_SQL`` is None; tests compare each stage with a plain version.
 
 Null and empty texts are rejected by the first stage. A null ``doc_id`` cannot be a
-duplicate and stays; of rows with one id only the first by text stays. Extra columns go
+duplicate and stays; of rows with one id and equal texts one stays. Extra columns go
 through unchanged, whatever their names. Empty tables give empty results."""
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordmill.llm import language_id, near_dups, packing, quality_classifier
-from wordmill.session import scratch_path
+from wordmill.session import broadcast_if_small, cut_lineage, scratch_path
 
 #: Documents whose best language scores less are rejected, as are those without any.
 LANG_MIN_SCORE = 0.25
@@ -56,15 +56,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near duplicates, the one with the smallest id."""
-    gone = (near_dups.near_duplicates(docs).filter(~F.col("kept"))
-            .select(F.col("doc_id").alias("gone_id")).distinct())
-    left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    name = _free(docs, "row_of_id")
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    ided = (left.filter("doc_id IS NOT NULL").withColumn(name, F.row_number().over(first))
-            .filter(F.col(name) == 1).select(*docs.columns))
-    return ided.unionByName(left.filter("doc_id IS NULL"))
+    """Keep one document of each class of near duplicates, the one with the smallest id.
+    Rows that share an id but not the text are documents of their own."""
+    node, many, keep, row = (_free(docs, c) for c in ("node", "many_id", "keep_node", "row_of_node"))
+    ided = docs.filter("doc_id IS NOT NULL")
+    digest = F.xxhash64("text")
+    several = cut_lineage(ided.groupBy("doc_id").agg(F.min(digest).alias("lo"), F.max(digest).alias("hi"))
+                          .filter("lo <> hi").select(F.col("doc_id").alias(many)))
+    noded = ided.join(broadcast_if_small(several), F.col("doc_id") == F.col(many), "left").select(
+        *docs.columns, F.when(F.col(many).isNull(), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "text")).alias(node))
+    found = near_dups.near_duplicates(noded, node).select(F.col("doc_id").alias(node), "component_id").distinct()
+    kept = (found.join(noded.select(node, "doc_id").distinct(), node).groupBy("component_id")
+            .agg(F.min(F.struct("doc_id", node))[node].alias(keep)))
+    left = noded.join(kept, F.col(node) == F.col(keep), "left_semi")
+    first = Window.partitionBy(node).orderBy(F.col("text").asc_nulls_last())
+    once = left.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1).select(*docs.columns)
+    return once.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,3 +121,15 @@ def test_stages_on_odd_and_empty_tables(spark, odd, empty, sf):
             if name != "packing":
                 assert out.columns == docs.columns
             assert out.count() <= max(docs.count() * 20, 0)
+
+
+def test_rows_of_one_id_with_different_texts_are_kept(spark, sf):
+    """Only near duplicates go: id 7 stands for two unrelated texts, one of them a copy of
+    that of id 3; id 9 repeats one row; ids 5 and 8 are near each other."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(7, a), (7, b), (3, b), (9, c), (9, c), (8, d + " end"), (8, a + " " + c), (5, d), (None, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash"))
+    out = C.near_dedup(spark, docs, sf)
+    assert out.columns == docs.columns
+    want = [(7, a), (3, b), (9, c), (8, a + " " + c), (5, d), (None, d)]
+    assert sorted((tuple(r)[:2] for r in out.collect()), key=str) == sorted(want, key=str)
