@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from wordmill.llm import byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules, syncmers, token_output, url_filters
+from wordmill.llm import (byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules,
+                          syncmers, token_output, toxicity, url_filters)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_syncmer_fingerprints": syncmers.op10_syncmer_fingerprints,
+    "op11_toxicity": toxicity.op11_toxicity,
 }
 
 ORACLE = {

@@ -9,7 +9,7 @@ Two different strings of one document meet with a chance of about n**2 / 2**65."
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -101,13 +101,22 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes."""
+def span_hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function from starts and ends to 64-bit hashes of the bytes between, for several
+    sets of spans of one buffer."""
     up, down = _power(len(data) + 1)
     prefix = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=prefix[1:])
-    h = (prefix[ends] - prefix[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        h = (prefix[ends] - prefix[starts]) * down[starts]
+        return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return hashes
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span's bytes."""
+    return span_hasher(data)(starts, ends)
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
