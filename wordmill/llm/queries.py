@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from wordmill.llm import (byte_bpe, language_id, license_scan, near_dups, packing, quality_classifier, quality_rules,
-                          syncmers, token_output, toxicity, url_filters)
+from wordmill.llm import (byte_bpe, language_id, license_scan, near_dups, packing, periodic_runs, quality_classifier,
+                          quality_rules, syncmers, token_output, toxicity, url_filters)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_syncmer_fingerprints": syncmers.op10_syncmer_fingerprints,
     "op11_toxicity": toxicity.op11_toxicity,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 
 ORACLE = {
