@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from wordmill.llm import (byte_bpe, language_id, license_scan, near_dups, packing, periodic_runs, quality_classifier,
-                          quality_rules, syncmers, token_output, toxicity, url_filters)
+from wordmill.llm import (byte_bpe, hard_negatives, language_id, license_scan, near_dups, packing, periodic_runs,
+                          quality_classifier, quality_rules, syncmers, token_output, toxicity, url_filters)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -18,9 +18,11 @@ QUERIES = {
     "op10_syncmer_fingerprints": syncmers.op10_syncmer_fingerprints,
     "op11_toxicity": toxicity.op11_toxicity,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op4_near_duplicates": near_dups.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
