@@ -39,7 +39,7 @@ exact in 64-bit floats for a thousand dimensions."""
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,7 +54,7 @@ ROWS = 2_048
 CHUNK = 1_024
 #: A level's covering radius, as a share of the level above; points of a node that is not
 #: split further.
-SHRINK = 0.7
+SHRINK = 0.5
 LEAF = 16
 #: Anchors whose best rows a task carries from tree to tree; beyond it they are sent out.
 HELD = 200_000
@@ -89,10 +89,6 @@ def build_tree(ids: np.ndarray, labels: np.ndarray, points: np.ndarray) -> Tree:
     top = float(square.max())
     full = np.hstack([points, np.sqrt(np.maximum(top - square, 0.0))[:, None]])
 
-    def away(center: int, some: np.ndarray) -> np.ndarray:
-        d = full[some] - full[center]
-        return np.sqrt(np.einsum("ij,ij->i", d, d))
-
     row, radius, first, count, only, under = [0], [0.0], [0], [0], [0], [np.arange(len(ids))]
     node = 0
     while node < len(row):
@@ -100,9 +96,10 @@ def build_tree(ids: np.ndarray, labels: np.ndarray, points: np.ndarray) -> Tree:
         under[node] = np.zeros(0, np.int64)
         only[node] = int((labels[some] == labels[center]).all())
         if len(some) > 1:
-            dist = away(center, some)
+            gap = full[some] - full[center]
+            dist = np.sqrt(np.einsum("ij,ij->i", gap, gap))
             radius[node] = float(dist.max())
-            groups = _cover(center, some, dist, away, radius[node])
+            groups = _cover(center, some, full[some], dist, radius[node])
             first[node], count[node] = len(row), len(groups)
             for c, g in groups:
                 row.append(c)
@@ -116,19 +113,26 @@ def build_tree(ids: np.ndarray, labels: np.ndarray, points: np.ndarray) -> Tree:
                 np.array(only))
 
 
-def _cover(center: int, some: np.ndarray, dist: np.ndarray, away: Callable, radius: float) -> list[tuple[int, np.ndarray]]:
-    """The children of a node: ``(centre, points)``."""
+def _cover(center: int, some: np.ndarray, full: np.ndarray, dist: np.ndarray, radius: float) -> list[tuple[int, np.ndarray]]:
+    """The children of a node: ``(centre, points)``. ``full`` are the vectors of ``some``."""
     if radius == 0.0 or len(some) <= LEAF:
         return [(int(i), np.array([i])) for i in some]
-    reach, out = SHRINK * radius, []
+    reach = SHRINK * radius
     near = dist <= reach
-    out.append((center, some[near]))
-    left = some[~near]
+    out, left = [(center, some[near])], np.flatnonzero(~near)
+    square = np.einsum("ij,ij->i", full, full)
     while len(left):
-        c = int(left[0])
-        near = away(c, left) <= reach
-        out.append((c, left[near]))
-        left = left[~near]
+        # distances of the next centres to all that is left, a panel at a time
+        panel = left[:512]
+        near = square[panel][:, None] + square[left] - 2.0 * (full[panel] @ full[left].T) <= reach * reach
+        free = np.ones(len(left), bool)
+        for j in range(len(panel)):
+            if free[j]:
+                mine = near[j] & free
+                mine[j] = True
+                free &= ~mine
+                out.append((int(some[left[j]]), some[left[mine]]))
+        left = left[free]
     return out
 
 
@@ -175,39 +179,34 @@ def search(tree: Tree, root: np.ndarray, q: np.ndarray, label: int, same: bool,
     children of the tree's root."""
     square = float(q @ q)
     low, high = np.array([w[0] for w in windows]), np.array([w[1] for w in windows])
-
-    def wanted(lo: float, hi: float) -> bool:
-        floor = np.maximum(low, [b.least for b in best])
-        return bool(((hi >= floor) & (lo <= high)).any())
+    floor = np.maximum(low, [b.least for b in best])  # what a row must reach to matter
 
     def open_node(node: int, dot: np.ndarray) -> None:
         a, b = int(tree.first[node]), int(tree.first[node] + tree.count[node])
         rows, inner = tree.row[a:b], tree.count[a:b] > 0
-        label_of = tree.labels[rows]
-        alone = ~inner & ((label_of == label) == same)
-        if alone.any():
-            at = np.flatnonzero(alone)
+        mine = tree.labels[rows] == label
+        at = np.flatnonzero((mine == same) & ~inner & (dot >= floor.min()))
+        if len(at):
             score, ids = dot[at], tree.ids[rows[at]]
-            score = np.where(ids == but, -np.inf, score)
             for w, x in enumerate(best):
-                some = (score >= max(low[w], x.least)) & (score <= high[w])
+                some = (score >= floor[w]) & (score <= high[w]) & (ids != but)
                 if some.any():
                     x.add(score[some], ids[some])
-        if inner.any():
-            at = np.flatnonzero(inner & ~((tree.only[a:b] == 1) & ((label_of == label) != same)))
+                    floor[w] = max(low[w], x.least)
+        at = np.flatnonzero(inner & ~((tree.only[a:b] == 1) & (mine != same)))
+        if len(at):
             lo, hi = bounds(dot[at], square, tree.norm, tree.radius[a:b][at])
-            for j, x, y in zip(at.tolist(), lo.tolist(), hi.tolist()):
-                if wanted(x, y):
-                    heapq.heappush(queue, (-y, x, a + j))
+            wanted = ((hi[:, None] >= floor) & (lo[:, None] <= high)).any(axis=1)
+            for j in np.flatnonzero(wanted).tolist():
+                heapq.heappush(queue, (-float(hi[j]), float(lo[j]), a + int(at[j])))
 
     queue: list[tuple[float, float, int]] = []
     open_node(0, root)
     while queue:
         hi, lo, node = heapq.heappop(queue)
-        if not wanted(lo, -hi):
-            continue
-        a, b = int(tree.first[node]), int(tree.first[node] + tree.count[node])
-        open_node(node, tree.points[tree.row[a:b]] @ q)
+        if ((-hi >= floor) & (lo <= high)).any():
+            a, b = int(tree.first[node]), int(tree.first[node] + tree.count[node])
+            open_node(node, tree.points[tree.row[a:b]] @ q)
 
 
 # ---------------------------------------------------------------- rows of blocks and chunks
