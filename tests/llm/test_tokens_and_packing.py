@@ -24,9 +24,7 @@ def tik():
 
 @pytest.fixture(scope="module")
 def words():
-    t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(WORDS)
 
 
 def noise(n, seed, parts):
@@ -61,7 +59,7 @@ def test_byte_bpe_query_equals_the_library(spark, tik, odd, empty, sf):
 
 def test_word_table_equals_the_library(words):
     parts = [*"abAB zZ'.!?19  \n\t", "'s", "'LL", "é", "É", "ß", "ñ", "ı", "İ", "Σ", "ς", "世", "😀", "́", "\xa0",
-             " ", "²", "ª", "\xad", "\x1c", "\x85", "<|endoftext|>", "Å", "½", "_", "-"]
+             " ", "²", "ª", "\xad", "\x1c", "\x85", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endof", "Å", "½", "_", "-"]
     texts = noise(400, 2, parts) + [""]
     with open(WORDS, "rb") as f:
         coder = wordbpe.WordBpe(f.read(), max_words=500)  # small: the table starts anew often
@@ -74,6 +72,20 @@ def test_word_table_equals_the_library(words):
     assert got == [words.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_special_tokens_are_the_tokenizers(words):
+    import pyarrow as pa
+    from wordmill.llm import textbytes as B
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|>x<|endoftext|>", "<|endoftext|><|endoftext|>",
+             "é<|endoftext|>世", "<|ENDOFTEXT|>", "<| endoftext |>", "<|endoftext|", "\n<|startoftext|>\t"]
+    with open(WORDS, "rb") as f:
+        coder = wordbpe.WordBpe(f.read())
+    _, _, data, offsets = next(iter(B.blocks(pa.array(texts))))
+    ids, first = coder.encode_block(data, offsets)
+    got = [ids[a:b].tolist() for a, b in zip(first, first[1:])]
+    assert got == [words.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] == [320, 49407, 321]
+
+
 def check_packing(rows, capacity):
     by = defaultdict(list)
     for r in rows:
