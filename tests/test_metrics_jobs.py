@@ -125,3 +125,15 @@ def test_one_scan_of_the_predictions(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "label")
     plan = MT.weighted(e.withColumn("prediction", MT.standin_prediction("t", "vec_id")))._jdf.queryExecution().executedPlan()
     assert plan.toString().count("FileScan") == 1
+
+
+def test_every_example_is_in_the_prompt_or_the_table_is_refused(spark):
+    few = spark.range(1_001).select(F.col("id").alias("doc_id"), F.format_string("example %d", "id").alias("text"),
+                                    (F.col("id") % 2).cast("int").alias("label"))
+    items = spark.createDataFrame([(1, "the item", 0)], "doc_id long, text string, label int")
+    with pytest.raises(ValueError, match="1000"):
+        JB.few_shot_block(few)
+    with pytest.raises(ValueError):
+        JB.prompt_classify(items, few, lambda pdf: pdf["prompt"])
+    block = spark.range(1).select(JB.few_shot_block(few.limit(1_000)).alias("b")).first()["b"]
+    assert block.count("Text: example ") == 1_000

@@ -89,13 +89,19 @@ def score_batches(df: DataFrame, score_fn: ScoreFn, *, keep: Sequence[str],
     return df.mapInPandas(run, schema).withColumn("prediction", T.argmax(scores_col))
 
 
+# Examples that one prompt may hold.
+MAX_EXAMPLES = 1_000
+
+
 # T13 (few-shot block)
 def few_shot_block(few: DataFrame, *, text_col: str = "text", label_col: str = "label",
-                   id_cols="doc_id", seed=fixed.BASELINE_SEED, max_rows: int = 1_000) -> Column:
+                   id_cols="doc_id", seed=fixed.BASELINE_SEED, max_rows: int = MAX_EXAMPLES) -> Column:
     """The examples of a few-shot table joined into one string in hash order, as a scalar
-    subquery: no join with the item table and nothing on the driver. The first
-    ``max_rows`` examples in that order are used (a prompt has a bounded length)."""
-    few = few.orderBy(seeded_hash(seed, id_cols), id_string(id_cols)).limit(max_rows)
+    subquery: no join with the item table and nothing on the driver. All examples are used;
+    a table of more than ``max_rows`` is refused, as no prompt could hold it."""
+    few = cut_lineage(few.select(*{text_col, label_col, *([id_cols] if isinstance(id_cols, str) else id_cols)}))
+    if few.count() > max_rows:
+        raise ValueError(f"a prompt takes at most {max_rows} examples; draw fewer first")
     line = T.few_shot_line(text_col, label_col)
     parts = F.array_sort(F.collect_list(F.struct(seeded_hash(seed, id_cols).alias("h"),
                                                  id_string(id_cols).alias("i"), line.alias("s"))))
