@@ -1,54 +1,55 @@
 """Learning and scoring with pyspark.ml.
 
-The TF-IDF features equal the relational ones in ``terms``: lowercased runs of two or
-more word characters, smooth idf ``ln((1+n)/(1+df)) + 1`` and L2 rows. Spark's ``IDF``
-omits the ``+ 1``, so the fitted idf vector is shifted and applied with
-``ElementwiseProduct``. The multinomial logistic regression of ``softmax`` minimises the
-objective of an L2 penalty with C = 1 on the summed (weighted) loss.
-
-The vocabulary is not cut: the driver holds one coefficient per class and term, so its
-memory bounds the number of distinct terms; ``max_fit_rows`` bounds the training rows
-(the first in hash order) where that matters. It is unlimited by default.
+The text classifier is a ``pyspark.ml`` pipeline: lowercased runs of two or more word
+characters, hashed counts (``HashingTF``), smooth idf ``ln((1+n)/(1+df)) + 1``, L2 rows and
+multinomial ``LogisticRegression``. Spark's ``IDF`` omits the ``+ 1``, so the fitted idf
+vector is shifted and applied with ``ElementwiseProduct``. The penalty is that of C = 1 on the
+summed (weighted) loss: ``regParam = 1 / sum of weights``, ``standardization=False``.
+
+The feature space has a stated width (``WIDTH``, a parameter), so the driver and every task
+hold one number per class and feature however many terms the corpus has. Terms that share a
+feature share a coefficient; ``term_index`` is the table of terms and features, ``collisions``
+measures how many share one. Spark's solver divides features by their standard deviation
+while it works, also with ``standardization=False``; rare features then converge slowly, so
+it is given ``MAX_ITER`` steps rather than the reference's 100 and stops by its tolerance.
+``objective_history`` of the fitted model shows where it ended.
 
 A learning curve fits one model per share (the driver loop is over a handful of
 shares, never over rows) on texts tokenised once; all predictions are unioned and
-scored by one grouped metrics job.
+scored by one grouped metrics job. Any other estimator can be injected (``bayes`` has one
+whose model is a table).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, Normalizer,
-                                RegexTokenizer, StringIndexer)
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import ElementwiseProduct, HashingTF, IDF, Normalizer, RegexTokenizer, StringIndexer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
-from wordmill.operators.softmax import SoftmaxModel, SoftmaxRegression
 from wordmill.session import cut_lineage, spread
 
 EstimatorFn = Callable[..., Estimator]
 
-# Convergence tolerance of the reference's solver default (its iteration cap is 100).
-LR_TOL = 1e-4
+# Features of the hashed space, and the solver's tolerance and steps.
+WIDTH = 1 << 12
+LR_TOL = 1e-5
+MAX_ITER = 1_000
 
 # Bytes of cached tokens per partition seen by the iterative solver, and bytes of a token.
 SOLVER_PARTITION_BYTES = 16 << 20
 TOKEN_BYTES = 24
 
-# CountVectorizer has no "all terms"; this is the largest value its parameter takes.
-ALL_TERMS = (1 << 31) - 1
-
 
 class SmoothIdf(Estimator):
     """Fits Spark's IDF and applies ``idf + 1`` (the smooth-idf convention)."""
@@ -77,20 +78,46 @@ def _tokenizer(text_col: str, tokens_col: str) -> RegexTokenizer:
     return RegexTokenizer(inputCol=text_col, outputCol=tokens_col, pattern=T.WORD2_TOKEN, gaps=False, toLowercase=True)
 
 
+class LabelledLogistic(Model):
+    """A fitted ``LogisticRegressionModel`` that answers with the labels themselves: adds
+    ``probability`` (array, in order of ``labels``) and ``predicted``."""
+
+    def __init__(self, model: LogisticRegressionModel, labels: list, weight_sum: float, features_col: str = "_x"):
+        super().__init__()
+        self.model, self.labels, self.weight_sum, self.features_col = model, list(labels), weight_sum, features_col
+        self.objective_history = list(model.summary.objectiveHistory)
+
+    def coefficients(self, spark) -> DataFrame:
+        """``(label, feature, coefficient)``, classes times width rows."""
+        matrix = self.model.coefficientMatrix.toArray()
+        if len(matrix) == 1 < len(self.labels):  # a binomial model has one row
+            matrix = [-matrix[0] / 2, matrix[0] / 2]
+        return spark.createDataFrame([(c, [float(v) for v in w]) for c, w in zip(self.labels, matrix)],
+                                     "label string, w array<double>").select("label", F.posexplode("w").alias("feature", "coefficient"))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = self.model.transform(dataset).drop("_raw")
+        names = F.array(*[F.lit(v) for v in self.labels])
+        return out.withColumn("probability", vector_to_array("_p")).withColumn(
+            "predicted", F.get(names, F.col("_best").cast("int"))).drop("_p", "_best")
+
+
 class TextClassifier(Estimator):
-    """L1: TF-IDF + multinomial logistic regression.
+    """L1: hashed TF-IDF + multinomial logistic regression.
 
     ``fit`` drops rows without a label, tokenises once (or takes ``tokens_col``), persists
-    label, tokens and weight for the vocabulary, idf and solver passes (memory and disk;
-    lost blocks are recomputed) and merges them, without a shuffle, into partitions sized
-    by the bytes of the tokens: every solver step aggregates a gradient per partition. The model is a ``PipelineModel``
-    from text (or tokens) to ``predicted``, the label itself; it never sees labels, so
-    rows with a label unknown to it are scored like any other."""
-
-    def __init__(self, *, text_col: str = "text", label_col: str = "label", max_iter: int = fixed.LR_MAX_ITER,
-                 weight_col: str | None = None, tokens_col: str | None = None, max_fit_rows: int | None = None):
+    label, hashed counts and weight for the idf and solver passes (memory and disk; lost
+    blocks are recomputed) and merges them, without a shuffle, into partitions sized by the
+    bytes of the tokens: every solver step aggregates a gradient per partition. The model is
+    a ``PipelineModel`` from text (or tokens) to ``predicted``, the label itself; it never
+    sees labels, so rows with a label unknown to it are scored like any other.
+    ``max_fit_rows`` (unlimited by default) takes the first rows in hash order."""
+
+    def __init__(self, *, text_col: str = "text", label_col: str = "label", max_iter: int = MAX_ITER, tol: float = LR_TOL,
+                 width: int = WIDTH, weight_col: str | None = None, tokens_col: str | None = None,
+                 max_fit_rows: int | None = None):
         super().__init__()
-        self.text_col, self.label_col, self.max_iter = text_col, label_col, max_iter
+        self.text_col, self.label_col, self.max_iter, self.tol, self.width = text_col, label_col, max_iter, tol, width
         self.weight_col, self.tokens_col, self.max_fit_rows = weight_col, tokens_col, max_fit_rows
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -101,23 +128,25 @@ class TextClassifier(Estimator):
         tokens, stages = self.tokens_col or "_tok", []
         if not self.tokens_col:
             stages.append(_tokenizer(self.text_col, tokens))
-            rows = stages[0].transform(rows)
+        stages.append(HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=self.width))
+        for stage in stages:
+            rows = stage.transform(rows)
         weight = F.col(self.weight_col).cast("double") if self.weight_col else F.lit(1.0)
-        held = rows.select(F.col(self.label_col).alias("_label"), F.col(tokens), weight.alias("_weight")).persist(
+        held = rows.select(F.col(self.label_col).alias("_label"), "_tf", weight.alias("_weight"), F.size(tokens).alias("_size")).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
-            size = held.agg(F.sum("_weight").alias("w"), F.sum(F.size(tokens)).alias("t")).first()
-            data = held.coalesce(max(1, -(-(size["t"] or 0) * TOKEN_BYTES // SOLVER_PARTITION_BYTES)))
+            size = held.agg(F.sum("_weight").alias("w"), F.sum("_size").alias("t")).first()
+            total = size["w"] or 0.0
+            data = held.drop("_size").coalesce(max(1, -(-(size["t"] or 0) * TOKEN_BYTES // SOLVER_PARTITION_BYTES)))
             indexer = StringIndexer(inputCol="_label", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
             data = indexer.transform(data)
-            labels = list(indexer.labels)
-            for stage in (CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=ALL_TERMS),
-                          SmoothIdf(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="_x", p=2.0)):
+            for stage in (SmoothIdf(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="_x", p=2.0)):
                 stages.append(stage.fit(data) if isinstance(stage, Estimator) else stage)
                 data = stages[-1].transform(data)
-            n_terms = len(next(s.vocabulary for s in stages if isinstance(s, CountVectorizerModel)))
-            stages.append(SoftmaxRegression(labels, n_terms, features_col="_x", label_col="_y", weight_col="_weight",
-                                            max_iter=self.max_iter, tol=LR_TOL).fit(data))
+            lr = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_weight", family="multinomial", rawPredictionCol="_raw",
+                                    probabilityCol="_p", predictionCol="_best", maxIter=self.max_iter, tol=self.tol,
+                                    regParam=1.0 / max(total, 1e-300), standardization=False)
+            stages.append(LabelledLogistic(lr.fit(data.select("_x", "_y", "_weight")), indexer.labels, total))
         finally:
             held.unpersist()
         return PipelineModel(stages)
@@ -128,17 +157,35 @@ def text_classifier(**kw) -> TextClassifier:
 
 
 def features(model: PipelineModel, df: DataFrame, id_cols: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``(ids..., term, weight)``: the rows the solver sees, as a long table."""
+    """``(ids..., feature, weight)``: the rows the solver sees, as a long table."""
     out = df
     for stage in model.stages[:-1]:
         out = stage.transform(out)
-    vocab = next(s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel))
-    terms = df.sparkSession.createDataFrame(list(enumerate(vocab)), "_i int, term string")
     x = F.unwrap_udt("_x")
     cells = out.select(*id_cols, x.alias("v")).select(*id_cols, F.explode(F.arrays_zip(
         F.col("v.indices").alias("i"), F.col("v.values").alias("w"))).alias("c"))
-    return (cells.filter(F.col("c.w") != 0).select(*id_cols, F.col("c.i").alias("_i"), F.col("c.w").alias("weight"))
-            .join(terms, "_i").select(*id_cols, "term", "weight"))
+    return cells.filter(F.col("c.w") != 0).select(*id_cols, F.col("c.i").alias("feature"), F.col("c.w").alias("weight"))
+
+
+def term_index(model: PipelineModel, df: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """``(term, df, feature)``: every term of ``df`` with its document frequency and the
+    feature it is hashed to. One partial aggregate over terms; a distributed table."""
+    hashing = next(s for s in model.stages if isinstance(s, HashingTF))
+    terms = (spread(df.select(text_col)).select(F.explode(F.array_distinct(T.word_tokens(F.col(text_col), 2))).alias("term"))
+             .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    hashed = HashingTF(inputCol="_one", outputCol="_at", numFeatures=hashing.getNumFeatures()).transform(
+        terms.withColumn("_one", F.array("term")))
+    return hashed.select("term", "df", F.get(F.unwrap_udt("_at")["indices"], 0).alias("feature"))
+
+
+def collisions(index: DataFrame) -> DataFrame:
+    """One row about a term table: ``n_terms``, ``n_features`` used, ``n_shared`` (terms that
+    share their feature with another) and their share ``shared``."""
+    per = index.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    shared = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
+    return per.agg(total.alias("n_terms"), F.count(F.lit(1)).alias("n_features"), shared.alias("n_shared"),
+                   F.coalesce(F.try_divide(shared, total), F.lit(0.0)).alias("shared"))
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:
@@ -259,19 +306,18 @@ def few_shot_head(emb: DataFrame, n: int, *, id_col: str = "vec_id", label_col:
 
 
 # L12
-def top_coefficients(model: PipelineModel, k: int = 10) -> DataFrame:
-    """``(label, term, coefficient, rank)``: the k largest coefficients per class by
-    ``(coefficient desc, term asc)``. The coefficient matrix is already a driver-side
-    model artifact (classes x vocabulary); only k rows per class leave it."""
-    fitted = next(s for s in model.stages if isinstance(s, SoftmaxModel))
-    labels, coef = fitted.labels, fitted.coefficients
-    vocab = np.asarray(next(s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel)))
-    rows = []
-    for c in range(coef.shape[0]):
-        order = np.lexsort((vocab, -coef[c]))[:k]
-        rows += [(labels[c], str(vocab[j]), float(coef[c, j]), r + 1) for r, j in enumerate(order)]
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, "label string, term string, coefficient double, rank int")
+def top_coefficients(model: PipelineModel, df: DataFrame, k: int = 10, *, text_col: str = "text") -> DataFrame:
+    """``(label, term, coefficient, rank, sharing)``: the k features of largest coefficient
+    per class, named by their most frequent term in ``df``; ``sharing`` terms are hashed to
+    that feature. The coefficients are classes times width rows; terms stay distributed."""
+    fitted = next(s for s in model.stages if isinstance(s, LabelledLogistic))
+    index = term_index(model, df, text_col=text_col)
+    named = index.groupBy("feature").agg(F.min(F.struct((-F.col("df")).alias("d"), "term"))["term"].alias("term"),
+                                         F.count(F.lit(1)).alias("sharing"))
+    rows = named.join(F.broadcast(fitted.coefficients(df.sparkSession)), "feature")
+    order = Window.partitionBy("label").orderBy(F.col("coefficient").desc(), "term")
+    return (rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            .select("label", "term", "coefficient", "rank", "sharing"))
 
 
 def disagreement(a: DataFrame, b: DataFrame, *, id_cols, pred_a: str = "prediction",

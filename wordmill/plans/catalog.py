@@ -624,6 +624,7 @@ import pandas as pd  # noqa: E402
 
 from wordmill.operators import jobs as JB  # noqa: E402
 from wordmill.operators import learn as LN  # noqa: E402
+from wordmill.operators.bayes import NaiveBayesTable  # noqa: E402
 
 # Language codes used as an int label for prompt classification (alphabetical).
 LANG_CODES = {"de": 0, "en": 1, "es": 2, "fr": 3}
@@ -652,11 +653,10 @@ def l1_fit_predict(spark, sf_dir):
 
 @query("l1_features")
 def l1_features(spark, sf_dir):
-    """What the solver of ``l1_fit_predict`` is given: one model fitted with a single
-    step, for its vocabulary and idf."""
+    """The TF-IDF rows of ``l1_fit_predict`` before their terms are hashed to features."""
     train = _train_valid(spark, sf_dir).filter(F.col("part") == "train")
-    model = LN.text_classifier(max_iter=1).fit(train)
-    return LN.features(model, train.select("doc_id", "text")).select("doc_id", "term", r6("weight").alias("weight"))
+    _, w = terms.tfidf(train.select("doc_id", "text"))
+    return w.select("doc_id", "term", r6("weight").alias("weight"))
 
 
 def _parts_long(df: DataFrame, ids: list[str], weights: bool = False) -> DataFrame:
@@ -694,6 +694,38 @@ def l3_curve_conversations(spark, sf_dir):
     return LN.learning_curve(_conversations(spark, sf_dir), id_cols=["conv_id", "turn"])
 
 
+def _naive_bayes(**kw):
+    return NaiveBayesTable(**kw)
+
+
+@query("l2_curve_naive_bayes")
+def l2_curve_naive_bayes(spark, sf_dir):
+    """The learning curve with an injected estimator whose model is a table."""
+    curve = LN.learning_curve(_labelled_docs(spark, sf_dir, "quality"), estimator_fn=_naive_bayes)
+    return curve.select(r6("percentage").alias("percentage"), "metric", r6("value").alias("value"))
+
+
+@query("l3_curve_naive_bayes")
+def l3_curve_naive_bayes(spark, sf_dir):
+    curve = LN.learning_curve(_conversations(spark, sf_dir), id_cols=["conv_id", "turn"], estimator_fn=_naive_bayes)
+    return curve.select(r6("percentage").alias("percentage"), "metric", r6("value").alias("value"))
+
+
+@query("l9_cumulative_naive_bayes")
+def l9_cumulative_naive_bayes(spark, sf_dir):
+    """Trained step after step: a row weighs as often as the shares so far held it."""
+    curve = LN.learning_curve(_labelled_docs(spark, sf_dir), estimator_fn=_naive_bayes, cumulative=True)
+    return curve.select(r6("percentage").alias("percentage"), "metric", r6("value").alias("value"))
+
+
+@query("l4_naive_bayes_predictions")
+def l4_naive_bayes_predictions(spark, sf_dir):
+    """Fitted on the documents of one half of the sources, predictions for the other."""
+    d = _two_sides(spark, sf_dir)
+    model = _naive_bayes().fit(d.filter("fitted"))
+    return model.transform(d.filter("NOT fitted")).select("doc_id", "label", "predicted")
+
+
 def _two_sides(spark, sf_dir) -> DataFrame:
     """Documents of one half of the sources, and of the other half."""
     d = spread(documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("label"), "source"))
@@ -764,8 +796,8 @@ def l9_cumulative_curve(spark, sf_dir):
 
 @query("l12_top_coefficients")
 def l12_top_coefficients(spark, sf_dir):
-    model = LN.text_classifier().fit(_labelled_docs(spark, sf_dir))
-    return LN.top_coefficients(model, 10)
+    docs = _labelled_docs(spark, sf_dir)
+    return LN.top_coefficients(LN.text_classifier().fit(docs), docs, 10)
 
 
 @query("l12_disagreement")

@@ -611,6 +611,62 @@ ORACLE["l2_curve_parts"] = curve_parts_sql("(SELECT doc_id FROM documents JOIN l
 ORACLE["l3_curve_parts"] = curve_parts_sql("conversations", "conv_id, turn", "conv_id::VARCHAR || ':' || turn::VARCHAR")
 ORACLE["l9_cumulative_weights"] = curve_parts_sql("documents", "doc_id", "doc_id::VARCHAR", weights=True)
 
+def naive_bayes_sql(train: str, valid: str, by: str = "") -> str:
+    """Predictions ``(row, label, predicted, [by])`` for valid ``(row, label, text, [by])`` from
+    train ``(label, text, w, [by])``; ``by`` separates models."""
+    b, u = (f"{by}, ", f"({by}, ") if by else ("", "(")
+    using = f"USING ({by})" if by else "ON TRUE"
+    return f"""
+SELECT row, label, predicted{", " + by if by else ""} FROM (
+WITH tr AS ({train}), va AS ({valid}),
+tk AS (SELECT {b}label, w, unnest(regexp_extract_all(lower(text), '{WORD2}')) AS term FROM tr),
+cn AS (SELECT {b}label, term, sum(w) AS n FROM tk GROUP BY ALL),
+vs AS (SELECT {b}count(DISTINCT term) AS v FROM cn {"GROUP BY " + by if by else ""}),
+ws AS (SELECT {b}label, sum(w) AS rw FROM tr GROUP BY ALL),
+tt AS (SELECT {b}sum(rw) AS total FROM ws {"GROUP BY " + by if by else ""}),
+ns AS (SELECT {b}label, sum(n) AS tokens FROM cn GROUP BY ALL),
+cl AS (SELECT ws.*, ln(rw / total) AS prior, ln(coalesce(tokens, 0) + v) AS size
+       FROM ws JOIN tt {using} JOIN vs {using} LEFT JOIN ns USING {u}label)),
+vt AS (SELECT {b}row, term, count(*)::DOUBLE AS tf
+       FROM (SELECT {b}row, unnest(regexp_extract_all(lower(text), '{WORD2}')) AS term FROM va) GROUP BY ALL),
+kn AS (SELECT DISTINCT {b}term FROM cn),
+us AS (SELECT vt.* FROM vt JOIN kn USING {u}term)),
+tot AS (SELECT {b}row, sum(tf) AS used FROM us GROUP BY ALL),
+gn AS (SELECT {b}row, cn.label AS cls, sum(tf * ln(n + 1)) AS gain FROM us JOIN cn USING {u}term) GROUP BY ALL),
+sc AS (SELECT va.row, va.label, {"va." + b if by else ""}cl.label AS cls,
+              round(cl.prior + coalesce(gn.gain, 0) - coalesce(tot.used, 0) * cl.size, 6) AS score
+       FROM va JOIN cl {using} LEFT JOIN tot USING {u}row)
+       LEFT JOIN gn ON gn.row = va.row AND gn.cls = cl.label {f"AND gn.{by} = va.{by}" if by else ""}),
+best AS (SELECT *, row_number() OVER (PARTITION BY {b}row ORDER BY score DESC, cls) AS rn FROM sc)
+SELECT row, label, cls AS predicted{", " + by if by else ""} FROM best WHERE rn = 1)
+"""
+
+
+def naive_bayes_curve_sql(src: str, ids: str, id_expr: str, cumulative: bool = False) -> str:
+    """The metrics of a curve over ``src`` ``(ids, text, label)``."""
+    parts = curve_parts_sql(f"(SELECT {ids} FROM {src})", ids, id_expr, weights=True)
+    rows = f"SELECT {id_expr} AS row, text, label, percentage, part, weight FROM ({parts}) JOIN {src} USING ({ids})"
+    w = "weight" if cumulative else "1.0::DOUBLE"
+    preds = naive_bayes_sql(f"SELECT label, text, percentage, {w} AS w FROM ({rows}) WHERE part = 'train'",
+                            f"SELECT row, label, text, percentage FROM ({rows}) WHERE part = 'valid'", "percentage")
+    wide = weighted_sql(f"SELECT percentage, label, predicted AS prediction FROM ({preds})", ["percentage"])
+    return f"""
+SELECT round(percentage, 6) AS percentage, metric, round(value, 6) AS value
+FROM (SELECT * EXCLUDE (n_invalid) FROM ({wide})) UNPIVOT (value FOR metric IN (f1, precision, recall, accuracy))
+"""
+
+
+QUALITY_DOCS = "(SELECT doc_id, text, quality::VARCHAR AS label FROM documents JOIN labels USING (doc_id))"
+ORACLE["l2_curve_naive_bayes"] = naive_bayes_curve_sql(QUALITY_DOCS, "doc_id", "doc_id::VARCHAR")
+ORACLE["l3_curve_naive_bayes"] = naive_bayes_curve_sql(
+    "(SELECT conv_id, turn, text, role AS label FROM conversations)", "conv_id, turn", "conv_id::VARCHAR || ':' || turn::VARCHAR")
+ORACLE["l9_cumulative_naive_bayes"] = naive_bayes_curve_sql(
+    "(SELECT doc_id, text, lang AS label FROM documents)", "doc_id", "doc_id::VARCHAR", cumulative=True)
+SIDED = "SELECT doc_id AS row, lang AS label, text, 1.0::DOUBLE AS w FROM documents WHERE substr(md5(source), 1, 1)"
+ORACLE["l4_naive_bayes_predictions"] = f"""
+SELECT row AS doc_id, label, predicted FROM ({naive_bayes_sql(f"{SIDED} < '8'", f"{SIDED} >= '8'")})
+"""
+
 ORACLE["l4_sides"] = """
 SELECT substr(md5(source), 1, 1) < '8' AS fitted, lang AS label, count(*) AS n FROM documents GROUP BY ALL
 """
