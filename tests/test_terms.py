@@ -65,15 +65,47 @@ def test_sorted_vocabulary_index(spark):
     assert [r["term"] for r in v] == sorted(r["term"] for r in v)
 
 
-def test_tfidf_plan_shuffles_the_text_once(spark):
-    """Fit and transform share the persisted (doc, term, tf) table: the only exchange
-    is the one id repartition of the text; the idf table is broadcast and the norm
-    window reuses the id partitioning (no ENSURE_REQUIREMENTS exchange)."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.splitlines() if " Exchange " in x and "BroadcastExchange" not in x]
+
+
+def test_no_text_and_no_counts_are_shuffled(spark):
+    """Vectors, weights and top terms stay in the rows; fitting shuffles one count per term
+    and task."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model, vectors = terms.tfidf_vectors(docs)
+    for df in (vectors, terms.top_terms(vectors, model, 20), terms.weighted_vectors(vectors, model)):
+        assert all("RoundRobin" in x for x in exchanges(df))  # a small input is spread over the cores
+    stats = vectors.select(F.explode("terms").alias("c")).groupBy("c.term").agg(F.count(F.lit(1)).alias("df"))
+    assert sum("hashpartitioning(term" in x or "hashpartitioning(_groupingexpression" in x for x in exchanges(stats)) == 1
     _, w = terms.tfidf(docs)
-    plan = w._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_COL" in plan and "BroadcastHashJoin" in plan
-    assert "ENSURE_REQUIREMENTS" not in plan
+    assert all("RoundRobin" in x for x in exchanges(w))
+
+
+def test_the_joined_form_equals_the_one_inside_the_rows(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model, vectors = terms.tfidf_vectors(docs, min_df=2)
+
+    def rows(df):
+        return sorted((*r[:-1], round(r["weight"], 9)) for r in df.collect())
+    inside = rows(terms.transform(docs, model, vectors=vectors)), rows(terms.top_terms(vectors, model, 3))
+    monkeypatch.setattr(terms, "MAX_LOOKUP_BYTES", 0)
+    assert terms.weighted_vectors(vectors, model) is None
+    assert inside == (rows(terms.transform(docs, model, vectors=vectors)), rows(terms.top_terms(vectors, model, 3)))
+
+
+def test_repeated_and_missing_ids_are_one_document(spark):
+    rows = [(1, "aa bb aa"), (2, "cc"), (1, "bb dd"), (None, "aa"), (None, "zz zz"), (3, None), (4, ""), (5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["term"]): r["tf"] for r in terms.term_counts(docs).collect()}
+    assert got == {(1, "aa"): 2, (1, "bb"): 2, (1, "dd"): 1, (2, "cc"): 1, (None, "aa"): 1, (None, "zz"): 2}
+    model = terms.fit_idf(docs)
+    assert {r["term"]: r["df"] for r in model.table.collect()} == {"aa": 2, "bb": 1, "cc": 1, "dd": 1, "zz": 1}
+    norm = terms.transform(docs, model).groupBy("doc_id").agg(F.sum(F.col("weight") ** 2).alias("n")).collect()
+    assert len(norm) == 3 and all(abs(r["n"] - 1) < 1e-9 for r in norm)
+    none = docs.filter("false")
+    assert terms.tfidf(none)[1].count() == 0 and terms.term_counts(none).count() == 0
 
 
 def test_tfidf_release_drops_the_cached_counts(spark):
@@ -93,7 +125,8 @@ def test_only_vocabulary_tokens_are_shuffled(spark):
     words = terms.top_vocabulary(docs, 5)
     model, w = terms.tfidf(docs, vocabulary=words)
     assert {r["term"] for r in w.select("term").distinct().collect()} <= set(words)
-    assert "FileScan" not in w._jdf.queryExecution().executedPlan().toString()  # it reads the written counts
+    assert "InMemoryTableScan" in w._jdf.queryExecution().executedPlan().toString()  # the texts are read once
+    assert {r["term"] for r in terms._long(model.tf_cache, "doc_id").select("term").distinct().collect()} <= set(words)
 
 
 def test_bag_of_words_with_a_repeated_term(spark):

@@ -1,14 +1,16 @@
 """Vocabulary, term statistics and TF-IDF.
 
-Representation: the long table ``(doc_id, term, tf)`` is primary. Documents are
-hash-partitioned by id once, before exploding; the explode keeps that partitioning,
-so the per-document count, the L2 norm window and the per-document top-k all run
-without another shuffle. Document frequency is a partial (map-side) aggregate, so a
-term present in every document is collapsed before its one shuffle.
+Representation: a document is one row with its term vector, an array of ``(term, tf)``
+counted within the row (``text.counted_terms``), so no text and no (document, term) row is
+shuffled. Document frequency is a partial (map-side) aggregate over the vectors: a term
+present in every document is collapsed before its one shuffle. Documents that share an id
+are one document; which ids repeat is found from the ids alone, and only their vectors are
+merged.
 
 The idf table is fitted eagerly (like any estimator ``fit``), written to the shared
-checkpoint folder, and counted: it is broadcast only when that count is under the
-limit; otherwise the join is a sort-merge join that AQE can split when skewed.
+checkpoint folder, and measured. Below ``MAX_LOOKUP_BYTES`` it travels to the tasks as a hash
+table in an array, and weights, norms and the top terms of a document are computed inside
+its row. Beyond, the vectors are expanded and joined with it by a shuffle that AQE can split.
 """
 
 from __future__ import annotations
@@ -23,11 +25,15 @@ from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
+from wordmill.functions.text import let
 from wordmill.operators.tokens import number_sorted
-from wordmill.session import MAX_BROADCAST_BYTES, broadcast_if_small, cut_lineage, spread
+from wordmill.session import MAX_BROADCAST_BYTES, broadcast_if_small, cut_lineage, spread, table_bytes
 
 Tokenizer = Callable[[Column], Column]
 
+# An idf table of at most this size is looked up inside the rows.
+MAX_LOOKUP_BYTES = 32 << 20
+
 # Widest dense document x term table we build (V14): a column per term.
 MAX_DENSE_TERMS = 2_000
 
@@ -38,31 +44,52 @@ def default_tokenizer(c: Column) -> Column:
 
 
 def tokens_table(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
-                 tokenizer: Tokenizer = default_tokenizer, positions: bool = False,
-                 by_id: bool = True) -> DataFrame:
-    """``(id, [pos,] term)``: one row per token, documents partitioned by id first unless
-    ``by_id`` is off (then the texts stay where they were read)."""
-    d = docs.select(id_col, text_col)
-    d = d.repartition(id_col) if by_id else spread(d)
+                 tokenizer: Tokenizer = default_tokenizer, positions: bool = False) -> DataFrame:
+    """``(id, [pos,] term)``: one row per token; the texts stay where they were read."""
+    d = spread(docs.select(id_col, text_col))
     if isinstance(tokenizer, NgramTokenizer):
         # two projections: the token array is computed once, then expanded
-        d = d.select(id_col, tokenizer._base(F.col(text_col)).alias("_raw"))
-        if tokenizer.stopwords:
-            d = StopWordsRemover(inputCol="_raw", outputCol="_toks", stopWords=tokenizer.stopwords,
-                                 caseSensitive=True).transform(d).select(id_col, "_toks")
-        else:
-            d = d.withColumnRenamed("_raw", "_toks")
+        d = tokenizer.based(d, id_col, text_col)
         tokenizer, text_col = tokenizer.expand, "_toks"
     if positions:
         return d.select(id_col, F.posexplode(tokenizer(F.col(text_col))).alias("pos", "term"))
     return d.select(id_col, F.explode(tokenizer(F.col(text_col))).alias("term"))
 
 
+def term_vectors(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
+                 tokenizer: Tokenizer = default_tokenizer) -> DataFrame:
+    """``(id, terms)``, one row per document: its terms and their counts in term order."""
+    d, tokens = spread(docs.select(id_col, text_col)), None
+    if isinstance(tokenizer, NgramTokenizer):
+        # two projections: the token array is computed once, then expanded
+        d = tokenizer.based(d, id_col, text_col)
+        tokens = let(F.col("_toks"), tokenizer.expand)
+    else:
+        tokens = tokenizer(F.col(text_col))
+    return _merge_repeated(d.select(id_col, T.counted_terms(tokens).alias("terms")), docs.select(id_col), id_col)
+
+
+def _merge_repeated(vectors: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Add up the vectors of rows that share an id (rows without id share one)."""
+    many = cut_lineage(ids.groupBy(F.col(id_col).alias("_many")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_many"))
+    if many.isEmpty():
+        return vectors
+    many = broadcast_if_small(many)
+    same = F.col(id_col).eqNullSafe(F.col("_many"))
+    sums = (vectors.join(many, same, "left_semi").select(id_col, F.explode("terms").alias("c"))
+            .groupBy(id_col, F.col("c.term").alias("term")).agg(F.sum("c.tf").alias("tf")))
+    merged = sums.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("term", "tf"))).alias("terms"))
+    return vectors.join(many, same, "left_anti").unionByName(merged)
+
+
 def term_counts(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
                 tokenizer: Tokenizer = default_tokenizer) -> DataFrame:
     """``(id, term, tf)`` raw counts."""
-    return (tokens_table(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    return _long(term_vectors(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer), id_col)
+
+
+def _long(vectors: DataFrame, id_col: str) -> DataFrame:
+    return vectors.select(id_col, F.explode("terms").alias("c")).select(id_col, "c.term", "c.tf")
 
 
 class NgramTokenizer:
@@ -77,6 +104,14 @@ class NgramTokenizer:
         self.lo, self.hi = ngram_range
         self._base = base
 
+    def based(self, d: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """``(id, _toks)``: the base tokens without stopwords."""
+        d = d.select(id_col, self._base(F.col(text_col)).alias("_raw"))
+        if not self.stopwords:
+            return d.withColumnRenamed("_raw", "_toks")
+        return StopWordsRemover(inputCol="_raw", outputCol="_toks", stopWords=self.stopwords,
+                                caseSensitive=True).transform(d).select(id_col, "_toks")
+
     def base(self, c: Column) -> Column:
         arr = self._base(c)
         return T.remove_words(arr, self.stopwords) if self.stopwords else arr
@@ -128,7 +163,7 @@ def _doc_count(docs: DataFrame) -> int:
 def fit_idf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
             tokenizer: Tokenizer = default_tokenizer, min_df: float = 1, max_df: float = 1.0,
             max_features: int | None = None, vocabulary: Sequence[str] | None = None,
-            smooth_idf: bool = True, tf: DataFrame | None = None) -> IdfModel:
+            smooth_idf: bool = True, vectors: DataFrame | None = None) -> IdfModel:
     """Fit document frequencies and smooth idf ``ln((1+n)/(1+df)) + 1``.
 
     ``min_df`` / ``max_df``: int = document count, float = share of documents.
@@ -136,9 +171,9 @@ def fit_idf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     after the df limits. ``vocabulary`` fixes the terms and their order; absent
     terms are kept with df 0."""
     n = _doc_count(docs)
-    if tf is None:
-        tf = term_counts(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    if vectors is None:
+        vectors = term_vectors(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
+    stats = vectors.select(F.explode("terms").alias("c")).select("c.term", "c.tf").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     if vocabulary is not None:
         if len(set(vocabulary)) != len(vocabulary):
             raise ValueError("duplicate term in vocabulary")
@@ -164,67 +199,120 @@ def fit_idf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     return IdfModel(table, table.count(), n)
 
 
-def transform(docs: DataFrame, model: IdfModel, *, text_col: str = "text", id_col: str = "doc_id",
-              tokenizer: Tokenizer = default_tokenizer, sublinear_tf: bool = False,
-              tf: DataFrame | None = None) -> DataFrame:
-    """``(id, term, weight)``: ``tf * idf`` divided by the document's L2 norm, over the
-    model's terms only (unknown terms dropped; an all-zero document has no rows)."""
-    if tf is None:
-        tf = term_counts(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
-    j = tf.join(model.hinted().select("term", "idf"), "term")
+def _idf_lookup(model: IdfModel) -> tuple[Callable[[Column, Column], Column], Column] | None:
+    """A function from a term and the lookup table to its idf (NULL if unknown) that needs no join,
+    and that table: an array of buckets, a scalar subquery. None if the table is too large for that."""
+    table = model.table.select("term", "idf")
+    if table_bytes(table) > MAX_LOOKUP_BYTES:
+        return None
+    n = F.lit(max(model.n_terms, 1))
+    spark = table.sparkSession
+    filled = (table.groupBy(F.pmod(F.xxhash64("term"), n).alias("id")).agg(F.collect_list(F.struct("term", "idf")).alias("e")))
+    rows = spark.range(max(model.n_terms, 1)).join(F.broadcast(filled), "id", "left")
+    none = F.array().cast("array<struct<term:string,idf:double>>")
+    buckets = rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("e", none).alias("e")))),
+                                   lambda x: x["e"]).alias("b"))
+    held = cut_lineage(buckets).select("b").scalar()
+
+    def idf(term: Column, buckets: Column) -> Column:
+        return F.get(F.filter(F.get(buckets, F.pmod(F.xxhash64(term), n).cast("int")), lambda e: e["term"] == term), 0)["idf"]
+    return idf, held
+
+
+def weighted_vectors(vectors: DataFrame, model: IdfModel, *, id_col: str = "doc_id",
+                     sublinear_tf: bool = False) -> DataFrame | None:
+    """``(id, weights)``: arrays of ``(term, weight)`` in term order, weight = ``tf * idf``
+    divided by the row's L2 norm, over the model's terms only. Computed inside the rows; None
+    if the model is too large for that."""
+    found = _idf_lookup(model)
+    if found is None:
+        return None
+    idf, held = found
+
+    def weight(c: Column, buckets: Column) -> Column:
+        tfv = (F.log(c["tf"]) + 1.0) if sublinear_tf else c["tf"].cast("double")
+        return F.struct(c["term"].alias("term"), (tfv * idf(c["term"], buckets)).alias("weight"))
+
+    def normed(w: Column) -> Column:
+        total = F.sqrt(F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x["weight"] * x["weight"]))
+        return let(total, lambda z: F.transform(w, lambda x: F.struct(x["term"].alias("term"), (x["weight"] / z).alias("weight"))))
+
+    d = vectors.select(id_col, "terms", held.alias("_idf"))
+    raw = F.filter(F.transform("terms", lambda c: weight(c, F.col("_idf"))), lambda x: x["weight"].isNotNull())
+    return d.select(id_col, let(raw, normed).alias("weights"))
+
+
+def _weights(vectors: DataFrame, model: IdfModel, id_col: str, sublinear_tf: bool) -> DataFrame:
+    inside = weighted_vectors(vectors, model, id_col=id_col, sublinear_tf=sublinear_tf)
+    if inside is not None:
+        return inside.select(id_col, F.explode("weights").alias("c")).select(id_col, "c.term", "c.weight")
+    j = _long(vectors, id_col).join(model.table.select("term", "idf"), "term")
     tfv = (F.log(F.col("tf")) + 1.0) if sublinear_tf else F.col("tf").cast("double")
     w = j.select(id_col, "term", (tfv * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
+def transform(docs: DataFrame, model: IdfModel, *, text_col: str = "text", id_col: str = "doc_id",
+              tokenizer: Tokenizer = default_tokenizer, sublinear_tf: bool = False,
+              vectors: DataFrame | None = None) -> DataFrame:
+    """``(id, term, weight)``: ``tf * idf`` divided by the document's L2 norm, over the
+    model's terms only (unknown terms dropped; an all-zero document has no rows)."""
+    if vectors is None:
+        vectors = term_vectors(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
+    return _weights(vectors, model, id_col, sublinear_tf)
+
+
 def top_vocabulary(docs: DataFrame, k: int, *, text_col: str = "text", id_col: str = "doc_id",
                    tokenizer: Tokenizer = default_tokenizer) -> list[str]:
     """The ``k`` terms with the highest corpus count ``(count desc, term asc)``: a partial
     aggregate per term, then a top-k; no text and no (document, term) pair is shuffled."""
-    counts = (tokens_table(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, by_id=False)
+    counts = (tokens_table(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
               .groupBy("term").agg(F.count(F.lit(1)).alias("cf")))
     return [r["term"] for r in counts.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(k).collect()]
 
 
-def _tfidf_of_few(docs: DataFrame, vocabulary: Sequence[str], *, text_col: str, id_col: str, tokenizer: Tokenizer,
-                  sublinear_tf: bool, keep_absent: bool, smooth_idf: bool = True) -> tuple[IdfModel, DataFrame]:
-    """TF-IDF over a small fixed vocabulary: tokens are filtered by it where the texts
-    were read, so only its own (document, term) counts are shuffled and held."""
-    words = docs.sparkSession.createDataFrame([(t,) for t in dict.fromkeys(vocabulary)], "term string")
-    tf = (tokens_table(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, by_id=False)
-          .join(broadcast_if_small(words), "term").groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
-    tf = cut_lineage(tf)
-    model = fit_idf(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, tf=tf, smooth_idf=smooth_idf,
-                    vocabulary=vocabulary if keep_absent else None)
-    return model, transform(docs, model, text_col=text_col, id_col=id_col, tokenizer=tokenizer,
-                            sublinear_tf=sublinear_tf, tf=tf)
+def _few_vectors(docs: DataFrame, vocabulary: Sequence[str], *, text_col: str, id_col: str, tokenizer: Tokenizer) -> DataFrame:
+    """Term vectors over a small fixed vocabulary: tokens are filtered by it within the
+    row, before they are counted."""
+    d, words = spread(docs.select(id_col, text_col)), list(dict.fromkeys(vocabulary))
+    if isinstance(tokenizer, NgramTokenizer):
+        d = tokenizer.based(d, id_col, text_col)
+        tokens = let(F.col("_toks"), tokenizer.expand)
+    else:
+        tokens = tokenizer(F.col(text_col))
+    kept = F.filter(tokens, lambda t: t.isin(words))
+    return _merge_repeated(d.select(id_col, T.counted_terms(kept).alias("terms")), docs.select(id_col), id_col)
+
+
+def tfidf_vectors(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", tokenizer: Tokenizer = default_tokenizer,
+                  **fit_kw) -> tuple[IdfModel, DataFrame]:
+    """The fitted model and the term vectors it was fitted on.
+
+    The vectors are built once and persisted (memory and disk; lost blocks are recomputed
+    from the lineage): the fit reads them for the document frequencies and the transform for
+    the weights, so the corpus is tokenised once. ``IdfModel.release()`` drops them. With a
+    fixed ``vocabulary``, or ``max_features`` and no df limits, the terms are known first and
+    only their counts are built."""
+    of = {"text_col": text_col, "id_col": id_col, "tokenizer": tokenizer}
+    if set(fit_kw) <= {"vocabulary", "smooth_idf"} and fit_kw.get("vocabulary") is not None:
+        vectors = _few_vectors(docs, fit_kw["vocabulary"], **of)
+    elif set(fit_kw) <= {"max_features", "smooth_idf"} and fit_kw.get("max_features") is not None:
+        vectors = _few_vectors(docs, top_vocabulary(docs, fit_kw.pop("max_features"), **of), **of)
+    else:
+        vectors = term_vectors(docs, **of)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    model = fit_idf(docs, vectors=vectors, **of, **fit_kw)
+    model.tf_cache = vectors
+    return model, vectors
 
 
 def tfidf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
           tokenizer: Tokenizer = default_tokenizer, sublinear_tf: bool = False,
           **fit_kw) -> tuple[IdfModel, DataFrame]:
-    """Fit and transform the same documents.
-
-    The ``(id, term, tf)`` table is built once and persisted (memory and disk; lost
-    blocks are recomputed from the lineage): the fit reads it for the document
-    frequencies and the transform for the weights, so the corpus is tokenised and
-    shuffled once. It stays id-partitioned, so the norm window adds no shuffle.
-    ``IdfModel.release()`` drops it. With a fixed ``vocabulary``, or ``max_features`` and
-    no df limits, the terms are known first and only their counts are built."""
-    few = {"text_col": text_col, "id_col": id_col, "tokenizer": tokenizer, "sublinear_tf": sublinear_tf}
-    if set(fit_kw) <= {"vocabulary", "smooth_idf"} and fit_kw.get("vocabulary") is not None:
-        return _tfidf_of_few(docs, keep_absent=True, **few, **fit_kw)
-    if set(fit_kw) <= {"max_features", "smooth_idf"} and fit_kw.get("max_features") is not None:
-        k = fit_kw.pop("max_features")
-        vocabulary = top_vocabulary(docs, k, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
-        return _tfidf_of_few(docs, vocabulary, keep_absent=False, **few, **fit_kw)
-    tf = term_counts(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    model = fit_idf(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, tf=tf, **fit_kw)
-    model.tf_cache = tf
-    return model, transform(docs, model, text_col=text_col, id_col=id_col,
-                            tokenizer=tokenizer, sublinear_tf=sublinear_tf, tf=tf)
+    """Fit and transform the same documents (V7, V9-V11): see ``tfidf_vectors``."""
+    model, vectors = tfidf_vectors(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer, **fit_kw)
+    return model, _weights(vectors, model, id_col, sublinear_tf)
 
 
 # V1
@@ -350,10 +438,22 @@ def term_totals(weights: DataFrame) -> DataFrame:
 
 # K1
 def top_terms_per_doc(weights: DataFrame, k: int = 20, *, id_col: str = "doc_id") -> DataFrame:
+    """The ``k`` first rows of every document by ``(weight desc, term asc)`` with their rank."""
     w = Window.partitionBy(id_col).orderBy(F.col("weight").desc(), F.col("term").asc())
     return weights.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def top_terms(vectors: DataFrame, model: IdfModel, k: int = 20, *, id_col: str = "doc_id") -> DataFrame:
+    """``(id, rank, term, weight)``: the top terms of every document, inside its row where
+    the model allows it."""
+    inside = weighted_vectors(vectors, model, id_col=id_col)
+    if inside is None:
+        return top_terms_per_doc(_weights(vectors, model, id_col, False), k, id_col=id_col).select(id_col, "rank", "term", "weight")
+    first = F.slice(F.sort_array(F.transform("weights", lambda c: F.struct((-c["weight"]).alias("w"), c["term"].alias("term")))), 1, k)
+    return inside.select(id_col, F.posexplode(first).alias("pos", "c")).select(
+        id_col, (F.col("pos") + 1).alias("rank"), "c.term", (-F.col("c.w")).alias("weight"))
+
+
 # K2
 def top_terms_overall(weights: DataFrame, k: int = 20) -> DataFrame:
     return (term_totals(weights)

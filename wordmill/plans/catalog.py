@@ -48,9 +48,8 @@ def v7_tfidf(spark, sf_dir):
 
 @query("k1_top_terms_per_doc")
 def k1_top_terms_per_doc(spark, sf_dir):
-    _, w = terms.tfidf(documents(spark, sf_dir))
-    top = terms.top_terms_per_doc(w, 20)
-    return top.select("doc_id", "rank", "term", r6("weight").alias("weight"))
+    model, vectors = terms.tfidf_vectors(documents(spark, sf_dir))
+    return terms.top_terms(vectors, model, 20).select("doc_id", "rank", "term", r6("weight").alias("weight"))
 
 
 # ---------------------------------------------------------------- text: T1-T12, T14-T16
