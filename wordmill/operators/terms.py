@@ -8,16 +8,18 @@ are one document; which ids repeat is found from the ids alone, and only their v
 merged.
 
 The idf table is fitted eagerly (like any estimator ``fit``), written to the shared
-checkpoint folder, and measured. Below ``MAX_LOOKUP_BYTES`` it travels to the tasks as a hash
-table in an array, and weights, norms and the top terms of a document are computed inside
-its row. Beyond, the vectors are expanded and joined with it by a shuffle that AQE can split.
+checkpoint folder, and measured. Below ``MAX_LOOKUP_BYTES`` it travels to the tasks, and
+weights, norms and the top terms of a document are computed where its row lies. Beyond, the vectors are expanded and joined with it by a shuffle that AQE can split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
@@ -199,47 +201,40 @@ def fit_idf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     return IdfModel(table, table.count(), n)
 
 
-def _idf_lookup(model: IdfModel) -> tuple[Callable[[Column, Column], Column], Column] | None:
-    """A function from a term and the lookup table to its idf (NULL if unknown) that needs no join,
-    and that table: an array of buckets, a scalar subquery. None if the table is too large for that."""
-    table = model.table.select("term", "idf")
-    if table_bytes(table) > MAX_LOOKUP_BYTES:
-        return None
-    n = F.lit(max(model.n_terms, 1))
-    spark = table.sparkSession
-    filled = (table.groupBy(F.pmod(F.xxhash64("term"), n).alias("id")).agg(F.collect_list(F.struct("term", "idf")).alias("e")))
-    rows = spark.range(max(model.n_terms, 1)).join(F.broadcast(filled), "id", "left")
-    none = F.array().cast("array<struct<term:string,idf:double>>")
-    buckets = rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("e", none).alias("e")))),
-                                   lambda x: x["e"]).alias("b"))
-    held = cut_lineage(buckets).select("b").scalar()
-
-    def idf(term: Column, buckets: Column) -> Column:
-        return F.get(F.filter(F.get(buckets, F.pmod(F.xxhash64(term), n).cast("int")), lambda e: e["term"] == term), 0)["idf"]
-    return idf, held
+def _weigh_batches(terms: pa.Array, idf: np.ndarray, sublinear_tf: bool):
+    """Arrow batches ``(id, terms)`` to ``(id, weights)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            cells = lists.flatten()
+            term, tf = cells.flatten()
+            tf = tf.to_numpy().astype(float)
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            at = pc.index_in(term, value_set=terms).fill_null(-1).to_numpy()
+            known = np.flatnonzero(at >= 0)
+            row, tf = row[known], tf[known]
+            w = (np.log(tf) + 1.0 if sublinear_tf else tf) * idf[at[known]]
+            w /= np.sqrt(np.bincount(row, w * w, len(lists)))[row]
+            offsets = np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32)
+            cells = pa.StructArray.from_arrays([term.take(pa.array(known)), pa.array(w)], ["term", "weight"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, cells)],
+                                             [batch.schema.names[0], "weights"])
+    return run
 
 
 def weighted_vectors(vectors: DataFrame, model: IdfModel, *, id_col: str = "doc_id",
                      sublinear_tf: bool = False) -> DataFrame | None:
     """``(id, weights)``: arrays of ``(term, weight)`` in term order, weight = ``tf * idf``
-    divided by the row's L2 norm, over the model's terms only. Computed inside the rows; None
-    if the model is too large for that."""
-    found = _idf_lookup(model)
-    if found is None:
+    divided by the row's L2 norm, over the model's terms only. Computed batch by batch where
+    the vectors lie, with the idf table at hand; None if that table is too large for it."""
+    table = model.table.select("term", "idf")
+    if table_bytes(table) > MAX_LOOKUP_BYTES:
         return None
-    idf, held = found
-
-    def weight(c: Column, buckets: Column) -> Column:
-        tfv = (F.log(c["tf"]) + 1.0) if sublinear_tf else c["tf"].cast("double")
-        return F.struct(c["term"].alias("term"), (tfv * idf(c["term"], buckets)).alias("weight"))
-
-    def normed(w: Column) -> Column:
-        total = F.sqrt(F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x["weight"] * x["weight"]))
-        return let(total, lambda z: F.transform(w, lambda x: F.struct(x["term"].alias("term"), (x["weight"] / z).alias("weight"))))
-
-    d = vectors.select(id_col, "terms", held.alias("_idf"))
-    raw = F.filter(F.transform("terms", lambda c: weight(c, F.col("_idf"))), lambda x: x["weight"].isNotNull())
-    return d.select(id_col, let(raw, normed).alias("weights"))
+    held = table.toArrow()
+    terms, idf = held.column("term").combine_chunks(), held.column("idf").to_numpy()
+    kind = vectors.schema[id_col].dataType.simpleString()
+    return vectors.select(id_col, F.coalesce("terms", F.array().cast("array<struct<term:string,tf:bigint>>")).alias("terms")).mapInArrow(
+        _weigh_batches(terms, idf, sublinear_tf), f"`{id_col}` {kind}, weights array<struct<term:string,weight:double>>")
 
 
 def _weights(vectors: DataFrame, model: IdfModel, id_col: str, sublinear_tf: bool) -> DataFrame:
