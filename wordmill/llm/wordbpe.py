@@ -5,8 +5,8 @@ words one after the other. Each task keeps the ids of the words it has met and e
 a word once; the ids of a block of texts are then gathered with array operations.
 Words of ASCII and Latin-1 characters are split here by the tokenizer's own pattern and
 given to its merge model; all others, and words that hold one of the tokenizer's added
-tokens (such as ``<|endoftext|>``), go through the whole tokenizer. Where an added token
-holds white space the words around it could not be encoded apart; such a file is refused."""
+tokens (such as ``<|endoftext|>``), go through the whole tokenizer. Files
+whose added tokens hold or take white space, or are matched in normalised text, are refused."""
 
 from __future__ import annotations
 
@@ -39,10 +39,10 @@ class WordBpe:
     def __init__(self, body: bytes, max_words: int = MAX_WORDS):
         self.whole = Tokenizer.from_str(body.decode())
         spec = json.loads(body)
-        added = [t["content"] for t in spec.get("added_tokens", [])]
-        if any(t != "".join(t.split()) or x.get("lstrip") or x.get("rstrip") for t, x in zip(added, spec.get("added_tokens", []))):
-            raise ValueError("an added token of the tokenizer holds or takes white space")
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
+        added = spec.get("added_tokens", [])
+        if any(t["content"] != "".join(t["content"].split()) or t.get("lstrip") or t.get("rstrip") or t.get("normalized") for t in added):
+            raise ValueError("an added token of the tokenizer holds or takes white space, or is matched after normalising")
+        self.added = [t["content"] for t in added]
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         model = spec["model"]
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
@@ -66,8 +66,9 @@ class WordBpe:
         known, split, plain = self.pretokens, self.split.findall, self.plain.fullmatch
         if len(known) > self.max_words:
             known.clear()
-        special = self.added.search
-        lowered = [w.lower() if plain(w) and not special(w) else None for w in words]
+        every = "\n".join(words)
+        special = [t for t in self.added if t in every]
+        lowered = [w.lower() if plain(w) and not any(t in w for t in special) else None for w in words]
         parts = [split(w) if w is not None else None for w in lowered]
         new = list({p: None for x in parts if x is not None for p in x if p not in known})
         for a in range(0, len(new), 4096):
