@@ -137,3 +137,52 @@ def test_every_example_is_in_the_prompt_or_the_table_is_refused(spark):
         JB.prompt_classify(items, few, lambda pdf: pdf["prompt"])
     block = spark.range(1).select(JB.few_shot_block(few.limit(1_000)).alias("b")).first()["b"]
     assert block.count("Text: example ") == 1_000
+
+
+def test_no_prompt_is_asked_twice_across_failures_and_reruns(spark):
+    from wordmill.session import scratch_path
+    asked = spark.sparkContext.accumulator(0)
+    path = scratch_path(spark, "test-replies")
+    items = spark.createDataFrame([(i, f"text {i % 30}", 0) for i in range(40)] + [(99, None, 0)],
+                                  "doc_id long, text string, label int")
+
+    def flaky(broken):
+        def responder(pdf):
+            asked.add(len(pdf))
+            if broken and pdf["prompt"].str.contains("text 7\n").any():
+                raise ValueError("busy")
+            return pd.Series(["1"] * len(pdf), index=pdf.index)
+        return responder
+
+    first = JB.prompt_classify(items, None, flaky(True), path=path, per_step=5)
+    assert first.filter("error LIKE '%busy%'").count() == 2 and asked.value == 30  # 30 distinct prompts, one fails
+    again = JB.prompt_classify(items, None, flaky(False), path=path, per_step=5)
+    assert again.filter("reply = '1'").count() == 40 and again.count() == 41 and asked.value == 31
+    JB.prompt_classify(items, None, flaky(False), path=path).count()
+    assert asked.value == 31
+    changed = items.withColumn("text", F.when(F.col("doc_id") == 3, "another").otherwise(F.col("text")))
+    assert JB.prompt_classify(changed, None, flaky(False), path=path).filter("reply IS NULL").count() == 1
+    assert asked.value == 32
+
+
+def test_a_step_that_dies_leaves_the_earlier_ones(spark):
+    from wordmill.session import scratch_path
+    asked = spark.sparkContext.accumulator(0)
+    path = scratch_path(spark, "test-steps")
+    items = spark.createDataFrame([(i, f"text {i}", 0) for i in range(64)], "doc_id long, text string, label int")
+
+    def dies(pdf):
+        if pdf["prompt"].str.contains("text 41\n").any():
+            raise SystemExit("killed")
+        asked.add(len(pdf))
+        return pd.Series(["1"] * len(pdf), index=pdf.index)
+
+    def works(pdf):
+        asked.add(len(pdf))
+        return pd.Series(["1"] * len(pdf), index=pdf.index)
+    with pytest.raises(Exception):
+        JB.prompt_classify(items, None, dies, path=path, per_step=8)
+    stored = spark.read.parquet(path).count()
+    before = asked.value
+    out = JB.prompt_classify(items, None, works, path=path, per_step=8)
+    assert out.filter("reply = '1'").count() == 64 and asked.value - before == 64 - stored

@@ -44,3 +44,35 @@ def test_csv_roundtrip(spark):
     df = spark.createDataFrame([("m", 5.0, "f1", 0.123456)], ST.RESULT_SCHEMA)
     ST.write_table(df, path)
     assert ST.read_table(spark, path).collect() == df.collect()
+
+
+def test_changed_input_or_parameters_are_computed_anew(spark):
+    base = scratch_path(spark, "test-input")
+    spark.range(5).write.parquet(f"{base}/in")
+    calls = []
+
+    def fn():
+        calls.append(1)
+        return spark.read.parquet(f"{base}/in").selectExpr("count(*) AS n")
+
+    def run(**params):
+        return ST.materialize_for(spark, fn, f"{base}/out", "counts", inputs=[f"{base}/in"], **params).first()["n"]
+    assert (run(k=1), run(k=1), len(calls)) == (5, 5, 1)
+    assert (run(k=2), run(k=1, text="a/b c"), len(calls)) == (5, 5, 3)
+    spark.range(3).write.mode("append").parquet(f"{base}/in")
+    assert (run(k=1), run(k=1), len(calls)) == (8, 8, 4)
+
+
+def test_an_interrupted_write_is_never_read(spark):
+    path = scratch_path(spark, "test-broken")
+    bad = spark.range(4).selectExpr("id", "if(id = 3, raise_error('stop'), id) AS x")
+    with pytest.raises(Exception, match="stop"):
+        ST.materialize(spark, lambda: bad, path)
+    assert not ST.exists(spark, path)
+    assert ST.materialize(spark, lambda: spark.range(2), path).count() == 2
+    with pytest.raises(Exception, match="stop"):
+        ST.materialize(spark, lambda: bad, path, reload=True)
+    assert ST.materialize(spark, lambda: spark.range(9), path).count() == 2  # the old table is still there
+    assert ST.materialize(spark, lambda: spark.range(9), path, reload=True).count() == 9
+    with pytest.raises(ValueError):
+        ST.materialize(spark, lambda: spark.range(2), path, fmt="csv")

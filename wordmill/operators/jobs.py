@@ -2,8 +2,8 @@
 (L6, L7, L10, L11, T13).
 
 The caller's function (a model scorer or a reply generator) is the only Python step:
-it runs under ``mapInPandas`` on Arrow batches, once per batch rather than per row, and
-is loaded once per Python worker. Everything around it - prompts, few-shot blocks,
+it runs under ``mapInPandas`` on Arrow batches, with as many rows to a call as the caller
+says. Replies are kept in a store that only grows, so no prompt is asked twice. Everything around it - prompts, few-shot blocks,
 parsing, cleaning, metrics - stays in JVM column expressions.
 """
 
@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
@@ -108,53 +109,86 @@ def few_shot_block(few: DataFrame, *, text_col: str = "text", label_col: str = "
     return few.agg(F.array_join(F.transform(parts, lambda p: p["s"]), "")).scalar()
 
 
-def _respond(df: DataFrame, responder: Responder, keep: Sequence[str], reply_col: str) -> DataFrame:
-    """``(keep..., reply, error)``. A batch whose call fails is tried again row by row;
-    a row that fails alone gets a NULL reply and the error's text, and the job goes on."""
-    keep = list(keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep)
-    schema += f", {reply_col} string, error string"
+# Prompts answered by one job before their replies are stored.
+PROMPTS_PER_STEP = 100_000
+_REPLIES = "prompt_key string, reply string, error string"
 
-    def one(row: pd.DataFrame) -> tuple[str | None, str | None]:
-        try:
-            return list(responder(row))[0], None
-        except Exception as e:  # noqa: BLE001 - the caller's function may raise anything
-            return None, f"{type(e).__name__}: {e}"
 
+def _respond(df: DataFrame, responder: Responder, key_col: str, call_rows: int) -> DataFrame:
+    """``(prompt_key, reply, error)``: ``call_rows`` rows to a call, every row in one call only.
+    Rows of a failing call get a NULL reply and the error's text, and the job goes on."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = pdf[keep].copy()
-            try:
-                replies = [(r, None) for r in responder(pdf)]
-            except Exception:  # noqa: BLE001
-                replies = [one(pdf.iloc[i:i + 1]) for i in range(len(pdf))]
-            out[reply_col] = [r for r, _ in replies]
-            out["error"] = pd.Series([e for _, e in replies], index=out.index, dtype=object)
-            yield out
-
-    return df.mapInPandas(run, schema)
-
-
-def _stored(df: DataFrame, path: str | None) -> DataFrame:
-    """Replies written once: whatever reads them later repeats no call."""
-    spark = df.sparkSession
-    return ST.materialize(spark, lambda: df, path or scratch_path(spark, "replies"))
+            replies: list[tuple[str | None, str | None]] = []
+            for i in range(0, len(pdf), call_rows):
+                part = pdf.iloc[i:i + call_rows]
+                try:
+                    got = list(responder(part.drop(columns=[key_col])))
+                    if len(got) != len(part):
+                        raise ValueError(f"{len(got)} replies to {len(part)} prompts")
+                    replies += [(r, None) for r in got]
+                except Exception as e:  # noqa: BLE001 - the caller's function may raise anything
+                    replies += [(None, f"{type(e).__name__}: {e}")] * len(part)
+            yield pd.DataFrame({"prompt_key": pdf[key_col], "reply": pd.Series([r for r, _ in replies], index=pdf.index, dtype=object),
+                                "error": pd.Series([e for _, e in replies], index=pdf.index, dtype=object)})
+
+    return df.mapInPandas(run, _REPLIES)
+
+
+def ask(rows: DataFrame, responder: Responder, key_col: str, path: str | None = None, *, call_rows: int = 1,
+        per_step: int = PROMPTS_PER_STEP) -> DataFrame:
+    """``(prompt_key, reply, error)`` for every distinct value of ``key_col``, which must
+    determine what the responder reads.
+
+    The store at ``path`` only grows. Keys that have a reply there are not asked again; the
+    others are asked in steps of about ``per_step`` prompts, each appended to the store when it
+    ends. So a job that dies loses the step it was in, a rerun asks what is missing or failed,
+    and a changed prompt, having another key, is asked anew. Without ``path`` the store is a
+    fresh folder."""
+    spark = rows.sparkSession
+    path = path or scratch_path(spark, "replies")
+
+    def stored() -> DataFrame:
+        if not ST.exists(spark, path):
+            return spark.createDataFrame([], _REPLIES)
+        return spark.read.schema(_REPLIES).parquet(path)
+
+    done = stored().filter("error IS NULL").select(F.col("prompt_key").alias(key_col)).distinct()
+    other = [c for c in rows.columns if c != key_col]
+    new = rows.join(done, key_col, "left_anti").groupBy(key_col).agg(*[F.any_value(c).alias(c) for c in other])
+    todo = scratch_path(spark, "prompts")
+    steps = 64
+    new.withColumn("_step", F.pmod(F.xxhash64(key_col), F.lit(steps))).write.partitionBy("_step").parquet(todo)
+    waiting = spark.read.schema(StructType([*new.schema.fields, StructField("_step", IntegerType())])).parquet(todo)
+    # so many of the 64 parts are answered by one job
+    together = max(1, min(steps, steps * per_step // max(waiting.count(), 1)))
+    for first in range(0, steps, together):
+        part = waiting.filter(F.col("_step").between(first, first + together - 1)).drop("_step")
+        _respond(part, responder, key_col, call_rows).write.mode("append").parquet(path)
+    # of several rows of a key the one without an error counts
+    return stored().groupBy("prompt_key").agg(F.max_by(F.struct("reply", "error"), F.col("error").isNull()).alias("r")).select(
+        "prompt_key", "r.reply", "r.error")
 
 
 # L10
 def prompt_classify(items: DataFrame, few: DataFrame | None, responder: Responder, *,
                     id_cols: Sequence[str] = ("doc_id",), text_col: str = "text",
-                    label_col: str = "label", seed=fixed.BASELINE_SEED, path: str | None = None) -> DataFrame:
+                    label_col: str = "label", seed=fixed.BASELINE_SEED, path: str | None = None,
+                    call_rows: int = 1, per_step: int = PROMPTS_PER_STEP) -> DataFrame:
     """``(ids..., label, reply, error, prediction)``: render the prompt per item (few-shot
-    block included when ``few`` has rows), call ``responder`` once per batch of prompts,
-    store the replies (at ``path``, reused if it exists), parse each to an int label (NULL
-    when unparsable)."""
+    block included when ``few`` has rows), call ``responder`` with ``call_rows`` distinct prompts
+    at a time, store the replies (see ``ask``; ``path`` keeps them for a rerun), parse each to an
+    int label (NULL when unparsable). An item without text has no prompt and no reply."""
     ids = list(id_cols)
     block = few_shot_block(few, text_col=text_col, label_col=label_col, id_cols=ids, seed=seed) \
         if few is not None else None
-    prompts = items.select(*ids, label_col, T.classification_prompt(text_col, block).alias("prompt"))
-    replies = _stored(_respond(prompts, responder, ids + [label_col], "reply"), path)
-    return replies.withColumn("prediction", T.parse_int_reply("reply"))
+    prompt = T.classification_prompt(text_col, block)
+    prompts = items.filter(F.col(text_col).isNotNull()).select(prompt.alias("prompt")).withColumn(
+        "prompt_key", F.sha2(F.col("prompt").cast("binary"), 256))
+    replies = ask(prompts, responder, "prompt_key", path, call_rows=call_rows, per_step=per_step)
+    keyed = items.select(*ids, label_col, F.sha2(prompt.cast("binary"), 256).alias("prompt_key"))
+    return keyed.join(replies, "prompt_key", "left").select(*ids, label_col, "reply", "error").withColumn(
+        "prediction", T.parse_int_reply("reply"))
 
 
 def prompt_metrics(classified: DataFrame, *, label_col: str = "label") -> DataFrame:
@@ -164,14 +198,19 @@ def prompt_metrics(classified: DataFrame, *, label_col: str = "label") -> DataFr
 # L11
 def generate(contexts: DataFrame, responder: Responder, *, id_col: str = "item_id",
              classes: Sequence[str] = fixed.EMOTIONS, n_per_class: int = 1, json_prompt: bool = True,
-             names: bool = False, path: str | None = None) -> DataFrame:
+             names: bool = False, path: str | None = None, call_rows: int = 1,
+             per_step: int = PROMPTS_PER_STEP) -> DataFrame:
     """``(id, emotion, sample, text, label, error)``: ``n_per_class`` prompts per (context
     row, class), the responder's reply cleaned (strip, lower, newlines) and the class as its
-    code, or its name with ``names``."""
+    code, or its name with ``names``. The responder sees the context's columns, ``emotion``,
+    ``sample`` and ``prompt``; together they are the key under which a reply is stored (see
+    ``ask``)."""
     rows = (contexts.withColumn("emotion", F.explode(F.array(*[F.lit(c) for c in classes])))
             .withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n_per_class - 1)))))
     prompt = T.json_generation_prompt("emotion") if json_prompt else T.plain_generation_prompt("emotion")
-    replies = _stored(_respond(rows.withColumn("prompt", prompt), responder, [id_col, "emotion", "sample"], "reply"), path)
+    rows = rows.withColumn("prompt", prompt)
+    rows = rows.withColumn("prompt_key", F.sha2(F.to_json(F.struct(*rows.columns)).cast("binary"), 256))
+    replies = ask(rows, responder, "prompt_key", path, call_rows=call_rows, per_step=per_step)
     label = F.col("emotion") if names else MT.name_to_code("emotion")
-    return replies.select(id_col, "emotion", "sample", T.clean_generated("reply").alias("text"),
-                          label.alias("label"), "error")
+    return rows.select(id_col, "emotion", "sample", "prompt_key").join(replies, "prompt_key").select(
+        id_col, "emotion", "sample", T.clean_generated("reply").alias("text"), label.alias("label"), "error")

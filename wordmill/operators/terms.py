@@ -201,6 +201,35 @@ def fit_idf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     return IdfModel(table, table.count(), n)
 
 
+# Idf as a state that adds up
+def idf_state(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
+              tokenizer: Tokenizer = default_tokenizer) -> DataFrame:
+    """``(term, df, cf)`` of a set of documents and one row without a term whose ``df`` is
+    their number. States of disjoint sets of documents can be stored and added up, so new
+    documents need no scan of the old ones."""
+    vectors = term_vectors(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
+    stats = vectors.select(F.explode("terms").alias("c")).groupBy("c.term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("c.tf").alias("cf"))
+    number = docs.agg(F.lit(None).cast("string").alias("term"), F.count(F.lit(1)).alias("df"), F.lit(0).cast("long").alias("cf"))
+    return stats.unionByName(number)
+
+
+def merge_idf_states(*states: DataFrame) -> DataFrame:
+    """The state of all documents: frequencies and numbers of documents add up."""
+    every = states[0]
+    for s in states[1:]:
+        every = every.unionByName(s)
+    return every.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+
+
+def idf_of_state(state: DataFrame) -> IdfModel:
+    """The smooth-idf model of a state; equal to one fit over its documents."""
+    state = cut_lineage(state)
+    n = state.filter("term IS NULL").agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
+    table = cut_lineage(state.filter("term IS NOT NULL").withColumn("idf", F.log(F.lit(float(n + 1)) / (F.col("df") + 1)) + 1.0))
+    return IdfModel(table, table.count(), n)
+
+
 def _weigh_batches(terms: pa.Array, idf: np.ndarray, sublinear_tf: bool):
     """Arrow batches ``(id, terms)`` to ``(id, weights)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

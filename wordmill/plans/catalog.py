@@ -352,6 +352,14 @@ def v11_pruned_sublinear(spark, sf_dir):
     return w.select("doc_id", "term", r6("weight").alias("weight"))
 
 
+@query("v8_merged_idf")
+def v8_merged_idf(spark, sf_dir):
+    """Two states, fitted on the two halves of the corpus and added up."""
+    d = documents(spark, sf_dir).select("doc_id", "text", (F.col("doc_id") % 2 == 0).alias("even"))
+    state = terms.merge_idf_states(terms.idf_state(d.filter("even")), terms.idf_state(d.filter("NOT even")))
+    return terms.idf_of_state(state).table.select("term", "df", r6("idf").alias("idf"))
+
+
 @query("v12_matrix_shape")
 def v12_matrix_shape(spark, sf_dir):
     docs = documents(spark, sf_dir)
@@ -595,19 +603,20 @@ def s4_s5_csv_roundtrip(spark, sf_dir):
 
 @query("s6_materialize")
 def s6_materialize(spark, sf_dir):
-    path = scratch_path(spark, "label-dist")
-    first = ST.materialize(spark, lambda: a1_label_distribution(spark, sf_dir), path)
-    # a second call reuses the stored table instead of recomputing it
-    return ST.materialize(spark, lambda: first.limit(0), path)
+    root, docs = scratch_path(spark, "label-dist"), f"{sf_dir}/documents.parquet"
+    first = ST.materialize_for(spark, lambda: a1_label_distribution(spark, sf_dir), root, "labels", inputs=[docs], label="lang")
+    # a second call with the same input and parameters reads the stored table
+    return ST.materialize_for(spark, lambda: first.limit(0), root, "labels", inputs=[docs], label="lang")
 
 
 @query("s7_keyed_output")
 def s7_keyed_output(spark, sf_dir):
-    root = scratch_path(spark, "keyed")
-    path = ST.keyed_path(root, "zeroshot", num_samples=32, temperature=0.2)
-    ST.write_table(_r6_long(_results_long(spark, sf_dir)), path, fmt="parquet", partition_by=["method"])
-    back = spark.read.parquet(path).filter(F.col("method") == "bert")
-    return back.select("method", "percentage", "metric", "value")
+    """Two parameter values have outputs of their own under one root."""
+    root, rows = scratch_path(spark, "keyed"), [f"{sf_dir}/embeddings.parquet"]
+    for metrics, temperature in ((["f1", "accuracy"], 0.9), (MT.METRICS, 0.2)):
+        back = ST.materialize_for(spark, lambda keep=metrics: _r6_long(_results_long(spark, sf_dir)).filter(F.col("metric").isin(keep)),
+                                  root, "zeroshot", inputs=rows, num_samples=32, temperature=temperature)
+    return back.filter(F.col("method") == "bert").select("method", "percentage", "metric", "value")
 
 
 @query("s8_preview")
@@ -856,16 +865,16 @@ def t13_classification_prompt(spark, sf_dir):
 @query("l10_prompt_classify")
 def l10_prompt_classify(spark, sf_dir):
     items, few = _prompt_items(spark, sf_dir)
-    return JB.prompt_classify(items, few, length_responder)
+    return JB.prompt_classify(items, few, length_responder, call_rows=1_000)
 
 
 @query("l10_prompt_metrics")
 def l10_prompt_metrics(spark, sf_dir):
     items, few = _prompt_items(spark, sf_dir)
-    m = JB.prompt_metrics(JB.prompt_classify(items, few, length_responder))
+    m = JB.prompt_metrics(JB.prompt_classify(items, few, length_responder, call_rows=1_000))
     return _metric_cols(m, [])
 
 
 @query("l11_generate")
 def l11_generate(spark, sf_dir):
-    return JB.generate(table(spark, sf_dir, "benchmark"), echo_responder, n_per_class=2, names=True)
+    return JB.generate(table(spark, sf_dir, "benchmark"), echo_responder, n_per_class=2, names=True, call_rows=1_000)

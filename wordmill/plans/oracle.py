@@ -38,7 +38,6 @@ SELECT doc_id, rank, term, round(weight, 6) AS weight FROM ranked WHERE rank <=
 # ---------------------------------------------------------------- text: T1-T16
 
 from wordmill.functions import fixed  # noqa: E402
-from wordmill.operators import sampling  # noqa: E402
 
 
 def sql_list(words) -> str:
@@ -243,7 +242,8 @@ ORACLE["m6_first_n"] = f"""
 SELECT vec_id, label FROM embeddings ORDER BY {h(SEED, 'vec_id::VARCHAR')} LIMIT 50
 """
 
-LADDER = ", ".join(f"{f}::DOUBLE" for f in sampling.fraction_ladder())
+SHARES = [0.05, 0.25, 0.45, 0.65, 0.85]
+LADDER = ", ".join(f"{f}::DOUBLE" for f in SHARES)
 ORACLE["m7_nested_ladder"] = f"""
 WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {h(SEED, 'doc_id::VARCHAR')}) AS rn FROM documents),
 f AS (SELECT unnest([{LADDER}]) AS percentage)
@@ -404,6 +404,11 @@ idf AS (SELECT term, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf FROM dfs, ndoc
 SELECT doc_id, term, round(weight, 6) AS weight FROM weights
 """
 
+ORACLE["v8_merged_idf"] = f"""
+WITH {TFIDF_CTE}
+SELECT term, df, round(idf, 6) AS idf FROM idf
+"""
+
 ORACLE["v12_matrix_shape"] = f"""
 WITH {TFIDF_CTE}
 SELECT (SELECT count(*) FROM documents) AS n_docs, count(*) AS n_terms FROM idf
@@ -681,7 +686,7 @@ SELECT vec_id, label, part FROM t WHERE part = 'valid' OR rn <= 32
 ORACLE["l8_stratified_parts"] = " UNION ALL ".join(
     f"SELECT doc_id, label, {f}::DOUBLE AS percentage FROM (" + stratified_sql(
         f"(SELECT doc_id, label FROM ({ORACLE['m8_seeded_split']}) WHERE split = 'train')", "doc_id, label", "label",
-        "doc_id::VARCHAR", f, SEED) + ")" for f in sampling.fraction_ladder())
+        "doc_id::VARCHAR", f, SEED) + ")" for f in SHARES)
 
 ORACLE["l12_disagreement"] = f"""
 SELECT {standin('baseline')} AS pred_a, {standin('bert')} AS pred_b, count(*) AS n FROM embeddings GROUP BY ALL
