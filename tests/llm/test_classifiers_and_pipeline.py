@@ -81,6 +81,133 @@ def test_fitting_does_not_use_more_than_asked(spark, sf):
     assert Q.fit(docs, labels, ~Q.held_out(), 20).usable
 
 
+FOREIGN = {
+    "polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem. ",
+    "czech": "Všichni lidé se rodí svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím. ",
+    "chinese": "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    "russian": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом. ",
+}
+
+
+def folded(text):
+    out = []
+    for b in (text or "").encode():
+        c = b + 32 if 65 <= b <= 90 else b
+        out.append(c if 97 <= c <= 122 or c >= 128 else 32)
+    return out
+
+
+def plain_trigrams(text):
+    f = folded(text)
+    return [tuple(f[i:i + 3]) for i in range(len(f) - 2) if sum(c != 32 for c in f[i:i + 3]) >= 2]
+
+
+def test_known_share_equals_a_plain_one(some_texts):
+    import pyarrow as pa
+    from wordmill.llm import textbytes as B
+    texts = list(some_texts.values())
+    train, rest = texts[:40], [*texts[40:70], "", "ab", None, "1 2 3", *FOREIGN.values()]
+    seen = {g for t in train for g in plain_trigrams(t)}
+    known = L._known_of(train)
+    got = [x for _, _, d, o in B.blocks(pa.array(rest, pa.string()), 5_000) for x in zip(*map(np.ndarray.tolist, L.known_share(d, o, known)))]
+    for t, (share, n) in zip(rest, got, strict=True):
+        grams = plain_trigrams(t)
+        assert n == len(grams) and abs(share - (sum(g in seen for g in grams) / n if n else 1.0)) < 1e-12
+
+
+def plain_kernel_model(texts, langs):
+    """Presence sets, kernel |A & B| / sqrt(|A| |B|), ridge on the Nystroem features."""
+    def grams(seg):
+        f, out = [int(L._FOLD[b]) for b in seg], set()
+        for k in L.ORDERS:
+            for i in range(len(f) - k + 1):
+                g = 0
+                for b in f[i:i + k]:
+                    g = (g << 8 | b) & 0xFFFFFFFF
+                h = (g * 0x9E3779B1 + k * 0x05EBCA6B & 0xFFFFFFFF) * 0xC2B2AE35 & 0xFFFFFFFF
+                out.add(h >> (32 - L.DIMS.bit_length() + 1))
+        return out
+
+    def segs(t):
+        b = t.encode()
+        return [b[i:i + L.SEGMENT] for i in range(0, max(len(b), 1), L.SEGMENT)]
+
+    def k(a, b):
+        return len(a & b) / max(len(a) * len(b), 1) ** 0.5
+    names = sorted(set(langs))
+    marks = [grams(segs(t)[0]) for n in names for t in [t for t, y in zip(texts, langs) if y == n][:L.LANDMARKS]]
+    rows = [(grams(s), names.index(y), len(s)) for t, y in zip(texts, langs) for s in segs(t)]
+    total = [sum(n for _, y, n in rows if y == i) for i in range(len(names))]
+    w = np.array([n / total[y] * len(rows) / len(names) for _, y, n in rows])
+    k_mm = np.array([[k(a, b) for b in marks] for a in marks])
+    value, vector = np.linalg.eigh(k_mm)
+    keep = value > 1e-6 * value.max()
+    half = vector[:, keep] / np.sqrt(value[keep])
+    z = np.array([[k(x, m) for m in marks] for x, _, _ in rows]) @ half
+    target = np.array([[1.0 if y == i else -1.0 for i in range(len(names))] for _, y, _ in rows])
+    beta = np.linalg.solve(z.T @ (z * w[:, None]) + L.RIDGE * np.eye(z.shape[1]), z.T @ (target * w[:, None]))
+
+    def score(text):
+        parts = segs(text)
+        f = np.array([[k(grams(s), m) for m in marks] for s in parts]) @ half @ beta
+        f = (f * np.array([len(s) for s in parts])[:, None]).sum(0) / max(sum(map(len, parts)), 1)
+        return names[int(f.argmax())], min(max((f.max() + 1) / 2, 0.0), 1.0)
+    return score
+
+
+def test_language_scores_equal_a_plain_kernel_ridge(spark, sf):
+    rows = [r for r in spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 150 AND length(text) < 900").orderBy("doc_id").collect()
+            if r["lang"] is not None]
+    train, test = rows[:36], rows[36:50]
+    model = L.fit_texts([r["text"] for r in train], [r["lang"] for r in train])
+    plain = plain_kernel_model([r["text"] for r in train], [r["lang"] for r in train])
+    d = spark.createDataFrame([(r["doc_id"], r["text"]) for r in test], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.predict(d, model).collect()}
+    for r in test:
+        lang, score = plain(r["text"])
+        assert got[r["doc_id"]][0] == lang and abs(got[r["doc_id"]][1] - score) < 1e-3
+
+
+def test_language_stage_rejects_unlearned_languages_and_no_clean_text(spark, sf):
+    rnd = np.random.default_rng(4)
+    noise = " ".join("".join(chr(97 + c) for c in rnd.integers(0, 26, rnd.integers(2, 10))) for _ in range(150))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = [*(t * 3 for t in FOREIGN.values()), noise, "123 !!", ""]
+    planted = spark.createDataFrame([(10_000_000 + i, t) for i, t in enumerate(odd)], "doc_id long, text string")
+    out = C.language(spark, docs.unionByName(planted, allowMissingColumns=True), sf)
+    kept = {r["doc_id"] for r in out.select("doc_id").collect()}
+    letters = {r["doc_id"] for r in docs.filter(F.col("text").rlike("\\p{L}")).select("doc_id").collect()}
+    assert kept == letters  # every clean document, and none of the planted ones
+
+
+def test_quality_scores_equal_a_plain_compression_score(spark, sf):
+    import math
+    import zstandard
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    m = Q.fit(docs, labels, ~Q.held_out())
+    rows = docs.filter("doc_id < 40").collect()
+    got = {r["doc_id"]: r["score"] for r in Q.score(docs.filter("doc_id < 40"), m).collect()}
+
+    def size(part, body=None):
+        kw = {"dict_data": zstandard.ZstdCompressionDict(body), "write_dict_id": False} if body else {}
+        return len(zstandard.ZstdCompressor(level=Q.LEVEL, write_content_size=False, write_checksum=False, **kw).compress(part))
+    for r in rows:
+        t = (r["text"] or "").encode()
+        parts = [t[i:i + Q.SEGMENT] for i in range(0, len(t), Q.SEGMENT)]
+        if not parts:
+            assert got[r["doc_id"]] == 0.0
+            continue
+        sizes = [(size(p), size(p, m.good), size(p, m.bad)) for p in parts]
+        plain, good, bad = (sum(s[i] for s in sizes) for i in range(3))
+        gap, ratio, best = (bad - good) / min(good, bad), math.log(plain / len(t)), math.log(min(good, bad) / len(t))
+        gaps = [(s[2] - s[1]) / min(s[1], s[2]) for s, p in zip(sizes, parts) if len(p) >= Q.SEGMENT // 4]
+        worst = min(gaps) if gaps else gap
+        x = [gap, worst, ratio, best, gap * ratio, ratio * ratio, gap * abs(gap), math.log(len(t)), worst * abs(worst)]
+        z = sum((a - b) / c * w for a, b, c, w in zip(x, m.mean, m.scale, m.weights)) + m.weights[-1]
+        assert abs(got[r["doc_id"]] - 1 / (1 + math.exp(-min(max(z, -30), 30)))) < 1e-9
+
+
 def plain_stage(name, docs, spark, sf):
     """Ids that a stage keeps, from the operators' own results."""
     d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")

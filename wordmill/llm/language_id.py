@@ -39,6 +39,10 @@ RIDGE = 0.1
 #: Segments of one matrix product.
 ROWS = 512
 UNKNOWN = "und"
+#: A text is strange if clearly fewer of its trigrams are known than ``TRUST`` times the share
+#: that all but ``OUTLIERS`` of unseen training texts reach.
+TRUST, OUTLIERS = 0.8, 0.02
+SALTS = 64
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
@@ -52,6 +56,8 @@ class Model:
     langs: tuple[str, ...]
     landmarks: np.ndarray  # DIMS x m, each column divided by the root of its number of features
     weights: np.ndarray    # m x languages
+    known: np.ndarray      # a bit for every trigram of folded bytes: seen in a training text
+    limit: float           # least share of known trigrams
 
 
 def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -97,6 +103,49 @@ def kernel_rows(data: np.ndarray, offsets: np.ndarray, landmarks: np.ndarray) ->
         for a in range(0, len(offsets) - 1, ROWS) for b in (min(a + ROWS, len(offsets) - 1),)])
 
 
+def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(text, trigram)`` of all places with at least two letters, within texts."""
+    f = _FOLD[data].astype(np.uint32)
+    if len(f) < 3:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    gram = (f[:-2] << np.uint32(16)) | (f[1:-1] << np.uint32(8)) | f[2:]
+    letter = (f != 0x20).astype(np.int8)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.flatnonzero((letter[:-2] + letter[1:-1] + letter[2:] >= 2) & (row[:-2] == row[2:]))
+    return row[at], gram[at]
+
+
+def known_share(data: np.ndarray, offsets: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Share of each text's trigrams that are known (1 if it has none), and their number."""
+    row, gram = _trigrams(data, offsets)
+    n = np.bincount(row, minlength=len(offsets) - 1)
+    hit = (known[gram >> np.uint32(3)] >> (gram & np.uint32(7)).astype(np.uint8)) & np.uint8(1)
+    return np.where(n > 0, np.bincount(row, hit, len(offsets) - 1) / np.maximum(n, 1), 1.0), n
+
+
+def _known_of(texts: Sequence[str]) -> np.ndarray:
+    seen = np.zeros(1 << 24, bool)
+    for _, _, data, offsets in B.blocks(pa.array(list(texts), pa.string())):
+        seen[_trigrams(data, offsets)[1]] = True
+    return np.packbits(seen, bitorder="little")
+
+
+def _limit(texts: Sequence[str]) -> float:
+    """From every second text's share of the trigrams of the others."""
+    known, shares = _known_of(texts[::2]), []
+    for _, _, data, offsets in B.blocks(pa.array(list(texts[1::2]), pa.string())):
+        share, n = known_share(data, offsets, known)
+        shares += share[n >= 100].tolist()
+    return TRUST * float(np.quantile(shares, OUTLIERS)) if shares else 0.0
+
+
+def strange(data: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
+    """Texts that are in none of the learned languages: their share of known trigrams is
+    below the limit by more than three deviations of a text of that length."""
+    share, n = known_share(data, offsets, model.known)
+    return share + 1.5 / np.sqrt(np.maximum(n, 1)) < model.limit
+
+
 def fit_texts(texts: Sequence[str], langs: Sequence[str]) -> Model | None:
     names = tuple(sorted(set(langs)))
     if not names:
@@ -124,7 +173,7 @@ def fit_texts(texts: Sequence[str], langs: Sequence[str]) -> Model | None:
     target = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0)
     gram = (z * weight[:, None]).T @ z + RIDGE * np.eye(z.shape[1])
     beta = np.linalg.solve(gram, (z * weight[:, None]).T @ target)
-    return Model(names, marks.astype(np.float32), (half @ beta).astype(np.float32))
+    return Model(names, marks.astype(np.float32), (half @ beta).astype(np.float32), _known_of(texts), _limit(texts))
 
 
 def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -134,7 +183,7 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _score_batches(model: Model | None, names: tuple[str, str]):
+def _score_batches(model: Model | None, names: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in B.blocks(batch.columns[-1], 1 << 20):
@@ -149,9 +198,10 @@ def _score_batches(model: Model | None, names: tuple[str, str]):
                     best = f.argmax(axis=1)
                     lang[known] = np.array(model.langs, object)[best][known]
                     score[known] = np.clip((f.max(axis=1) + 1.0) / 2.0, 0.0, 1.0)[known]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(lang.tolist(), pa.string()), pa.array(score)],
-                    [*part.schema.names, *names])
+                out = [pa.array(lang.tolist(), pa.string()), pa.array(score)]
+                if len(names) > 2:
+                    out.append(pa.array(strange(data, offsets, model) if model is not None else np.ones(len(known), bool)))
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], [*part.schema.names, *names])
     return run
 
 
@@ -165,9 +215,12 @@ def fit(docs: DataFrame, usable: Column | None = None, per_lang: int = PER_LANG)
     of at most ``per_lang`` ids per language."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     good = F.lit(True) if usable is None else usable
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (ids.filter(good & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-              .withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_lang))
+    # first within shares of a language, so that no task ranks a whole one
+    picked = ids.filter(good & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).withColumn(
+        "salt", F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(SALTS)))
+    for keys in (["lang", "salt"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        picked = picked.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_lang)
     wanted = picked.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
@@ -176,13 +229,15 @@ def fit(docs: DataFrame, usable: Column | None = None, per_lang: int = PER_LANG)
 
 
 def predict(docs: DataFrame, model: Model | None, keep: Sequence[str] = ("doc_id",), pred_name: str = "lang_pred",
-            score_name: str = "score") -> DataFrame:
+            score_name: str = "score", strange_name: str | None = None) -> DataFrame:
     """``keep`` columns, the text, the predicted language and its score of every
-    document, in columns with names that are none of them."""
+    document, in columns with names that are none of them. ``strange_name`` adds whether
+    the text is in none of the learned languages (see ``strange``; all are, without a model)."""
     rows = docs.select(*[f"`{c}`" for c in keep], F.col("text").cast("string").alias("text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(_score_batches(model, (pred_name, score_name)),
-                           f"{fields}, {pred_name} string, {score_name} double")
+    names = [pred_name, score_name, *([strange_name] if strange_name else [])]
+    return rows.mapInArrow(_score_batches(model, names), f"{fields}, {pred_name} string, {score_name} double"
+                           + (f", {strange_name} boolean" if strange_name else ""))
 
 
 def op8_language_id(spark, sf_dir: str) -> DataFrame:
