@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from wordmill.llm import language_id, near_dups, packing, quality_classifier
 from wordmill.session import broadcast_if_small, cut_lineage, scratch_path
 
-#: Documents whose best language scores less are rejected, as are those without any.
-LANG_MIN_SCORE = 0.25
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -48,11 +46,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a language that was learned from the ``lang`` column."""
+    """Keep documents in a language that was learned from the ``lang`` column: texts without
+    a letter go, and texts whose trigrams are strange to all learned languages."""
     model = language_id.fit(docs, ~language_id.held_out())
-    pred, score = _free(docs, "lang_pred"), _free(docs, "lang_score")
-    known = language_id.predict(docs, model, _others(docs), pred, score)
-    return known.filter((F.col(pred) != language_id.UNKNOWN) & (F.col(score) >= LANG_MIN_SCORE)).select(*docs.columns)
+    pred, score, strange = _free(docs, "lang_pred"), _free(docs, "lang_score"), _free(docs, "lang_strange")
+    known = language_id.predict(docs, model, _others(docs), pred, score, strange)
+    return known.filter((F.col(pred) != language_id.UNKNOWN) & ~F.col(strange)).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
