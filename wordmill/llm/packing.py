@@ -3,8 +3,8 @@
 Items (pieces of documents) are dealt into groups of bounded size; each group packs its
 items best-fit in order of falling length. Bins that are nearly full are emitted. The
 others go up a tree: ``FAN_IN`` groups meet, and their underfull bins are packed again
-as items. After best-fit at most one bin of a group is half full or less, so only that
-one goes further up and no task ever holds more than a group or ``FAN_IN`` leftovers.
+as items. How many go up depends on the lengths: with pieces of a little over half a bin all
+do, so a merge holds at most the bins of ``FAN_IN`` groups in its first round.
 
 Only numbers are shuffled, never texts or ids. Null and empty texts are one piece that
 holds the end id alone; repeated rows are packed each for itself; extra columns are
