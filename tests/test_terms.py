@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
@@ -41,6 +42,8 @@ def test_ngram_top_features_and_dense(spark):
     assert wide.count() == 6 and len(wide.columns) == 11
     melted = terms.melted_matrix(docs.select("doc_id"), w, model)
     assert melted.count() == 60
+    with pytest.raises(ValueError):
+        terms.melted_matrix(docs.select("doc_id"), w, model, max_terms=9)
 
 
 def test_bigrams_short_arrays(spark):

@@ -431,9 +431,13 @@ def sorted_vocabulary(model: IdfModel) -> DataFrame:
 
 
 # V15
-def melted_matrix(docs_ids: DataFrame, weights: DataFrame, model: IdfModel, *, id_col: str = "doc_id") -> DataFrame:
+def melted_matrix(docs_ids: DataFrame, weights: DataFrame, model: IdfModel, *, id_col: str = "doc_id",
+                  max_terms: int = MAX_DENSE_TERMS) -> DataFrame:
     """Every (document, term) pair, zeros filled: by definition as many rows as documents
-    times terms. The ids meet the fitted term table, whatever its size."""
+    times terms, so ``max_terms`` bounds the vocabulary as in ``dense_matrix``."""
+    if model.n_terms > max_terms:
+        raise ValueError(f"vocabulary of {model.n_terms} terms is too wide for a melted table "
+                         f"(limit {max_terms}); use the long form")
     grid = docs_ids.select(id_col).crossJoin(model.hinted().select("term"))
     return (grid.join(weights, [id_col, "term"], "left")
             .select(id_col, "term", F.coalesce("weight", F.lit(0.0)).alias("weight")))
