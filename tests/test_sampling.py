@@ -121,3 +121,33 @@ def test_sample_reads_its_input_three_times(spark):
 def test_realised_rate(spark):
     r = M.realised_rate(spark.range(10), spark.range(40), nominal_rows=8).first()
     assert (r["percentage"], r["labelled_share"]) == (0.2, 0.25)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_approximate_strata_nest_in_the_exact_ones_without_a_shuffle(spark):
+    d = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 > 0, (F.col("id") % 4).cast("string")).alias("lang"))
+    shares = {None: 0.2, "1": 0.5, "2": 1.0, "3": 0.01}
+    got = M.stratified_approximate(d, shares, label_col="lang", seed=4, id_cols="doc_id")
+    assert "Exchange" not in plan_of(got)
+    kept = {r["lang"]: r["count"] for r in got.groupBy("lang").count().collect()}
+    for label, p in shares.items():
+        assert abs(kept.get(label, 0) - 10_000 * p) <= 5 * math.sqrt(10_000 * p * (1 - p))
+    some = ids(M.stratified_approximate(d, 0.1, label_col="lang", seed=4, id_cols="doc_id"))
+    assert some <= ids(M.stratified_fraction(d, 0.2, label_col="lang", seed=4, id_cols="doc_id"))
+    assert some >= ids(M.stratified_fraction(d, 0.05, label_col="lang", seed=4, id_cols="doc_id"))
+    assert ids(M.stratified_approximate(d, 0.0, label_col="lang", seed=4, id_cols="doc_id")) == set()
+    assert ids(M.stratified_approximate(d, {"1": 0.3}, label_col="lang", seed=4, id_cols="doc_id")) < ids(d.filter("lang = '1'"))
+
+
+def test_per_class_does_not_depend_on_the_salts(spark):
+    d = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("label"))
+    want = None
+    for parts in (1, 13, 200):
+        got = ids(M.per_class(d.repartition(parts), 7, label_col="label", seed=2, id_cols="doc_id"))
+        assert len(got) == 21 and got == (want or got)
+        want = got
+    plan = plan_of(M.per_class(d, 7, label_col="label", seed=2, id_cols="doc_id"))
+    assert plan.count("WindowGroupLimit") >= 3

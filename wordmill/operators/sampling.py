@@ -12,15 +12,19 @@ partitioning. Exact prefixes are found without a global sort:
 3. the output is a narrow filter ``key <= threshold`` against a broadcast table of one
    row per stratum.
 
-Per-class quotas for few-shot draws (M5) use a ranking window instead: Spark plans it
-with a partial ``WindowGroupLimit`` before the shuffle, so each task ships at most
-``n`` rows per class.
+Per-class quotas for few-shot draws (M5) use ranking windows instead, in two levels:
+Spark plans the first with a partial ``WindowGroupLimit`` before the shuffle, so each task
+ships at most ``n`` rows per class; they meet in ``SALTS`` shares of a class, of which the
+second level takes ``n`` rows each. No task holds more of a class than that.
+
+The approximate stratified draw (``stratified_approximate``) counts nothing: it compares
+a row's hash with a threshold per class.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +35,12 @@ from wordmill.session import broadcast_if_small, cut_lineage
 
 _H, _ID, _B = "_wm_h", "_wm_id", "_wm_b"
 
+# Shares of a class in which the rows drawn by the input tasks meet first (M5).
+SALTS = 1024
+
+# Hash digits compared with a threshold: 52 bits, exact in a double.
+_DIGITS = 13
+
 
 def _keyed(df: DataFrame, seed, id_cols) -> DataFrame:
     return (df.withColumn(_H, seeded_hash(seed, id_cols))
@@ -199,12 +209,48 @@ def stratified_fraction(df: DataFrame, p: float, *, label_col: str, seed, id_col
                         id_cols=id_cols, strata=[label_col]).filter("_in").drop("_in"))
 
 
+def hash_threshold(share: float) -> str:
+    """The hash prefix below which a share of all hashes lies (``share`` < 1)."""
+    return format(math.ceil(share * 16 ** _DIGITS), f"0{_DIGITS}x")
+
+
+def stratified_approximate(df: DataFrame, p: float | Mapping, *, label_col: str, seed, id_cols) -> DataFrame:
+    """M4 without counting: a narrow filter that keeps the rows whose hash lies below the
+    threshold of their class. ``p`` is one share for all classes or a mapping from label
+    (None for rows without one) to share; labels outside it keep nothing.
+
+    A class of ``k`` rows keeps a binomial number of them, ``k p`` with a standard deviation
+    of ``sqrt(k p (1 - p))``. The kept rows are a prefix of the class in key order, so they
+    nest with those of ``stratified_fraction`` with the same seed. A row with a null id has
+    no hash; only a share of 1 keeps it."""
+    shares = dict(p) if isinstance(p, Mapping) else None
+    bad = [f for f in (shares.values() if shares is not None else [p]) if f < 0]
+    if bad:
+        raise ValueError(f"shares must not be negative: {bad}")
+
+    def below(share: float) -> Column:
+        if math.ceil(share * 16 ** _DIGITS) >= 16 ** _DIGITS:
+            return F.lit(True)
+        return F.substring(seeded_hash(seed, id_cols), 1, _DIGITS) < F.lit(hash_threshold(share))
+
+    if shares is None:
+        return df.filter(below(p))
+    kept = F.lit(False)
+    for label, share in shares.items():
+        same = F.col(label_col).isNull() if label is None else F.col(label_col).eqNullSafe(F.lit(label))
+        kept = kept | (same & below(share))
+    return df.filter(kept)
+
+
 # M5
 def per_class(df: DataFrame, n: int, *, label_col: str, seed, id_cols) -> DataFrame:
-    """``n`` rows per class in hash order; a smaller class keeps all its rows."""
-    x = _keyed(df, seed, id_cols)
-    w = Window.partitionBy(label_col).orderBy(F.col(_H), F.col(_ID))
-    return x.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn", _H, _ID)
+    """``n`` rows per class in hash order; a smaller class keeps all its rows. The rows of a
+    class meet in shares by input task first, and the result does not depend on them."""
+    x = _keyed(df, seed, id_cols).withColumn("_wm_salt", F.spark_partition_id() % SALTS)
+    for by in ([label_col, "_wm_salt"], [label_col]):
+        w = Window.partitionBy(*by).orderBy(F.col(_H), F.col(_ID))
+        x = x.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    return x.drop("_wm_salt", _H, _ID)
 
 
 # M6
