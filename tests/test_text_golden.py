@@ -124,3 +124,15 @@ def test_modes_above_two_are_lemma(spark):
     lex = spark.createDataFrame([("cats", "cat")], "token string, base string")
     a, b = (TK.preprocess(d, mode=m, lexicon=lex).first()["tokens"] for m in (2, 5))
     assert a == b == "cat sat"
+
+
+def test_preprocess_with_a_lexicon_exchanges_tokens_once(spark):
+    d = spark.createDataFrame([(1, "the cats run"), (1, "Dogs of war"), (2, None), (3, ""), (4, "the of")], "doc_id long, text string")
+    lex = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "token string, base string")
+    for mode in (1, 2):
+        out = TK.preprocess(d, mode=mode, lexicon=lex, join=False)
+        got = sorted((r["doc_id"], r["tokens"]) for r in out.collect())
+        assert got == [(1, ["cat", "run"]), (1, ["dog", "war"]), (2, []), (3, []), (4, [])]
+        plan = TK.preprocess(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), mode=mode, lexicon=lex)
+        plan = plan._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(_wm_row" in plan

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
@@ -26,10 +26,6 @@ def remove_stopwords(df: DataFrame, in_col: str, out_col: str,
                             caseSensitive=True).transform(df)
 
 
-def _words_df(spark, words: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "token string")
-
-
 def fit_lexicon(lexicon: DataFrame) -> DataFrame:
     """``(token, base)`` written once, one row per token: of several bases the smallest
     in order is taken, so a repeated token cannot multiply rows."""
@@ -59,12 +55,11 @@ def plural_lexicon(tokens: DataFrame, *, token_col: str = "token") -> DataFrame:
     return plural.join(vocab.select(F.col("token").alias("base")), "base", "left_semi")
 
 
-def _collect_ordered(long_df: DataFrame, id_col: str, join: bool) -> DataFrame:
-    arr = F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"])
-    agg = long_df.groupBy(id_col).agg(arr.alias("tokens"))
-    if join:
-        return agg.select(id_col, F.array_join("tokens", " ").alias("tokens"))
-    return agg
+def _collect_ordered(long_df: DataFrame, id_col: str, row_col: str) -> DataFrame:
+    """One row per ``row_col`` with its tokens in order; null tokens are left out."""
+    present = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
+    arr = F.transform(F.array_sort(F.collect_list(present)), lambda x: x["token"])
+    return long_df.groupBy(row_col).agg(F.first(id_col).alias(id_col), arr.alias("tokens"))
 
 
 # T10
@@ -75,7 +70,8 @@ def preprocess(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     mode 0 keeps tokens with an ASCII letter; mode 1 (the default) also maps stems
     through ``lexicon``; mode 2 and above map lemmas through ``lexicon`` (no ASCII-letter
     test, strip and abbreviation rule applied); finally all-letter tokens not in the stopword list.
-    ``join=True`` gives one space-joined string, else an array; every row is kept."""
+    ``join=True`` gives one space-joined string, else an array; every row is kept, rows
+    that share an id each with their own tokens."""
     if mode < 0:
         raise ValueError("mode must be 0 (plain), 1 (stem) or 2 and above (lemma)")
     raw = F.split(F.lower(F.col(text_col)), T.NON_WORD_RUN)
@@ -88,24 +84,27 @@ def preprocess(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
         return d.withColumn(out_col, F.array_join(out_col, " ")) if join else d
     if lexicon is None:
         raise ValueError("modes 1 and 2 need a lexicon DataFrame (token, base)")
-    spark = df.sparkSession
-    stop = broadcast_if_small(_words_df(spark, stopwords))
-    ids = df.select(id_col).repartition(id_col)
-    long = df.select(id_col, text_col).repartition(id_col).select(
-        id_col, F.posexplode(raw).alias("pos", "token"))
+    # A dropped token stays as a null, so every row is still there when its tokens meet again:
+    # that is the one exchange, and it carries no texts.
+    row = "_wm_row"
+    long = (spread(df.select(id_col, text_col)).withColumn(row, F.monotonically_increasing_id())
+            .select(row, id_col, F.posexplode_outer(raw).alias("pos", "token")))
+
+    def keep(d: DataFrame, cond: Column) -> DataFrame:
+        return d.withColumn("token", F.when(cond, F.col("token")))
+
+    token = F.col("token")
+    not_stop = ~token.isin(list(dict.fromkeys(stopwords))) if stopwords else F.lit(True)
     if mode == 1:
         # a stem may equal a stopword, hence the second pass after the lexicon
-        long = long.filter(F.col("token").rlike(T.HAS_ASCII_LETTER)).join(stop, "token", "left_anti")
-        long = apply_lexicon(long, lexicon)
-        long = long.filter(F.col("token").rlike(T.ALL_LETTERS)).join(stop, "token", "left_anti")
+        long = apply_lexicon(keep(long, token.rlike(T.HAS_ASCII_LETTER) & not_stop), lexicon)
+        long = keep(long, token.rlike(T.ALL_LETTERS) & not_stop)
     else:
-        long = apply_lexicon(long.filter(F.col("token") != ""), lexicon)
+        long = apply_lexicon(keep(long, token != ""), lexicon)
         long = long.withColumn("token", T.abbr_or_lower(T.strip_non_word("token")))
-        long = long.join(stop, "token", "left_anti").filter(F.col("token").rlike(T.ALL_LETTERS))
-    grouped = _collect_ordered(long, id_col, join)
-    empty = F.lit("") if join else F.array().cast("array<string>")
-    return (ids.join(grouped, id_col, "left")
-            .select(id_col, F.coalesce(F.col("tokens"), empty).alias(out_col)))
+        long = keep(long, not_stop & token.rlike(T.ALL_LETTERS))
+    grouped = _collect_ordered(long, id_col, row)
+    return grouped.select(id_col, (F.array_join("tokens", " ") if join else F.col("tokens")).alias(out_col))
 
 
 def number_sorted(values: DataFrame, col: str, *, offset: int = 0, id_col: str = "id") -> DataFrame:
