@@ -136,3 +136,29 @@ def test_bag_of_words_with_a_repeated_term(spark):
     d = spark.createDataFrame([(1, ["a", "b", "a"]), (2, [])], "doc_id long, tokens array<string>")
     got = {(r["doc_id"], r["pos"]): (r["term"], r["n"]) for r in terms.bag_of_words(d, ["a", "c", "a"]).collect()}
     assert got == {(1, 0): ("a", 2), (1, 1): ("c", 0), (1, 2): ("a", 2), (2, 0): ("a", 0), (2, 1): ("c", 0), (2, 2): ("a", 0)}
+
+
+def test_heavy_words_are_exact(spark):
+    rows = [(f"the the of w{i} w{i % 50} rare{i}",) for i in range(3000)] + [(None,), ("",)]
+    d = spark.createDataFrame(rows, "text string").repartition(9)
+    full = terms.word_frequencies(d)
+    for t in (0.2, 0.003, 0.0005, 1e-7, 0.0):
+        want = {tuple(r) for r in full.filter(F.col("n") / F.col("total") > t).collect()}
+        assert {tuple(r) for r in terms.heavy_words(d, t).collect()} == want and want
+    assert terms.heavy_words(d.filter("false"), 0.01).count() == 0
+
+
+def test_heavy_words_shuffle_candidates_only(spark, monkeypatch):
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    cut = terms.cut_lineage
+    monkeypatch.setattr(terms, "cut_lineage", kept)
+    d = spark.createDataFrame([(f"the w{i}",) for i in range(500)], "text string")
+    assert [r["word"] for r in terms.heavy_words(d, 0.1).collect()] == ["the"]
+    # the sketch meets in one small row; the recount is grouped by candidate
+    assert len(plans) == 2 and "hashpartitioning(word" not in plans[0] + plans[1]
+    assert "hashpartitioning(_cand" in plans[1]

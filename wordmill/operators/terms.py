@@ -14,6 +14,7 @@ weights, norms and the top terms of a document are computed where its row lies.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -374,16 +375,46 @@ def word_frequencies(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 # V3
 def frequent_stopwords(docs: DataFrame, *, text_col: str = "text",
                        base: Sequence[str] = fixed.ENGLISH_STOPWORDS,
-                       threshold: float = fixed.FREQUENCY_THRESHOLD) -> DataFrame:
+                       threshold: float = fixed.FREQUENCY_THRESHOLD, sketch: bool = False) -> DataFrame:
     """Base list + contractions + every word with ``n / total > threshold``.
-    At most ``1/threshold`` words pass the share test, so the result is small."""
+    At most ``1/threshold`` words pass the share test, so the result is small. ``sketch``
+    finds them without shuffling the other words, at a second pass over the texts (see
+    ``heavy_words``)."""
     spark = docs.sparkSession
-    freq = (word_frequencies(docs, text_col=text_col)
-            .filter(F.col("n") / F.col("total") > F.lit(threshold)).select("word"))
+    freq = (heavy_words(docs, threshold, text_col=text_col) if sketch else
+            word_frequencies(docs, text_col=text_col).filter(F.col("n") / F.col("total") > F.lit(threshold))).select("word")
     fixed_words = spark.createDataFrame([(w,) for w in list(base) + fixed.CONTRACTIONS], "word string")
     return fixed_words.unionByName(freq).distinct()
 
 
+# Words a heavy-hitter sketch may track: Spark's limit.
+MAX_TRACKED = 1_000_000
+
+
+def heavy_words(docs: DataFrame, threshold: float, *, text_col: str = "text") -> DataFrame:
+    """``(word, n, total)`` of exactly the words with ``n / total > threshold``; the other
+    words of the corpus are never shuffled.
+
+    First pass: a frequent-items sketch per task, merged. One that tracks ``m`` words is wrong
+    by at most ``3.5 total / m`` and reports every word more than twice that far above 0, so
+    with ``m >= 8 / threshold`` no word above the threshold is missing. Second pass: the few
+    candidates are looked up in the rows and counted exactly, beside the total. A threshold too
+    small for a sketch of ``MAX_TRACKED`` words is answered by the full count table."""
+    if not threshold > 0 or math.ceil(8 / threshold) > MAX_TRACKED:
+        return word_frequencies(docs, text_col=text_col).filter(F.col("n") / F.col("total") > F.lit(threshold))
+    tracked = max(math.ceil(8 / threshold), 64)
+    words = spread(docs.select(text_col)).select(F.explode(T.whitespace_tokens(F.col(text_col))).alias("word"))
+    sketch = words.agg(F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("s"))
+    found = cut_lineage(sketch.select(F.explode(F.expr(f"approx_top_k_estimate(s, {tracked})")).alias("c"))
+                        .select(F.col("c.item").alias("_cand")))
+    # words that are no candidate share one group, whose count only adds to the total
+    looked = words.join(broadcast_if_small(found), F.col("word") == F.col("_cand"), "left")
+    counts = cut_lineage(looked.groupBy(F.col("_cand").alias("word")).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n").alias("total"))
+    return (counts.filter("word IS NOT NULL").crossJoin(F.broadcast(total))
+            .filter(F.col("n") / F.col("total") > F.lit(threshold)))
+
+
 # V4 / R5
 def extend_stopwords(base: DataFrame, extra: DataFrame | Sequence[str]) -> DataFrame:
     if not isinstance(extra, DataFrame):
