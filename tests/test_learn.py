@@ -189,3 +189,15 @@ def test_few_shot_head_scores_every_row(spark):
     r = wide.first()
     assert 0.0 <= r["f1"] <= 1.0 and r["n_invalid"] == 0
     assert pred.filter("prediction IS NULL").count() == 0
+
+
+def test_contrastive_pairs_teach_the_few_shot_head(spark):
+    """Classes differ in three weak components beside thirty loud ones."""
+    rnd = np.random.default_rng(3)
+    centres = rnd.normal(size=(4, 3))
+    rows = [(i, i % 4, (centres[i % 4] + 0.2 * rnd.normal(size=3)).tolist() + (6 * rnd.normal(size=30)).tolist()) for i in range(800)]
+    d = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    raw, _ = LN.few_shot_head(d, 30)
+    taught, pred = LN.few_shot_head(d, 30, pair_dims=3)
+    assert taught.first()["accuracy"] >= raw.first()["accuracy"] and taught.first()["accuracy"] > 0.5
+    assert pred.count() == 400

@@ -1,6 +1,11 @@
 """Metrics properties, result reshaping, jobs with fixed stand-in functions, and the
 ported contract of the reference's only test (generated samples)."""
 
+import os
+import uuid
+from pathlib import Path
+
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -186,3 +191,45 @@ def test_a_step_that_dies_leaves_the_earlier_ones(spark):
     before = asked.value
     out = JB.prompt_classify(items, None, works, path=path, per_step=8)
     assert out.filter("reply = '1'").count() == 64 and asked.value - before == 64 - stored
+
+
+def test_pair_scatter_equals_a_plain_sum(spark):
+    rnd = np.random.default_rng(0)
+    x = rnd.normal(size=(9, 4))
+    vectors = spark.createDataFrame([(i, x[i].tolist()) for i in range(9)] + [(9, None)], "vec_id int, embedding array<double>")
+    pairs = [(0, 1, True), (2, 3, True), (4, 5, False), (6, 6, True), (7, 8, False), (0, 9, True)]
+    got = JB.pair_scatter(spark.createDataFrame(pairs, "a_id int, b_id int, similar boolean").repartition(3), vectors).collect()
+    want = {True: np.zeros((4, 4)), False: np.zeros((4, 4))}
+    for a, b, kind in pairs[:-1]:
+        want[kind] += np.outer(x[a] - x[b], x[a] - x[b])
+    assert len(got) == 20 and all(abs(r["value"] - want[r["similar"]][r["i"], r["j"]]) < 1e-9 for r in got)
+    with pytest.raises(ValueError):
+        JB.pair_projection(JB.pair_scatter(spark.createDataFrame(pairs[:2], "a_id int, b_id int, similar boolean"), vectors), 2)
+
+
+def test_projection_keeps_nulls_and_multiplies(spark):
+    m = np.array([[1.0, 0.0], [2.0, 1.0], [0.0, -1.0]])
+    d = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, None), (3, [0.0, 0.0, 1.0])], "vec_id int, embedding array<float>")
+    got = {r["vec_id"]: r["projected"] for r in JB.project(d, m).collect()}
+    assert got == {1: [5.0, -1.0], 2: None, 3: [0.0, -1.0]}
+
+
+def test_a_model_is_loaded_once_per_worker(spark, tmp_path):
+    def count_loads(path):
+        """A scorer whose loading leaves a file per call, named by the process."""
+        base, place = Path(path).read_text().split()
+        (Path(place) / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return lambda v: np.stack([v.sum(axis=1), v.max(axis=1) * float(base)], axis=1)
+
+    artefact = JB.publish_artefact(spark, f"3 {tmp_path}".encode(), "model.txt")
+    rows = [(i, [float(i % 5), 1.0, -2.0]) for i in range(4000)] + [(4000, None)]
+    d = spark.createDataFrame(rows, "vec_id int, embedding array<float>").repartition(40)
+    got = JB.score_with_model(d, artefact, count_loads, keep=["vec_id"], vec_col="embedding", width=3, batch_rows=16).collect()
+    for r in got:
+        v = rows[r["vec_id"]][1]
+        if v is None:
+            assert r["scores"] is None and r["prediction"] is None
+        else:
+            assert r["scores"] == [sum(v), 3 * max(v)] and r["prediction"] == int(3 * max(v) > sum(v))
+    loads = [f.name.split("-")[0] for f in tmp_path.iterdir()]
+    assert len(got) == 4001 and loads and len(loads) == len(set(loads)) < 40

@@ -1,8 +1,8 @@
 """Jobs that run a caller-supplied function across partitions, and pair generation
 (L6, L7, L10, L11, T13).
 
-The caller's function (a model scorer or a reply generator) is the only Python step:
-it runs under ``mapInPandas`` on Arrow batches, with as many rows to a call as the caller
+The caller's function (a model scorer or a reply generator) is a Python step, as are the
+matrix products over pairs: it runs under ``mapInPandas`` on Arrow batches, with as many rows to a call as the caller
 says. Replies are kept in a store that only grows, so no prompt is asked twice. Everything around it - prompts, few-shot blocks,
 parsing, cleaning, metrics - stays in JVM column expressions.
 """
@@ -11,10 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
@@ -72,7 +75,107 @@ def contrastive_pairs(few: DataFrame, k: int = fixed.CONTRASTIVE_ITERATIONS, *,
     return pos.unionByName(neg)
 
 
-# L7
+# L6 used by L5
+def pair_scatter(pairs: DataFrame, vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """``(similar, i, j, value)``: the scatter matrices of the pairs, ``sum (a - b)(a - b)^T``
+    over the similar and over the other ones, ``i <= j``.
+
+    Each task turns its pairs into one matrix per kind by a product of arrays, so what is
+    shuffled are numbers of matrix cells, not pairs. Pairs with a null vector are left out;
+    vectors of unequal widths are an error."""
+    x = vectors.select(F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")).filter("_v IS NOT NULL")
+    ends = (pairs.join(x.withColumnsRenamed({"_id": "a_id", "_v": "_a"}), "a_id")
+            .join(x.withColumnsRenamed({"_id": "b_id", "_v": "_b"}), "b_id").select("similar", "_a", "_b"))
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[bool, np.ndarray] = {}
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            d = np.stack(pdf["_a"].to_numpy()) - np.stack(pdf["_b"].to_numpy())
+            for kind in (True, False):
+                part = d[pdf["similar"].to_numpy(dtype=bool) == kind]
+                if len(part):
+                    sums[kind] = sums.get(kind, 0.0) + part.T @ part
+        for kind, m in sums.items():
+            i, j = np.triu_indices(len(m))
+            yield pd.DataFrame({"similar": kind, "i": i.astype(np.int32), "j": j.astype(np.int32), "value": m[i, j]})
+
+    return (ends.mapInPandas(products, "similar boolean, i int, j int, value double")
+            .groupBy("similar", "i", "j").agg(F.sum("value").alias("value")))
+
+
+def pair_projection(scatter: DataFrame, dims: int, ridge: float = 1e-3) -> np.ndarray:
+    """A ``width x dims`` matrix whose columns pull dissimilar pairs apart and similar ones
+    together: the leading generalised eigenvectors of the two scatter matrices (each divided
+    by its trace; ``ridge`` times the mean diagonal keeps the similar one regular). The driver
+    holds ``width`` squared numbers. Without pairs of either kind there is nothing to learn,
+    which is an error."""
+    rows = scatter.collect()
+    if {r["similar"] for r in rows} != {True, False}:
+        raise ValueError("a projection needs similar and dissimilar pairs")
+    width = 1 + max(r["j"] for r in rows)
+    m = {kind: np.zeros((width, width)) for kind in (True, False)}
+    for r in rows:
+        m[r["similar"]][r["i"], r["j"]] = m[r["similar"]][r["j"], r["i"]] = r["value"]
+    within, between = (x / (np.trace(x) or 1.0) for x in (m[True], m[False]))
+    root = np.linalg.cholesky(within + ridge / width * np.eye(width))
+    half = np.linalg.solve(root, between)
+    values, vectors = np.linalg.eigh(np.linalg.solve(root, half.T))
+    order = np.argsort(-values, kind="stable")[:dims]
+    return np.linalg.solve(root.T, vectors[:, order])
+
+
+def project(df: DataFrame, matrix: np.ndarray, *, vec_col: str = "embedding", out_col: str = "projected") -> DataFrame:
+    """Add ``out_col``: the vector times ``matrix``, by Arrow batches; null stays null."""
+    @F.pandas_udf("array<double>")
+    def times(v: pd.Series) -> pd.Series:
+        there = v.notna().to_numpy()
+        out = np.empty(len(v), dtype=object)
+        if there.any():
+            for at, row in zip(np.flatnonzero(there), np.stack(v[there].to_numpy()).astype(np.float64) @ matrix):
+                out[at] = row
+        return pd.Series(out, index=v.index)
+
+    return df.withColumn(out_col, times(F.col(vec_col)))
+
+
+# L7 (a model from a file)
+def publish_artefact(spark, data: bytes, name: str) -> str:
+    """Write a model's bytes into the shared folder under a name of their own; returns the
+    path to give to ``score_with_model``."""
+    path = f"{scratch_path(spark, 'artefact')}-{name}"
+    ST.write_bytes(spark, path, data)
+    return path
+
+
+def score_with_model(df: DataFrame, artefact: str, load: Callable[[str], Callable[[np.ndarray], np.ndarray]], *,
+                     keep: Sequence[str], vec_col: str, width: int, batch_rows: int = 1024,
+                     scores_col: str = "scores") -> DataFrame:
+    """``(keep..., scores, prediction)``: score vectors with a model that every Python worker
+    loads once.
+
+    ``artefact`` is a file on the cluster file system; Spark ships it to the executors.
+    ``load`` gets its local path and returns the scorer of a ``(rows, width)`` array, called
+    with at most ``batch_rows`` rows. The model never travels with the plan or a task. A row
+    with a null vector has null scores and no prediction."""
+    spark = df.sparkSession
+    spark.sparkContext.addFile(artefact)
+    name = artefact.rstrip("/").rsplit("/", 1)[-1]
+
+    def make():
+        scorer = load(SparkFiles.get(name))
+        return lambda vectors: np.asarray(scorer(vectors), dtype=np.float64)
+
+    score = predict_batch_udf(make, return_type=ArrayType(DoubleType()), batch_size=batch_rows, input_tensor_shapes=[[width]])
+    nothing = F.array_repeat(F.lit(0.0), width)
+    vec = F.coalesce(F.col(vec_col).cast("array<double>"), nothing)
+    out = df.withColumn("_wm_there", F.col(vec_col).isNotNull()).withColumn(scores_col, score(vec))
+    out = out.withColumn(scores_col, F.when(F.col("_wm_there"), F.col(scores_col)))
+    return out.select(*keep, scores_col).withColumn("prediction", T.argmax(scores_col))
+
+
+# L7 (a function)
 def score_batches(df: DataFrame, score_fn: ScoreFn, *, keep: Sequence[str],
                   scores_col: str = "scores") -> DataFrame:
     """Run ``score_fn`` (pandas batch -> Series of score lists) over Arrow batches and

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
 from wordmill.functions import text as T
+from wordmill.operators import jobs
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
 from wordmill.session import cut_lineage, spread
@@ -288,13 +289,29 @@ def few_shot_parts(df: DataFrame, n: int, *, id_col: str = "vec_id", label_col:
 
 def few_shot_head(emb: DataFrame, n: int, *, id_col: str = "vec_id", label_col: str = "label",
                   vec_col: str = "embedding", seed=fixed.BASELINE_SEED,
-                  valid_share: float = fixed.FEW_SHOT_VALID_SHARE) -> tuple[DataFrame, DataFrame]:
+                  valid_share: float = fixed.FEW_SHOT_VALID_SHARE,
+                  pair_dims: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Split the embeddings in halves, draw ``n`` rows per class from the train half,
-    fit a linear head, score the other half. Returns (wide metrics, predictions)."""
-    x = emb.withColumn("_x", array_to_vector(F.col(vec_col)))
-    train, valid = few_shot_parts(x, n, id_col=id_col, label_col=label_col, seed=seed, valid_share=valid_share)
+    fit a linear head, score the other half. Returns (wide metrics, predictions).
+
+    With ``pair_dims`` the contrastive pairs of the drawn rows (L6) are learned from first:
+    their scatter matrices give a projection to so many dimensions, on which the head is fitted.
+    Projected vectors are scaled to the mean length of the drawn ones."""
+    train, valid = few_shot_parts(emb.select(id_col, label_col, vec_col), n, id_col=id_col, label_col=label_col,
+                                  seed=seed, valid_share=valid_share)
     train = cut_lineage(train)
     n_train = train.count()
+    if pair_dims is not None:
+        pairs = jobs.contrastive_pairs(train, id_col=id_col, label_col=label_col, seed=seed)
+        matrix = jobs.pair_projection(jobs.pair_scatter(pairs, train, id_col=id_col, vec_col=vec_col), pair_dims)
+        length = F.sqrt(F.aggregate(F.col(vec_col), F.lit(0.0), lambda a, v: a + v.cast("double") * v))
+        before = train.agg(F.avg(length)).first()[0]
+        train, valid = (jobs.project(d, matrix, vec_col=vec_col, out_col=vec_col) for d in (train, valid))
+        train = cut_lineage(train)
+        after = train.agg(F.avg(length)).first()[0]
+        scale = F.lit(before / after if after else 1.0)
+        train, valid = (d.withColumn(vec_col, F.transform(vec_col, lambda v: v * scale)) for d in (train, valid))
+    train, valid = (d.withColumn("_x", array_to_vector(F.col(vec_col))) for d in (train, valid))
     lr = LogisticRegression(featuresCol="_x", labelCol=label_col, predictionCol="_p", family="multinomial",
                             maxIter=fixed.LR_MAX_ITER, regParam=1.0 / max(n_train, 1), standardization=False,
                             tol=LR_TOL)

@@ -7,6 +7,7 @@ rounded to 6 places on output only (never before ranking).
 
 from __future__ import annotations
 
+import io
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,7 +113,7 @@ def t8_remove_stopwords(spark, sf_dir):
 
 def _doc_word_tokens(spark, sf_dir) -> DataFrame:
     """(doc_id, pos, token): lowercased word tokens, every position."""
-    d = documents(spark, sf_dir).select("doc_id", "text").repartition("doc_id")
+    d = spread(documents(spark, sf_dir).select("doc_id", "text"))
     return _positions(d, ["doc_id"], T.word_split(T.lower("text")))
 
 
@@ -221,6 +222,16 @@ def m4_stratified_fraction(spark, sf_dir):
                                  seed=fixed.BASELINE_SEED, id_cols="doc_id")
 
 
+# shares of the classes in the approximate draw
+APPROXIMATE_SHARES = {"de": 0.5, "en": 0.1, "es": 0.6, "fr": 0.4}
+
+
+@query("m4_approximate_fraction")
+def m4_approximate_fraction(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", F.col("lang").alias("label"))
+    return M.stratified_approximate(d, APPROXIMATE_SHARES, label_col="label", seed=fixed.BASELINE_SEED, id_cols="doc_id")
+
+
 @query("m5_per_class")
 def m5_per_class(spark, sf_dir):
     e = embeddings(spark, sf_dir).select("vec_id", "label")
@@ -288,6 +299,16 @@ def v3_frequent_stopwords(spark, sf_dir):
     return terms.frequent_stopwords(documents(spark, sf_dir))
 
 
+@query("v3_sketched_stopwords")
+def v3_sketched_stopwords(spark, sf_dir):
+    return terms.frequent_stopwords(documents(spark, sf_dir), sketch=True)
+
+
+@query("v3_heavy_words")
+def v3_heavy_words(spark, sf_dir):
+    return terms.heavy_words(documents(spark, sf_dir), fixed.FREQUENCY_THRESHOLD)
+
+
 @query("v4_extend_stopwords")
 def v4_extend_stopwords(spark, sf_dir):
     base = terms.frequent_stopwords(documents(spark, sf_dir))
@@ -823,6 +844,34 @@ def l6_contrastive_pairs(spark, sf_dir):
     return JB.contrastive_pairs(few, fixed.CONTRASTIVE_ITERATIONS)
 
 
+@query("l6_pair_properties")
+def l6_pair_properties(spark, sf_dir):
+    """Per anchor: its distinct positives and negatives, and the other classes they reach."""
+    e = embeddings(spark, sf_dir).select("vec_id", "label")
+    few = M.per_class(e, 32, label_col="label", seed=fixed.BASELINE_SEED, id_cols="vec_id")
+    pairs = JB.contrastive_pairs(few, fixed.CONTRASTIVE_ITERATIONS)
+    partner = e.select(F.col("vec_id").alias("b_id"), "label")
+    return pairs.join(partner, "b_id").groupBy("a_id").agg(
+        F.count_distinct(F.when(F.col("similar"), F.col("b_id"))).alias("positives"),
+        F.count_distinct(F.when(~F.col("similar"), F.col("b_id"))).alias("negatives"),
+        F.count_distinct(F.when(~F.col("similar"), F.col("label"))).alias("classes"))
+
+
+@query("l5_pair_scatter")
+def l5_pair_scatter(spark, sf_dir):
+    e = embeddings(spark, sf_dir)
+    few = M.per_class(e, 32, label_col="label", seed=fixed.BASELINE_SEED, id_cols="vec_id")
+    pairs = JB.contrastive_pairs(few.select("vec_id", "label"), fixed.CONTRASTIVE_ITERATIONS)
+    return JB.pair_scatter(pairs, e).withColumn("value", r6("value"))
+
+
+@query("l5_pair_head")
+def l5_pair_head(spark, sf_dir):
+    """The few-shot head on what its contrastive pairs teach: nine dimensions for ten classes."""
+    wide, _ = LN.few_shot_head(embeddings(spark, sf_dir), 32, pair_dims=9)
+    return wide
+
+
 def stride_scorer(pdf: pd.DataFrame) -> pd.Series:
     """Stand-in model over whole vectors: the score of class c is the sum of the
     components whose place leaves c when divided by ten."""
@@ -836,6 +885,30 @@ def l7_score_batches(spark, sf_dir):
     return JB.score_batches(e, stride_scorer, keep=["vec_id", "label"]).select("vec_id", "label", "prediction")
 
 
+def load_centroids(path: str):
+    """The scorer of a stored matrix with one row per class: inner products."""
+    centroids = np.load(path)
+    return lambda vectors: vectors @ centroids.T
+
+
+@query("l7_score_model")
+def l7_score_model(spark, sf_dir):
+    """The mean vector of every class as a model in a file, loaded once per worker."""
+    e = embeddings(spark, sf_dir).select("vec_id", "label", "embedding")
+    means = (e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i")
+             .agg(F.avg(F.col("x").cast("double")).alias("m")).groupBy("label")
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("mean"))
+             .orderBy("label").collect())
+    if not means:
+        return e.select("vec_id", "label", F.lit(None).cast("int").alias("prediction"))
+    matrix, data = np.array([r["mean"] for r in means]), io.BytesIO()
+    np.save(data, matrix)
+    artefact = JB.publish_artefact(spark, data.getvalue(), "centroids.npy")
+    scored = JB.score_with_model(e, artefact, load_centroids, keep=["vec_id", "label"], vec_col="embedding",
+                                 width=matrix.shape[1])
+    return scored.select("vec_id", "label", "prediction")
+
+
 def length_responder(pdf: pd.DataFrame) -> pd.Series:
     """Deterministic stand-in for a remote model: replies from the prompt length."""
     n = pdf["prompt"].str.len()

@@ -232,6 +232,13 @@ ORACLE["m4_stratified_fraction"] = stratified_sql(
     "(SELECT doc_id, lang AS label FROM documents)", "doc_id, label", "label", "doc_id::VARCHAR",
     fixed.STRATIFIED_TEST_SHARE, SEED)
 
+ORACLE["m4_approximate_fraction"] = f"""
+SELECT doc_id, lang AS label FROM documents
+WHERE ('0x' || substr({h(SEED, 'doc_id::VARCHAR')}, 1, 13))::BIGINT
+      < CASE lang WHEN 'de' THEN 0.5::DOUBLE WHEN 'en' THEN 0.1::DOUBLE WHEN 'es' THEN 0.6::DOUBLE
+                  WHEN 'fr' THEN 0.4::DOUBLE ELSE 0 END * 4503599627370496
+"""
+
 ORACLE["m5_per_class"] = f"""
 SELECT vec_id, label FROM (
   SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY {h(SEED, 'vec_id::VARCHAR')}) AS rn
@@ -299,6 +306,13 @@ SELECT word FROM wc, wt WHERE n / total > {fixed.FREQUENCY_THRESHOLD}::DOUBLE
 
 ORACLE["v3_frequent_stopwords"] = f"WITH {WS_WORDS} {V3_SQL}"
 
+ORACLE["v3_sketched_stopwords"] = ORACLE["v3_frequent_stopwords"]
+
+ORACLE["v3_heavy_words"] = f"""
+WITH {WS_WORDS}
+SELECT word, n, total FROM wc, wt WHERE n / total > {fixed.FREQUENCY_THRESHOLD}::DOUBLE
+"""
+
 ORACLE["v4_extend_stopwords"] = f"""
 WITH {WS_WORDS}
 {V3_SQL}
@@ -712,6 +726,30 @@ SELECT a_id, b_id, false AS similar FROM hop
 WHERE d % step = 0 AND d // step < least({fixed.CONTRASTIVE_ITERATIONS}, c)
 """
 
+ORACLE["l6_pair_properties"] = f"""
+WITH few AS ({ORACLE['m5_per_class']}),
+sz AS (SELECT label, count(*) AS m, sum(count(*)) OVER () AS n, count(*) OVER () AS c FROM few GROUP BY label)
+SELECT vec_id AS a_id, least({fixed.CONTRASTIVE_ITERATIONS}, m - 1)::BIGINT AS positives,
+       least({fixed.CONTRASTIVE_ITERATIONS}, n - m)::BIGINT AS negatives, (c - 1)::BIGINT AS classes
+FROM few JOIN sz USING (label)
+"""
+
+ORACLE["l5_pair_scatter"] = f"""
+WITH p AS ({ORACLE["l6_contrastive_pairs"]}),
+d AS (SELECT p."similar" AS kind, list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) AS v
+      FROM p JOIN embeddings a ON a.vec_id = p.a_id JOIN embeddings b ON b.vec_id = p.b_id)
+SELECT kind AS "similar", i::INTEGER AS i, j::INTEGER AS j, round(sum(v[i + 1] * v[j + 1]), 6) AS value
+FROM d, range(64) r(i), range(64) s(j) WHERE i <= j GROUP BY kind, i, j
+"""
+
+ORACLE["l7_score_model"] = """
+WITH cell AS (SELECT vec_id, label, i, embedding[i]::DOUBLE AS x FROM embeddings, range(1, 65) r(i)),
+mean AS (SELECT label AS c, i, avg(x) AS m FROM cell GROUP BY label, i),
+score AS (SELECT vec_id, cell.label, c, sum(x * m) AS s FROM cell JOIN mean USING (i) GROUP BY vec_id, cell.label, c)
+SELECT vec_id, label, c::INTEGER AS prediction FROM score
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, c) = 1
+"""
+
 ORACLE["l7_score_batches"] = """
 SELECT vec_id, label, (list_position(s, list_max(s)) - 1)::INTEGER AS prediction
 FROM (SELECT vec_id, label, list_transform(range(0, 10), lambda c:

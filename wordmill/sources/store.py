@@ -45,6 +45,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write one small file through the Hadoop FileSystem, replacing what is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def _publish(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> None:
     """Write aside, then rename: a table is at ``path`` whole or not at all."""
     jvm = spark.sparkContext._jvm
