@@ -11,7 +11,6 @@ whose added tokens hold or take white space, or are matched in normalised text,
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ from tokenizers import Tokenizer, models
 
 from wordmill.llm import textbytes as B
 
-#: Words kept by a task; when there are more, the table starts anew.
+#: Words, and pre-tokens, kept by a task; when there are more, the table starts anew.
 MAX_WORDS = 2_000_000
 
 
@@ -48,11 +47,10 @@ class WordBpe:
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         self.merge = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges,
                                           end_of_word_suffix=model["end_of_word_suffix"]))
-        self.split = regex.compile(split)
-        self.plain = re.compile(r"[\x21-\x7e¡-ÿ]*")
-        self.alphabet = dict(enumerate(_byte_alphabet()))
+        # one pass over many words: each ends with a line break, which no pre-token holds
+        self.split = regex.compile(split + r"|\n")
+        self.alphabet = {**dict(enumerate(_byte_alphabet())), 10: "\n"}
         self.max_words = max_words
-        self.pretokens: dict[str, list[int]] = {}
         self._clear()
 
     def _clear(self) -> None:
@@ -60,34 +58,72 @@ class WordBpe:
         self.at = np.zeros(0, np.int64)     # their place in the pool, and number of ids
         self.n = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
-
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of single words without white space."""
-        known, split, plain = self.pretokens, self.split.findall, self.plain.fullmatch
-        if len(known) > self.max_words:
-            known.clear()
-        every = "\n".join(words)
-        special = [t for t in self.added if t in every]
-        lowered = [w.lower() if plain(w) and not any(t in w for t in special) else None for w in words]
-        parts = [split(w) if w is not None else None for w in lowered]
-        new = list({p: None for x in parts if x is not None for p in x if p not in known})
-        for a in range(0, len(new), 4096):
-            some = new[a:a + 4096]
-            for p in some:
-                known[p] = []
-            got = self.merge.encode([p.encode().decode("latin-1").translate(self.alphabet) for p in some],
-                                    is_pretokenized=True, add_special_tokens=False)
-            for token, i in zip(got.ids, got.word_ids):
-                known[some[i]].append(token)
-        return [self.whole.encode(w, add_special_tokens=False).ids if x is None else
-                known[x[0]] if len(x) == 1 else [t for p in x for t in known[p]]
-                for w, x in zip(words, parts)]
-
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        ids = self.encode_words(words)
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        at = len(self.pool) + np.cumsum(n) - n
-        self.pool = np.concatenate([self.pool, np.fromiter((t for x in ids for t in x), np.uint32, int(n.sum()))])
+        self._clear_pieces()
+
+    def _clear_pieces(self) -> None:
+        self.pieces = {"\n": 0}             # known pre-tokens, and the ids of each as above
+        self.piece_n = np.zeros(1, np.int64)
+        self.piece_at = np.zeros(1, np.int64)
+        self.piece_pool = np.zeros(0, np.uint32)
+
+    def _learn_pieces(self, new: list[str]) -> None:
+        """Merge unknown pre-tokens."""
+        known = len(self.pieces)
+        self.pieces.update(zip(new, range(known, known + len(new))))
+        letters = "\n".join(new).encode().decode("latin-1").translate(self.alphabet).split("\n")
+        pool, counts = [self.piece_pool], []
+        for a in range(0, len(letters), 4096):
+            some = letters[a:a + 4096]
+            got = self.merge.encode(some, is_pretokenized=True, add_special_tokens=False)
+            pool.append(np.array(got.ids, np.uint32))
+            counts.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(some)))
+        n = np.concatenate(counts)
+        self.piece_at = np.concatenate([self.piece_at, len(self.piece_pool) + np.cumsum(n) - n])
+        self.piece_n = np.concatenate([self.piece_n, n])
+        self.piece_pool = np.concatenate(pool)
+
+    def _encode_plain(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, number of ids of each word)`` of ASCII and Latin-1 words, each followed by
+        a line break."""
+        found = self.split.findall(text.lower())
+        if len(self.pieces) > self.max_words:
+            self._clear_pieces()
+        new = [p for p in dict.fromkeys(found) if p not in self.pieces]
+        if new:
+            self._learn_pieces(new)
+        piece = np.fromiter(map(self.pieces.__getitem__, found), np.int64, len(found))
+        n = self.piece_n[piece]
+        total = np.cumsum(n)[piece == 0]
+        return self.piece_pool[B.ragged(self.piece_at[piece], n)], np.diff(total, prepend=0)
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Add the words between ``starts`` and ``ends``, which have these hashes."""
+        size = ends - starts + 1
+        first = np.cumsum(size) - size
+        lines = np.full(int(size.sum()), 10, np.uint8)
+        lines[B.ragged(first, size - 1)] = data[B.ragged(starts, size - 1)]
+        # bytes of control characters and of characters beyond U+00FF: C2 below A1, leads from C4
+        odd = (lines < 0x21) & (lines != 10) | (lines == 0x7F) | (lines >= 0xC4)
+        odd[1:] |= (lines[:-1] == 0xC2) & (lines[1:] < 0xA1)
+        whole = np.add.reduceat(odd, first, dtype=np.int64) > 0
+        raw = lines.tobytes()
+        if any(t.encode() in raw for t in self.added):
+            for i, w in enumerate(raw.split(b"\n")[:-1]):
+                whole[i] |= any(t.encode() in w for t in self.added)
+        n, ids = np.zeros(len(size), np.int64), []
+        if not whole.all():
+            got, n[~whole] = self._encode_plain(raw.decode() if not whole.any() else
+                                                lines[B.ragged(first[~whole], size[~whole])].tobytes().decode())
+            ids.append(got)
+        for i in np.flatnonzero(whole).tolist():
+            got = self.whole.encode(raw[first[i]:first[i] + size[i] - 1].decode(), add_special_tokens=False).ids
+            n[i] = len(got)
+            ids.append(np.array(got, np.uint32))
+        # the pool holds the plain words first
+        order = np.argsort(whole, kind="stable")
+        at = np.zeros(len(size), np.int64)
+        at[order] = len(self.pool) + np.cumsum(n[order]) - n[order]
+        self.pool = np.concatenate([self.pool, *ids])
         keys = np.concatenate([self.keys, hashes])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
@@ -105,9 +141,7 @@ class WordBpe:
         known = place < len(self.keys)
         known[known] = self.keys[place[known]] == unique[known]
         if not known.all():
-            raw = data.tobytes()
-            a, b = starts[sample[~known]].tolist(), ends[sample[~known]].tolist()
-            self._learn(unique[~known], [raw[i:j].decode() for i, j in zip(a, b)])
+            self._learn(unique[~known], data, starts[sample[~known]], ends[sample[~known]])
             place = np.searchsorted(self.keys, unique)
         n = self.n[place][back]
         ids = self.pool[B.ragged(self.at[place][back], n)]
