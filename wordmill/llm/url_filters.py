@@ -5,8 +5,13 @@ rule's path; the longest that fits decides. Pages without a rule are judged by t
 host: trust flows forward over host links from hosts with allowed pages, distrust flows
 backward from hosts with blocked pages (whoever links to a blocked host is distrusted),
 both as personalised PageRank, iterated until the ranks of all hosts together change by
-less than ``TOLERANCE`` seed pages, however many steps that takes. A host is blocked if
-its distrust per page is at least ``MIN_DISTRUST`` and more than ``RATIO`` times its trust.
+less than ``TOLERANCE`` seed pages. A host is linked both ways with the domain above it,
+that one with the next, and so on down to two labels, whether or not these have pages: so
+hosts of one domain share trust and distrust. A host is blocked if its distrust per page is
+at least ``MIN_DISTRUST`` and more than ``RATIO`` times its trust.
+
+``pages`` is read once: ids, hosts, paths and the hosts linked to are written to the shared
+folder, and everything else is made from that table.
 
 Null urls and urls without ``://`` have an empty host and path; no rule and no link
 fits them, and they are allowed. An empty table gives an empty result; repeated rows
@@ -14,19 +19,16 @@ are judged alike; extra columns are ignored."""
 
 from __future__ import annotations
 
-import itertools
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.session import cut_lineage
+from wordmill.session import broadcast_if_small, cut_lineage
 
 DAMPING = 0.85
-#: Steps of ``page_rank`` where no tolerance is given: what is left to flow after them is
-#: 0.85**12, one seventh. The filter gives a tolerance.
-STEPS = 12
 #: Steps between two written rank tables.
 WRITE_EVERY = 4
 RATIO = 2.0
@@ -35,8 +37,9 @@ MIN_DISTRUST = 0.05
 #: What is still to come is at most 1.1 times that (0.85**4 / (1 - 0.85**4)), and the final
 #: scaling multiplies by 1 / 0.15 at most.
 TOLERANCE = MIN_DISTRUST / 1000
-#: Least tolerance as a share of all ranks, above the rounding of their sums.
-ROUNDING = 1e-14
+#: A change that falls to this share or more of the one before is rounding: exact ranks
+#: change by at most 0.85**4 = 0.53 of it.
+STALLED = 0.75
 
 
 @dataclass(frozen=True)
@@ -85,66 +88,79 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule] = RULES) ->
     return out
 
 
-def judged_pages(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """``(page_id, host, path, targets)``: what the filter needs of a page. ``targets`` are the
+    other hosts it links to, each once."""
+    targets = F.array_distinct(F.transform(
+        F.regexp_extract_all("html", F.lit(r"""(?i)href\s*=\s*["']?((?:https?:)?//[^\s"'<>]+)"""), F.lit(1)),
+        lambda u: host_of(F.when(u.startswith("//"), F.concat(F.lit("http:"), u)).otherwise(u))))
+    at = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), targets.alias("targets"))
+    return at.withColumn("targets", F.filter("targets", lambda t: (t != "") & (t != F.col("host"))))
+
+
+def judged_pages(parsed: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """``(page_id, host, path, rule, rule_verdict)``."""
-    at = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    return at.withColumn("m", matching_rule(F.col("host"), F.col("path"), rules)).select(
+    return parsed.select("page_id", "host", "path", matching_rule(F.col("host"), F.col("path"), rules).alias("m")).select(
         "page_id", "host", "path", F.col("m.rule").alias("rule"), F.col("m.verdict").alias("rule_verdict"))
 
 
-def host_links(pages: DataFrame) -> DataFrame:
-    """``(src, dst, n)``: links between different hosts found in the pages, and between a
-    host and the domain one label above it if that is a host of the table itself. Links
-    of one page to one host count once; a page's own host is no link."""
-    targets = F.array_distinct(F.transform(
-        F.regexp_extract_all("html", F.lit(r"""(?i)href\s*=\s*["']?((?:https?:)?//[^\s"'<>]+)"""), F.lit(1)),
-        lambda u: host_of(F.when(u.startswith("//"), F.concat(F.lit("http:"), u)).otherwise(u))))
-    found = pages.select(host_of(F.col("url")).alias("src"), F.explode(targets).alias("dst"))
-    linked = found.filter("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(
-        F.count(F.lit(1)).cast("double").alias("n"))
-    hosts = pages.select(host_of(F.col("url")).alias("src")).filter("src <> ''").distinct()
-    up = (hosts.select("src", F.regexp_extract("src", r"^[^.]+\.(.+)$", 1).alias("dst"))
-          .join(hosts.select(F.col("src").alias("dst")), "dst", "left_semi").select("src", "dst", F.lit(1.0).alias("n")))
-    both = up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
-    return linked.unionByName(both).groupBy("src", "dst").agg(F.sum("n").alias("n"))
-
-
-def page_rank(links: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING,
-              tolerance: float | None = None) -> DataFrame:
+def parent_domains(hosts: DataFrame) -> DataFrame:
+    """``(src, dst)``: every host with the domain one label above it, that domain with the
+    next, down to two labels, each pair once. Domains need no pages of their own; addresses
+    of numbers alone and empty labels have none."""
+    labels = F.split("host", r"\.")
+    named = hosts.filter(F.col("host").rlike(r"^[^.]+(\.[^.]+){2,}$") & ~F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$"))
+    tails = F.transform(F.sequence(F.lit(1), F.size("l") - 1), lambda i: F.array_join(F.slice("l", i, F.size("l")), "."))
+    pairs = named.select(labels.alias("l")).select(tails.alias("t")).select(
+        F.explode(F.arrays_zip(F.slice("t", 1, F.size("t") - 1).alias("src"), F.slice("t", 2, F.size("t") - 1).alias("dst"))).alias("p"))
+    return pairs.select("p.src", "p.dst").distinct()
+
+
+def host_links(parsed: DataFrame) -> DataFrame:
+    """``(src, dst, n)``: links between different hosts found in the pages, those of one page
+    to one host counted once, and between every host of the table and its parent domains."""
+    found = parsed.filter("host <> ''").select(F.col("host").alias("src"), F.explode("targets").alias("dst"))
+    linked = found.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    up = parent_domains(parsed.select("host").distinct()).withColumn("n", F.lit(1.0))
+    down = up.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+    return linked.unionByName(up).unionByName(down).groupBy("src", "dst").agg(F.sum("n").alias("n"))
+
+
+def page_rank(links: DataFrame, seeds: DataFrame, tolerance: float, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank ``(host, rank)``: seeds ``(host, weight)`` with weights that
     add up to 1, links ``(src, dst, n)``. The links are written once, weighted by their
-    share of the source. With a ``tolerance`` there is no limit of steps: they end when the
-    changes of all ranks between two written tables add up to less (each step leaves at
-    most ``damping`` of the change, so they do end). Ranks are scaled to add up to 1 at the
-    end, which is the same as letting hosts without links hand their rank back to the
-    seeds."""
+    share of the source. The steps end when the changes of all ranks between two written
+    tables add up to at most ``tolerance``. Each step leaves at most ``damping`` of the change;
+    once it falls by less than that allows, what is left is the rounding of sums taken in
+    another order, and the steps end too: so they do end, whatever the tolerance. Ranks are
+    scaled to add up to 1 at the end, which is the same as letting hosts without links hand
+    their rank back to the seeds."""
     total = links.groupBy("src").agg(F.sum("n").alias("total"))
     share = cut_lineage(links.join(total, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")))
     rank = seeds.select("host", F.col("weight").alias("rank"))
     base = seeds.select("host", (F.col("weight") * (1.0 - damping)).alias("rank"))
-    written, linked = rank, not share.isEmpty()
-    for step in (itertools.count(1) if tolerance is not None else range(1, steps + 1)) if linked else ():
-        flow = (rank.join(share, rank["host"] == share["src"])
-                .select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")))
-        rank = base.unionByName(flow).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if step % WRITE_EVERY == 0 and (tolerance is not None or step < steps):
-            rank = cut_lineage(rank)
-            if tolerance is not None:
-                before = written.select("host", (-F.col("rank")).alias("rank"))
-                change = rank.unionByName(before).groupBy("host").agg(F.sum("rank").alias("rank"))
-                if change.agg(F.sum(F.abs("rank"))).first()[0] <= tolerance:
-                    break
-                written = rank
+    written, before, linked = rank, math.inf, not share.isEmpty()
+    while linked:
+        for _ in range(WRITE_EVERY):
+            flow = (rank.join(share, rank["host"] == share["src"])
+                    .select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")))
+            rank = base.unionByName(flow).groupBy("host").agg(F.sum("rank").alias("rank"))
+        rank = cut_lineage(rank)
+        change = (rank.unionByName(written.select("host", (-F.col("rank")).alias("rank"))).groupBy("host")
+                  .agg(F.sum("rank").alias("rank")).agg(F.sum(F.abs("rank"))).first()[0] or 0.0)
+        if change <= tolerance or change >= STALLED * before:
+            break
+        written, before = rank, change
     rank = cut_lineage(rank)
     scale = rank.agg(F.sum("rank")).first()[0]
     return rank.withColumn("rank", F.col("rank") / F.lit(scale)) if scale else rank
 
 
-def host_scores(pages: DataFrame, judged: DataFrame) -> DataFrame:
+def host_scores(parsed: DataFrame, judged: DataFrame) -> DataFrame:
     """``(host, trust, distrust)`` per page of the host: seeds weigh by their number of
     allowed or blocked pages, and a host's rank, counted in seed pages, is divided by its
     own number of pages."""
-    links = cut_lineage(host_links(pages))
+    links = cut_lineage(host_links(parsed))
     back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     counts = cut_lineage(judged.filter("host <> ''").groupBy("host").agg(
         F.count(F.lit(1)).alias("pages"),
@@ -156,7 +172,7 @@ def host_scores(pages: DataFrame, judged: DataFrame) -> DataFrame:
         total = sums[side] or 0.0
         if total:
             seeds = counts.filter(F.col(side) > 0).select("host", (F.col(side) / total).alias("weight"))
-            ranked = page_rank(graph, seeds, tolerance=max(TOLERANCE / total, ROUNDING)).select("host", (F.col("rank") * total).alias(name))
+            ranked = page_rank(graph, seeds, TOLERANCE / total).select("host", (F.col("rank") * total).alias(name))
             out = out.join(ranked, "host", "left")
         else:
             out = out.withColumn(name, F.lit(0.0))
@@ -165,10 +181,11 @@ def host_scores(pages: DataFrame, judged: DataFrame) -> DataFrame:
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """``(page_id, host, path, rule, verdict, trust, distrust)`` for every page."""
-    judged = judged_pages(pages, rules)
-    scores = host_scores(pages, judged)
+    parsed = cut_lineage(parsed_pages(pages))
+    judged = judged_pages(parsed, rules)
+    scores = host_scores(parsed, judged)
     bad = (F.col("distrust") >= MIN_DISTRUST) & (F.col("distrust") > F.col("trust") * RATIO)
-    return judged.join(scores, "host", "left").select(
+    return judged.join(broadcast_if_small(cut_lineage(scores)), "host", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("rule_verdict", F.when(bad, "block").otherwise("allow")).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
