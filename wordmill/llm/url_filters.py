@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,12 +169,23 @@ def host_scores(parsed: DataFrame, judged: DataFrame) -> DataFrame:
         F.count(F.when(F.col("rule_verdict") == "block", 1)).cast("double").alias("block")))
     sums = counts.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
     out = counts.select("host", "pages")
-    for side, graph, name in (("allow", links, "trust"), ("block", back, "distrust")):
-        total = sums[side] or 0.0
-        if total:
-            seeds = counts.filter(F.col(side) > 0).select("host", (F.col(side) / total).alias("weight"))
-            ranked = page_rank(graph, seeds, TOLERANCE / total).select("host", (F.col("rank") * total).alias(name))
-            out = out.join(ranked, "host", "left")
+    sides = [(side, graph, name) for side, graph, name in (("allow", links, "trust"), ("block", back, "distrust")) if sums[side]]
+    if sides:
+        # both sides are iterated together, as the two parts of one graph without links between them
+        def part(side, c):
+            return F.concat(F.lit(f"{side}:"), F.col(c)).alias(c)
+
+        graph = reduce(DataFrame.unionByName, [g.select(part(side, "src"), part(side, "dst"), "n") for side, g, _ in sides])
+        seeds = reduce(DataFrame.unionByName, [
+            counts.filter(F.col(side) > 0).select(part(side, "host"), (F.col(side) / (sums[side] * len(sides))).alias("weight"))
+            for side, _, _ in sides])
+        ranked = page_rank(graph, seeds, TOLERANCE / (len(sides) * max(sums[side] for side, _, _ in sides)))
+    for side, name in (("allow", "trust"), ("block", "distrust")):
+        if sums[side]:
+            own = ranked.filter(F.col("host").startswith(f"{side}:")).select(
+                F.expr(f"substring(host, {len(side) + 2})").alias("host"), "rank")
+            scale = own.agg(F.sum("rank")).first()[0]
+            out = out.join(own.select("host", (F.col("rank") * (sums[side] / scale)).alias(name)), "host", "left")
         else:
             out = out.withColumn(name, F.lit(0.0))
     return out.select("host", *[(F.coalesce(F.col(c), F.lit(0.0)) / F.col("pages")).alias(c) for c in ("trust", "distrust")])
