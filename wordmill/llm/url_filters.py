@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.session import broadcast_if_small, cut_lineage
+from wordmill.session import MAX_BROADCAST_BYTES, broadcast_if_small, cut_lineage, table_bytes
 
 DAMPING = 0.85
 #: Steps between two written rank tables.
@@ -38,6 +38,8 @@ MIN_DISTRUST = 0.05
 #: What is still to come is at most 1.1 times that (0.85**4 / (1 - 0.85**4)), and the final
 #: scaling multiplies by 1 / 0.15 at most.
 TOLERANCE = MIN_DISTRUST / 1000
+#: Bytes of links a task of a step takes where the rank table is small enough to travel.
+TASK_BYTES = 4 << 20
 #: A change that falls to this share or more of the one before is rounding: exact ranks
 #: change by at most 0.85**4 = 0.53 of it.
 STALLED = 0.75
@@ -130,7 +132,9 @@ def host_links(parsed: DataFrame) -> DataFrame:
 def page_rank(links: DataFrame, seeds: DataFrame, tolerance: float, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank ``(host, rank)``: seeds ``(host, weight)`` with weights that
     add up to 1, links ``(src, dst, n)``. The links are written once, weighted by their
-    share of the source. The steps end when the changes of all ranks between two written
+    share of the source. Rank tables of a proven size up to ``MAX_BROADCAST_BYTES`` travel to
+    the links, in tasks that follow the bytes of the links; larger ones are joined by a
+    shuffle. The steps end when the changes of all ranks between two written
     tables add up to at most ``tolerance``. Each step leaves at most ``damping`` of the change;
     once it falls by less than that allows, what is left is the rounding of sums taken in
     another order, and the steps end too: so they do end, whatever the tolerance. Ranks are
@@ -140,12 +144,18 @@ def page_rank(links: DataFrame, seeds: DataFrame, tolerance: float, damping: flo
     share = cut_lineage(links.join(total, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")))
     rank = seeds.select("host", F.col("weight").alias("rank"))
     base = seeds.select("host", (F.col("weight") * (1.0 - damping)).alias("rank"))
+    # ranked hosts are seeds or ends of links, so this bounds the bytes of every rank table
+    size = table_bytes(share) + table_bytes(rank)
+    travels, tasks = size <= MAX_BROADCAST_BYTES, max(links.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    if travels:
+        share, base = share.coalesce(tasks), base.coalesce(tasks)
     written, before, linked = rank, math.inf, not share.isEmpty()
     while linked:
         for _ in range(WRITE_EVERY):
-            flow = (rank.join(share, rank["host"] == share["src"])
+            flow = ((F.broadcast(rank) if travels else rank).join(share, F.col("host") == F.col("src"))
                     .select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")))
             rank = base.unionByName(flow).groupBy("host").agg(F.sum("rank").alias("rank"))
+            rank = rank.coalesce(tasks) if travels else rank
         rank = cut_lineage(rank)
         change = (rank.unionByName(written.select("host", (-F.col("rank")).alias("rank"))).groupBy("host")
                   .agg(F.sum("rank").alias("rank")).agg(F.sum(F.abs("rank"))).first()[0] or 0.0)
