@@ -1,6 +1,7 @@
 """TF-IDF properties and the example-document notebook queries."""
 
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +163,38 @@ def test_heavy_words_shuffle_candidates_only(spark, monkeypatch):
     # the sketch meets in one small row; the recount is grouped by candidate
     assert len(plans) == 2 and "hashpartitioning(word" not in plans[0] + plans[1]
     assert "hashpartitioning(_cand" in plans[1]
+
+
+def test_top_words_are_exact(spark):
+    rows = [(w,) for i in range(400) for w in ("a", "b", f"w{i % 40}", f"x{i % 7}", f"rare{i}")]
+    d = spark.createDataFrame(rows, "word string").repartition(5)
+    counts = sorted(((n, w) for w, n in Counter(w for w, in rows).items()), key=lambda c: (-c[0], c[1]))
+    for k, tracked in ((0, 64), (1, 8), (2, 64), (9, 16), (12, 64), (49, 64), (60, 64), (1000, 64)):
+        assert terms.top_words(d, k, tracked) == [(w, n) for n, w in counts[:k]], (k, tracked)
+    assert terms.top_words(d.filter("false"), 3) == []
+
+
+def test_top_words_shuffle_candidates_only(spark, monkeypatch):
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    cut = terms.cut_lineage
+    monkeypatch.setattr(terms, "cut_lineage", kept)
+    docs = spark.createDataFrame([(i, f"big data w{i} v{i}") for i in range(300)], "doc_id long, text string")
+    tok = terms.ngram_tokenizer(None, (1, 2))
+    assert terms.top_vocabulary(docs, 3, tokenizer=tok, sketch=True) == ["big", "big data", "data"]
+    assert len(plans) == 2 and not any("hashpartitioning(word" in p or "hashpartitioning(term" in p for p in plans)
+
+
+def test_terms_in_reach(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model, w = terms.tfidf(docs)
+    for k in (1, 20, model.n_terms + 1):
+        want = [(r["term"], round(r["total_weight"], 9)) for r in terms.top_terms_overall(w, k).collect()]
+        assert [(r["term"], round(r["total_weight"], 9)) for r in terms.top_terms_bounded(w, model, k).collect()] == want
+    few = terms.terms_in_reach(w, model, 5).count()
+    assert 5 <= few < model.n_terms / 2, (few, model.n_terms)
+    model.release()

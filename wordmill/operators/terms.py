@@ -289,11 +289,15 @@ def transform(docs: DataFrame, model: IdfModel, *, text_col: str = "text", id_co
 
 
 def top_vocabulary(docs: DataFrame, k: int, *, text_col: str = "text", id_col: str = "doc_id",
-                   tokenizer: Tokenizer = default_tokenizer) -> list[str]:
+                   tokenizer: Tokenizer = default_tokenizer, sketch: bool = False) -> list[str]:
     """The ``k`` terms with the highest corpus count ``(count desc, term asc)``: a partial
-    aggregate per term, then a top-k; no text and no (document, term) pair is shuffled."""
-    counts = (tokens_table(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
-              .groupBy("term").agg(F.count(F.lit(1)).alias("cf")))
+    aggregate per term, then a top-k; no text and no (document, term) pair is shuffled.
+    ``sketch`` shuffles only terms that can be among them, at one or two more passes over the
+    texts (see ``top_words``): for n-grams, of which a large corpus has no end."""
+    tokens = tokens_table(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
+    if sketch:
+        return [w for w, _ in top_words(tokens.select(F.col("term").alias("word")), k)]
+    counts = tokens.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
     return [r["term"] for r in counts.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(k).collect()]
 
 
@@ -402,17 +406,52 @@ def heavy_words(docs: DataFrame, threshold: float, *, text_col: str = "text") ->
     small for a sketch of ``MAX_TRACKED`` words is answered by the full count table."""
     if not threshold > 0 or math.ceil(8 / threshold) > MAX_TRACKED:
         return word_frequencies(docs, text_col=text_col).filter(F.col("n") / F.col("total") > F.lit(threshold))
-    tracked = max(math.ceil(8 / threshold), 64)
     words = spread(docs.select(text_col)).select(F.explode(T.whitespace_tokens(F.col(text_col))).alias("word"))
+    counts = _recounted(words, max(math.ceil(8 / threshold), 64))
+    total = counts.agg(F.sum("n").alias("total"))
+    return (counts.filter("word IS NOT NULL").crossJoin(F.broadcast(total))
+            .filter(F.col("n") / F.col("total") > F.lit(threshold)))
+
+
+def _recounted(words: DataFrame, tracked: int) -> DataFrame:
+    """``(word, n)``: exact counts of the words that the merged sketches of ``tracked`` words
+    report, and one row without a word for all others."""
     sketch = words.agg(F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("s"))
     found = cut_lineage(sketch.select(F.explode(F.expr(f"approx_top_k_estimate(s, {tracked})")).alias("c"))
                         .select(F.col("c.item").alias("_cand")))
     # words that are no candidate share one group, whose count only adds to the total
     looked = words.join(broadcast_if_small(found), F.col("word") == F.col("_cand"), "left")
-    counts = cut_lineage(looked.groupBy(F.col("_cand").alias("word")).agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.sum("n").alias("total"))
-    return (counts.filter("word IS NOT NULL").crossJoin(F.broadcast(total))
-            .filter(F.col("n") / F.col("total") > F.lit(threshold)))
+    return cut_lineage(looked.groupBy(F.col("_cand").alias("word")).agg(F.count(F.lit(1)).alias("n")))
+
+
+# Words the first sketch of ``top_words`` tracks.
+FIRST_TRACKED = 4_096
+
+
+def top_words(words: DataFrame, k: int, tracked: int = FIRST_TRACKED) -> list[tuple[str, int]]:
+    """The ``k`` first of the rows' words by ``(count desc, word asc)`` with their counts,
+    exactly, without a shuffle of all words.
+
+    The words a merged sketch reports are recounted; the k-th of these counts is a lower bound
+    for the k-th of all. Words that a sketch of ``m`` leaves out occur at most ``7 total / m``
+    times (see ``heavy_words``): below the bound the answer is final, else one more sketch is
+    made wide enough for the bound. A bound that needs more than ``MAX_TRACKED`` words (no word
+    stands out) is answered by the full counts."""
+    while k > 0:
+        counts = _recounted(words, tracked)
+        sums = counts.agg(F.sum("n").alias("total"), F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("others")).first()
+        best = _first_words(counts.filter("word IS NOT NULL"), k)
+        bound = best[-1][1] if len(best) == k else 0
+        if not sums["others"] or 7 * sums["total"] < bound * tracked:
+            return best
+        if not bound or 8 * sums["total"] > bound * MAX_TRACKED:
+            return _first_words(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), k)
+        tracked = -(-8 * sums["total"] // bound)
+    return []
+
+
+def _first_words(counts: DataFrame, k: int) -> list[tuple[str, int]]:
+    return [tuple(r) for r in counts.select("word", "n").orderBy(F.col("n").desc(), F.col("word").asc()).limit(k).collect()]
 
 
 # V4 / R5
@@ -517,3 +556,24 @@ def top_terms(vectors: DataFrame, model: IdfModel, k: int = 20, *, id_col: str =
 def top_terms_overall(weights: DataFrame, k: int = 20) -> DataFrame:
     return (term_totals(weights)
             .orderBy(F.col("total_weight").desc(), F.col("term").asc()).limit(k))
+
+
+# Terms whose totals give the bound of ``top_terms_bounded``, per term asked for.
+FIRST_TERMS = 4
+
+
+def terms_in_reach(weights: DataFrame, model: IdfModel, k: int) -> DataFrame:
+    """``(term)``, written: the terms whose total weight can be among the ``k`` largest. A
+    weight is at most 1, so a term's total is at most its document frequency; the totals of the
+    most frequent terms give the bound that it has to reach."""
+    often = cut_lineage(model.table.orderBy(F.col("df").desc(), F.col("term").asc()).limit(FIRST_TERMS * k).select("term"))
+    best = top_terms_overall(weights.join(broadcast_if_small(often), "term", "left_semi"), k).collect()
+    bound = best[-1]["total_weight"] if 0 < k == len(best) else 0.0
+    # sums of doubles may be off in their last digits
+    return cut_lineage(model.table.filter(F.col("df") >= bound * (1 - 1e-9)).select("term"))
+
+
+def top_terms_bounded(weights: DataFrame, model: IdfModel, k: int = 20) -> DataFrame:
+    """``top_terms_overall`` that shuffles only the terms in reach, at a second pass over the
+    weights."""
+    return top_terms_overall(weights.join(broadcast_if_small(terms_in_reach(weights, model, k)), "term", "left_semi"), k)

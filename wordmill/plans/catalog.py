@@ -348,6 +348,14 @@ def v9_ngram_top_features(spark, sf_dir):
     return w.select("doc_id", "term", r6("weight").alias("weight"))
 
 
+@query("v9_sketched_features")
+def v9_sketched_features(spark, sf_dir):
+    tok = terms.ngram_tokenizer(fixed.ENGLISH_STOPWORDS, (1, 2))
+    docs = documents(spark, sf_dir)
+    _, w = terms.tfidf(docs, tokenizer=tok, vocabulary=terms.top_vocabulary(docs, 10, tokenizer=tok, sketch=True))
+    return w.select("doc_id", "term", r6("weight").alias("weight"))
+
+
 def _v10(spark, sf_dir):
     docs = documents(spark, sf_dir)
     vocab = v1_vocabulary(_t10_tokens(spark, sf_dir))
@@ -420,6 +428,12 @@ def k2_top_terms_overall(spark, sf_dir):
     return terms.top_terms_overall(w, 20).select("term", r6("total_weight").alias("total_weight"))
 
 
+@query("k2_terms_in_reach")
+def k2_terms_in_reach(spark, sf_dir):
+    model, w = terms.tfidf(documents(spark, sf_dir))
+    return terms.top_terms_bounded(w, model, 20).select("term", r6("total_weight").alias("total_weight"))
+
+
 # ---------------------------------------------------------------- metrics: A1-A5, A7, A8, R1-R5, K3, F1-F7
 
 from wordmill.operators import metrics as MT  # noqa: E402

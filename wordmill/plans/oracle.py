@@ -372,6 +372,8 @@ WITH {V9_CTE}
 SELECT doc_id, term, round(weight, 6) AS weight FROM weights
 """
 
+ORACLE["v9_sketched_features"] = ORACLE["v9_ngram_top_features"]
+
 V15_SQL = f"""
 WITH {V9_CTE},
 grid AS (SELECT d.doc_id, t.term FROM documents d, top t)
@@ -444,6 +446,8 @@ SELECT term, round(sum(weight), 6) AS total_weight FROM weights GROUP BY term
 ORDER BY sum(weight) DESC, term ASC LIMIT 20
 """
 
+ORACLE["k2_terms_in_reach"] = ORACLE["k2_top_terms_overall"]
+
 
 # ---------------------------------------------------------------- metrics: A*, R*, K3, F*
 
