@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from wordmill.llm import syncmers as S
@@ -99,7 +100,9 @@ def test_distrust_reaches_the_end_of_a_long_chain(spark):
         assert abs(rows[name]["distrust"] - want[name] * heavy) < 1e-3 and rows[name]["verdict"] == "block"
 
 
-def test_page_rank_converges_on_cycles(spark):
+@pytest.mark.parametrize("travels", [64 << 20, 0])
+def test_page_rank_converges_on_cycles(spark, monkeypatch, travels):
+    monkeypatch.setattr(U, "MAX_BROADCAST_BYTES", travels)
     links = [("a", "b", 1.0), ("b", "a", 3.0), ("b", "c", 1.0), ("c", "a", 1.0)]
     got = U.page_rank(spark.createDataFrame(links, "src string, dst string, n double"),
                       spark.createDataFrame([("a", 1.0)], "host string, weight double"), 1e-4)
