@@ -79,6 +79,18 @@ def test_blocked_search_is_exact(k):
         assert all(int(index.ids[got[j][1]]) == want[j][0] for j in clear)
 
 
+def test_equal_blocks_are_searched_in_a_few_array_passes(monkeypatch):
+    # 2,560 examples with the same terms: no block can be ruled out, as in a table with few terms
+    ids, idf = list(range(2_560)), np.array([1.0, 2.0])
+    index = X.build_index(ids, [i % 2 for i in ids], [([0, 1], [1, 1 + i % 3 // 2]) for i in ids], idf)
+    passes, ranges = [], X._ranges
+    monkeypatch.setattr(X, "_ranges", lambda a, b: passes.append(1) or ranges(a, b))
+    terms, counts = np.array([0, 1]), np.array([1.0, 1.0])
+    got = index.nearest(terms, index.unit(terms, counts))
+    assert [int(index.ids[x]) for _, x in got] == [i for i in ids if i % 3 != 2][:10]
+    assert np.allclose([s for s, _ in got], 1.0) and len(passes) <= 6
+
+
 def test_g2_column_equals_the_formula(spark):
     rows = [(a, b) for a in (0, 1, 7, 30) for b in (0, 2, 50)]
     d = spark.createDataFrame(rows, "a long, b long")

@@ -15,9 +15,9 @@ are counted over all documents.
 
 **Index.** Postings of a term are sorted by example and cut into blocks of ``BLOCK``
 examples with the largest weight of each. A search bounds every block by the sum of the
-block maxima, takes the blocks in descending order of that bound, scores them exactly, and
-ends when no bound reaches the K-th best cosine. The result is exact; ties go to the
-smaller id.
+block maxima, takes the blocks in descending order of that bound, scores them exactly in
+steps of 4, 8, 16, ... blocks (an array pass over all postings of a step), and ends when no
+bound reaches the K-th best cosine. The result is exact; ties go to the smaller id.
 
 Training takes at most ``per_class`` labelled documents of each class (the first by a hash
 of the id) and at most ``MAX_TERMS`` terms of bounded length, so the index, which every
@@ -51,6 +51,7 @@ MIN_G2 = 20.0
 WORD_CHARS = 32
 STEMS = (4, 5, 6)
 BLOCK = 64
+FIRST_BLOCKS = 4
 K = 10
 THRESHOLD = 0.5
 
@@ -119,6 +120,13 @@ class Terms:
         return cells // max(self.n, 1), cells % max(self.n, 1), count
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers ``first[i] .. last[i] - 1`` of every ``i``, one after another."""
+    size = last - first
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+
+
 @dataclass(frozen=True)
 class Index:
     """Unit vectors of the examples as blocked postings. ``vec_*`` hold them by example."""
@@ -144,27 +152,36 @@ class Index:
         """The ``k`` examples of largest cosine with a unit vector, ``(cosine, example)`` by
         cosine, then id; without those of cosine 0 and example ``but``."""
         n_blocks = -(-len(self.ids) // BLOCK)
-        bound = np.zeros(n_blocks)
-        for t, w in zip(terms, weights):
-            a, b = self.block_first[t], self.block_first[t + 1]
-            bound[self.block_id[a:b]] += w * self.block_max[a:b]
-        best: list[tuple[float, int, int]] = []
-        for blk in np.argsort(-bound, kind="stable"):
-            if bound[blk] <= 0 or len(best) == k and bound[blk] + 1e-9 < -best[-1][0]:
+        first, last = self.block_first[terms], self.block_first[terms + 1]
+        entries, entry_weight = _ranges(first, last), np.repeat(weights, last - first)
+        of = self.block_id[entries]
+        bound = np.bincount(of, entry_weight * self.block_max[entries], n_blocks)
+        order = np.argsort(-bound, kind="stable")[:np.count_nonzero(bound > 0)]
+        scores, met, least, done = np.zeros(len(self.ids)), np.zeros(0, np.int64), -1.0, 0
+        while done < len(order):
+            # blocks that can still reach, in steps that double; all terms of a step at once
+            step = order[done:2 * done + FIRST_BLOCKS]
+            step = step[bound[step] + 1e-9 >= least]
+            if not len(step):
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                a, b = self.block_first[t], self.block_first[t + 1]
-                j = a + np.searchsorted(self.block_id[a:b], blk)
-                if j < b and self.block_id[j] == blk:
-                    p, q = self.block_start[j], self.block_start[j + 1]
-                    scores[self.post_example[p:q] - blk * BLOCK] += w * self.post_weight[p:q]
-            for e in np.flatnonzero(scores > 0):
-                x = int(blk) * BLOCK + int(e)
-                if x != but:
-                    best.append((-round(float(scores[e]), 12), int(self.ids[x]), x))
-            best = sorted(best)[:k]
-        return [(-s, x) for s, _, x in best]
+            done = 2 * done + FIRST_BLOCKS
+            chosen = np.zeros(n_blocks, bool)
+            chosen[step] = True
+            of_step = chosen[of]
+            some = entries[of_step]
+            start, end = self.block_start[some], self.block_start[some + 1]
+            at = _ranges(start, end)
+            scores += np.bincount(self.post_example[at], np.repeat(entry_weight[of_step], end - start) * self.post_weight[at], len(scores))
+            met = np.flatnonzero(scores > 0)
+            if 0 <= but < len(scores):
+                met = met[met != but]
+            if len(met) > k:
+                # rounding may swap scores this close, so they stay
+                least = np.partition(scores[met], len(met) - k)[len(met) - k]
+                met = met[scores[met] >= least - 1e-11]
+        values, place = np.unique(scores[met], return_inverse=True)
+        rounded = np.array([round(v, 12) for v in values.tolist()])[place]
+        return [(float(rounded[j]), int(met[j])) for j in np.lexsort((met, self.ids[met], -rounded))[:k]]
 
     def vote(self, near: Sequence[tuple[float, int]]) -> list[float]:
         """What the calibration sees: the vote from -1 to 1, weighted by nearness, the same
