@@ -198,3 +198,10 @@ def test_terms_in_reach(spark):
     few = terms.terms_in_reach(w, model, 5).count()
     assert 5 <= few < model.n_terms / 2, (few, model.n_terms)
     model.release()
+
+
+def test_texts_are_not_cut_a_second_time_for_an_inferred_filter(spark):
+    docs = spark.createDataFrame([(1, "aa bb aa"), (2, None), (3, "")], "doc_id long, text string")
+    plan = terms.tokens_table(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert sorted(tuple(r) for r in terms.tokens_table(docs, positions=True).collect()) == [(1, 0, "aa"), (1, 1, "bb"), (1, 2, "aa")]

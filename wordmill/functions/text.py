@@ -1,6 +1,6 @@
 """Column-level string and token functions.
 
-Everything here returns a ``Column`` built from JVM-side functions (regex, higher-order
+Everything here but ``exploded`` returns a ``Column`` built from JVM-side functions (regex, higher-order
 array functions), so it stays inside whole-stage code generation and needs no Python
 worker. The regex classes are Unicode-aware on purpose: Java's ``\\w`` is ASCII-only.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions import fixed
@@ -84,6 +84,15 @@ def counted_terms(tokens: Column) -> Column:
     return let(words, lambda s: let(starts(s), lambda at: pairs(s, at)))
 
 
+def exploded(df: DataFrame, array: Column, *keep: str, name: str, pos: str | None = None) -> DataFrame:
+    """``keep``, [``pos``] and ``name``: a row per element that is not NULL. A plain ``explode``
+    of an expression makes the planner infer the filter ``size(expression) > 0`` below it, which
+    computes every row's array a second time; an outer one does not."""
+    if pos is not None:
+        return df.select(*keep, F.posexplode_outer(array).alias(pos, name)).filter(F.col(name).isNotNull())
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
 # T4
 def abbr_or_lower(c: str | Column) -> Column:
     """Keep abbreviations / camel words (``NASA``, ``HelloWorld``); lowercase the rest."""

@@ -172,7 +172,7 @@ def term_index(model: PipelineModel, df: DataFrame, *, text_col: str = "text") -
     """``(term, df, feature)``: every term of ``df`` with its document frequency and the
     feature it is hashed to. One partial aggregate over terms; a distributed table."""
     hashing = next(s for s in model.stages if isinstance(s, HashingTF))
-    terms = (spread(df.select(text_col)).select(F.explode(F.array_distinct(T.word_tokens(F.col(text_col), 2))).alias("term"))
+    terms = (T.exploded(spread(df.select(text_col)), F.array_distinct(T.word_tokens(F.col(text_col), 2)), name="term")
              .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     hashed = HashingTF(inputCol="_one", outputCol="_at", numFeatures=hashing.getNumFeatures()).transform(
         terms.withColumn("_one", F.array("term")))

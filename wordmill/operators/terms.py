@@ -55,8 +55,8 @@ def tokens_table(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_
         d = tokenizer.based(d, id_col, text_col)
         tokenizer, text_col = tokenizer.expand, "_toks"
     if positions:
-        return d.select(id_col, F.posexplode(tokenizer(F.col(text_col))).alias("pos", "term"))
-    return d.select(id_col, F.explode(tokenizer(F.col(text_col))).alias("term"))
+        return T.exploded(d, tokenizer(F.col(text_col)), id_col, pos="pos", name="term")
+    return T.exploded(d, tokenizer(F.col(text_col)), id_col, name="term")
 
 
 def term_vectors(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
@@ -92,7 +92,7 @@ def term_counts(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_i
 
 
 def _long(vectors: DataFrame, id_col: str) -> DataFrame:
-    return vectors.select(id_col, F.explode("terms").alias("c")).select(id_col, "c.term", "c.tf")
+    return T.exploded(vectors, F.col("terms"), id_col, name="c").select(id_col, "c.term", "c.tf")
 
 
 class NgramTokenizer:
@@ -176,7 +176,7 @@ def fit_idf(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     n = _doc_count(docs)
     if vectors is None:
         vectors = term_vectors(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
-    stats = vectors.select(F.explode("terms").alias("c")).select("c.term", "c.tf").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    stats = T.exploded(vectors, F.col("terms"), name="c").select("c.term", "c.tf").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     if vocabulary is not None:
         if len(set(vocabulary)) != len(vocabulary):
             raise ValueError("duplicate term in vocabulary")
@@ -209,7 +209,7 @@ def idf_state(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id"
     their number. States of disjoint sets of documents can be stored and added up, so new
     documents need no scan of the old ones."""
     vectors = term_vectors(docs, text_col=text_col, id_col=id_col, tokenizer=tokenizer)
-    stats = vectors.select(F.explode("terms").alias("c")).groupBy("c.term").agg(
+    stats = T.exploded(vectors, F.col("terms"), name="c").groupBy("c.term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("c.tf").alias("cf"))
     number = docs.agg(F.lit(None).cast("string").alias("term"), F.count(F.lit(1)).alias("df"), F.lit(0).cast("long").alias("cf"))
     return stats.unionByName(number)
@@ -352,7 +352,7 @@ def bag_of_words(docs: DataFrame, vocabulary: Sequence[str], *, id_col: str = "d
     before they are counted; slots without an occurrence are 0."""
     spark = docs.sparkSession
     slots = spark.createDataFrame(list(enumerate(vocabulary)), "pos int, term string")
-    hits = (docs.select(id_col, F.explode(tokens_col).alias("term"))
+    hits = (T.exploded(docs, F.col(tokens_col), id_col, name="term")
             .join(broadcast_if_small(slots.select("term").distinct()), "term", "left_semi")
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
     grid = docs.select(id_col, F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(t).alias("term"))
@@ -369,8 +369,7 @@ def word_frequencies(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     checkpoint folder); the total and every later use read that table instead of
     tokenising the corpus again."""
     counts = cut_lineage(
-        spread(docs.select(text_col))
-        .select(F.explode(T.whitespace_tokens(F.col(text_col))).alias("word"))
+        T.exploded(spread(docs.select(text_col)), T.whitespace_tokens(F.col(text_col)), name="word")
         .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n").alias("total"))
     return counts.crossJoin(F.broadcast(total))
@@ -406,7 +405,7 @@ def heavy_words(docs: DataFrame, threshold: float, *, text_col: str = "text") ->
     small for a sketch of ``MAX_TRACKED`` words is answered by the full count table."""
     if not threshold > 0 or math.ceil(8 / threshold) > MAX_TRACKED:
         return word_frequencies(docs, text_col=text_col).filter(F.col("n") / F.col("total") > F.lit(threshold))
-    words = spread(docs.select(text_col)).select(F.explode(T.whitespace_tokens(F.col(text_col))).alias("word"))
+    words = T.exploded(spread(docs.select(text_col)), T.whitespace_tokens(F.col(text_col)), name="word")
     counts = _recounted(words, max(math.ceil(8 / threshold), 64))
     total = counts.agg(F.sum("n").alias("total"))
     return (counts.filter("word IS NOT NULL").crossJoin(F.broadcast(total))
@@ -479,8 +478,7 @@ def class_top_words(docs: DataFrame, stopwords: DataFrame, *, text_col: str = "t
     """``(label, word, n, weight, rank)``: top ``k`` words per class by
     ``(n desc, word asc)``, weight = n / the class's top count.
     ``stopwords`` is written and broadcast if its size allows."""
-    words = (spread(docs.select(label_col, text_col))
-             .select(label_col, F.explode(cloud_tokens(F.col(text_col))).alias("word"))
+    words = (T.exploded(spread(docs.select(label_col, text_col)), cloud_tokens(F.col(text_col)), label_col, name="word")
              .join(broadcast_if_small(cut_lineage(stopwords.select("word"))), "word", "left_anti")
              .groupBy(label_col, "word").agg(F.count(F.lit(1)).alias("n")))
     w = Window.partitionBy(label_col).orderBy(F.col("n").desc(), F.col("word").asc())

@@ -273,7 +273,7 @@ def _t10_tokens(spark, sf_dir) -> DataFrame:
 
 def _top_words(tok: DataFrame, k: int) -> list[str]:
     """The k most frequent tokens (count desc, token asc): a bounded top-k report."""
-    rows = (tok.select(F.explode("tokens").alias("t")).groupBy("t").count()
+    rows = (T.exploded(tok, F.col("tokens"), name="t").groupBy("t").count()
             .orderBy(F.col("count").desc(), F.col("t").asc()).limit(k).collect())
     return [r["t"] for r in rows]
 
