@@ -200,6 +200,25 @@ def test_terms_in_reach(spark):
     model.release()
 
 
+def test_a_table_beyond_the_lookup_shuffles_its_rare_terms_only(spark, monkeypatch):
+    rows = [(i if i else None, f"the the big data w{i % 9} rare{i} rare{i} odd{i // 2}") for i in range(60)] + [(100, None), (101, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model, vectors = terms.tfidf_vectors(docs)
+
+    def found(df):
+        return sorted((-1 if r["doc_id"] is None else r["doc_id"], r["term"], round(r["weight"], 9)) for r in df.collect())
+    for sublinear in (False, True):
+        monkeypatch.setattr(terms, "MAX_LOOKUP_BYTES", 32 << 20)
+        inside = found(terms.transform(docs, model, vectors=vectors, sublinear_tf=sublinear))
+        monkeypatch.setattr(terms, "MAX_LOOKUP_BYTES", 500)
+        assert 2 < terms._frequent_from(model.table, 500) <= 60
+        w = terms.transform(docs, model, vectors=vectors, sublinear_tf=sublinear)
+        assert found(w) == inside
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "MapInArrow" in plan
+    model.release()
+
+
 def test_texts_are_not_cut_a_second_time_for_an_inferred_filter(spark):
     docs = spark.createDataFrame([(1, "aa bb aa"), (2, None), (3, "")], "doc_id long, text string")
     plan = terms.tokens_table(docs)._jdf.queryExecution().optimizedPlan().toString()

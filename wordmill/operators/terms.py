@@ -9,7 +9,9 @@ merged.
 
 The idf table is fitted eagerly (like any estimator ``fit``), written to the shared
 checkpoint folder, and measured. Below ``MAX_LOOKUP_BYTES`` it travels to the tasks, and
-weights, norms and the top terms of a document are computed where its row lies. Beyond, the vectors are expanded and joined with it by a shuffle that AQE can split.
+weights, norms and the top terms of a document are computed where its row lies. Beyond, its
+most frequent terms do, only the cells of the others are joined with it by a shuffle, and the
+vectors are shuffled once, as arrays of numbers, to meet them.
 """
 
 from __future__ import annotations
@@ -231,27 +233,79 @@ def idf_of_state(state: DataFrame) -> IdfModel:
     return IdfModel(table, table.count(), n)
 
 
+def _list_rows(lists: pa.ListArray) -> np.ndarray:
+    return np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+
+
+def _looked_up(lists: pa.ListArray, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """``(row, place in terms or -1, tf, term)`` of all cells."""
+    term, tf = lists.flatten().flatten()
+    return _list_rows(lists), pc.index_in(term, value_set=terms).fill_null(-1).to_numpy(), tf.to_numpy(), term
+
+
+def _listed(row: np.ndarray, n: int, cells: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.searchsorted(row, np.arange(n + 1)).astype(np.int32), cells)
+
+
+def _weights_of(id_col: str, ids: pa.Array, row: np.ndarray, tf: np.ndarray, idf: np.ndarray, term: pa.Array, sublinear_tf: bool) -> pa.RecordBatch:
+    tf = tf.astype(float)
+    w = (np.log(tf) + 1.0 if sublinear_tf else tf) * idf
+    w /= np.sqrt(np.bincount(row, w * w, len(ids)))[row]
+    cells = pa.StructArray.from_arrays([term, pa.array(w)], ["term", "weight"])
+    return pa.RecordBatch.from_arrays([ids, _listed(row, len(ids), cells)], [id_col, "weights"])
+
+
 def _weigh_batches(terms: pa.Array, idf: np.ndarray, sublinear_tf: bool):
     """Arrow batches ``(id, terms)`` to ``(id, weights)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
-            cells = lists.flatten()
-            term, tf = cells.flatten()
-            tf = tf.to_numpy().astype(float)
-            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-            at = pc.index_in(term, value_set=terms).fill_null(-1).to_numpy()
+            row, at, tf, term = _looked_up(batch.column(1), terms)
             known = np.flatnonzero(at >= 0)
-            row, tf = row[known], tf[known]
-            w = (np.log(tf) + 1.0 if sublinear_tf else tf) * idf[at[known]]
-            w /= np.sqrt(np.bincount(row, w * w, len(lists)))[row]
-            offsets = np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32)
-            cells = pa.StructArray.from_arrays([term.take(pa.array(known)), pa.array(w)], ["term", "weight"])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, cells)],
-                                             [batch.schema.names[0], "weights"])
+            yield _weights_of(batch.schema.names[0], batch.column(0), row[known], tf[known], idf[at[known]], term.take(pa.array(known)),
+                              sublinear_tf)
+    return run
+
+
+def _number_batches(terms: pa.Array):
+    """Arrow batches ``(id, terms)`` to ``(id, at, tf, others)``: places in ``terms``, and the
+    cells of all other terms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, at, tf, term = _looked_up(batch.column(1), terms)
+            known, other = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+            others = pa.StructArray.from_arrays([term.take(pa.array(other)), pa.array(tf[other])], ["term", "tf"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), _listed(row[known], batch.num_rows, pa.array(at[known], pa.int32())),
+                 _listed(row[known], batch.num_rows, pa.array(tf[known], pa.int32())), _listed(row[other], batch.num_rows, others)],
+                [batch.schema.names[0], "at", "tf", "others"])
+    return run
+
+
+def _weigh_met_batches(terms: pa.Array, idf: np.ndarray, sublinear_tf: bool):
+    """Arrow batches ``(id, at, tf, rare)`` to ``(id, weights)``; cells of ``rare`` bring their idf."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, rare = batch.column(1).flatten().to_numpy(), batch.column(3)
+            term, tf, rare_idf = rare.flatten().flatten()
+            row = np.concatenate([_list_rows(batch.column(1)), _list_rows(rare)])
+            by = np.argsort(row, kind="stable")
+            tf = np.concatenate([batch.column(2).flatten().to_numpy(), tf.to_numpy()])[by]
+            factor = np.concatenate([idf[at], rare_idf.to_numpy()])[by]
+            term = pa.concat_arrays([terms.take(pa.array(at)), term]).take(pa.array(by))
+            yield _weights_of(batch.schema.names[0], batch.column(0), row[by], tf, factor, term, sublinear_tf)
     return run
 
 
+def _frequent_from(table: DataFrame, max_bytes: int) -> int:
+    """The document frequency from which on the terms of ``table`` take at most ``max_bytes``."""
+    width = F.octet_length("term") + F.lit(16 * 2)
+    sizes = table.groupBy("df").agg(F.sum(width).alias("b"))
+    # one row per frequency that occurs
+    so_far = sizes.select("df", F.sum("b").over(Window.orderBy(F.col("df").desc())).alias("b"))
+    least = so_far.filter(F.col("b") <= max_bytes).agg(F.min("df")).first()[0]
+    return least if least is not None else (table.agg(F.max("df")).first()[0] or 0) + 1
+
+
 def weighted_vectors(vectors: DataFrame, model: IdfModel, *, id_col: str = "doc_id",
                      sublinear_tf: bool = False) -> DataFrame | None:
     """``(id, weights)``: arrays of ``(term, weight)`` in term order, weight = ``tf * idf``
@@ -260,22 +314,46 @@ def weighted_vectors(vectors: DataFrame, model: IdfModel, *, id_col: str = "doc_
     table = model.table.select("term", "idf")
     if table_bytes(table) > MAX_LOOKUP_BYTES:
         return None
+    terms, idf = _held(table)
+    kind = vectors.schema[id_col].dataType.simpleString()
+    return _filled(vectors, id_col).mapInArrow(_weigh_batches(terms, idf, sublinear_tf), f"`{id_col}` {kind}, {_WEIGHTS}")
+
+
+_CELLS = "array<struct<term:string,tf:bigint>>"
+_RARE_CELLS = "array<struct<term:string,tf:bigint,idf:double>>"
+_WEIGHTS = "weights array<struct<term:string,weight:double>>"
+
+
+def _held(table: DataFrame) -> tuple[pa.Array, np.ndarray]:
     held = table.toArrow()
-    terms, idf = held.column("term").combine_chunks(), held.column("idf").to_numpy()
+    return held.column("term").combine_chunks(), held.column("idf").to_numpy()
+
+
+def _filled(vectors: DataFrame, id_col: str) -> DataFrame:
+    return vectors.select(id_col, F.coalesce("terms", F.array().cast(_CELLS)).alias("terms"))
+
+
+def _vectors_met_by_idf(vectors: DataFrame, model: IdfModel, id_col: str, sublinear_tf: bool) -> DataFrame:
+    """``weighted_vectors`` for an idf table of any size, cells in no order. The most frequent
+    terms are looked up; the cells of the others, a small part of all, are joined with the
+    table and brought to their vectors, which are shuffled once, as arrays of numbers."""
+    least = _frequent_from(model.table, MAX_LOOKUP_BYTES)
+    rest = model.table.filter(F.col("df") < least).select("term", "idf")
+    terms, idf = _held(model.table.filter(F.col("df") >= least).select("term", "idf"))
     kind = vectors.schema[id_col].dataType.simpleString()
-    return vectors.select(id_col, F.coalesce("terms", F.array().cast("array<struct<term:string,tf:bigint>>")).alias("terms")).mapInArrow(
-        _weigh_batches(terms, idf, sublinear_tf), f"`{id_col}` {kind}, weights array<struct<term:string,weight:double>>")
+    numbered = _filled(vectors, id_col).mapInArrow(_number_batches(terms), f"`{id_col}` {kind}, at array<int>, tf array<int>, others {_CELLS}")
+    rare = T.exploded(numbered, F.col("others"), id_col, name="c").select(id_col, "c.*").join(rest, "term")
+    rare = rare.groupBy(F.col(id_col).alias("_of")).agg(F.collect_list(F.struct("term", "tf", "idf")).alias("_rare"))
+    rows = numbered.select(id_col, "at", "tf").join(rare, F.col(id_col).eqNullSafe(F.col("_of")), "left").select(
+        id_col, "at", "tf", F.coalesce("_rare", F.array().cast(_RARE_CELLS)).alias("_rare"))
+    return rows.mapInArrow(_weigh_met_batches(terms, idf, sublinear_tf), f"`{id_col}` {kind}, {_WEIGHTS}")
 
 
 def _weights(vectors: DataFrame, model: IdfModel, id_col: str, sublinear_tf: bool) -> DataFrame:
     inside = weighted_vectors(vectors, model, id_col=id_col, sublinear_tf=sublinear_tf)
-    if inside is not None:
-        return inside.select(id_col, F.explode("weights").alias("c")).select(id_col, "c.term", "c.weight")
-    j = _long(vectors, id_col).join(model.table.select("term", "idf"), "term")
-    tfv = (F.log(F.col("tf")) + 1.0) if sublinear_tf else F.col("tf").cast("double")
-    w = j.select(id_col, "term", (tfv * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", (F.col("w") / norm).alias("weight"))
+    if inside is None:
+        inside = _vectors_met_by_idf(vectors, model, id_col, sublinear_tf)
+    return inside.select(id_col, F.explode("weights").alias("c")).select(id_col, "c.term", "c.weight")
 
 
 def transform(docs: DataFrame, model: IdfModel, *, text_col: str = "text", id_col: str = "doc_id",
@@ -540,11 +618,10 @@ def top_terms_per_doc(weights: DataFrame, k: int = 20, *, id_col: str = "doc_id"
 
 
 def top_terms(vectors: DataFrame, model: IdfModel, k: int = 20, *, id_col: str = "doc_id") -> DataFrame:
-    """``(id, rank, term, weight)``: the top terms of every document, inside its row where
-    the model allows it."""
+    """``(id, rank, term, weight)``: the top terms of every document, inside its row."""
     inside = weighted_vectors(vectors, model, id_col=id_col)
     if inside is None:
-        return top_terms_per_doc(_weights(vectors, model, id_col, False), k, id_col=id_col).select(id_col, "rank", "term", "weight")
+        inside = _vectors_met_by_idf(vectors, model, id_col, False)
     first = F.slice(F.sort_array(F.transform("weights", lambda c: F.struct((-c["weight"]).alias("w"), c["term"].alias("term")))), 1, k)
     return inside.select(id_col, F.posexplode(first).alias("pos", "c")).select(
         id_col, (F.col("pos") + 1).alias("rank"), "c.term", (-F.col("c.w")).alias("weight"))
