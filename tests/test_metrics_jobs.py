@@ -233,3 +233,20 @@ def test_a_model_is_loaded_once_per_worker(spark, tmp_path):
             assert r["scores"] == [sum(v), 3 * max(v)] and r["prediction"] == int(3 * max(v) > sum(v))
     loads = [f.name.split("-")[0] for f in tmp_path.iterdir()]
     assert len(got) == 4001 and loads and len(loads) == len(set(loads)) < 40
+
+
+def test_prompts_are_rendered_where_they_are_asked(spark, monkeypatch):
+    """No prompt, which repeats all examples, is shuffled or stored: only texts and keys."""
+    from wordmill.session import scratch_path
+    paths = {}
+    monkeypatch.setattr(JB, "scratch_path", lambda s, name: paths.setdefault(name, scratch_path(s, name)))
+    items = spark.createDataFrame([(1, "first text", 0), (2, "first text", 1), (3, None, 1)], "doc_id long, text string, label int")
+    few = spark.createDataFrame([(9, "EXAMPLE " * 50, 1)], "doc_id long, text string, label int")
+
+    def responder(pdf):
+        assert list(pdf.columns) == ["prompt"]
+        return pdf["prompt"].str.count("EXAMPLE").astype(str)
+    got = JB.prompt_classify(items, few, responder).collect()
+    assert sorted((r["doc_id"], r["prediction"], r["error"]) for r in got) == [(1, 50, None), (2, 50, None), (3, None, None)]
+    stored = spark.read.parquet(paths["prompts"])
+    assert stored.count() == 1 and "EXAMPLE" not in str(stored.collect())

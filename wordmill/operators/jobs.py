@@ -239,9 +239,10 @@ def _respond(df: DataFrame, responder: Responder, key_col: str, call_rows: int)
 
 
 def ask(rows: DataFrame, responder: Responder, key_col: str, path: str | None = None, *, call_rows: int = 1,
-        per_step: int = PROMPTS_PER_STEP) -> DataFrame:
+        per_step: int = PROMPTS_PER_STEP, rendered: dict[str, Column] | None = None) -> DataFrame:
     """``(prompt_key, reply, error)`` for every distinct value of ``key_col``, which must
-    determine what the responder reads.
+    determine what the responder reads: the other columns or, if given, ``rendered``, computed
+    from them where the call is made, so that no long prompt is shuffled or stored.
 
     The store at ``path`` only grows. Keys that have a reply there are not asked again; the
     others are asked in steps of about ``per_step`` prompts, each appended to the store when it
@@ -267,6 +268,8 @@ def ask(rows: DataFrame, responder: Responder, key_col: str, path: str | None =
     together = max(1, min(steps, steps * per_step // max(waiting.count(), 1)))
     for first in range(0, steps, together):
         part = waiting.filter(F.col("_step").between(first, first + together - 1)).drop("_step")
+        if rendered is not None:
+            part = part.select(key_col, *[c.alias(n) for n, c in rendered.items()])
         _respond(part, responder, key_col, call_rows).write.mode("append").parquet(path)
     # of several rows of a key the one without an error counts
     return stored().groupBy("prompt_key").agg(F.max_by(F.struct("reply", "error"), F.col("error").isNull()).alias("r")).select(
@@ -286,10 +289,11 @@ def prompt_classify(items: DataFrame, few: DataFrame | None, responder: Responde
     block = few_shot_block(few, text_col=text_col, label_col=label_col, id_cols=ids, seed=seed) \
         if few is not None else None
     prompt = T.classification_prompt(text_col, block)
-    prompts = items.filter(F.col(text_col).isNotNull()).select(prompt.alias("prompt")).withColumn(
-        "prompt_key", F.sha2(F.col("prompt").cast("binary"), 256))
-    replies = ask(prompts, responder, "prompt_key", path, call_rows=call_rows, per_step=per_step)
-    keyed = items.select(*ids, label_col, F.sha2(prompt.cast("binary"), 256).alias("prompt_key"))
+    key = F.sha2(prompt.cast("binary"), 256).alias("prompt_key")
+    # the text travels, not the prompt, which repeats the examples for every item
+    replies = ask(items.filter(F.col(text_col).isNotNull()).select(text_col, key), responder, "prompt_key", path,
+                  call_rows=call_rows, per_step=per_step, rendered={"prompt": prompt})
+    keyed = items.select(*ids, label_col, key)
     return keyed.join(replies, "prompt_key", "left").select(*ids, label_col, "reply", "error").withColumn(
         "prediction", T.parse_int_reply("reply"))
 
