@@ -201,3 +201,24 @@ def test_contrastive_pairs_teach_the_few_shot_head(spark):
     taught, pred = LN.few_shot_head(d, 30, pair_dims=3)
     assert taught.first()["accuracy"] >= raw.first()["accuracy"] and taught.first()["accuracy"] > 0.5
     assert pred.count() == 400
+
+
+def test_a_curve_cuts_texts_once_for_estimators_that_prepare_them(spark):
+    from wordmill.operators.bayes import NaiveBayesTable
+    rows = [(i, f"{'good nice' if i % 2 else 'bad poor'} w{i % 7}" if i % 11 else None, "ab"[i % 2]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string").repartition(4)
+    seen = []
+
+    class Plain(NaiveBayesTable):
+        prepared = None
+
+    class Watched(NaiveBayesTable):
+        def _fit(self, dataset):
+            seen.append(dataset.schema["text"].dataType.simpleString())
+            return super()._fit(dataset)
+
+    def curve(cls):
+        got = LN.learning_curve(docs, estimator_fn=lambda **kw: cls(**kw), cumulative=True).collect()
+        return sorted((r["percentage"], r["metric"], round(r["value"], 9)) for r in got)
+    assert curve(Watched) == curve(Plain)
+    assert len(seen) == 5 and set(seen) == {"array<struct<term:string,tf:bigint>>"}

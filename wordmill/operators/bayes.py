@@ -23,6 +23,7 @@ from collections.abc import Callable
 from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from wordmill.functions import text as T
 from wordmill.session import broadcast_if_small, cut_lineage
@@ -47,9 +48,18 @@ class NaiveBayesTable(Estimator):
         self.text_col, self.label_col, self.weight_col = text_col, label_col, weight_col
         self.alpha, self.tokenizer = alpha, tokenizer
 
+    def prepared(self, df: DataFrame) -> DataFrame:
+        """``df`` with its texts replaced by their counted terms, which ``fit`` and the model
+        take in their place: a caller that fits several models persists it once."""
+        return df.withColumn(self.text_col, self._counts(df))
+
+    def _counts(self, df: DataFrame) -> Column:
+        text = F.col(self.text_col)
+        return text if isinstance(df.schema[self.text_col].dataType, ArrayType) else T.counted_terms(self.tokenizer(text))
+
     def counted(self, df: DataFrame, *keep: str) -> DataFrame:
         """``keep``, a term of the row and its count; a row without terms has one row."""
-        cells = df.select(*keep, F.explode_outer(T.counted_terms(self.tokenizer(F.col(self.text_col)))).alias("c"))
+        cells = df.select(*keep, F.explode_outer(self._counts(df)).alias("c"))
         return cells.select(*keep, F.col("c.term").alias("_nb_term"), F.col("c.tf").cast("double").alias("_nb_tf"))
 
     def _fit(self, dataset: DataFrame) -> Model:

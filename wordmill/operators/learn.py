@@ -229,15 +229,21 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
     fixed ``holdout`` is given, fit on train, predict. ``estimator_fn(**kw)`` makes any
     estimator; it is given ``weight_col`` in a cumulative curve. ``cumulative=True``
     trains the way a model trained step after step would: a row weighs as many times as
-    earlier shares included it. Without ``estimator_fn`` texts are tokenised once."""
+    earlier shares included it. Without ``estimator_fn``, or if its estimators have a method
+    ``prepared`` (as ``bayes`` has), texts are tokenised once."""
     fr = M.ladder(fractions)
     keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     base, held = spread(df.select(*keys, text_col, label_col)), []
 
     def prepared(d: DataFrame) -> DataFrame:
         if estimator_fn is not None:
-            return d
-        out = _tokenizer(text_col, "_wm_tok").transform(d).drop(text_col).persist(StorageLevel.MEMORY_AND_DISK)
+            prepare = getattr(estimator_fn(), "prepared", None)
+            if prepare is None:
+                return d
+            out = prepare(d)
+        else:
+            out = _tokenizer(text_col, "_wm_tok").transform(d).drop(text_col)
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
         held.append(out)
         return out
 
