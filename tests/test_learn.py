@@ -222,3 +222,50 @@ def test_a_curve_cuts_texts_once_for_estimators_that_prepare_them(spark):
         return sorted((r["percentage"], r["metric"], round(r["value"], 9)) for r in got)
     assert curve(Watched) == curve(Plain)
     assert len(seen) == 5 and set(seen) == {"array<struct<term:string,tf:bigint>>"}
+
+
+def test_the_built_in_curve_hashes_texts_once(spark, monkeypatch):
+    """Every share is fitted on hashed counts, two at a time or one, and gives what fits on
+    the tokens of every share give."""
+    rows = [(i, f"{'good nice' if i % 2 else 'bad poor'} w{i % 7} w{i % 5}", "ab"[i % 2 if i % 9 else 0]) for i in range(90)]
+    docs, seen = spark.createDataFrame(rows, "doc_id long, text string, label string").repartition(3), []
+    fit = LN.TextClassifier._fit
+
+    def watched(self, dataset):
+        seen.append({"_tf", "_size"} <= set(dataset.columns) and "text" not in dataset.columns)
+        self.max_iter = 4
+        return fit(self, dataset)
+    monkeypatch.setattr(LN.TextClassifier, "_fit", watched)
+
+    class Plain(Estimator):
+        def _fit(self, dataset):
+            return fit(LN.TextClassifier(max_iter=4), dataset)
+
+    def curve(**kw):
+        got = LN.learning_curve(docs, fractions=[0.5, 1.0], **kw).collect()
+        return sorted((r["percentage"], r["metric"], round(r["value"], 6)) for r in got)
+    plain = curve(estimator_fn=Plain)
+    assert not seen
+    assert curve() == plain and seen == [True] * 2
+    monkeypatch.setattr(LN, "PARALLEL_BYTES_PER_CORE", 0)
+    assert curve(cumulative=True) and seen == [True] * 4
+
+
+def test_models_side_by_side_only_where_their_rows_fit(spark):
+    counted = spark.range(4).selectExpr("1000 * id AS _size")
+    room = spark.sparkContext.defaultParallelism * LN.PARALLEL_BYTES_PER_CORE
+    assert LN.at_a_time(counted) == LN.PARALLELISM == 2
+    assert LN.at_a_time(spark.range(1).selectExpr(f"CAST({room} AS BIGINT) AS _size")) == 1
+
+
+def test_few_file_splits_are_dealt_out(spark, tmp_path):
+    from wordmill import session as S
+    spark.range(100).write.parquet(str(tmp_path / "t"))
+    d = spark.read.parquet(str(tmp_path / "t"))
+    cores, size = spark.sparkContext.defaultParallelism, S.plan_bytes(d)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(S, "SPREAD_BYTES_PER_CORE", 0)
+        assert S.even(d).rdd.getNumPartitions() == S.EVEN_TASKS_PER_CORE * cores
+        m.setattr(S, "SPLIT_BYTES", size // (S.EVEN_TASKS_PER_CORE * cores))
+        assert S.even(d) is d
+    assert S.even(d) is d

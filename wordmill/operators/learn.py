@@ -15,16 +15,17 @@ it is given ``MAX_ITER`` steps rather than the reference's 100 and stops by its
 ``objective_history`` of the fitted model shows where it ended.
 
 A learning curve fits one model per share (the driver loop is over a handful of
-shares, never over rows) on texts tokenised once; all predictions are unioned and
-scored by one grouped metrics job. Any other estimator can be injected (``bayes`` has one
+shares, never over rows) on texts cut and hashed once, two models at a time where their
+rows fit in memory side by side; all predictions are unioned and scored by one grouped metrics job. Any other estimator can be injected (``bayes`` has one
 whose model is a table).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import ElementwiseProduct, HashingTF, IDF, Normalizer, RegexTokenizer, StringIndexer
@@ -38,7 +39,7 @@ from wordmill.functions import text as T
 from wordmill.operators import jobs
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
-from wordmill.session import cut_lineage, spread
+from wordmill.session import cut_lineage, even, spread
 
 EstimatorFn = Callable[..., Estimator]
 
@@ -51,6 +52,14 @@ MAX_ITER = 1_000
 SOLVER_PARTITION_BYTES = 16 << 20
 TOKEN_BYTES = 24
 
+# Models of a learning curve fitted at the same time: a solver step ends with its slowest
+# task, and the steps of another model fill the cores until then. A larger table, of more
+# hashed counts (at most ``CELL_BYTES`` per token) per core, is fitted a share after the other:
+# the solver keeps the rows of every model it works on in memory.
+PARALLELISM = 2
+CELL_BYTES = 12
+PARALLEL_BYTES_PER_CORE = 512 << 20
+
 
 class SmoothIdf(Estimator):
     """Fits Spark's IDF and applies ``idf + 1`` (the smooth-idf convention)."""
@@ -109,7 +118,10 @@ class TextClassifier(Estimator):
     ``fit`` drops rows without a label, tokenises once (or takes ``tokens_col``), persists
     label, hashed counts and weight for the idf and solver passes (memory and disk; lost
     blocks are recomputed) and merges them, without a shuffle, into partitions sized by the
-    bytes of the tokens: every solver step aggregates a gradient per partition. The model is
+    bytes of the tokens: every solver step aggregates a gradient per partition. Texts that
+    come in fewer partitions than keep the cores evenly busy are dealt out before
+    (``session.even``). The output of ``prepared``, which the caller persists, is taken in
+    place of the texts and is not copied. The model is
     a ``PipelineModel`` from text (or tokens) to ``predicted``, the label itself; it never
     sees labels, so rows with a label unknown to it are scored like any other.
     ``max_fit_rows`` (unlimited by default) takes the first rows in hash order."""
@@ -121,20 +133,36 @@ class TextClassifier(Estimator):
         self.text_col, self.label_col, self.max_iter, self.tol, self.width = text_col, label_col, max_iter, tol, width
         self.weight_col, self.tokens_col, self.max_fit_rows = weight_col, tokens_col, max_fit_rows
 
+    def _hashing(self) -> list:
+        """The stages from text (or tokens) to hashed counts."""
+        tokens = self.tokens_col or "_tok"
+        return [*([] if self.tokens_col else [_tokenizer(self.text_col, tokens)]),
+                HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=self.width)]
+
+    def prepared(self, df: DataFrame) -> DataFrame:
+        """``df`` with its texts (or tokens) replaced by ``_tf``, their hashed counts, and
+        ``_size``, their number of tokens; ``fit`` and the model take them in their place: a
+        caller that fits several models persists it once."""
+        tokens = self.tokens_col or "_tok"
+        for stage in self._hashing():
+            df = stage.transform(df)
+        return df.withColumn("_size", F.size(tokens)).drop(tokens, self.text_col)
+
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        rows = dataset.filter(F.col(self.label_col).isNotNull())
+        rows, known = dataset.filter(F.col(self.label_col).isNotNull()), "_tf" in dataset.columns
         if self.max_fit_rows is not None:
-            rows = rows.orderBy(F.md5(F.col(self.tokens_col).cast("string") if self.tokens_col else F.col(self.text_col))
-                                ).limit(self.max_fit_rows)
-        tokens, stages = self.tokens_col or "_tok", []
-        if not self.tokens_col:
-            stages.append(_tokenizer(self.text_col, tokens))
-        stages.append(HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=self.width))
-        for stage in stages:
-            rows = stage.transform(rows)
+            key = F.col("_tf").cast("string") if known else F.col(self.tokens_col).cast("string") if self.tokens_col else F.col(self.text_col)
+            rows = rows.orderBy(F.md5(key)).limit(self.max_fit_rows)
+        stages = [] if known else self._hashing()
         weight = F.col(self.weight_col).cast("double") if self.weight_col else F.lit(1.0)
-        held = rows.select(F.col(self.label_col).alias("_label"), "_tf", weight.alias("_weight"), F.size(tokens).alias("_size")).persist(
-            StorageLevel.MEMORY_AND_DISK)
+        if known:
+            counted = rows
+        else:
+            keep = [c for c in (self.label_col, self.tokens_col or self.text_col, self.weight_col) if c]
+            counted = self.prepared(even(rows.select(*dict.fromkeys(keep))))
+        held = counted.select(F.col(self.label_col).alias("_label"), "_tf", weight.alias("_weight"), "_size")
+        if not known:
+            held = held.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             size = held.agg(F.sum("_weight").alias("w"), F.sum("_size").alias("t")).first()
             total = size["w"] or 0.0
@@ -149,7 +177,8 @@ class TextClassifier(Estimator):
                                     regParam=1.0 / max(total, 1e-300), standardization=False)
             stages.append(LabelledLogistic(lr.fit(data.select("_x", "_y", "_weight")), indexer.labels, total))
         finally:
-            held.unpersist()
+            if not known:
+                held.unpersist()
         return PipelineModel(stages)
 
 
@@ -217,6 +246,13 @@ def steps_so_far(parts_col: str, i: int):
     return F.size(F.filter(F.slice(parts_col, 1, i + 1), lambda p: p.isNotNull())).cast("double")
 
 
+def at_a_time(counted: DataFrame) -> int:
+    """How many models are fitted at the same time on rows with hashed counts."""
+    tokens = counted.agg(F.sum("_size")).first()[0] or 0
+    room = counted.sparkSession.sparkContext.defaultParallelism * PARALLEL_BYTES_PER_CORE
+    return PARALLELISM if tokens * CELL_BYTES <= room else 1
+
+
 # L2 / L3 / L8 / L9
 def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, seed=fixed.BASELINE_SEED,
                    id_cols="doc_id", label_col: str = "label", text_col: str = "text",
@@ -229,26 +265,22 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
     fixed ``holdout`` is given, fit on train, predict. ``estimator_fn(**kw)`` makes any
     estimator; it is given ``weight_col`` in a cumulative curve. ``cumulative=True``
     trains the way a model trained step after step would: a row weighs as many times as
-    earlier shares included it. Without ``estimator_fn``, or if its estimators have a method
-    ``prepared`` (as ``bayes`` has), texts are tokenised once."""
+    earlier shares included it. If the estimators have a method ``prepared`` (as the built-in
+    one and ``bayes`` have), texts are cut and counted once. The built-in estimator fits
+    ``at_a_time`` shares at the same time, an injected one a share after the other."""
     fr = M.ladder(fractions)
     keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     base, held = spread(df.select(*keys, text_col, label_col)), []
 
-    def prepared(d: DataFrame) -> DataFrame:
-        if estimator_fn is not None:
-            prepare = getattr(estimator_fn(), "prepared", None)
-            if prepare is None:
-                return d
-            out = prepare(d)
-        else:
-            out = _tokenizer(text_col, "_wm_tok").transform(d).drop(text_col)
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(out)
-        return out
-
     def make(**kw) -> Estimator:
-        return estimator_fn(**kw) if estimator_fn is not None else TextClassifier(label_col=label_col, tokens_col="_wm_tok", **kw)
+        return estimator_fn(**kw) if estimator_fn is not None else TextClassifier(label_col=label_col, text_col=text_col, **kw)
+
+    def prepared(d: DataFrame) -> DataFrame:
+        prepare = getattr(make(), "prepared", None)
+        if prepare is None:
+            return d
+        held.append(prepare(d if estimator_fn is not None else even(d)).persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
 
     try:
         if sampling != "stratified" and holdout is None:
@@ -256,8 +288,8 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
         base = prepared(base)
         fixed_valid = prepared(spread(holdout.select(*keys, text_col, label_col))) if holdout is not None else None
         strata = M.stratified_ladder(base, fr, label_col=label_col, seed=seed, id_cols=keys) if sampling == "stratified" else None
-        preds = []
-        for i, frac in enumerate(fr):
+
+        def scored(i: int) -> DataFrame:
             kw = {}
             if "_wm_parts" in base.columns:
                 part = F.col("_wm_parts")[i]
@@ -265,13 +297,22 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
                 if cumulative:
                     train, kw = train.withColumn("_w", steps_so_far("_wm_parts", i)), {"weight_col": "_w"}
             else:
-                train = strata[i] if strata is not None else M.sample_fraction(base, frac, seed=seed, id_cols=keys)
+                train = strata[i] if strata is not None else M.sample_fraction(base, fr[i], seed=seed, id_cols=keys)
                 valid = fixed_valid
                 if valid is None:
                     parts = M.split(train, valid_share, seed=f"{seed}/split", id_cols=keys)
                     train, valid = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "valid")
             model = make(**kw).fit(train)
-            preds.append(predict(model, valid).select(label_col, "predicted").withColumn("percentage", F.lit(float(frac))))
+            return predict(model, valid).select(label_col, "predicted").withColumn("percentage", F.lit(float(fr[i])))
+
+        if estimator_fn is None:
+            # the largest share first; results in the order of the ladder
+            order = sorted(range(len(fr)), key=lambda i: -fr[i])
+            with ThreadPool(at_a_time(base)) as pool:
+                done = dict(zip(order, pool.map(inheritable_thread_target(base.sparkSession)(scored), order, chunksize=1)))
+            preds = [done[i] for i in range(len(fr))]
+        else:
+            preds = [scored(i) for i in range(len(fr))]
         allp = preds[0]
         for p in preds[1:]:
             allp = allp.unionByName(p)

@@ -22,6 +22,10 @@ EXPANSION = 4
 # An input below this many bytes per core is spread over all cores.
 SPREAD_BYTES_PER_CORE = 16 << 20
 
+# Partitions per core that keep the cores evenly busy, and the bytes of a file split.
+EVEN_TASKS_PER_CORE = 3
+SPLIT_BYTES = 128 << 20
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "wordmill") -> SparkSession:
@@ -121,6 +125,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if plan_bytes(df) < target * SPREAD_BYTES_PER_CORE else df
 
 
+def even(df: DataFrame) -> DataFrame:
+    """Round-robin the rows of an input for work that is repeated many times, where ``spread``
+    leaves an input alone that has too few file splits for every core to get several. Of a
+    larger input, whose splits even out, and a smaller one nothing is shuffled."""
+    cores, size = df.sparkSession.sparkContext.defaultParallelism, plan_bytes(df)
+    tasks = cores * EVEN_TASKS_PER_CORE
+    return df.repartition(tasks) if cores * SPREAD_BYTES_PER_CORE <= size < tasks * SPLIT_BYTES else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
