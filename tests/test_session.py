@@ -55,3 +55,16 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(RuntimeError):
         S._default_dir(_cluster("file"))
     assert S._default_dir(_cluster("hdfs")) == "hdfs://store/home/me/.wordmill-checkpoints"
+
+
+def test_rows_of_a_large_input_are_not_kept_in_memory(spark, monkeypatch):
+    df = spark.createDataFrame([(1, [("a", 2)]), (None, [])], "id long, terms array<struct<term:string,tf:long>>")
+    monkeypatch.setattr(S, "plan_bytes", lambda d: 1)
+    small = S.hold(df.filter("id IS NULL"), df, "held")
+    assert small.storageLevel.useMemory
+    small.unpersist()
+    monkeypatch.setattr(S, "plan_bytes", lambda d: 1 << 50)
+    large = S.hold(df, df, "held")
+    assert not large.storageLevel.useMemory and not df.storageLevel.useMemory
+    assert sorted(large.collect(), key=str) == sorted(df.collect(), key=str) and large.dtypes == df.dtypes
+    assert "parquet" in large._jdf.queryExecution().executedPlan().toString().lower()

@@ -3,9 +3,13 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from wordmill import session
+from wordmill.functions import cells as C
 from wordmill.functions import fixed
 from wordmill.operators import terms
 from wordmill.sources import datasets as DS
@@ -224,3 +228,81 @@ def test_texts_are_not_cut_a_second_time_for_an_inferred_filter(spark):
     plan = terms.tokens_table(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
     assert sorted(tuple(r) for r in terms.tokens_table(docs, positions=True).collect()) == [(1, 0, "aa"), (1, 1, "bb"), (1, 2, "aa")]
+
+
+def test_vectors_of_a_large_input_are_not_kept_in_memory(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+    def weights():
+        model, w = terms.tfidf(docs)
+        plan = w._jdf.queryExecution().executedPlan().toString()
+        rows = sorted((r["doc_id"], r["term"], r["weight"]) for r in w.collect())
+        model.release()
+        return plan, rows
+    plan, rows = weights()
+    assert "InMemoryTableScan" in plan
+    monkeypatch.setattr(session, "plan_bytes", lambda d: 1 << 50)
+    plan, large = weights()
+    assert "InMemoryTableScan" not in plan and "regexp_extract_all" not in plan  # the texts are still cut once
+    assert large == rows
+
+
+def _batches(rows, schema, size):
+    whole = pa.RecordBatch.from_pylist(rows, schema)
+    return [whole.slice(i, size) for i in range(0, len(rows), size)]
+
+
+def test_array_passes_take_a_bounded_part_of_the_vectors(monkeypatch):
+    """However the pieces of documents are dealt over batches, passes and runs."""
+    cell = pa.struct([("term", pa.string()), ("tf", pa.int64())])
+    schema = pa.schema([("id", pa.int64()), ("pos", pa.int32()), ("cells", pa.list_(cell))])
+    docs = [(None if i == 3 else i, [(f"t{(i * 7 + j) % 40:02d}", j % 4 + 1) for j in range(i * 5 % 23)]) for i in range(40)]
+    rows = []
+    for i, cells in docs:
+        made = [{"id": i, "pos": p, "cells": [{"term": t, "tf": n} for t, n in cells[p * 4:p * 4 + 4]]} for p in range(-(-len(cells) // 4))]
+        rows += made or [{"id": i, "pos": None, "cells": None}]
+    known = pa.array([f"t{k:02d}" for k in range(0, 40, 2)])
+    idf = np.linspace(1, 2, 20)
+
+    def found(run, name, size):
+        out = list(run(iter(_batches(rows, schema, size))))
+        assert sum(b.num_rows for b in out) == len(docs)
+        return [r for b in out for r in b.to_pylist()], max(len(b.column(name).flatten()) for b in out)
+    whole = {}
+    for most, run_pieces in ((1 << 30, 1 << 30), (200, 3), (1, 1)):
+        monkeypatch.setattr(C, "PASS_BYTES", most)
+        monkeypatch.setattr(C, "RUN_PIECES", run_pieces)
+        for size in (1, 5, len(rows)):
+            for make, name in ((C.weigh(known, idf, False), "weights"), (C.number(known), "others")):
+                got, largest = found(make, name, size)
+                assert got == whole.setdefault(name, got) and [r["id"] for r in got] == [i for i, _ in docs]
+                if run_pieces < 1 << 30:
+                    assert largest <= 22  # a document at most, or three pieces
+    want = [(t, n * (1 + int(t[1:]) / 2 / 19)) for t, n in docs[4][1] if int(t[1:]) % 2 == 0]
+    norm = math.sqrt(sum(w * w for _, w in want))
+    assert [(c["term"], round(c["weight"], 9)) for c in whole["weights"][4]["weights"]] == [(t, round(w / norm, 9)) for t, w in want]
+    # the two parts of a document's cells meet again, whole
+    rare = pa.struct([("term", pa.string()), ("tf", pa.int64()), ("idf", pa.float64())])
+    schema = pa.schema([("id", pa.int64()), ("pos", pa.int32()), ("at", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32())), ("rare", pa.list_(rare))])
+    rows = []
+    for r in whole["others"]:
+        more = [{"term": c["term"], "tf": c["tf"], "idf": 3.0} for c in r["others"]]
+        n = -(-max(len(r["at"]), len(more)) // 4)
+        rows += [{"id": r["id"], "pos": p, **{k: v[p * 4:p * 4 + 4] for k, v in (("at", r["at"]), ("tf", r["tf"]), ("rare", more))}} for p in range(n)]
+        rows += [] if n else [{"id": r["id"], "pos": None, "at": None, "tf": None, "rare": None}]
+    for most, run_pieces in ((1 << 30, 1 << 30), (200, 3), (1, 1)):
+        monkeypatch.setattr(C, "PASS_BYTES", most)
+        monkeypatch.setattr(C, "RUN_PIECES", run_pieces)
+        for size in (1, 5, len(rows)):
+            got, _ = found(C.weigh_met(known, idf, True), "weights", size)
+            assert got == whole.setdefault("met", got)
+    weight = {t: (math.log(n) + 1) * (3.0 if int(t[1:]) % 2 else 1 + int(t[1:]) / 2 / 19) for t, n in docs[4][1]}
+    norm = math.sqrt(sum(w * w for w in weight.values()))
+    assert {c["term"]: round(c["weight"], 9) for c in whole["met"][4]["weights"]} == {t: round(w / norm, 9) for t, w in weight.items()}
+
+
+def test_vectors_travel_in_bounded_pieces(spark):
+    d = spark.createDataFrame([(1, [(f"t{i}", i) for i in range(70)]), (2, []), (None, None)], f"doc_id long, terms {terms._CELLS}")
+    got = terms._pieces(d, "doc_id", cells=F.col("terms")).collect()
+    assert [(r["doc_id"], r["pos"], len(r["cells"] or [])) for r in got] == [(1, 0, 32), (1, 1, 32), (1, 2, 6), (2, None, 0), (None, None, 0)]
+    assert [c["tf"] for r in got for c in r["cells"] or []] == list(range(70))

@@ -17,22 +17,21 @@ vectors are shuffled once, as arrays of numbers, to meet them.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordmill.functions import cells as C
 from wordmill.functions import fixed
 from wordmill.functions import text as T
 from wordmill.functions.text import let
 from wordmill.operators.tokens import number_sorted
-from wordmill.session import MAX_BROADCAST_BYTES, broadcast_if_small, cut_lineage, spread, table_bytes
+from wordmill.session import MAX_BROADCAST_BYTES, broadcast_if_small, cut_lineage, hold, spread, table_bytes
 
 Tokenizer = Callable[[Column], Column]
 
@@ -233,69 +232,6 @@ def idf_of_state(state: DataFrame) -> IdfModel:
     return IdfModel(table, table.count(), n)
 
 
-def _list_rows(lists: pa.ListArray) -> np.ndarray:
-    return np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-
-
-def _looked_up(lists: pa.ListArray, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """``(row, place in terms or -1, tf, term)`` of all cells."""
-    term, tf = lists.flatten().flatten()
-    return _list_rows(lists), pc.index_in(term, value_set=terms).fill_null(-1).to_numpy(), tf.to_numpy(), term
-
-
-def _listed(row: np.ndarray, n: int, cells: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(np.searchsorted(row, np.arange(n + 1)).astype(np.int32), cells)
-
-
-def _weights_of(id_col: str, ids: pa.Array, row: np.ndarray, tf: np.ndarray, idf: np.ndarray, term: pa.Array, sublinear_tf: bool) -> pa.RecordBatch:
-    tf = tf.astype(float)
-    w = (np.log(tf) + 1.0 if sublinear_tf else tf) * idf
-    w /= np.sqrt(np.bincount(row, w * w, len(ids)))[row]
-    cells = pa.StructArray.from_arrays([term, pa.array(w)], ["term", "weight"])
-    return pa.RecordBatch.from_arrays([ids, _listed(row, len(ids), cells)], [id_col, "weights"])
-
-
-def _weigh_batches(terms: pa.Array, idf: np.ndarray, sublinear_tf: bool):
-    """Arrow batches ``(id, terms)`` to ``(id, weights)``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, at, tf, term = _looked_up(batch.column(1), terms)
-            known = np.flatnonzero(at >= 0)
-            yield _weights_of(batch.schema.names[0], batch.column(0), row[known], tf[known], idf[at[known]], term.take(pa.array(known)),
-                              sublinear_tf)
-    return run
-
-
-def _number_batches(terms: pa.Array):
-    """Arrow batches ``(id, terms)`` to ``(id, at, tf, others)``: places in ``terms``, and the
-    cells of all other terms."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, at, tf, term = _looked_up(batch.column(1), terms)
-            known, other = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
-            others = pa.StructArray.from_arrays([term.take(pa.array(other)), pa.array(tf[other])], ["term", "tf"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _listed(row[known], batch.num_rows, pa.array(at[known], pa.int32())),
-                 _listed(row[known], batch.num_rows, pa.array(tf[known], pa.int32())), _listed(row[other], batch.num_rows, others)],
-                [batch.schema.names[0], "at", "tf", "others"])
-    return run
-
-
-def _weigh_met_batches(terms: pa.Array, idf: np.ndarray, sublinear_tf: bool):
-    """Arrow batches ``(id, at, tf, rare)`` to ``(id, weights)``; cells of ``rare`` bring their idf."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, rare = batch.column(1).flatten().to_numpy(), batch.column(3)
-            term, tf, rare_idf = rare.flatten().flatten()
-            row = np.concatenate([_list_rows(batch.column(1)), _list_rows(rare)])
-            by = np.argsort(row, kind="stable")
-            tf = np.concatenate([batch.column(2).flatten().to_numpy(), tf.to_numpy()])[by]
-            factor = np.concatenate([idf[at], rare_idf.to_numpy()])[by]
-            term = pa.concat_arrays([terms.take(pa.array(at)), term]).take(pa.array(by))
-            yield _weights_of(batch.schema.names[0], batch.column(0), row[by], tf, factor, term, sublinear_tf)
-    return run
-
-
 def _frequent_from(table: DataFrame, max_bytes: int) -> int:
     """The document frequency from which on the terms of ``table`` take at most ``max_bytes``."""
     width = F.octet_length("term") + F.lit(16 * 2)
@@ -316,7 +252,7 @@ def weighted_vectors(vectors: DataFrame, model: IdfModel, *, id_col: str = "doc_
         return None
     terms, idf = _held(table)
     kind = vectors.schema[id_col].dataType.simpleString()
-    return _filled(vectors, id_col).mapInArrow(_weigh_batches(terms, idf, sublinear_tf), f"`{id_col}` {kind}, {_WEIGHTS}")
+    return _pieces(vectors, id_col, cells=F.col("terms")).mapInArrow(C.weigh(terms, idf, sublinear_tf), f"`{id_col}` {kind}, {_WEIGHTS}")
 
 
 _CELLS = "array<struct<term:string,tf:bigint>>"
@@ -329,8 +265,14 @@ def _held(table: DataFrame) -> tuple[pa.Array, np.ndarray]:
     return held.column("term").combine_chunks(), held.column("idf").to_numpy()
 
 
-def _filled(vectors: DataFrame, id_col: str) -> DataFrame:
-    return vectors.select(id_col, F.coalesce("terms", F.array().cast(_CELLS)).alias("terms"))
+def _pieces(rows: DataFrame, id_col: str, **arrays: Column) -> DataFrame:
+    """``(id, pos, arrays)``: rows of at most ``PIECE`` elements of each array; one without
+    ``pos`` and arrays where all are empty."""
+    n = F.greatest(F.lit(0), *[F.size(c) for c in arrays.values()])
+    number = F.ceil(n / C.PIECE).cast("int")
+    pieces = F.transform(F.when(number > 0, F.sequence(F.lit(0), number - 1)), lambda i: F.struct(
+        *[F.slice(c, i * C.PIECE + 1, F.lit(C.PIECE)).alias(name) for name, c in arrays.items()]))
+    return rows.select(id_col, F.posexplode_outer(pieces).alias("pos", "c")).select(id_col, "pos", "c.*")
 
 
 def _vectors_met_by_idf(vectors: DataFrame, model: IdfModel, id_col: str, sublinear_tf: bool) -> DataFrame:
@@ -341,12 +283,13 @@ def _vectors_met_by_idf(vectors: DataFrame, model: IdfModel, id_col: str, sublin
     rest = model.table.filter(F.col("df") < least).select("term", "idf")
     terms, idf = _held(model.table.filter(F.col("df") >= least).select("term", "idf"))
     kind = vectors.schema[id_col].dataType.simpleString()
-    numbered = _filled(vectors, id_col).mapInArrow(_number_batches(terms), f"`{id_col}` {kind}, at array<int>, tf array<int>, others {_CELLS}")
+    numbered = _pieces(vectors, id_col, cells=F.col("terms")).mapInArrow(
+        C.number(terms), f"`{id_col}` {kind}, at array<int>, tf array<int>, others {_CELLS}")
     rare = T.exploded(numbered, F.col("others"), id_col, name="c").select(id_col, "c.*").join(rest, "term")
     rare = rare.groupBy(F.col(id_col).alias("_of")).agg(F.collect_list(F.struct("term", "tf", "idf")).alias("_rare"))
-    rows = numbered.select(id_col, "at", "tf").join(rare, F.col(id_col).eqNullSafe(F.col("_of")), "left").select(
-        id_col, "at", "tf", F.coalesce("_rare", F.array().cast(_RARE_CELLS)).alias("_rare"))
-    return rows.mapInArrow(_weigh_met_batches(terms, idf, sublinear_tf), f"`{id_col}` {kind}, {_WEIGHTS}")
+    rows = numbered.select(id_col, "at", "tf").join(rare, F.col(id_col).eqNullSafe(F.col("_of")), "left")
+    rows = _pieces(rows, id_col, at=F.col("at"), tf=F.col("tf"), rare=F.coalesce("_rare", F.array().cast(_RARE_CELLS)))
+    return rows.mapInArrow(C.weigh_met(terms, idf, sublinear_tf), f"`{id_col}` {kind}, {_WEIGHTS}")
 
 
 def _weights(vectors: DataFrame, model: IdfModel, id_col: str, sublinear_tf: bool) -> DataFrame:
@@ -396,9 +339,9 @@ def tfidf_vectors(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc
                   **fit_kw) -> tuple[IdfModel, DataFrame]:
     """The fitted model and the term vectors it was fitted on.
 
-    The vectors are built once and persisted (memory and disk; lost blocks are recomputed
-    from the lineage): the fit reads them for the document frequencies and the transform for
-    the weights, so the corpus is tokenised once. ``IdfModel.release()`` drops them. With a
+    The vectors are built once and held (``session.hold``: those of a small input persisted,
+    others written): the fit reads them for the document frequencies and the transform for
+    the weights, so the corpus is tokenised once. ``IdfModel.release()`` drops persisted ones. With a
     fixed ``vocabulary``, or ``max_features`` and no df limits, the terms are known first and
     only their counts are built."""
     of = {"text_col": text_col, "id_col": id_col, "tokenizer": tokenizer}
@@ -408,7 +351,7 @@ def tfidf_vectors(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc
         vectors = _few_vectors(docs, top_vocabulary(docs, fit_kw.pop("max_features"), **of), **of)
     else:
         vectors = term_vectors(docs, **of)
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = hold(vectors, docs, "vectors")
     model = fit_idf(docs, vectors=vectors, **of, **fit_kw)
     model.tf_cache = vectors
     return model, vectors

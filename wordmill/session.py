@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,6 +135,20 @@ def even(df: DataFrame) -> DataFrame:
     return df.repartition(tasks) if cores * SPREAD_BYTES_PER_CORE <= size < tasks * SPLIT_BYTES else df
 
 
+def hold(rows: DataFrame, source: DataFrame, name: str) -> DataFrame:
+    """``rows``, made from ``source``, for several readers. Those of an input that is small for
+    its cores are persisted (memory and disk). Others are written once to the shared folder, in
+    Parquet: a persisted table fills the half of an executor's heap that Spark reserves for it,
+    and its blocks are arrays of 1 MB and more, of which the heap loses up to as much again, so
+    that tasks beside a full cache run out of memory."""
+    spark = rows.sparkSession
+    if plan_bytes(source) < spark.sparkContext.defaultParallelism * SPREAD_BYTES_PER_CORE:
+        return rows.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
