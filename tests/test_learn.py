@@ -269,3 +269,25 @@ def test_few_file_splits_are_dealt_out(spark, tmp_path):
         m.setattr(S, "SPLIT_BYTES", size // (S.EVEN_TASKS_PER_CORE * cores))
         assert S.even(d) is d
     assert S.even(d) is d
+
+
+def test_a_curve_of_a_large_input_keeps_no_rows_in_memory(spark, monkeypatch):
+    """Beyond a small input, counted terms for an injected estimator are written, not persisted."""
+    from wordmill import session
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 120").select("doc_id", "text", F.col("lang").alias("label"))
+    plans = []
+
+    class Watched(NaiveBayesTable):
+        def _fit(self, dataset):
+            plans.append(dataset._jdf.queryExecution().executedPlan().toString())
+            return super()._fit(dataset)
+
+    def curve():
+        plans.clear()
+        got = LN.learning_curve(docs, fractions=[0.5, 1.0], estimator_fn=lambda **kw: Watched(**kw), cumulative=True).collect()
+        return sorted((r["percentage"], r["metric"], round(r["value"], 9)) for r in got)
+    small = curve()
+    assert len(plans) == 2 and all("InMemoryTableScan" in p for p in plans)
+    monkeypatch.setattr(session, "plan_bytes", lambda d: 1 << 50)
+    assert curve() == small
+    assert len(plans) == 2 and not any("InMemoryTableScan" in p or "regexp_extract_all" in p for p in plans)

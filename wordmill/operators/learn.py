@@ -39,7 +39,7 @@ from wordmill.functions import text as T
 from wordmill.operators import jobs
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
-from wordmill.session import cut_lineage, even, spread
+from wordmill.session import cut_lineage, even, hold, spread
 
 EstimatorFn = Callable[..., Estimator]
 
@@ -279,7 +279,9 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
         prepare = getattr(make(), "prepared", None)
         if prepare is None:
             return d
-        held.append(prepare(d if estimator_fn is not None else even(d)).persist(StorageLevel.MEMORY_AND_DISK))
+        # a solver passes over its rows again and again, an injected estimator a few times
+        held.append(hold(prepare(d), d, "prepared") if estimator_fn is not None else
+                    prepare(even(d)).persist(StorageLevel.MEMORY_AND_DISK))
         return held[-1]
 
     try:
