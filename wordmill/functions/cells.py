@@ -40,6 +40,7 @@ def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
             held, size = [rows.slice(begin[-1])], 0
             if len(begin) > 1:
                 yield rows.slice(0, begin[-1]), begin[:-1]
+            pa.default_memory_pool().release_unused()  # what a look-up's hash table took
     if held:
         yield joined()
 
