@@ -305,6 +305,8 @@ def learning_curve(df: DataFrame, *, fractions: Sequence[float] | None = None, s
                     parts = M.split(train, valid_share, seed=f"{seed}/split", id_cols=keys)
                     train, valid = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "valid")
             model = make(**kw).fit(train)
+            # a model may take what it keeps of a row through shuffles of the row's terms
+            valid = valid.drop("_wm_parts")
             return predict(model, valid).select(label_col, "predicted").withColumn("percentage", F.lit(float(fr[i])))
 
         if estimator_fn is None:
