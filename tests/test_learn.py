@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml import Estimator, Model
 from pyspark.sql import functions as F
 
+from wordmill import session
 from wordmill.operators import learn as LN
 from wordmill.operators import metrics as MT
 from wordmill.operators import sampling as M
@@ -273,7 +274,6 @@ def test_few_file_splits_are_dealt_out(spark, tmp_path):
 
 def test_a_curve_of_a_large_input_keeps_no_rows_in_memory(spark, monkeypatch):
     """Beyond a small input, counted terms for an injected estimator are written, not persisted."""
-    from wordmill import session
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 120").select("doc_id", "text", F.col("lang").alias("label"))
     plans = []
 
@@ -291,3 +291,23 @@ def test_a_curve_of_a_large_input_keeps_no_rows_in_memory(spark, monkeypatch):
     monkeypatch.setattr(session, "plan_bytes", lambda d: 1 << 50)
     assert curve() == small
     assert len(plans) == 2 and not any("InMemoryTableScan" in p or "regexp_extract_all" in p for p in plans)
+
+
+def test_term_tables_of_a_curve_are_broadcast_only_while_small(spark, docs, monkeypatch):
+    from wordmill.operators import bayes
+    model = NaiveBayesTable().fit(docs.filter("doc_id < 50"))
+
+    def scored():
+        out = model.transform(docs.filter("doc_id < 100"))
+        return out._jdf.queryExecution().executedPlan().toString(), sorted(tuple(r) for r in out.collect())
+    assert bayes.MAX_TABLE_BYTES < session.MAX_BROADCAST_BYTES
+    plan, inside = scored()
+    assert "BroadcastHashJoin" in plan
+    monkeypatch.setattr(bayes, "MAX_TABLE_BYTES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan, met = scored()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" not in plan and met == inside

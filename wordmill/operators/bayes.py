@@ -31,6 +31,9 @@ from wordmill.session import broadcast_if_small, cut_lineage
 ALPHA = 1.0
 #: Classes a model may have: a column each in the term table.
 MAX_CLASSES = 500
+#: A term table of at most this size is broadcast: a learning curve scores all its shares in one
+#: job, and the driver builds the tables of all of them.
+MAX_TABLE_BYTES = 16 << 20
 #: Decimal places at which scores are compared, so that sums taken in another order cannot
 #: swap two equal classes.
 PLACES = 6
@@ -93,7 +96,7 @@ class NaiveBayesModel(Model):
         # what a term adds to a class beyond log(alpha), which it adds to every class
         gains = [F.coalesce(F.max(F.when(F.col("label") == F.lit(c), F.log(F.col("n") + alpha) - math.log(alpha))), F.lit(0.0))
                  .alias(f"_nb_g{i}") for i, c in enumerate(self.labels)]
-        known = broadcast_if_small(cut_lineage(self.counts.groupBy(F.col("term").alias("_nb_term")).agg(*gains)))
+        known = broadcast_if_small(cut_lineage(self.counts.groupBy(F.col("term").alias("_nb_term")).agg(*gains)), MAX_TABLE_BYTES)
         others = [c for c in dataset.columns if c != self.of.text_col]
         row = dataset.select(F.monotonically_increasing_id().alias("_nb_row"), F.struct(F.lit(1).alias("_nb"), *others).alias("_nb_kept"),
                              self.of.text_col)
